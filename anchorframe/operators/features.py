@@ -43,6 +43,8 @@ def widen(
     replaces NULLs.
     """
     names = list(vocabulary) if vocabulary is not None else observed_features(long)
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError("feature names differ only in case; standardise the labels first")
     rows = long.filter(F.col("feature").isin(names))
     # long rows are already one per (entity, feature), so max just picks the value
     wide = rows.groupBy("entity").pivot("feature", names).agg(F.max("value")) if names else rows.select("entity").distinct()
