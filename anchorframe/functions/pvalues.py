@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def chi_square_tail(x: float, df: int) -> float:
@@ -31,11 +32,11 @@ def normal_two_sided(z: float) -> float:
     return math.nan if z is None or math.isnan(z) else math.erfc(abs(z) / math.sqrt(2))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi_square_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([chi_square_tail(a, int(b)) for a, b in zip(x, df)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return z.map(normal_two_sided)

@@ -27,21 +27,37 @@ def _q(name: str) -> Column:
 # column selection and scaling
 
 
-def column_variances(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Population variance of each feature (one small row)."""
-    row = df.agg(*[F.var_pop(_q(c)).alias(f"v{i}") for i, c in enumerate(features)]).first()
-    return {c: row[f"v{i}"] for i, c in enumerate(features)}
+@dataclass(frozen=True)
+class ColumnMoments:
+    """Row count, and mean and population variance of each feature."""
+
+    rows: int
+    mean: dict[str, float]
+    variance: dict[str, float]
+
+
+def column_moments(df: DataFrame, features: Sequence[str]) -> ColumnMoments:
+    """One pass over the table; one small row comes back."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(_q(c)).alias(f"m{i}") for i, c in enumerate(features)],
+        *[F.var_pop(_q(c)).alias(f"v{i}") for i, c in enumerate(features)],
+    ).first()
+    return ColumnMoments(
+        row["n"], {c: row[f"m{i}"] for i, c in enumerate(features)}, {c: row[f"v{i}"] for i, c in enumerate(features)}
+    )
 
 
-def variance_filter(df: DataFrame, features: Sequence[str], threshold: float = 0.01) -> list[str]:
+def variance_filter(moments: ColumnMoments, threshold: float = 0.01) -> list[str]:
     """Features whose population variance exceeds the threshold."""
-    found = column_variances(df, features)
-    return [c for c in features if found[c] is not None and found[c] > threshold]
+    return [c for c, v in moments.variance.items() if v is not None and v > threshold]
 
 
-def scaling_table(df: DataFrame, features: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> dict[str, tuple[float, float]]:
+def scaling_table(
+    df: DataFrame, features: Sequence[str], hot_rows: int = HOT_GROUP_ROWS, known_rows: int | None = None
+) -> dict[str, tuple[float, float]]:
     """Median and interquartile range per feature; a zero range divides by one."""
-    rows = column_quantiles(df, features, [0.25, 0.5, 0.75], ["lo", "mid", "hi"], hot_rows).collect()
+    rows = column_quantiles(df, features, [0.25, 0.5, 0.75], ["lo", "mid", "hi"], hot_rows, known_rows).collect()
     return {r["feature"]: (r["mid"], (r["hi"] - r["lo"]) or 1.0) for r in rows}
 
 
@@ -70,16 +86,17 @@ def fit_projection(
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> PipelineModel:
     """Variance filter, robust scaling, centring and principal components as one saved-and-reloadable model."""
-    kept = variance_filter(df, features, variance_threshold)
+    moments = column_moments(df, features)
+    kept = variance_filter(moments, variance_threshold)
     if not kept:
         raise ValueError("no feature passes the variance threshold")
-    table = scaling_table(df, kept, hot_rows)
+    table = scaling_table(df, kept, hot_rows, moments.rows)
     # Spark's PCA does not centre what it transforms, so the mean goes into the scaling expression.
-    means = df.agg(*[F.avg((_q(c) - table[c][0]) / table[c][1]).alias(f"m{i}") for i, c in enumerate(kept)]).first()
+    means = {c: (moments.mean[c] - table[c][0]) / table[c][1] for c in kept}
     scaled = [f"__s{i}" for i in range(len(kept))]
     exprs = ", ".join(
-        f"(CAST(`{c}` AS DOUBLE) - {table[c][0]!r}D) / {table[c][1]!r}D - ({means[f'm{i}']!r}D) AS {s}"
-        for i, (c, s) in enumerate(zip(kept, scaled))
+        f"(CAST(`{c}` AS DOUBLE) - {table[c][0]!r}D) / {table[c][1]!r}D - ({means[c]!r}D) AS {s}"
+        for c, s in zip(kept, scaled)
     )
     affine = SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
     assembler = VectorAssembler(inputCols=scaled, outputCol="__features", handleInvalid="error")
@@ -105,12 +122,18 @@ class DensityGrid:
 
     origin: tuple[float, ...]
     side: tuple[float, ...]
+    per_axis: int
+
+    @property
+    def max_cells(self) -> int:
+        # the upper edge falls into one extra cell per axis
+        return (self.per_axis + 1) ** len(self.side)
 
     def cell(self, vec: str) -> Column:
         arr = vector_to_array(F.col(vec))
         return F.array(
             *[
-                F.floor((arr[i] - F.lit(o)) / F.lit(s)).cast("long")
+                F.greatest(F.lit(-1), F.least(F.floor((arr[i] - F.lit(o)) / F.lit(s)), F.lit(self.per_axis))).cast("long")
                 for i, (o, s) in enumerate(zip(self.origin, self.side))
             ]
         )
@@ -123,7 +146,7 @@ def density_grid(df: DataFrame, vec: str, dims: int = 2, cells: int = 24) -> Den
     dims = min(dims, width)
     row = df.agg(*[f(arr[i]).alias(f"{n}{i}") for i in range(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     side = tuple(((row[f"hi{i}"] - row[f"lo{i}"]) / cells) or 1.0 for i in range(dims))
-    return DensityGrid(tuple(row[f"lo{i}"] for i in range(dims)), side)
+    return DensityGrid(tuple(row[f"lo{i}"] for i in range(dims)), side, cells)
 
 
 def dense_components(df: DataFrame, vec: str, grid: DensityGrid, min_cell_rows: int, min_cluster_size: int) -> DataFrame:
@@ -167,8 +190,11 @@ def dense_components(df: DataFrame, vec: str, grid: DensityGrid, min_cell_rows:
 def with_density(df: DataFrame, vec: str, grid: DensityGrid, components: DataFrame) -> DataFrame:
     """Add ``density_component`` and ``density_strength`` (NULL and 0 for noise)."""
     celled = df.withColumn("cell", grid.cell(vec))
+    named = components.select("cell", F.col("component").alias("density_component"), F.col("strength").alias("density_strength"))
+    if grid.max_cells <= 1_000_000:
+        named = F.broadcast(named)  # no more rows than the grid has cells
     return (
-        celled.join(components.withColumnRenamed("component", "density_component").withColumnRenamed("strength", "density_strength"), "cell", "left")
+        celled.join(named, "cell", "left")
         .withColumn("density_strength", F.coalesce("density_strength", F.lit(0.0)))
         .drop("cell")
     )

@@ -126,10 +126,15 @@ def to_long(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) ->
 
 
 def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str], hot_rows: int = HOT_GROUP_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    names: Sequence[str],
+    hot_rows: int = HOT_GROUP_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """``(feature, names...)``: exact quantiles of every listed column."""
-    return exact_quantiles(to_long(df, columns), ["feature"], "value", probs, names, hot_rows)
+    return exact_quantiles(to_long(df, columns), ["feature"], "value", probs, names, hot_rows, known_rows)
 
 
 def medians(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:

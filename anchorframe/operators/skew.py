@@ -49,11 +49,16 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     limit: int = HOT_GROUP_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles of ``value`` per group, NULLs ignored."""
+    """Exact linearly interpolated quantiles of ``value`` per group, NULLs ignored.
+
+    ``known_rows`` is an upper bound on the rows of any group, if the caller has one.
+    """
     keys, probs, names = list(keys), list(probs), list(names)
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    if not has_hot_groups(rows, keys, limit):
+    small = known_rows is not None and known_rows <= limit
+    if small or not has_hot_groups(rows, keys, limit):
         return _built_in_quantiles(rows, keys, probs, names)
     cold, hot = split_hot(rows, keys, limit)
     return _built_in_quantiles(cold, keys, probs, names).unionByName(_narrowed_quantiles(hot, keys, probs, names))

@@ -207,12 +207,13 @@ def _block_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     groups, codes = np.unique(right["cluster"].to_numpy(), return_inverse=True)
     member = np.zeros((len(b), len(groups)))
     member[np.arange(len(b)), codes] = 1.0
-    ids, right_ids = left["id"].to_numpy(), right["id"].to_numpy()
+    # a row is at distance exactly 0 from itself
+    ids, same = left["id"].to_numpy(), right["same_as"].to_numpy()
     sums = np.empty((len(a), len(groups)))
     for i in range(0, len(a), 512):
         d2 = a2[i : i + 512, None] + b2[None, :] - 2.0 * (a[i : i + 512] @ b.T)
         d = np.sqrt(np.maximum(d2, 0.0))
-        d[ids[i : i + 512, None] == right_ids[None, :]] = 0.0
+        d[ids[i : i + 512, None] == same[None, :]] = 0.0
         sums[i : i + 512] = d @ member
     n = member.sum(0).astype("int64")
     return pd.DataFrame(
@@ -225,9 +226,11 @@ def _block_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def distance_sums(left: DataFrame, right: DataFrame, block_rows: int = 2048) -> DataFrame:
+def distance_sums(left: DataFrame, right: DataFrame, block_rows: int = 2048, same_rows: bool = True) -> DataFrame:
     """``(id, cluster, dist, n)``: summed Euclidean distance of each left row to each cluster of ``right``.
 
+    ``same_rows`` says that equal ids on both sides are the same row.
+
     The distance is not decomposable, so every pair has to be evaluated; both
     sides are cut into blocks and each block pair becomes one bounded task that
     returns per-cluster sums.  No pair is ever emitted as a row.
@@ -245,7 +248,10 @@ def distance_sums(left: DataFrame, right: DataFrame, block_rows: int = 2048) ->
         )
 
     a = place(left, ["id", "vec"], "bl", n_left, "br", n_right)
-    b = place(right.withColumn("cluster", F.col("cluster").cast("long")), ["id", "vec", "cluster"], "br", n_right, "bl", n_left)
+    keyed = right.withColumn("cluster", F.col("cluster").cast("long")).withColumn(
+        "same_as", F.col("id") if same_rows else F.lit(None).cast("long")
+    )
+    b = place(keyed, ["vec", "cluster", "same_as"], "br", n_right, "bl", n_left)
     parts = (
         a.groupBy("bl", "br")
         .cogroup(b.groupBy("bl", "br"))
@@ -297,7 +303,7 @@ def silhouette_squared(points: DataFrame) -> DataFrame:
     m = _cluster_moments(points)
     table = m.agg(F.collect_list(F.struct("cluster", "center", "sq_norm", "n")).alias("all"))  # one entry per cluster
     own = points.select("id", "vec", F.col("cluster").alias("own"))
-    joined = own.join(F.broadcast(table)).select("id", "vec", "own", F.inline("all"))
+    joined = own.withColumn("all", table.scalar()).select("id", "vec", "own", F.inline("all"))
     sq = _dot(F.col("vec"), F.col("vec")) + F.col("sq_norm") - 2 * _dot(F.col("vec"), F.col("center"))
     sums = joined.select("id", "cluster", (F.greatest(sq, F.lit(0.0)) * F.col("n")).alias("dist"), "n")
     return _silhouette_from(sums, own.select("id", "own"), 1)

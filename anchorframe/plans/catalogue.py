@@ -464,3 +464,223 @@ def rule_annotations(spark, d):
         [rules.TextRule("failed", "failed once", 1), rules.TextRule("load", "heavy", 90.0, above=True), rules.TextRule("gone", "never", 1)],
     )
     return rounded(x)
+
+
+# ---- cluster statistics ----------------------------------------------------
+
+from anchorframe.operators import cluster as cl  # noqa: E402
+from anchorframe.operators import models as md  # noqa: E402
+from anchorframe.operators import stats as st  # noqa: E402
+from anchorframe.plans import analysis as an  # noqa: E402
+
+X = b.MATRIX_FEATURES
+
+
+def _segmented(spark, d):
+    """The customer matrix with the market segment as cluster number."""
+    numbers = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
+    return b.customer_matrix(spark, d).withColumn("cluster", lookup(F.col("segment"), numbers))
+
+
+@query
+def variance_filter(spark, d):
+    m = b.complete_matrix(spark, d)
+    moments = cl.column_moments(m, X)
+    kept = set(cl.variance_filter(moments, 0.05))
+    rows = [(c, float(v), int(c in kept)) for c, v in moments.variance.items()]
+    return rounded(spark.createDataFrame(rows, "feature string, variance double, kept int"))
+
+
+@query
+def column_quartiles(spark, d):
+    return rounded(mx.column_quantiles(b.customer_matrix(spark, d), X, [0.25, 0.5, 0.75], ["q1", "q2", "q3"]))
+
+
+@query
+def robust_scale(spark, d):
+    m = b.complete_matrix(spark, d).drop("segment")
+    return rounded(cl.robust_scale(m, X, cl.scaling_table(m, X)))
+
+
+@query
+def cluster_profile(spark, d):
+    e = b.embedding_points(spark, d)
+    return rounded(st.cluster_sizes(st.keep_large_clusters(e, 47)))
+
+
+@query
+def outcome_rates(spark, d):
+    m = _segmented(spark, d).withColumn("outcome", F.col("urgent"))
+    return rounded(st.outcome_rates(m, "outcome", "returned"))
+
+
+@query
+def cluster_means(spark, d):
+    return rounded(st.cluster_means(_segmented(spark, d), ["n_orders", "balance", "avg_quantity"]))
+
+
+@query
+def silhouette(spark, d):
+    return rounded(st.silhouette(b.embedding_points(spark, d)))
+
+
+@query
+def silhouette_squared(spark, d):
+    x = st.silhouette_squared(b.embedding_points(spark, d))
+    return rounded(x.withColumn("cluster", F.col("cluster").cast("long")))
+
+
+@query
+def davies_bouldin(spark, d):
+    return rounded(st.davies_bouldin(b.embedding_points(spark, d)))
+
+
+@query
+def mid_ranks(spark, d):
+    x = st.mid_ranks(_segmented(spark, d), ["n_orders", "balance", "urgent"])
+    return rounded(x.select("feature", "value", "ties", "mid_rank"))
+
+
+@query
+def kruskal_h(spark, d):
+    return rounded(st.kruskal_wallis(_segmented(spark, d), X, min_effect=None, with_p=False))
+
+
+@query
+def kruskal_p(spark, d):
+    """The same test with its p-value and adjusted p."""
+    t = st.kruskal_wallis(_segmented(spark, d), X, min_effect=None)
+    return rounded(st.flag_important(t))
+
+
+@query
+def dunn_z(spark, d):
+    return rounded(st.dunn_pairs(_segmented(spark, d), X, with_p=False))
+
+
+@query
+def dunn_p(spark, d):
+    return rounded(st.dunn_pairs(_segmented(spark, d), X))
+
+
+def _pseudo_p(spark, d):
+    """A number in (0, 1] per event type and user group, standing in for a p-value."""
+    e = b.event_points(spark, d)
+    return e.groupBy("label", (F.col("entity") % 10).alias("grp")).agg(
+        (F.count_if(F.col("value") > 120) / F.count(F.lit(1))).alias("p"))
+
+
+@query
+def bh_q(spark, d):
+    x = st.benjamini_hochberg(_pseudo_p(spark, d), "p", "q", ["label"], ["grp"])
+    return rounded(x.select("label", "grp", "p", "q"))
+
+
+@query
+def holm_p(spark, d):
+    return rounded(st.holm(_pseudo_p(spark, d), ["label"], "p", "p_adj", ["grp"]))
+
+
+@query
+def xy_prepare(spark, d):
+    m = b.customer_matrix(spark, d)
+    text = m.withColumn("balance", F.when(F.col("balance") < 0, F.lit("overdrawn")).otherwise(F.col("balance").cast("string")))
+    xy = st.prepare_xy(text, ["balance", "returned", "avg_quantity"], "avg_price", ["entity"])
+    return rounded(st.binarise(xy, ["returned"]))
+
+
+@query
+def fold_numbers(spark, d):
+    """Rows per class and fold of the stratified split."""
+    m = b.complete_matrix(spark, d)
+    f = md.assign_folds(m, "entity", 5, "urgent")
+    return f.groupBy("urgent", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def ols_hc3(spark, d):
+    m = b.complete_matrix(spark, d)
+    return rounded(an.stay_associations(m, ["avg_price", "balance", "avg_quantity", "urgent"], "returned", ["urgent"]))
+
+
+@query
+def logit(spark, d):
+    m = b.complete_matrix(spark, d)
+    return rounded(an.outcome_associations(m, ["n_orders", "balance", "avg_quantity", "returned"], "urgent", ["returned"]))
+
+
+# ---- clustering and models (no SQL counterpart) ----------------------------
+
+
+def _durable(df):
+    """The matrix is read many times by model fitting, so it is written once."""
+    from anchorframe.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+@query
+def pca_k(spark, d):
+    """Components kept for 90% of the variance, and each row's length in that space."""
+    m = _durable(b.complete_matrix(spark, d))
+    model = cl.fit_projection(m, X, 0.90)
+    out = cl.project(m, model).withColumn("v", cl.vector_to_array("projected"))
+    return rounded(out.select("entity", F.size("v").alias("components"),
+                              F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("length")))
+
+
+def _dense(spark, d):
+    m = _durable(b.complete_matrix(spark, d))
+    projected = cl.project(m, cl.fit_projection(m, X, 0.90))
+    grid = cl.density_grid(projected, "projected", 2, 12)
+    comp = cl.dense_components(projected, "projected", grid, 3, 20)
+    return cl.with_density(projected, "projected", grid, comp)
+
+
+@query
+def density_core(spark, d):
+    return rounded(_dense(spark, d).select("entity", F.col("density_component").cast("string").alias("component"), "density_strength"))
+
+
+@query
+def gmm_bic(spark, d):
+    core = cl.density_core(_dense(spark, d), 0.2)
+    choice = cl.fit_mixture(core, "projected", ks=(2, 3), starts=1, max_iter=25)
+    rows = [(k, float(v), int(k == choice.k)) for k, v in choice.bic.items()]
+    return spark.createDataFrame(rows, "k int, bic double, chosen int")
+
+
+@query
+def gmm_assign(spark, d):
+    core = cl.density_core(_dense(spark, d), 0.2)
+    choice = cl.fit_mixture(core, "projected", ks=(3,), starts=1, max_iter=25)
+    return cl.assign(core, choice.model).select("entity", "cluster", "cluster_prob")
+
+
+@query
+def gbt_classifier(spark, d):
+    m = b.complete_matrix(spark, d)
+    features = ["n_orders", "avg_price", "balance", "avg_quantity"]
+    r = md.boosted_classifier(m, features, "urgent", "entity", md.Boosting(rounds=3, depth=3), folds=2)
+    return r.importances
+
+
+@query
+def gbt_regressor(spark, d):
+    m = b.complete_matrix(spark, d)
+    features = ["n_orders", "avg_price", "balance", "avg_quantity"]
+    r = md.boosted_regressor(m, features, "returned", "entity", md.Boosting(rounds=3, depth=3), folds=2)
+    return r.importances
+
+
+@query
+def score(spark, d):
+    """A clustering of all customers, then every customer scored against its core."""
+    from anchorframe.operators.score import score_rows
+
+    m = _durable(b.complete_matrix(spark, d).drop("segment"))
+    s = an.ClusterSettings(grid_cells=12, min_cell_rows=3, min_component_rows=10, min_strength=0.2, min_cluster_rows=10, ks=(3,), starts=1, max_iter=25)
+    a = an.analyse_clusters(m, "entity", "urgent", "returned", s)
+    out = score_rows(m, a.bundle)
+    return rounded(out.select("entity", "cluster", "cluster_prob", "density_strength", "silhouette"))

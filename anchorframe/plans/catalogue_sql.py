@@ -281,3 +281,104 @@ SQL: dict[str, str] = {
   CASE user_id % 7 WHEN 3 THEN 'three' WHEN 4 THEN 'four' WHEN 5 THEN 'five' END AS cluster_advice,
   CASE WHEN event_type = 'error' THEN 'failed once' END AS failed_advice, CASE WHEN value > 90 THEN 'heavy' END AS load_advice FROM events""",
 }
+
+# ---- cluster statistics ----------------------------------------------------
+
+FEATURES = ["n_orders", "avg_price", "max_price", "balance", "avg_quantity", "avg_discount", "returned", "urgent"]
+CUSTOMERS = [
+    """per_order AS (SELECT l_orderkey, count(*) AS lines, sum(CAST(round(l_quantity * 100) AS BIGINT)) AS qty,
+  sum(CAST(round(l_discount * 100) AS BIGINT)) AS disc, count(*) FILTER (l_returnflag = 'R') AS ret FROM lineitem GROUP BY 1)""",
+    """per_customer AS (SELECT o_custkey AS entity, CAST(count(*) AS DOUBLE) AS n_orders,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100 AS avg_price, max(o_totalprice) AS max_price,
+  CAST(sum(qty) AS DOUBLE) / CAST(sum(lines) AS DOUBLE) / 100 AS avg_quantity,
+  CAST(sum(disc) AS DOUBLE) / CAST(sum(lines) AS DOUBLE) / 100 AS avg_discount,
+  CAST(coalesce(sum(ret), 0) AS DOUBLE) AS returned, CAST(max(CAST(o_orderpriority = '1-URGENT' AS INTEGER)) AS DOUBLE) AS urgent
+  FROM orders LEFT JOIN per_order ON o_orderkey = l_orderkey GROUP BY 1)""",
+    """matrix AS (SELECT c_custkey AS entity, c_mktsegment AS segment, n_orders, avg_price, max_price, c_acctbal AS balance,
+  avg_quantity, avg_discount, returned, urgent, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
+    WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 END AS cluster
+  FROM customer LEFT JOIN per_customer ON c_custkey = entity)""",
+    "full_matrix AS (SELECT entity, segment, cluster, " + ", ".join(f"coalesce({f}, 0) AS {f}" for f in FEATURES) + " FROM matrix)",
+]
+
+
+def long_rows(source: str, features: list[str], extra: str = "cluster") -> str:
+    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS value, {extra} FROM {source} WHERE {f} IS NOT NULL" for f in features)
+
+
+def ranks(features: list[str]) -> list[str]:
+    return [
+        *CUSTOMERS,
+        f"lng AS ({long_rows('matrix', features)})",
+        """rk AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS mid,
+  count(*) OVER (PARTITION BY feature, value) AS ties FROM lng WINDOW w AS (PARTITION BY feature ORDER BY value))""",
+        """grp AS (SELECT feature, cluster, count(*) AS n, CAST(sum(mid) AS DOUBLE) AS r, count(DISTINCT value) AS dv, avg(value) AS mean FROM rk GROUP BY 1, 2)""",
+        """tot AS (SELECT feature, CAST(count(*) AS DOUBLE) AS nn, CAST(sum(CAST(ties AS DOUBLE) * ties - 1) AS DOUBLE) AS tt FROM rk GROUP BY 1)""",
+    ]
+
+
+def rounded(cols: list[str]) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+POINTS_VEC = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, CAST(label AS BIGINT) AS cluster FROM embeddings)"
+
+
+def silhouettes(distance: str) -> str:
+    return with_(
+        POINTS_VEC,
+        f"d AS (SELECT a.id, a.cluster AS own, b.cluster AS other, sum({distance}) AS s, count(*) AS n FROM pts a, pts b GROUP BY 1, 2, 3)",
+        """ab AS (SELECT id, own, max(n) FILTER (own = other) AS n, max(s / (n - 1)) FILTER (own = other) AS a, min(s / n) FILTER (own <> other) AS b
+  FROM d GROUP BY 1, 2)""",
+    ) + "SELECT id, own AS cluster, round(CASE WHEN n < 2 THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab"
+
+
+PSEUDO = [POINTS, """ps AS (SELECT label, entity % 10 AS grp, CAST(count(*) FILTER (value > 120) AS DOUBLE) / count(*) AS p FROM points GROUP BY 1, 2)""",
+          "o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY p, grp) AS rk, count(*) OVER (PARTITION BY label) AS m FROM ps)"]
+
+SQL.update({
+    "variance_filter": with_(*CUSTOMERS, f"lng AS ({long_rows('full_matrix', FEATURES)})")
+    + "SELECT feature, round(var_pop(value), 6) AS variance, CAST(var_pop(value) > 0.05 AS INTEGER) AS kept FROM lng GROUP BY 1",
+    "column_quartiles": with_(*CUSTOMERS, f"lng AS ({long_rows('matrix', FEATURES)})")
+    + """SELECT feature, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2,
+  round(quantile_cont(value, 0.75), 6) AS q3 FROM lng GROUP BY 1""",
+    "robust_scale": with_(*CUSTOMERS, "q AS (SELECT " + ", ".join(
+        f"median({f}) AS m_{f}, CASE WHEN quantile_cont({f}, 0.75) = quantile_cont({f}, 0.25) THEN 1 ELSE quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) END AS i_{f}"
+        for f in FEATURES) + " FROM full_matrix)")
+    + "SELECT entity, " + ", ".join(f"round(({f} - m_{f}) / i_{f}, 6) AS {f}" for f in FEATURES) + " FROM full_matrix, q",
+    "cluster_profile": """WITH n AS (SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY 1 HAVING count(*) >= 47)
+  SELECT cluster, n, round(CAST(n * 100 AS DOUBLE) / sum(n) OVER (), 6) AS pct FROM n""",
+    "outcome_rates": with_(*CUSTOMERS) + """SELECT cluster, round(avg(urgent), 6) AS outcome_rate,
+  round(avg(returned) FILTER (returned <> 0), 6) AS mean_stay FROM matrix GROUP BY 1""",
+    "cluster_means": with_(*CUSTOMERS) + """SELECT cluster, round(avg(n_orders), 6) AS n_orders, round(avg(balance), 6) AS balance,
+  round(avg(avg_quantity), 6) AS avg_quantity FROM matrix GROUP BY 1""",
+    "silhouette": silhouettes("CASE WHEN a.id = b.id THEN 0 ELSE list_distance(a.vec, b.vec) END"),
+    "silhouette_squared": silhouettes("CASE WHEN a.id = b.id THEN 0 ELSE list_distance(a.vec, b.vec) ** 2 END"),
+    "davies_bouldin": with_(
+        POINTS_VEC,
+        "dims AS (SELECT cluster, unnest(vec) AS x, unnest(range(64)) AS dim FROM pts)",
+        "cm AS (SELECT cluster, dim, avg(x) AS m FROM dims GROUP BY 1, 2)",
+        "ctr AS (SELECT cluster, list(m ORDER BY dim) AS c FROM cm GROUP BY 1)",
+        "sc AS (SELECT p.cluster, avg(list_distance(p.vec, c.c)) AS s FROM pts p JOIN ctr c USING (cluster) GROUP BY 1)",
+        """w AS (SELECT a.cluster, max((sa.s + sb.s) / list_distance(a.c, b.c)) AS r FROM ctr a JOIN ctr b ON a.cluster <> b.cluster
+  JOIN sc sa ON sa.cluster = a.cluster JOIN sc sb ON sb.cluster = b.cluster GROUP BY 1)""",
+    ) + "SELECT round(avg(r), 6) AS davies_bouldin FROM w",
+    "mid_ranks": with_(*ranks(["n_orders", "balance", "urgent"]))
+    + "SELECT DISTINCT feature, round(value, 6) AS value, ties, round(CAST(mid AS DOUBLE), 6) AS mid_rank FROM rk",
+    "kruskal_h": with_(*ranks(FEATURES), """h AS (SELECT feature, (12.0 / (nn * (nn + 1)) * sum(r * r / n) - 3 * (nn + 1)) / (1 - tt / (nn * nn * nn - nn)) AS h,
+  count(*) AS k, nn, min(dv) AS dv FROM grp JOIN tot USING (feature) GROUP BY feature, nn, tt)""")
+    + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round((h - k + 1) / (nn - k), 6) AS eta_sq FROM h WHERE dv > 1 AND k = 5""",
+    "dunn_z": with_(*ranks(FEATURES)) + """SELECT a.feature, a.cluster AS cluster_a, b.cluster AS cluster_b,
+  round((a.r / a.n - b.r / b.n) / sqrt((nn * (nn + 1) / 12 - tt / (12 * (nn - 1))) * (1.0 / a.n + 1.0 / b.n)), 6) AS z,
+  round(a.mean, 6) AS mean_a, round(b.mean, 6) AS mean_b, round(b.mean - a.mean, 6) AS diff_b_minus_a
+  FROM grp a JOIN grp b ON a.feature = b.feature AND a.cluster < b.cluster JOIN tot t ON t.feature = a.feature""",
+    "bh_q": with_(*PSEUDO) + """SELECT label, grp, round(p, 6) AS p, round(least(1, min(p * m / rk) OVER (PARTITION BY label ORDER BY rk DESC
+    ROWS UNBOUNDED PRECEDING)), 6) AS q FROM o""",
+    "holm_p": with_(*PSEUDO) + """SELECT label, grp, round(p, 6) AS p, round(least(1, max(p * (m - rk + 1)) OVER (PARTITION BY label ORDER BY rk
+    ROWS UNBOUNDED PRECEDING)), 6) AS p_adj FROM o""",
+    "xy_prepare": with_(*CUSTOMERS, "t AS (SELECT * REPLACE (CASE WHEN balance < 0 THEN 'overdrawn' ELSE CAST(balance AS VARCHAR) END AS balance) FROM matrix)")
+    + """SELECT entity, round(TRY_CAST(balance AS DOUBLE), 6) AS balance, CASE WHEN returned > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS returned,
+  round(avg_quantity, 6) AS avg_quantity, round(avg_price, 6) AS avg_price FROM t WHERE avg_price IS NOT NULL""",
+    "fold_numbers": with_(*CUSTOMERS, "u AS (SELECT urgent, row_number() OVER (PARTITION BY urgent ORDER BY entity) - 1 AS i FROM full_matrix)")
+    + "SELECT urgent, CAST(i % 5 AS INTEGER) AS fold, count(*) AS n FROM u GROUP BY 1, 2",
+})

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+import anchorframe
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings.  The skew-join switch is forced because a join on the
@@ -22,6 +24,8 @@ RUNTIME_SETTINGS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
+    # Python tasks carry the library's functions with them, so executors need no copy of it.
+    cloudpickle.register_pickle_by_value(anchorframe)
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
