@@ -106,8 +106,8 @@ def kruskal_wallis(
         .filter((F.col("least_distinct") > 1) & (F.col("k") == n_clusters))
     )
     raw = F.lit(12.0) / (n * (n + 1)) * F.col("s") - 3 * (n + 1)
-    h = raw / (1 - F.col("tie_term") / (n * n * n - n))
-    out = agg.withColumn("H", h).withColumn("eta_sq", (F.col("H") - k + 1) / (n - k))
+    h = F.try_divide(raw, 1 - F.try_divide("tie_term", n * n * n - n))
+    out = agg.withColumn("H", h).withColumn("eta_sq", F.try_divide(F.col("H") - k + 1, n - k))
     if min_effect is not None:
         out = out.filter(F.col("eta_sq") >= min_effect)
     cols = ["feature", "H", "k", F.col("total").alias("n"), "eta_sq"]
@@ -134,13 +134,13 @@ def dunn_pairs(
     )
     a, b = groups.alias("a"), groups.alias("b")
     n = F.col("a.total").cast("double")
-    var = (n * (n + 1) / 12 - F.col("a.tie_term") / (12 * (n - 1))) * (1 / F.col("a.n") + 1 / F.col("b.n"))
+    var = (n * (n + 1) / 12 - F.try_divide(F.col("a.tie_term"), 12 * (n - 1))) * (1 / F.col("a.n") + 1 / F.col("b.n"))
     # one row per pair of clusters of a feature: the result itself
     pairs = a.join(b, (F.col("a.feature") == F.col("b.feature")) & (F.col("a.cluster") < F.col("b.cluster"))).select(
         F.col("a.feature").alias("feature"),
         F.col("a.cluster").alias("cluster_a"),
         F.col("b.cluster").alias("cluster_b"),
-        ((F.col("a.mean_rank") - F.col("b.mean_rank")) / F.sqrt(var)).alias("z"),
+        F.try_divide(F.col("a.mean_rank") - F.col("b.mean_rank"), F.sqrt(var)).alias("z"),
         F.col("a.mean").alias("mean_a"),
         F.col("b.mean").alias("mean_b"),
         (F.col("b.mean") - F.col("a.mean")).alias("diff_b_minus_a"),
@@ -267,7 +267,7 @@ def _silhouette_from(sums: DataFrame, own: DataFrame, self_in_own: int) -> DataF
     per_row = joined.groupBy("id").agg(
         F.first("own").alias("cluster"),
         F.max(F.when(mine, F.col("n"))).alias("n_own"),
-        F.max(F.when(mine, F.col("dist") / (F.col("n") - self_in_own))).alias("a"),
+        F.max(F.when(mine, F.try_divide("dist", F.col("n") - self_in_own))).alias("a"),
         F.min(F.when(~mine, F.col("dist") / F.col("n"))).alias("b"),
     )
     s = F.when(F.col("n_own") - self_in_own < 1, F.lit(0.0)).otherwise(
@@ -328,7 +328,7 @@ def davies_bouldin(points: DataFrame) -> DataFrame:
         lambda i: F.array_max(
             F.transform(
                 F.filter("all", lambda j: j["cluster"] != i["cluster"]),
-                lambda j: (i["s"] + j["s"]) / dist(i["center"], j["center"]),
+                lambda j: F.coalesce(F.try_divide(i["s"] + j["s"], dist(i["center"], j["center"])), F.lit(0.0)),
             )
         ),
     )
