@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from anchorframe.core import LOOK_BACK_12H, MINUTE, SECOND, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import classify, floored_days, half_even, label_key, lookup, title_case, within_limits
-from anchorframe.operators.skew import HOT_GROUP_ROWS, running
+from anchorframe.operators.skew import HOT_GROUP_ROWS, group_bound, running
 from anchorframe.operators.windows import clipped, in_window, nearest_record, overlapping, restrict_to_cohort
 
 MAX_FEATURES = 10_000
@@ -186,7 +186,9 @@ def _canonical(intervals: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     return intervals.filter(label_key("label").isin(list(names))).withColumn("label", lookup(label_key("label"), names))
 
 
-def covered_time(pieces: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def covered_time(
+    pieces: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS, known_rows: int | None = None
+) -> DataFrame:
     """Length of the union of ``[s_us, e_us]`` per key, and the number of separate islands.
 
     In start order each interval adds only what reaches beyond the furthest end
@@ -194,7 +196,7 @@ def covered_time(pieces: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GRO
     """
     keys = list(keys)
     distinct = pieces.groupBy(*keys, "s_us").agg(F.max("e_us").alias("e_us"))
-    reach = running(distinct, keys, "s_us", "e_us", "max", "reach", hot_rows)
+    reach = running(distinct, keys, "s_us", "e_us", "max", "reach", hot_rows, known_rows)
     fresh = F.greatest(F.lit(0), F.col("e_us") - F.greatest("s_us", "reach"))
     return reach.groupBy(*keys).agg(
         F.sum(fresh).alias("covered_us"),
@@ -205,7 +207,7 @@ def covered_time(pieces: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GRO
 def union_minutes(intervals, anchors, vocabulary, window=LOOK_BACK_12H, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Minutes of the window covered by at least one interval of the label."""
     pieces = clipped(_canonical(intervals, vocabulary), anchors, window)
-    covered = covered_time(pieces, ["entity", "label"], hot_rows)
+    covered = covered_time(pieces, ["entity", "label"], hot_rows, group_bound(intervals, ["entity"], hot_rows))
     return covered.select("entity", F.col("label").alias("feature"), (F.col("covered_us") / MINUTE).alias("value"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from anchorframe.functions.scalar import half_even
 from anchorframe.operators.features import widen
-from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_quantiles
+from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_quantiles, row_bound
 from anchorframe.operators.windows import restrict_to_cohort
 
 
@@ -134,6 +134,7 @@ def column_quantiles(
     known_rows: int | None = None,
 ) -> DataFrame:
     """``(feature, names...)``: exact quantiles of every listed column."""
+    known_rows = row_bound(df, hot_rows) if known_rows is None else known_rows
     return exact_quantiles(to_long(df, columns), ["feature"], "value", probs, names, hot_rows, known_rows)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from anchorframe.core import DAY, HOUR, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import days_between, label_key, lookup
-from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_median, trailing_min
+from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_median, group_bound, trailing_min
 from anchorframe.operators.windows import arg_first, in_window
 
 
@@ -101,7 +101,7 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame, hot_rows: int = HOT_
         .filter(off > -F.col("days").cast("long") * F.lit(DAY))
         .select("entity", "ts", "value")
     )
-    medians = exact_median(chosen, ["entity"], "value", "med", hot_rows)
+    medians = exact_median(chosen, ["entity"], "value", "med", hot_rows, group_bound(points, ["entity"], hot_rows))
     closest = (
         chosen.join(medians, "entity")
         .groupBy("entity")
@@ -131,11 +131,16 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame, hot_rows: int = HOT_
 
 
 def rolling_minimum(
-    points: DataFrame, width_us: int = 48 * HOUR, name: str = "rolling_min", hot_rows: int = HOT_GROUP_ROWS
+    points: DataFrame,
+    width_us: int = 48 * HOUR,
+    name: str = "rolling_min",
+    hot_rows: int = HOT_GROUP_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Minimum over the trailing, left-open time frame; rows at the same time share their frame."""
     timed = points.withColumn("at_us", micros("ts"))
-    return trailing_min(timed, "entity", "at_us", "value", width_us, name, hot_rows).drop("at_us")
+    bound = group_bound(points, ["entity"], hot_rows) if known_rows is None else known_rows
+    return trailing_min(timed, "entity", "at_us", "value", width_us, name, hot_rows, known_rows=bound).drop("at_us")
 
 
 def detect_onset(
@@ -159,7 +164,7 @@ def detect_onset(
         keyed,
         TimeWindow(0, None),
     )
-    framed = rolling_minimum(post, look_back_us, "low", hot_rows)
+    framed = rolling_minimum(post, look_back_us, "low", hot_rows, group_bound(points, ["entity"], hot_rows))
     rose = (F.col("value") - F.col("low")) >= rise
     reached = F.coalesce(F.col("value") >= F.col("baseline_value") * F.lit(ratio), F.lit(False)) & ratio_window.contains("ts")
     hits = framed.groupBy("entity").agg(

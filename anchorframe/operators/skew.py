@@ -27,8 +27,33 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS)
     return counts.filter(F.col("__n") > limit).select(*keys)
 
 
+# Answers by plan, so that one pipeline counts its event table once.  A stale or
+# colliding answer only changes how a result is computed, never the result.
+_KNOWN: dict[tuple, bool] = {}
+
+
 def has_hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> bool:
-    return not hot_groups(df, keys, limit).isEmpty()
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(keys), limit)
+    if key not in _KNOWN:
+        if len(_KNOWN) > 1000:
+            _KNOWN.clear()
+        _KNOWN[key] = not hot_groups(df, keys, limit).isEmpty()
+    return _KNOWN[key]
+
+
+def group_bound(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> int | None:
+    """``limit`` if no group of ``df`` exceeds it, else None.
+
+    Asked of a source table before joins and filters: what holds there holds
+    for every subset, and only the key column is read.
+    """
+    return None if has_hot_groups(df.select(*keys), keys, limit) else limit
+
+
+def row_bound(df: DataFrame, limit: int = HOT_GROUP_ROWS) -> int | None:
+    """The row count of ``df`` if it is within ``limit``, else None."""
+    n = df.count()
+    return n if n <= limit else None
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
@@ -57,15 +82,22 @@ def exact_quantiles(
     """
     keys, probs, names = list(keys), list(probs), list(names)
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    small = known_rows is not None and known_rows <= limit
-    if small or not has_hot_groups(rows, keys, limit):
+    if _bounded(rows, keys, limit, known_rows):
         return _built_in_quantiles(rows, keys, probs, names)
     cold, hot = split_hot(rows, keys, limit)
     return _built_in_quantiles(cold, keys, probs, names).unionByName(_narrowed_quantiles(hot, keys, probs, names))
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = HOT_GROUP_ROWS) -> DataFrame:
-    return exact_quantiles(df, keys, value, [0.5], [name], limit)
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = HOT_GROUP_ROWS, known_rows: int | None = None
+) -> DataFrame:
+    return exact_quantiles(df, keys, value, [0.5], [name], limit, known_rows)
+
+
+def _bounded(df: DataFrame, keys, limit: int, known_rows: int | None) -> bool:
+    if known_rows is not None and known_rows <= limit:
+        return True
+    return not has_hot_groups(df, keys, limit)
 
 
 def _built_in_quantiles(rows: DataFrame, keys, probs, names) -> DataFrame:
@@ -150,6 +182,7 @@ def running(
     how: str,
     name: str,
     limit: int = HOT_GROUP_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Add ``how`` ('sum' or 'max') of ``value`` over rows with a strictly smaller ``order`` in the group.
 
@@ -162,7 +195,7 @@ def running(
         w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return part.withColumn(name, fn(value).over(w))
 
-    if not has_hot_groups(df, keys, limit):
+    if _bounded(df, keys, limit, known_rows):
         return plain(df, keys)
 
     cold, hot = split_hot(df, keys, limit)
@@ -203,6 +236,7 @@ def trailing_min(
     name: str,
     limit: int = HOT_GROUP_ROWS,
     cells_per_width: int = 2880,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Add the minimum of ``value`` over the entity's rows in ``(t - width, t]``; rows with equal times are peers."""
 
@@ -210,7 +244,7 @@ def trailing_min(
         w = Window.partitionBy(entity).orderBy(at_us).rangeBetween(-(width_us - 1), 0)
         return part.withColumn(name, F.min(value).over(w))
 
-    if not has_hot_groups(df, [entity], limit):
+    if _bounded(df, [entity], limit, known_rows):
         return plain(df)
 
     cold, hot = split_hot(df, [entity], limit)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from anchorframe.functions.pvalues import chi_square_p, normal_p, normal_two_sided
 from anchorframe.functions.scalar import to_double
 from anchorframe.operators.matrix import column_quantiles, to_long
-from anchorframe.operators.skew import HOT_GROUP_ROWS, running
+from anchorframe.operators.skew import HOT_GROUP_ROWS, row_bound, running
 from anchorframe.sources.readers import require_columns
 
 # --------------------------------------------------------------------------
@@ -58,24 +58,26 @@ def mid_ranks(df: DataFrame, features: Sequence[str], cluster: str = "cluster",
     values = per_cluster.groupBy("feature", "value").agg(
         F.sum("c").alias("ties"), F.collect_list(F.struct(F.col(cluster).alias("cluster"), F.col("c"))).alias("parts")
     )
-    ranked = running(values, ["feature"], "value", "ties", "sum", "before", hot_rows)
+    # a feature has no more distinct values than the table has rows
+    ranked = running(values, ["feature"], "value", "ties", "sum", "before", hot_rows, row_bound(df, hot_rows))
     return ranked.withColumn("mid_rank", F.coalesce("before", F.lit(0)) + (F.col("ties") + 1) / 2).drop("before")
 
 
 def rank_groups(ranks: DataFrame) -> DataFrame:
     """Per feature and cluster: rows, rank sum, distinct values, value sum; with the feature's total and tie term."""
     ties = F.col("ties").cast("double")
-    spread = ranks.select("feature", "value", "mid_rank", "ties", F.inline("parts"))
-    groups = spread.groupBy("feature", "cluster").agg(
-        F.sum("c").alias("n"),
-        F.sum(F.col("c") * F.col("mid_rank")).alias("rank_sum"),
+    spread = ranks.select("feature", "value", "mid_rank", ties.alias("ties"), F.posexplode("parts").alias("pos", "part"))
+    c = F.col("part.c")
+    groups = spread.groupBy("feature", F.col("part.cluster").alias("cluster")).agg(
+        F.sum(c).alias("n"),
+        F.sum(c * F.col("mid_rank")).alias("rank_sum"),
         F.count(F.lit(1)).alias("distinct_values"),
-        F.sum(F.col("c") * F.col("value")).alias("value_sum"),
+        F.sum(c * F.col("value")).alias("value_sum"),
+        # each value's tie term is counted with the first of its clusters
+        F.sum(F.when(F.col("pos") == 0, F.pow("ties", F.lit(3)) - F.col("ties")).otherwise(0.0)).alias("tie_part"),
     )
-    totals = ranks.groupBy("feature").agg(
-        F.sum("ties").alias("total"), F.sum(ties * ties * ties - ties).alias("tie_term")
-    )
-    return groups.join(totals, "feature")
+    every = Window.partitionBy("feature")  # one row per cluster
+    return groups.withColumn("total", F.sum("n").over(every)).withColumn("tie_term", F.sum("tie_part").over(every))
 
 
 def kruskal_wallis(
@@ -91,7 +93,7 @@ def kruskal_wallis(
     Features that are constant within any cluster, or absent from one, are left
     out, as are those with an effect below ``min_effect``.
     """
-    n_clusters = df.filter(F.col(cluster).isNotNull()).select(F.count_distinct(cluster)).first()[0]
+    n_clusters = df.select(F.count_distinct(cluster)).scalar()
     groups = rank_groups(mid_ranks(df, features, cluster, hot_rows))
     n, k = F.col("total").cast("double"), F.col("k")
     agg = (
@@ -354,6 +356,7 @@ def binarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Missing values become their column's median (one number per column comes back)."""
     found = {r["feature"]: r["median"] for r in column_quantiles(df, columns, [0.5], ["median"], hot_rows).collect()}
     return df.fillna({f"{c}": v for c, v in found.items() if v is not None}) if found else df
 

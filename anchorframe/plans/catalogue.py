@@ -17,6 +17,7 @@ from anchorframe.operators import onset as on
 from anchorframe.operators import rules, series
 from anchorframe.operators import windows as wj
 from anchorframe.plans import bindings as b
+from anchorframe.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
 THREE_DAYS = TimeWindow.before(72)
@@ -47,6 +48,12 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """A table that the next steps read several times is written once, as the stages of a study are."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 # ---- index events, baselines, onset ----------------------------------------
 
 
@@ -370,13 +377,13 @@ def feature_matrix(spark, d):
 
 @query
 def impute(spark, d):
-    _, _, filled = mx.impute_matrix(_matrix(spark, d), ["mean_click", "mean_purchase", "mean_view"], drop=["mean_signup"])
+    _, _, filled = mx.impute_matrix(durable(_matrix(spark, d)), ["mean_click", "mean_purchase", "mean_view"], drop=["mean_signup"])
     return rounded(filled)
 
 
 @query
 def impute_medians(spark, d):
-    _, medians, _ = mx.impute_matrix(_matrix(spark, d), ["mean_click", "mean_purchase", "mean_view"], drop=["mean_signup"])
+    _, medians, _ = mx.impute_matrix(durable(_matrix(spark, d)), ["mean_click", "mean_purchase", "mean_view"], drop=["mean_signup"])
     return medians.select("feature", r6("median", "median"))
 
 
@@ -479,12 +486,12 @@ X = b.MATRIX_FEATURES
 def _segmented(spark, d):
     """The customer matrix with the market segment as cluster number."""
     numbers = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
-    return b.customer_matrix(spark, d).withColumn("cluster", lookup(F.col("segment"), numbers))
+    return durable(b.customer_matrix(spark, d)).withColumn("cluster", lookup(F.col("segment"), numbers))
 
 
 @query
 def variance_filter(spark, d):
-    m = b.complete_matrix(spark, d)
+    m = durable(b.complete_matrix(spark, d))
     moments = cl.column_moments(m, X)
     kept = set(cl.variance_filter(moments, 0.05))
     rows = [(c, float(v), int(c in kept)) for c, v in moments.variance.items()]
@@ -493,12 +500,12 @@ def variance_filter(spark, d):
 
 @query
 def column_quartiles(spark, d):
-    return rounded(mx.column_quantiles(b.customer_matrix(spark, d), X, [0.25, 0.5, 0.75], ["q1", "q2", "q3"]))
+    return rounded(mx.column_quantiles(durable(b.customer_matrix(spark, d)), X, [0.25, 0.5, 0.75], ["q1", "q2", "q3"]))
 
 
 @query
 def robust_scale(spark, d):
-    m = b.complete_matrix(spark, d).drop("segment")
+    m = durable(b.complete_matrix(spark, d)).drop("segment")
     return rounded(cl.robust_scale(m, X, cl.scaling_table(m, X)))
 
 
@@ -592,38 +599,30 @@ def xy_prepare(spark, d):
 @query
 def fold_numbers(spark, d):
     """Rows per class and fold of the stratified split."""
-    m = b.complete_matrix(spark, d)
+    m = durable(b.complete_matrix(spark, d))
     f = md.assign_folds(m, "entity", 5, "urgent")
     return f.groupBy("urgent", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def ols_hc3(spark, d):
-    m = b.complete_matrix(spark, d)
+    m = durable(b.complete_matrix(spark, d))
     return rounded(an.stay_associations(m, ["avg_price", "balance", "avg_quantity", "urgent"], "returned", ["urgent"]))
 
 
 @query
 def logit(spark, d):
-    m = b.complete_matrix(spark, d)
+    m = durable(b.complete_matrix(spark, d))
     return rounded(an.outcome_associations(m, ["n_orders", "balance", "avg_quantity", "returned"], "urgent", ["returned"]))
 
 
 # ---- clustering and models (no SQL counterpart) ----------------------------
 
 
-def _durable(df):
-    """The matrix is read many times by model fitting, so it is written once."""
-    from anchorframe.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 @query
 def pca_k(spark, d):
     """Components kept for 90% of the variance, and each row's length in that space."""
-    m = _durable(b.complete_matrix(spark, d))
+    m = durable(b.complete_matrix(spark, d))
     model = cl.fit_projection(m, X, 0.90)
     out = cl.project(m, model).withColumn("v", cl.vector_to_array("projected"))
     return rounded(out.select("entity", F.size("v").alias("components"),
@@ -631,7 +630,7 @@ def pca_k(spark, d):
 
 
 def _dense(spark, d):
-    m = _durable(b.complete_matrix(spark, d))
+    m = durable(b.complete_matrix(spark, d))
     projected = cl.project(m, cl.fit_projection(m, X, 0.90))
     grid = cl.density_grid(projected, "projected", 2, 12)
     comp = cl.dense_components(projected, "projected", grid, 3, 20)
@@ -660,7 +659,7 @@ def gmm_assign(spark, d):
 
 @query
 def gbt_classifier(spark, d):
-    m = b.complete_matrix(spark, d)
+    m = durable(b.complete_matrix(spark, d))
     features = ["n_orders", "avg_price", "balance", "avg_quantity"]
     r = md.boosted_classifier(m, features, "urgent", "entity", md.Boosting(rounds=3, depth=3), folds=2)
     return r.importances
@@ -668,7 +667,7 @@ def gbt_classifier(spark, d):
 
 @query
 def gbt_regressor(spark, d):
-    m = b.complete_matrix(spark, d)
+    m = durable(b.complete_matrix(spark, d))
     features = ["n_orders", "avg_price", "balance", "avg_quantity"]
     r = md.boosted_regressor(m, features, "returned", "entity", md.Boosting(rounds=3, depth=3), folds=2)
     return r.importances
@@ -679,7 +678,7 @@ def score(spark, d):
     """A clustering of all customers, then every customer scored against its core."""
     from anchorframe.operators.score import score_rows
 
-    m = _durable(b.complete_matrix(spark, d).drop("segment"))
+    m = durable(b.complete_matrix(spark, d).drop("segment"))
     s = an.ClusterSettings(grid_cells=12, min_cell_rows=3, min_component_rows=10, min_strength=0.2, min_cluster_rows=10, ks=(3,), starts=1, max_iter=25)
     a = an.analyse_clusters(m, "entity", "urgent", "returned", s)
     out = score_rows(m, a.bundle)

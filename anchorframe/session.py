@@ -40,6 +40,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -52,5 +53,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder; fall back to a local one only when none is named."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
+        shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="anchorframe-checkpoint-"))
