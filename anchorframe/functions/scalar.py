@@ -29,8 +29,13 @@ def blank_to_null(c: Column | str) -> Column:
 def to_double(c: Column | str) -> Column:
     """Number or NULL: text that is not a number, and NaN, become NULL."""
     c = F.col(c) if isinstance(c, str) else c
-    d = c.try_cast("double")
-    return F.when(F.isnan(d), None).otherwise(d)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+
+
+def to_id(c: Column | str) -> Column:
+    """Whole number or NULL; ids written as '12.0' count as 12."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(F.trim(c.cast("string")), r"\.0+$", "").try_cast("long")
 
 
 def lookup(key: Column, table: Mapping, default: Column | None = None) -> Column:

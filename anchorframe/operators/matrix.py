@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorframe.functions.scalar import half_even
-from anchorframe.operators.features import widen
 from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_quantiles, row_bound
 from anchorframe.operators.windows import restrict_to_cohort
 
 
+_KEEP = "__keep"
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -56,29 +58,44 @@ def assemble_matrix(
     if twice:
         raise ValueError(f"feature names used by more than one block: {sorted(twice)}")
 
+    kept = {"entity", *keep_empty}
+
     def rows(b: FeatureBlock) -> DataFrame:
-        wanted = b.rows.filter(F.col("feature").isin(list(b.features)))
-        return wanted.select(
-            "entity", F.concat(F.lit(b.prefix), F.col("feature")).alias("feature"), F.col("value").cast("double").alias("value")
+        value = half_even(F.col("value").cast("double"), b.digits)
+        named = b.rows.filter(F.col("feature").isin(list(b.features))).select(
+            "entity", F.concat(F.lit(b.prefix), F.col("feature")).alias("feature"), value.alias("value")
         )
+        counted = [c for c in b.columns if c not in kept]
+        if not counted:
+            return named
+        # A value that keeps its entity in the matrix is accompanied by a mark, so that
+        # emptiness is one column of the pivot, not a condition over all of them.
+        counts = F.col("feature").isin(counted) & (F.col("value") != 0)
+        marked = F.array(
+            F.struct(F.col("feature").alias("feature"), F.col("value").alias("value")),
+            F.struct(F.when(counts, F.lit(_KEEP)).alias("feature"), F.lit(1.0).alias("value")),
+        )
+        return named.select("entity", F.inline(marked))
 
     members = cohort.select("entity").distinct()
     if required is not None:
-        members = restrict_to_cohort(members, rows(required))
+        wanted = required.rows.filter(F.col("feature").isin(list(required.features)))
+        members = restrict_to_cohort(members, wanted)
     long = reduce(DataFrame.unionByName, [rows(b) for b in every])
-    wide = widen(long, names, members)
+    pivoted = long.groupBy("entity").pivot("feature", [*names, _KEEP]).agg(F.max("value"))
+    wide = members.join(pivoted.filter(F.col(_KEEP).isNotNull()), "entity")
 
     out: list[Column] = [F.col("entity")]
     for b in every:
         seen = F.coalesce(*[_q(c) for c in b.columns]).isNotNull()
         for c in b.columns:
-            x = half_even(_q(c), b.digits)
+            x = _q(c)
             if b.fill == "all":
                 x = F.coalesce(x, F.lit(0.0))
             elif b.fill == "present":
                 x = F.when(seen, F.coalesce(x, F.lit(0.0)))
             out.append(x.alias(c))
-    return drop_empty_rows(wide.select(*out), keep=["entity", *keep_empty])
+    return wide.select(*out)
 
 
 def chain_join(base: DataFrame, parts: Sequence[DataFrame]) -> DataFrame:
@@ -91,14 +108,16 @@ def chain_join(base: DataFrame, parts: Sequence[DataFrame]) -> DataFrame:
     return base
 
 
-def drop_empty_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def drop_empty_rows(df: DataFrame, keep: Sequence[str], key: str = "entity") -> DataFrame:
     """Drop rows in which every column outside ``keep`` is NULL or zero."""
-    checked = [c for c in df.columns if c not in set(keep)]
+    checked = [c for c in df.columns if c not in {*keep, key}]
     if not checked:
         return df
-    # F.greatest needs two arguments
-    present = [F.coalesce(_q(c) != 0, F.lit(False)) for c in checked]
-    return df.filter(F.greatest(*present, F.lit(False)))
+    if len(checked) <= 8:
+        return df.filter(F.greatest(*[F.coalesce(_q(c) != 0, F.lit(False)) for c in checked], F.lit(False)))
+    # Catalyst derives 2**n constraints from one condition over n renamed columns, so wide tables go by long rows.
+    busy = to_long(df, checked, [key]).filter(F.col("value") != 0)
+    return df.join(busy.select(key), key, "left_semi")
 
 
 def drop_zero_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -26,16 +26,14 @@ from anchorframe.session import configure
 from anchorframe.sources.readers import (
     as_intervals,
     as_points,
-    cast_columns,
-    normalise_names,
-    read_text_table,
+    read_csv_table,
     require_columns,
     with_end_column,
 )
 from anchorframe.sources.sinks import write_csv, write_parquet
 
 _TYPES = {
-    "subject_id": "long",
+    "subject_id": "id",
     "valuenum": "double",
     "creatinine_mg_dl": "double",
     "amount": "double",
@@ -63,11 +61,8 @@ class StudyTables:
     folder: str
 
     def read(self, *names: str) -> DataFrame:
-        text = read_text_table(self.spark, [f"{self.folder}/{n}.csv" for n in names])
-        df = normalise_names(text)
-        df = df.withColumnRenamed("subject_id", "entity") if "subject_id" in df.columns else df
-        types = {("entity" if c == "subject_id" else c): t for c, t in _TYPES.items()}
-        return cast_columns(df, types)
+        df = read_csv_table(self.spark, [f"{self.folder}/{n}.csv" for n in names], _TYPES)
+        return df.withColumnRenamed("subject_id", "entity")
 
     def index_events(self) -> DataFrame:
         return as_points(self.read("sepsis_diagnose_time"), "entity", "suspected_infection_time")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from anchorframe.functions.scalar import blank_to_null, to_double
+from anchorframe.functions.scalar import to_double, to_id
 
 _COLUMNAR = {".parquet", ".pq"}
 
@@ -32,37 +32,54 @@ def normalise_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def read_text_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One or more CSV shards with a common header, every column as text, blanks as NULL."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    shards = [spark.read.option("header", True).csv(p) for p in paths]
-    df = shards[0]
-    for other in shards[1:]:
-        df = df.unionByName(other, allowMissingColumns=True)
-    return df.select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
+# How each logical type is parsed by the CSV reader itself; ids arrive as text because of forms like '12.0'.
+_PARSED = {
+    "id": T.StringType(),
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+}
 
 
-def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> DataFrame:
-    """Cast listed columns to 'long', 'double', 'timestamp', 'date' or 'string'.
+def read_csv_table(
+    spark: SparkSession, paths: str | Sequence[str], types: Mapping[str, str] | None = None, strict: bool = False
+) -> DataFrame:
+    """One or more CSV shards with a header; shards may differ in their columns.
 
-    Values that cannot be read become NULL; with ``strict`` they raise when the
-    rows are used.
+    Column names are stripped and lower-cased.  ``types`` gives the type of
+    listed columns ('id', 'double', 'timestamp', 'date'); others are text.
+    Blank and unreadable values are NULL, or an error with ``strict``.
+    Typing happens in the reader, so unused columns are never parsed.
     """
-
-    def cast(c: str, t: str):
-        col = F.col(f"`{c}`")
-        if strict:
-            return col.cast(t)
-        if t == "double":
-            return to_double(col)
-        if t == "long":
-            # ids written as '12.0' are still ids
-            return F.coalesce(col.try_cast("long"), to_double(col).try_cast("long"))
-        if t == "date":
-            return F.try_to_timestamp(col.cast("string"), F.lit("yyyy-MM-dd")).cast("timestamp")
-        return col.try_cast(t)
-
-    return df.select(*[(cast(c, types[c]) if c in types else F.col(f"`{c}`")).alias(c) for c in df.columns])
+    types = types or {}
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    # the header line decides the order of the schema
+    headers = [[c.strip().lower() for c in spark.read.option("header", True).csv(p).columns] for p in paths]
+
+    def shard_group(header: list[str], group: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(c, _PARSED[types.get(c, "string")]) for c in header])
+        reader = spark.read.schema(schema).option("header", True).option("nullValue", "NaN")
+        df = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(group)
+        cols = []
+        for c in header:
+            kind = types.get(c, "string")
+            col = F.col(f"`{c}`")
+            if kind == "id":
+                col = to_id(col)
+            elif kind == "date":
+                col = col.cast("timestamp")
+            cols.append(col.alias(c))
+        return df.select(*cols)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for h, p in zip(headers, paths):
+        groups.setdefault(tuple(h), []).append(p)
+    parts = [shard_group(list(h), g) for h, g in groups.items()]
+    df = parts[0]
+    for other in parts[1:]:
+        df = df.unionByName(other, allowMissingColumns=True)
+    return df
 
 
 def load(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -10,16 +10,19 @@ def write(path, text):
 
 
 def test_csv_shards_names_and_types(spark, tmp_path):
-    a = write(tmp_path / "a.csv", " Subject_ID ,charttime,valuenum\n1,2024-01-01 10:00:00,1.5\n2.0,bad,x\n,2024-01-01,  \n")
-    b = write(tmp_path / "b.csv", " Subject_ID ,charttime,valuenum\n3,2024-01-02,NaN\n")
-    df = rd.normalise_names(rd.read_text_table(spark, [a, b]))
-    assert df.columns == ["subject_id", "charttime", "valuenum"]
-    typed = rd.cast_columns(df, {"subject_id": "long", "charttime": "timestamp", "valuenum": "double"})
-    got = {r["entity"]: (r["ts"], r["value"]) for r in rd.as_points(typed, "subject_id", "charttime", "valuenum").collect()}
+    types = {"subject_id": "id", "charttime": "timestamp", "valuenum": "double", "day": "date"}
+    a = write(tmp_path / "a.csv", " Subject_ID ,charttime,valuenum,note\n1,2024-01-01 10:00:00,1.5,n\n2.0,bad,x,\n,2024-01-01,  ,\n")
+    b = write(tmp_path / "b.csv", "subject_id,valuenum,charttime,day\n3,NaN,2024-01-02,2024-02-03\n")
+    df = rd.read_csv_table(spark, [a, b], types)
+    assert df.columns == ["subject_id", "charttime", "valuenum", "note", "day"]
+    got = {r["entity"]: (r["ts"], r["value"]) for r in rd.as_points(df, "subject_id", "charttime", "valuenum").collect()}
     assert set(got) == {1, 2, 3}  # the row without an id is gone
-    assert got[1][1] == 1.5 and got[2] == (None, None) and got[3][1] is None
+    assert got[1][1] == 1.5 and got[1][0] is not None and got[2] == (None, None) and got[3][1] is None
+    assert df.filter("subject_id = 3").first()["day"] is not None
+    assert df.filter("subject_id = 2").first()["note"] is None
     with pytest.raises(Exception):
-        rd.cast_columns(df, {"valuenum": "double"}, strict=True).collect()
+        rd.read_csv_table(spark, a, types, strict=True).collect()
+    assert rd.normalise_names(spark.createDataFrame([(1,)], [" A b "])).columns == ["a b"]
 
 
 def test_load_by_suffix(spark, tmp_path):
