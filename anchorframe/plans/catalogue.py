@@ -37,6 +37,11 @@ def us(c: str, name: str):
     return micros(c).alias(name)
 
 
+def us_or(c: str, name: str):
+    """Microseconds, -1 where there is no time."""
+    return F.coalesce(micros(c), F.lit(-1)).alias(name)
+
+
 def whole(c: str, name: str | None = None):
     return F.col(c).cast("int").alias(name or c)
 
@@ -80,7 +85,7 @@ def peak_summary(spark, d):
 @query
 def baseline_cascade(spark, d):
     x = on.baseline_cascade(b.order_points(spark, d), b.customer_anchors(spark, d))
-    return x.select("entity", r6("baseline_value", "baseline_value"), us("baseline_ts", "baseline_us"), "baseline_rule")
+    return x.select("entity", r6("baseline_value", "baseline_value"), us_or("baseline_ts", "baseline_us"), "baseline_rule")
 
 
 @query
@@ -99,16 +104,16 @@ def _onsets(spark, d, rise: float = 50.0):
 def detect_onset(spark, d):
     return _onsets(spark, d).select(
         "entity", us("anchor_ts", "anchor_us"), r6("baseline_value", "baseline_value"),
-        whole("rise_flag"), us("rise_ts", "rise_us"), whole("ratio_flag"), us("ratio_ts", "ratio_us"),
-        whole("onset_flag"), us("onset_ts", "onset_us"), r6("days_to_onset", "days_to_onset"), "status",
+        whole("rise_flag"), us_or("rise_ts", "rise_us"), whole("ratio_flag"), us_or("ratio_ts", "ratio_us"),
+        whole("onset_flag"), us_or("onset_ts", "onset_us"), r6("days_to_onset", "days_to_onset"), "status",
     )
 
 
 @query
 def compare_onsets(spark, d):
     rows, _ = on.compare_onsets(_onsets(spark, d, 50.0), _onsets(spark, d, 120.0), "either_true", 6 * HOUR)
-    return rows.select("entity", whole("flag_orig"), whole("flag_new"), us("ts_orig", "orig_us"), us("ts_new", "new_us"),
-                       "gap_us", whole("matches"))
+    return rows.select("entity", whole("flag_orig"), whole("flag_new"), us_or("ts_orig", "orig_us"), us_or("ts_new", "new_us"),
+                       F.coalesce("gap_us", F.lit(-1)).alias("gap_us"), whole("matches"))
 
 
 @query

@@ -162,16 +162,16 @@ SQL: dict[str, str] = {
     AND epoch_us(w.ts) BETWEEN epoch_us(peak_ts) - {48 * HOUR} AND epoch_us(peak_ts)), 6) AS min_before_peak
   FROM pk JOIN pt USING (entity)""",
     "baseline_cascade": with_(ORDERS, CUSTOMER_ANCHORS, *baseline("opoints", "canchors"))
-    + "SELECT entity, round(baseline_value, 6) AS baseline_value, epoch_us(baseline_ts) AS baseline_us, baseline_rule FROM base",
+    + "SELECT entity, round(baseline_value, 6) AS baseline_value, coalesce(epoch_us(baseline_ts), -1) AS baseline_us, baseline_rule FROM base",
     "rolling_min": with_(POINTS) + """SELECT entity, epoch_us(ts) AS ts_us, round(value, 6) AS value, round(min(value) OVER (
     PARTITION BY entity ORDER BY ts RANGE BETWEEN INTERVAL '47 hours 59 minutes 59.999999 seconds' PRECEDING AND CURRENT ROW), 6) AS rolling_min
   FROM points""",
     "detect_onset": with_(*E_ONSETS) + """SELECT entity, epoch_us(anchor_ts) AS anchor_us, round(baseline_value, 6) AS baseline_value,
-  CAST(rise_flag AS INTEGER) AS rise_flag, epoch_us(rise_ts) AS rise_us, CAST(ratio_flag AS INTEGER) AS ratio_flag, epoch_us(ratio_ts) AS ratio_us,
-  CAST(onset_flag AS INTEGER) AS onset_flag, epoch_us(onset_ts) AS onset_us, round(days_to_onset, 6) AS days_to_onset,
+  CAST(rise_flag AS INTEGER) AS rise_flag, coalesce(epoch_us(rise_ts), -1) AS rise_us, CAST(ratio_flag AS INTEGER) AS ratio_flag, coalesce(epoch_us(ratio_ts), -1) AS ratio_us,
+  CAST(onset_flag AS INTEGER) AS onset_flag, coalesce(epoch_us(onset_ts), -1) AS onset_us, round(days_to_onset, 6) AS days_to_onset,
   CASE WHEN onset_flag THEN 'onset' ELSE 'no onset' END AS status FROM o50""",
     "compare_onsets": with_(*TWO_ONSETS, COMPARED) + f"""SELECT entity, CAST(fo AS INTEGER) AS flag_orig, CAST(fn AS INTEGER) AS flag_new,
-  epoch_us(t_o) AS orig_us, epoch_us(t_n) AS new_us, gap_us, CAST(coalesce(gap_us <= {6 * HOUR}, false) AS INTEGER) AS matches
+  coalesce(epoch_us(t_o), -1) AS orig_us, coalesce(epoch_us(t_n), -1) AS new_us, coalesce(gap_us, -1) AS gap_us, CAST(coalesce(gap_us <= {6 * HOUR}, false) AS INTEGER) AS matches
   FROM cmp WHERE fo OR fn""",
     "compare_onsets_tally": with_(*TWO_ONSETS, COMPARED) + f"""SELECT count(*) AS n_total, count(*) FILTER (gap_us <= {6 * HOUR}) AS n_match,
   count(*) FILTER (t_n IS NULL) AS n_missing_new, count(*) FILTER (t_o IS NULL) AS n_missing_orig,
@@ -330,7 +330,7 @@ def silhouettes(distance: str) -> str:
         f"d AS (SELECT a.id, a.cluster AS own, b.cluster AS other, sum({distance}) AS s, count(*) AS n FROM pts a, pts b GROUP BY 1, 2, 3)",
         """ab AS (SELECT id, own, max(n) FILTER (own = other) AS n, max(s / (n - 1)) FILTER (own = other) AS a, min(s / n) FILTER (own <> other) AS b
   FROM d GROUP BY 1, 2)""",
-    ) + "SELECT id, own AS cluster, round(CASE WHEN n < 2 THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab"
+    ) + "SELECT id, own AS cluster, round(CASE WHEN n < 2 THEN 0 ELSE (b - a) / greatest(a, b) END, 6) + 0 AS silhouette FROM ab"
 
 
 PSEUDO = [POINTS, """ps AS (SELECT label, entity % 10 AS grp, CAST(count(*) FILTER (value > 120) AS DOUBLE) / count(*) AS p FROM points GROUP BY 1, 2)""",
@@ -345,7 +345,7 @@ SQL.update({
     "robust_scale": with_(*CUSTOMERS, "q AS (SELECT " + ", ".join(
         f"median({f}) AS m_{f}, CASE WHEN quantile_cont({f}, 0.75) = quantile_cont({f}, 0.25) THEN 1 ELSE quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) END AS i_{f}"
         for f in FEATURES) + " FROM full_matrix)")
-    + "SELECT entity, " + ", ".join(f"round(({f} - m_{f}) / i_{f}, 6) AS {f}" for f in FEATURES) + " FROM full_matrix, q",
+    + "SELECT entity, " + ", ".join(f"round(({f} - m_{f}) / i_{f}, 6) + 0 AS {f}" for f in FEATURES) + " FROM full_matrix, q",
     "cluster_profile": """WITH n AS (SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY 1 HAVING count(*) >= 47)
   SELECT cluster, n, round(CAST(n * 100 AS DOUBLE) / sum(n) OVER (), 6) AS pct FROM n""",
     "outcome_rates": with_(*CUSTOMERS) + """SELECT cluster, round(avg(urgent), 6) AS outcome_rate,
@@ -367,10 +367,10 @@ SQL.update({
     + "SELECT DISTINCT feature, round(value, 6) AS value, ties, round(CAST(mid AS DOUBLE), 6) AS mid_rank FROM rk",
     "kruskal_h": with_(*ranks(FEATURES), """h AS (SELECT feature, (12.0 / (nn * (nn + 1)) * sum(r * r / n) - 3 * (nn + 1)) / (1 - tt / (nn * nn * nn - nn)) AS h,
   count(*) AS k, nn, min(dv) AS dv FROM grp JOIN tot USING (feature) GROUP BY feature, nn, tt)""")
-    + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round((h - k + 1) / (nn - k), 6) AS eta_sq FROM h WHERE dv > 1 AND k = 5""",
+    + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round((h - k + 1) / (nn - k), 6) + 0 AS eta_sq FROM h WHERE dv > 1 AND k = 5""",
     "dunn_z": with_(*ranks(FEATURES)) + """SELECT a.feature, a.cluster AS cluster_a, b.cluster AS cluster_b,
-  round((a.r / a.n - b.r / b.n) / sqrt((nn * (nn + 1) / 12 - tt / (12 * (nn - 1))) * (1.0 / a.n + 1.0 / b.n)), 6) AS z,
-  round(a.mean, 6) AS mean_a, round(b.mean, 6) AS mean_b, round(b.mean - a.mean, 6) AS diff_b_minus_a
+  round((a.r / a.n - b.r / b.n) / sqrt((nn * (nn + 1) / 12 - tt / (12 * (nn - 1))) * (1.0 / a.n + 1.0 / b.n)), 6) + 0 AS z,
+  round(a.mean, 6) AS mean_a, round(b.mean, 6) AS mean_b, round(b.mean - a.mean, 6) + 0 AS diff_b_minus_a
   FROM grp a JOIN grp b ON a.feature = b.feature AND a.cluster < b.cluster JOIN tot t ON t.feature = a.feature""",
     "bh_q": with_(*PSEUDO) + """SELECT label, grp, round(p, 6) AS p, round(least(1, min(p * m / rk) OVER (PARTITION BY label ORDER BY rk DESC
     ROWS UNBOUNDED PRECEDING)), 6) AS q FROM o""",

@@ -26,7 +26,7 @@ def _cell(x):
     if hasattr(x, "item"):
         x = x.item()
     if isinstance(x, float):
-        return round(x, 6)
+        return round(x, 6) + 0.0
     if isinstance(x, (list, tuple)):
         return tuple(_cell(v) for v in x)
     return x
