@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from anchorframe.core import DAY, HOUR, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import days_between, label_key, lookup
-from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_median, group_bound, trailing_min
+from anchorframe.operators.skew import HOT_GROUP_ROWS, SLIDING_ROWS, exact_median, group_bound, trailing_min
 from anchorframe.operators.windows import arg_first, in_window
 
 
@@ -134,7 +134,7 @@ def rolling_minimum(
     points: DataFrame,
     width_us: int = 48 * HOUR,
     name: str = "rolling_min",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int = SLIDING_ROWS,
     known_rows: int | None = None,
 ) -> DataFrame:
     """Minimum over the trailing, left-open time frame; rows at the same time share their frame."""
@@ -151,7 +151,7 @@ def detect_onset(
     look_back_us: int = 48 * HOUR,
     ratio_window: TimeWindow = TimeWindow.after(7),
     status: tuple[str, str] = ("onset", "no onset"),
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int = SLIDING_ROWS,
 ) -> DataFrame:
     """First time after the anchor that a value rises by ``rise`` within the look-back or reaches ``ratio`` x baseline.
 

@@ -17,7 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_GROUP_ROWS = 5_000_000
-CELLS = 1024
+# Spark re-reads the whole frame for every row of a sliding window, so a trailing
+# frame is planned as a plain window only for entities with fewer rows than this.
+SLIDING_ROWS = 20_000
+STEP = 32
+CELLS = STEP * STEP
 BINS = 65_536
 
 
@@ -27,27 +31,35 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS)
     return counts.filter(F.col("__n") > limit).select(*keys)
 
 
-# Answers by plan, so that one pipeline counts its event table once.  A stale or
+# Largest group by plan, so that one pipeline counts its event table once.  A stale or
 # colliding answer only changes how a result is computed, never the result.
-_KNOWN: dict[tuple, bool] = {}
+_LARGEST: dict[tuple, int] = {}
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group; reads the keys only and counts before the shuffle."""
+    only = df.select(*keys)
+    key = (df.sparkSession.sparkContext.applicationId, only.semanticHash(), tuple(keys))
+    if key not in _LARGEST:
+        if len(_LARGEST) > 1000:
+            _LARGEST.clear()
+        counts = only.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        _LARGEST[key] = counts.agg(F.max("__n")).first()[0] or 0
+    return _LARGEST[key]
 
 
 def has_hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> bool:
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(keys), limit)
-    if key not in _KNOWN:
-        if len(_KNOWN) > 1000:
-            _KNOWN.clear()
-        _KNOWN[key] = not hot_groups(df, keys, limit).isEmpty()
-    return _KNOWN[key]
+    return largest_group(df, keys) > limit
 
 
 def group_bound(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> int | None:
-    """``limit`` if no group of ``df`` exceeds it, else None.
+    """Rows of the largest group if within ``limit``, else None.
 
     Asked of a source table before joins and filters: what holds there holds
     for every subset, and only the key column is read.
     """
-    return None if has_hot_groups(df.select(*keys), keys, limit) else limit
+    largest = largest_group(df, keys)
+    return largest if largest <= limit else None
 
 
 def row_bound(df: DataFrame, limit: int = HOT_GROUP_ROWS) -> int | None:
@@ -204,10 +216,14 @@ def running(
     cuts = hot.groupBy(*keys).agg(
         F.percentile_approx(order, [i / CELLS for i in range(1, CELLS)], 10 * CELLS).alias("__cuts")
     )
+    # Two short looks into the sorted cuts: every 32nd first, then the 31 in between.
+    coarse = cuts.withColumn("__coarse", F.array(*[F.col("__cuts")[i * STEP - 1] for i in range(1, STEP)]))
+    below = lambda arr: F.size(F.filter(arr, lambda x: x < F.col(order)))
     celled = (
-        hot.join(cuts, keys)
-        .withColumn("__cell", F.size(F.filter("__cuts", lambda x: x < F.col(order))))
-        .drop("__cuts")
+        hot.join(coarse, keys)
+        .withColumn("__big", below("__coarse"))
+        .withColumn("__cell", F.col("__big") * STEP + below(F.slice("__cuts", F.col("__big") * STEP + 1, STEP - 1)))
+        .drop("__cuts", "__coarse", "__big")
     )
     per_cell = celled.groupBy(*keys, "__cell").agg(fn(value).alias("__total"))
     w = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -234,7 +250,7 @@ def trailing_min(
     value: str,
     width_us: int,
     name: str,
-    limit: int = HOT_GROUP_ROWS,
+    limit: int = SLIDING_ROWS,
     cells_per_width: int = 2880,
     known_rows: int | None = None,
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from anchorframe.operators import features as ft
 from anchorframe.operators import matrix as mx
 from anchorframe.operators import onset as on
 from anchorframe.operators import rules, series
+from anchorframe.operators.skew import group_bound
 from anchorframe.operators import windows as wj
 from anchorframe.plans import bindings as b
 from anchorframe.session import ensure_checkpoint_dir
@@ -287,15 +288,15 @@ def prorated_sum(spark, d):
 def union_minutes(spark, d):
     rows = b.mixed_case_events(spark, d)
     x = ft.union_minutes(rows, b.event_anchors(spark, d), ["click", "view"], THREE_DAYS)
-    return x.select("entity", "feature", r6("value", "minutes"))
+    return x.select("entity", "feature", r6(F.col("value") * 60, "seconds"))
 
 
 @query
 def merged_islands(spark, d):
-    """All labels of a user merged: covered minutes and separate stretches over three days."""
+    """All labels of a user merged: covered time and separate stretches over three days."""
     pieces = wj.clipped(b.event_intervals(spark, d), b.event_anchors(spark, d), THREE_DAYS)
-    c = ft.covered_time(pieces, ["entity"])
-    return c.select("entity", r6(F.col("covered_us") / 60_000_000, "minutes"), "islands")
+    c = ft.covered_time(pieces, ["entity"], known_rows=group_bound(b.event_intervals(spark, d), ["entity"]))
+    return c.select("entity", "covered_us", "islands")
 
 
 @query

@@ -223,9 +223,9 @@ SQL: dict[str, str] = {
   FROM pr GROUP BY 1""",
     "union_minutes": with_(*E_MIX, "named AS (SELECT entity, lower(trim(label)) AS feature, s, e, a FROM mj)",
                            *clip_islands("named", "entity, feature", "feature IN ('click', 'view')", H72))
-    + "SELECT entity, feature, round(sum(len) / 60000000.0, 6) AS minutes FROM islands GROUP BY 1, 2",
+    + "SELECT entity, feature, round(CAST(sum(len) AS DOUBLE) / 1000000, 6) AS seconds FROM islands GROUP BY 1, 2",
     "merged_islands": with_(*E_INT, *clip_islands("ij", "entity", "true", H72))
-    + "SELECT entity, round(sum(len) / 60000000.0, 6) AS minutes, count(*) AS islands FROM islands GROUP BY 1",
+    + "SELECT entity, CAST(sum(len) AS BIGINT) AS covered_us, count(*) AS islands FROM islands GROUP BY 1",
     "interval_presence": with_(*E_MIX) + f"""SELECT entity, lower(trim(label)) AS feature, 1 AS value FROM mj
   WHERE lower(trim(label)) IN ('purchase', 'error') AND least(e, a) > greatest(s, a - {H12}) GROUP BY 1, 2""",
     "std_flags": with_(*E_MIX, f"""std AS (SELECT entity, CASE lower(trim(label)) WHEN 'click' THEN 'Click' WHEN 'view' THEN 'View'

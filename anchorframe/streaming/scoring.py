@@ -7,7 +7,6 @@ function as a batch table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from anchorframe.operators.score import ClusterBundle, score_rows
@@ -19,8 +18,11 @@ def start_scoring(
     """Score every micro-batch and write it to its own folder, so a replayed batch replaces its first attempt."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = score_rows(batch, bundle)
-        scored.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        held = batch.persist()  # scoring reads the batch more than once
+        try:
+            score_rows(held, bundle).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

@@ -7,7 +7,7 @@ from anchorframe.functions.pvalues import chi_square_tail, normal_two_sided
 from anchorframe.operators import cluster as cl
 from anchorframe.operators import models as md
 from anchorframe.operators import stats as st
-from anchorframe.plans.analysis import outcome_associations, stay_associations
+from anchorframe.plans.analysis import model_outcomes, outcome_associations, stay_associations
 
 
 def test_tails():
@@ -141,6 +141,13 @@ def test_boosted_trees_learn(linear):
     assert r.importances.first()["feature"] == "x1"
 
 
+def test_both_outcomes_at_once(linear):
+    small = md.Boosting(rounds=2, depth=2, rate=0.5)
+    r = model_outcomes(linear, ["x1", "x2"], ["x2"], "entity", "z", "y", small, small)
+    assert set(r.classifier.scores) == {"roc_auc", "pr_auc"} and set(r.regressor.scores) == {"mae", "r2"}
+    assert r.outcome.count() == 2 and set(r.stay.columns) >= {"approx_pct_change", "q_value", "significant"}
+
+
 def test_robust_scaling_and_components(spark):
     rows = [(i, float(i), 0.0 if i < 9 else 5.0, 3.0, float(i % 2)) for i in range(10)]
     df = spark.createDataFrame(rows, "entity long, a double, sparse double, flat double, `b c` double")
