@@ -109,13 +109,20 @@ def boosted_regressor(
 
 
 def logistic_associations(df: DataFrame, features: Sequence[str], target: str, alpha: float = 0.05) -> DataFrame:
-    """Maximum-likelihood logistic regression: coefficient, p, odds ratio, adjusted p."""
-    data = _assemble(df, features).select("features", F.col(f"`{target}`").cast("double").alias("label"))
-    model = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=100, tol=1e-8).fit(data)
-    p_values = model.summary.pValues  # features first, intercept last
-    rows = [
-        (f, float(b), float(p), float(np.exp(b)))
-        for f, b, p in zip(features, model.coefficients.toArray(), p_values)
-    ]
+    """Maximum-likelihood logistic regression: coefficient, p, odds ratio, adjusted p.
+
+    A feature with one single value has no estimable effect: it is left out of
+    the fit and reported with NULLs.
+    """
+    spread = df.agg(
+        *[f(F.col(f"`{c}`")).alias(f"{n}{i}") for i, c in enumerate(features) for n, f in (("lo", F.min), ("hi", F.max))]
+    ).first()
+    varying = [c for i, c in enumerate(features) if spread[f"lo{i}"] != spread[f"hi{i}"]]
+    rows = [(c, None, None, None) for c in features if c not in varying]
+    if varying:
+        data = _assemble(df, varying).select("features", F.col(f"`{target}`").cast("double").alias("label"))
+        model = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=100, tol=1e-8).fit(data)
+        p_values = model.summary.pValues  # features first, intercept last
+        rows += [(f, float(b), float(p), float(np.exp(b))) for f, b, p in zip(varying, model.coefficients.toArray(), p_values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, coef double, p_value double, odds_ratio double")
     return _finish_associations(table, alpha)

@@ -124,6 +124,13 @@ def test_logistic_against_newton(linear):
         assert got[f]["odds_ratio"] == pytest.approx(math.exp(b[i]), rel=1e-5)
 
 
+def test_constant_feature_has_no_effect(linear):
+    from pyspark.sql import functions as F
+
+    got = {r["feature"]: r for r in outcome_associations(linear.withColumn("one", F.lit(1.0)), ["x1", "one"], "z", []).collect()}
+    assert got["one"]["p_value"] is None and not got["one"]["significant"] and got["x1"]["p_value"] < 0.05
+
+
 def test_prepare_xy_requires_columns(linear):
     with pytest.raises(KeyError):
         st.prepare_xy(linear, ["x1", "nope"], "y")
