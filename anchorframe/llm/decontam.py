@@ -74,19 +74,21 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
     hashed = texts.select("doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("wh"), _class(F.greatest(F.size("words") - (k - 1), F.lit(1))).alias("doc_class"),
                           bits.select("words").scalar().alias("bits"), tops.select("tops").scalar().alias("tops"))
     top = F.array_max(F.transform(F.filter("tops", lambda t: t["size_class"] <= F.col("doc_class") + 1), lambda t: t["top"]))
-    at = hashed.select("doc_id", "doc_class", "wh", "bits", top.alias("top"), F.explode(_starts(F.size("wh"), k)).alias("i"))
+    at = hashed.withColumn("top", top).select("doc_id", "doc_class", "wh", "bits", "top", F.explode(_starts(F.size("wh"), k)).alias("i"))
     found = at.select("doc_id", "doc_class", "bits", "top", _hash(F.col("wh"), F.col("i"), k).alias("h")).filter(F.col("h") <= F.col("top"))
     bit = F.expr(f"shiftright(element_at(bits, cast(shiftright({_SLOT}, 6) + 1 as int)), cast({_SLOT} & 63 as int)) & 1L")
     passed = found.filter(bit == 1).select("doc_id", "doc_class", "h").distinct()
     candidates = written(passed.join(sketches, "h").filter(F.col("doc_class") >= F.col("size_class") - 1).select("doc_id", "item_id").distinct(), "candidates")
 
-    # verification on the text
-    held = items.filter("item_id is not null").select("item_id", _shingles(alnum_words(F.col("text")), k).alias("item"))
-    pairs = (docs.select("doc_id", "text").join(candidates, "doc_id").join(held, "item_id")
-             .select("doc_id", "item_id", F.size("item").alias("n_item"), F.size(F.array_intersect("item", _shingles(alnum_words(F.col("text")), k))).alias("n_shared")))
-    exact = pairs.withColumn("containment", F.col("n_shared") / F.col("n_item")).filter(F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(threshold) - 1e-9))
-    best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("x"))
-    return best.select("doc_id", "item_id", F.col("x.n_shared").cast("long").alias("n_shared"), F.col("x.n_item").cast("long").alias("n_item"), "x.containment")
+    # verification on the text; words are a column of their own so that no lambda splits the text again
+    held = items.filter("item_id is not null").select("item_id", alnum_words(F.col("text")).alias("words")).select("item_id", _shingles(F.col("words"), k).alias("item"))
+    pairs = (docs.select("doc_id", "text").join(candidates, "doc_id").select("doc_id", "item_id", alnum_words(F.col("text")).alias("words"))
+             .join(held, "item_id").select("doc_id", "item_id", "item", _shingles(F.col("words"), k).alias("doc"))
+             .select("doc_id", "item_id", F.size("item").alias("n_item"), F.size(F.array_intersect("item", "doc")).alias("n_shared")))
+    # the threshold is tested after the grouping, where the optimiser does not evaluate the intersection once more
+    best = pairs.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("containment"), "n_shared", "n_item")).alias("x"))
+    exact = best.filter(F.col("x.n_shared") >= F.ceil(F.col("x.n_item") * F.lit(threshold) - 1e-9))
+    return exact.select("doc_id", "item_id", F.col("x.n_shared").cast("long").alias("n_shared"), F.col("x.n_item").cast("long").alias("n_item"), "x.containment")
 
 
 def without_items(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
