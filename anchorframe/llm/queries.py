@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.llm import bpe, decontam, pii, quality, simhash, toxicity
+from anchorframe.llm import bpe, decontam, licenses, pii, quality, simhash, topk, toxicity
 from anchorframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op9_decontamination": decontam.SQL}
+SQL: dict[str, str] = {"op3_topk": topk.SQL, "op9_decontamination": decontam.SQL}
 
 
 def tokenizer_file() -> str:
@@ -66,3 +66,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
