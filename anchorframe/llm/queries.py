@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.llm import bpe, decontam, licenses, pii, quality, simhash, topk, toxicity
+from anchorframe.llm import bpe, decontam, licenses, pages, pii, quality, simhash, topk, toxicity
 from anchorframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(table(spark, sf_dir, "pages"))
