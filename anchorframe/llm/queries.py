@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.llm import bpe, decontam, licenses, pages, pii, quality, simhash, topk, toxicity
+from anchorframe.llm import bpe, decontam, licenses, pages, pii, quality, simhash, suffix, topk, toxicity
 from anchorframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.without_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
