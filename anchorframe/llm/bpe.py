@@ -18,8 +18,10 @@ rows with the same or a null doc_id each give a row; further columns are ignored
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 #: The byte-level pre-token pattern (fixed value of the public vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 6_000_000
 ROWS = "chunk string, bucket int, check long, doc_ids binary, counts binary, codes binary, owners binary, words binary"
 OUT = "doc_id long, n_tokens long, ids binary, decoded string"
 
@@ -48,9 +50,31 @@ def special_tokens(tokenizer_json: str) -> list[str]:
     return [t["content"] for t in spec["added_tokens"]]
 
 
-def splitter(special: list[str]):
-    """A function from a text to its words."""
-    words = regex.compile(PATTERN).findall
+@lru_cache(1)
+def newer_letters(tokenizer_json: str) -> str:
+    """A character class of what the regex library calls a letter or number and the tokenizer does not.
+
+    Their Unicode tables differ in age only, so characters that Python's own, older table knows need no test.
+    """
+    from tokenizers import Tokenizer
+
+    cut, known = Tokenizer.from_str(tokenizer_json).pre_tokenizer.pre_tokenize_str, regex.compile(r"[\p{L}\p{N}]")
+    young = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and known.match(c)]
+    newer = [c for c in young if len(cut(f"a{c}a")) > 1 and len(cut(f"1{c}1")) > 1]  # it continues neither letters nor numbers
+    return "[" + "".join(newer) + "]" if newer else ""
+
+
+def splitter(special: list[str], newer: str = ""):
+    """A function from a text to its words.  newer: characters that count as neither letter, number nor space."""
+    find = regex.compile(PATTERN).findall
+    is_newer = regex.compile(newer) if newer else None
+
+    def words(text: str) -> list[str]:
+        if is_newer is None or text.isascii() or not is_newer.search(text):
+            return find(text)
+        ends = np.cumsum([len(w) for w in find(is_newer.sub("\ue000", text))]).tolist()
+        return [text[a:b] for a, b in zip([0, *ends], ends)]
+
     if not special:
         return words
     literal = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")")
@@ -95,11 +119,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, lengths)
 
 
-def split_chunks(docs: DataFrame, special: list[str], buckets: int, chunk_chars: int, texts: bool) -> DataFrame:
+def split_chunks(docs: DataFrame, special: list[str], newer: str, buckets: int, chunk_chars: int, texts: bool) -> DataFrame:
     """Rows of ROWS: with texts one a chunk (documents as word numbers), else one a chunk and bucket (distinct words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, partition, seq = splitter(special), TaskContext.get().partitionId(), 0
+        split, partition, seq = splitter(special, newer), TaskContext.get().partitionId(), 0
         numbers: dict[str, int] = {}
         codes: list[np.ndarray] = []
         ids: list[int | None] = []
@@ -220,7 +244,7 @@ def encode_decode(docs: DataFrame, path: str, buckets: int | None = None, chunk_
     text = Path(path).read_text(encoding="utf-8")
     special, sc = special_tokens(text), docs.sparkSession.sparkContext
     buckets = buckets or max(docs.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    words = split_chunks(docs, special, buckets, chunk_chars, texts=False).repartition(buckets, "bucket")
+    words = split_chunks(docs, special, newer_letters(text), buckets, chunk_chars, texts=False).repartition(buckets, "bucket")
     ids = encode_words(words, sc.broadcast(text))
-    chunks = split_chunks(docs, special, buckets, chunk_chars, texts=True)
+    chunks = split_chunks(docs, special, newer_letters(text), buckets, chunk_chars, texts=True)
     return assemble(chunks.unionByName(ids), sc.broadcast(pieces(text)))

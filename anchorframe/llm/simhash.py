@@ -8,7 +8,7 @@ Hamming ball around each of its segments, and each match is verified on all 64 b
 
 Defined cases: a null text is empty; without words the fingerprint is zero and links like any other; equal fingerprints
 are one node, so copies cost nothing; a null doc_id keeps its fingerprint but links to nothing (component_id null);
-rows with the same doc_id each give a row; further columns are ignored; no rows give no rows.
+rows with the same doc_id each give a row, with the component of their own text; further columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def segment_balls(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
 
 
 def linked(nodes: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
-    """(a, b): labels of distinct fingerprints at most max_bits apart.  nodes: fp, label."""
+    """(a, b): distinct fingerprints at most max_bits apart.  nodes: fp."""
     balls = segment_balls(max_bits, segments)
     cuts = sorted({(shift, w) for shift, w, _ in balls})
 
@@ -80,10 +80,10 @@ def linked(nodes: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
         part = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << w) - 1)).bitwiseXOR(F.lit(flip))
         return part.bitwiseOR(F.lit(shift << 40).cast("long"))  # the segment's own number above its value
 
-    entries = nodes.select(F.explode(F.array(*[key(s, w) for s, w in cuts])).alias("key"), F.col("fp").alias("fp_b"), F.col("label").alias("b"))
-    asked = nodes.select(F.explode(F.array(*[key(*ball) for ball in balls])).alias("key"), F.col("fp").alias("fp_a"), F.col("label").alias("a"))
-    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= max_bits
-    return asked.join(entries, (asked["key"] == entries["key"]) & (F.col("fp_a") < F.col("fp_b")) & near).select("a", "b")
+    entries = nodes.select(F.explode(F.array(*[key(s, w) for s, w in cuts])).alias("key"), F.col("fp").alias("b"))
+    asked = nodes.select(F.explode(F.array(*[key(*ball) for ball in balls])).alias("key"), F.col("fp").alias("a"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    return asked.join(entries, (asked["key"] == entries["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, max_bits: int = 4, segments: int = 3, seed: int = 42) -> DataFrame:
@@ -94,9 +94,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, max_bits: int = 4, segments: in
     prints = written(fingerprints(docs, k, seed), "fingerprints")
     nodes = written(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("label")), "nodes")
     pairs = written(linked(nodes, max_bits, segments).distinct(), "links")
-    links = pairs.select(F.explode(F.array("a", "b")).alias("label")).groupBy("label").agg(F.count("*").alias("n_linked"))
-    named = (nodes.join(components(pairs).withColumnRenamed("node", "label"), "label", "left").join(links, "label", "left")
-             .select("fp", F.coalesce("root", "label").alias("component_id"), F.coalesce("n_linked", F.lit(0)).alias("n_linked")))
+    links = pairs.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("n_linked"))
+    placed = nodes.join(components(pairs).withColumnRenamed("node", "fp"), "fp", "left").join(links, "fp", "left")
+    placed = written(placed.select("fp", "label", F.coalesce("root", "fp").alias("root"), F.coalesce("n_linked", F.lit(0)).alias("n_linked")), "placed")
+    named = placed.join(placed.groupBy("root").agg(F.min("label").alias("component_id")), "root").select("fp", "component_id", "n_linked")
     return (prints.join(written(named, "named"), "fp", "left")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
