@@ -17,7 +17,8 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _SCOPE = frozenset("ul ol dl table html body article main section aside nav div header footer form menu".split())
 _ENDS_P = BLOCK - {"br", "html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "legend", "summary", "caption"}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,65535}"|'[^']{0,65535}'|["'])*+)>""", re.S)
+# Possessive and bounded, so that broken markup costs little: a tag that does not end within bounds is text.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/><]{0,63}+)((?:[^>"']{1,4096}+|"[^"]{0,65535}"|'[^']{0,65535}'|["']){0,200}+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|data-role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 
@@ -59,11 +60,17 @@ def parse(html: str) -> list[Element]:
             e = e.parent
 
     n = len(html)
+    last = html.rfind(">")
     while at < n:
-        m = _TAG.search(html, at)
-        if m is None:
+        begin = html.find("<", at)
+        if begin < 0 or begin > last and not html.startswith("<!--", begin):
             break
-        text(html[at : m.start()])
+        m = _TAG.match(html, begin)
+        if m is None:
+            text(html[at : begin + 1])
+            at = begin + 1
+            continue
+        text(html[at:begin])
         at = m.end()
         if m.group(2) is None:
             if m.group().startswith("<![CDATA["):
