@@ -5,8 +5,8 @@ keeping for every output character the source characters it came from: homoglyph
 become digits, disguised at and dot signs become "@" and ".".  The same detectors run on the rewritten text; spans that
 hold a rewritten part are mapped back to the source and added.
 
-Bare words " at " and " dot " are common in prose, so they are rewritten only together (x at y dot z); digit words only
-in runs of at least four.  Texts without any disguise (no homoglyph, bracketed or bare at/dot, four digit words) skip the
+Bare words " at " and " dot " are common in prose, so they are rewritten only together and before a common domain ending
+(x at y dot com); digit words only in runs of at least four.  Texts without any disguise (no homoglyph, bracketed or bare at/dot, four digit words) skip the
 transducers.
 
 Defined cases: a null text is empty and has no spans; offsets are code points, end exclusive; every row gives a row,
@@ -82,8 +82,11 @@ DIGIT_WORDS = {w: str(d) for words in (
 MIN_DIGIT_WORDS = 4
 
 _BRACKETED = re.compile(r"[\[({<]\s*(at|dot|punkt|point|punto|arroba)\s*[\])}>]", re.I)
-_BARE = re.compile(r"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+)+)", re.I)
-_DOTS_AFTER = re.compile(r"[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+)+)", re.I)
+# What a domain may end in for bare words to count as an address.
+_TOP = "com|org|net|edu|gov|info|biz|io|eu|uk|us|de|fr|es|it|ch|at|nl|ca|au|in|br|mx|example|test"
+_DOTS = rf"[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+){{0,4}}\s+dot\s+(?:{_TOP}))(?![A-Za-z0-9-])"
+_BARE = re.compile(rf"(?<=[A-Za-z0-9])\s+at\s+(?={_DOTS})", re.I)
+_DOTS_AFTER = re.compile(_DOTS, re.I)
 _DOT_WORD = re.compile(r"\s+dot\s+", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:plus[ -]+)?(?:{_WORD})(?:(?:[ -]+(?:dot[ -]+)?|[ ]*\.[ ]*)(?:{_WORD}|[0-9]+)(?![^\W_]))+", re.I)
