@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorframe.operators.matrix import column_quantiles
-from anchorframe.operators.skew import HOT_GROUP_ROWS
 from anchorframe.session import ensure_checkpoint_dir
 
 
@@ -54,10 +53,10 @@ def variance_filter(moments: ColumnMoments, threshold: float = 0.01) -> list[str
 
 
 def scaling_table(
-    df: DataFrame, features: Sequence[str], hot_rows: int = HOT_GROUP_ROWS, known_rows: int | None = None
+    df: DataFrame, features: Sequence[str]
 ) -> dict[str, tuple[float, float]]:
     """Median and interquartile range per feature; a zero range divides by one."""
-    rows = column_quantiles(df, features, [0.25, 0.5, 0.75], ["lo", "mid", "hi"], hot_rows, known_rows).collect()
+    rows = column_quantiles(df, features, [0.25, 0.5, 0.75], ["lo", "mid", "hi"]).collect()
     return {r["feature"]: (r["mid"], (r["hi"] - r["lo"]) or 1.0) for r in rows}
 
 
@@ -83,14 +82,13 @@ def fit_projection(
     explained: float = 0.90,
     variance_threshold: float = 0.01,
     output: str = "projected",
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> PipelineModel:
     """Variance filter, robust scaling, centring and principal components as one saved-and-reloadable model."""
     moments = column_moments(df, features)
     kept = variance_filter(moments, variance_threshold)
     if not kept:
         raise ValueError("no feature passes the variance threshold")
-    table = scaling_table(df, kept, hot_rows, moments.rows)
+    table = scaling_table(df, kept)
     # Spark's PCA does not centre what it transforms, so the mean goes into the scaling expression.
     means = {c: (moments.mean[c] - table[c][0]) / table[c][1] for c in kept}
     scaled = [f"__s{i}" for i in range(len(kept))]

@@ -14,17 +14,12 @@ from pyspark.sql import functions as F
 
 from anchorframe.core import LOOK_BACK_12H, MINUTE, SECOND, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import classify, floored_days, half_even, label_key, lookup, title_case, within_limits
-from anchorframe.operators.skew import HOT_GROUP_ROWS, group_bound, running
+from anchorframe.operators.skew import running
 from anchorframe.operators.windows import clipped, in_window, nearest_record, overlapping, restrict_to_cohort
 
-MAX_FEATURES = 10_000
-
-
 def observed_features(long: DataFrame, column: str = "feature") -> list[str]:
     """Sorted distinct feature names, for pivots without a given vocabulary."""
-    names = [r[0] for r in long.select(column).distinct().orderBy(column).limit(MAX_FEATURES + 1).collect()]
-    if len(names) > MAX_FEATURES:
-        raise ValueError(f"more than {MAX_FEATURES} features")
+    names = [r[0] for r in long.select(column).distinct().orderBy(column).collect()]
     return names
 
 
@@ -187,7 +182,7 @@ def _canonical(intervals: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
 
 
 def covered_time(
-    pieces: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS, known_rows: int | None = None
+    pieces: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Length of the union of ``[s_us, e_us]`` per key, and the number of separate islands.
 
@@ -196,7 +191,7 @@ def covered_time(
     """
     keys = list(keys)
     distinct = pieces.groupBy(*keys, "s_us").agg(F.max("e_us").alias("e_us"))
-    reach = running(distinct, keys, "s_us", "e_us", "max", "reach", hot_rows, known_rows)
+    reach = running(distinct, keys, "s_us", "e_us", "max", "reach")
     fresh = F.greatest(F.lit(0), F.col("e_us") - F.greatest("s_us", "reach"))
     return reach.groupBy(*keys).agg(
         F.sum(fresh).alias("covered_us"),
@@ -204,10 +199,10 @@ def covered_time(
     )
 
 
-def union_minutes(intervals, anchors, vocabulary, window=LOOK_BACK_12H, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def union_minutes(intervals, anchors, vocabulary, window=LOOK_BACK_12H) -> DataFrame:
     """Minutes of the window covered by at least one interval of the label."""
     pieces = clipped(_canonical(intervals, vocabulary), anchors, window)
-    covered = covered_time(pieces, ["entity", "label"], hot_rows, group_bound(intervals, ["entity"], hot_rows))
+    covered = covered_time(pieces, ["entity", "label"])
     return covered.select("entity", F.col("label").alias("feature"), (F.col("covered_us") / MINUTE).alias("value"))
 
 
@@ -323,11 +318,10 @@ def combined_interval_features(
     presence_vocabulary: Sequence[str],
     minutes_vocabulary: Sequence[str],
     window: TimeWindow = LOOK_BACK_12H,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Doses by start, presence and union minutes for the cohort, 0 where absent."""
     long = combined_interval_rows(
-        doses, procedures, anchors, dose_vocabulary, presence_vocabulary, minutes_vocabulary, window, hot_rows
+        doses, procedures, anchors, dose_vocabulary, presence_vocabulary, minutes_vocabulary, window
     )
     names = [*dose_vocabulary, *presence_vocabulary, *minutes_vocabulary]
     return widen(long, names, restrict_to_cohort(anchors.select("entity"), cohort), fill=0.0)
@@ -335,13 +329,12 @@ def combined_interval_features(
 
 def combined_interval_rows(
     doses, procedures, anchors, dose_vocabulary, presence_vocabulary, minutes_vocabulary, window=LOOK_BACK_12H,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     parts = [windowed_dose(doses, anchors, dose_vocabulary, window, "start_ts", loose_labels=True)]
     if presence_vocabulary:
         parts.append(interval_presence(procedures, anchors, presence_vocabulary, window))
     if minutes_vocabulary:
-        parts.append(union_minutes(procedures, anchors, minutes_vocabulary, window, hot_rows))
+        parts.append(union_minutes(procedures, anchors, minutes_vocabulary, window))
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)

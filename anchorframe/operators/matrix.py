@@ -8,9 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anchorframe.functions.scalar import half_even
-from anchorframe.operators.skew import HOT_GROUP_ROWS, exact_quantiles, row_bound
+from anchorframe.operators.skew import exact_quantiles
 from anchorframe.operators.windows import restrict_to_cohort
 
 
@@ -109,15 +110,13 @@ def chain_join(base: DataFrame, parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def drop_empty_rows(df: DataFrame, keep: Sequence[str], key: str = "entity") -> DataFrame:
-    """Drop rows in which every column outside ``keep`` is NULL or zero."""
+    """Drop rows in which every column outside ``keep`` is NULL or zero.  Rows are told apart by ``key``, which may be NULL."""
     checked = [c for c in df.columns if c not in {*keep, key}]
     if not checked:
         return df
-    if len(checked) <= 8:
-        return df.filter(F.greatest(*[F.coalesce(_q(c) != 0, F.lit(False)) for c in checked], F.lit(False)))
-    # Catalyst derives 2**n constraints from one condition over n renamed columns, so wide tables go by long rows.
-    busy = to_long(df, checked, [key]).filter(F.col("value") != 0)
-    return df.join(busy.select(key), key, "left_semi")
+    # Catalyst derives 2**n constraints from one condition over n renamed columns; behind a generator it does not.
+    busy = df.select(_q(key).alias("__key"), F.explode(F.array(*[F.coalesce(_q(c) != 0, F.lit(False)) for c in checked])).alias("__busy"))
+    return df.join(busy.filter("__busy").select("__key"), _q(key).eqNullSafe(F.col("__key")), "left_semi")
 
 
 def drop_zero_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -149,16 +148,21 @@ def column_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     names: Sequence[str],
-    hot_rows: int = HOT_GROUP_ROWS,
-    known_rows: int | None = None,
 ) -> DataFrame:
     """``(feature, names...)``: exact quantiles of every listed column."""
-    known_rows = row_bound(df, hot_rows) if known_rows is None else known_rows
-    return exact_quantiles(to_long(df, columns), ["feature"], "value", probs, names, hot_rows, known_rows)
+    return exact_quantiles(to_long(df, columns), ["feature"], "value", probs, names)
 
 
-def medians(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    return column_quantiles(df, columns, [0.5], ["median"], hot_rows)
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return column_quantiles(df, columns, [0.5], ["median"])
+
+
+def _filled(df: DataFrame, c: str, fill: float) -> Column:
+    """The column with NULLs filled; an integer column becomes double when its fill has a fraction."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.IntegralType) and float(fill) != int(fill):
+        kind = T.DoubleType()
+    return F.coalesce(_q(c).cast(kind), F.lit(fill).cast(kind)).alias(c)
 
 
 def impute_matrix(
@@ -166,17 +170,16 @@ def impute_matrix(
     median_columns: Sequence[str],
     drop: Sequence[str] = (),
     entity: str = "entity",
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Median for the named columns, 0 for the rest; returns (missing report, medians, matrix)."""
     df = df.drop(*drop)
-    median_table = medians(df, median_columns, hot_rows)
+    median_table = medians(df, median_columns)
     # a handful of numbers: one per named column
     found = {r["feature"]: r["median"] for r in median_table.collect()}
     fills = {c: (found.get(c) if c in set(median_columns) else 0) for c in df.columns if c != entity}
     filled = df.select(
         *[
-            _q(c) if fills.get(c) is None else F.coalesce(_q(c), F.lit(fills[c]).cast(df.schema[c].dataType)).alias(c)
+            _q(c) if fills.get(c) is None else _filled(df, c, fills[c])
             for c in df.columns
         ]
     )
@@ -188,7 +191,7 @@ def fill_from_constants(df: DataFrame, constants: dict[str, float], entity: str
     numeric = {f.name for f in df.schema.fields if f.dataType.typeName() not in ("string", "timestamp", "date", "boolean")}
     return df.select(
         *[
-            F.coalesce(_q(c), F.lit(constants.get(c, 0)).cast(df.schema[c].dataType)).alias(c)
+            _filled(df, c, constants.get(c, 0))
             if c in numeric and c != entity
             else _q(c)
             for c in df.columns

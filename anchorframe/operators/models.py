@@ -10,10 +10,11 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorframe.operators.skew import spread_row_number
+from anchorframe.operators.skew import running, spread_row_number
 from anchorframe.operators.stats import _finish_associations
 from anchorframe.session import ensure_checkpoint_dir
 
@@ -69,10 +70,22 @@ def _cross_validate(data: DataFrame, estimator, metrics: dict, folds: int) -> di
     return {m: (float(np.nanmean(v)), float(np.nanstd(v))) for m, v in seen.items()}
 
 
+class AveragePrecision:
+    """Sum over the distinct scores, from the highest, of the recall gained there times the precision so far."""
+
+    def evaluate(self, scored: DataFrame) -> float:
+        by = scored.select((-vector_to_array("probability")[1]).alias("order"), "label").groupBy("order").agg(F.sum("label").alias("hits"), F.count("*").cast("double").alias("rows"))
+        by = by.withColumn("all", F.lit(0))
+        ahead = running(running(by, ["all"], "order", "hits", "sum", "hits_before"), ["all"], "order", "rows", "sum", "rows_before")
+        precision = (F.coalesce("hits_before", F.lit(0.0)) + F.col("hits")) / (F.coalesce("rows_before", F.lit(0.0)) + F.col("rows"))
+        found = ahead.agg(F.try_divide(F.sum(F.col("hits") * precision), F.sum("hits")).alias("ap")).first()["ap"]
+        return float("nan") if found is None else float(found)
+
+
 def boosted_classifier(
     df: DataFrame, features: Sequence[str], target: str, key: str, settings: Boosting = Boosting(), folds: int = 5
 ) -> ModelReport:
-    """Boosted trees with stratified cross-validation (ROC-AUC, PR-AUC) and importances from a fit on all rows."""
+    """Boosted trees with stratified cross-validation (ROC-AUC, average precision) and importances from a fit on all rows."""
     ensure_checkpoint_dir(df.sparkSession)
     data = assign_folds(_assemble(df, features), key, folds, target).select("features", F.col(f"`{target}`").cast("double").alias("label"), "fold")
     data = data.persist()
@@ -81,7 +94,7 @@ def boosted_classifier(
                             featureSubsetStrategy=str(settings.column_share), seed=settings.seed)
         metrics = {
             "roc_auc": BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-            "pr_auc": BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0),
+            "average_precision": AveragePrecision(),
         }
         scores = _cross_validate(data, gbt, metrics, folds)
         model = gbt.fit(data)

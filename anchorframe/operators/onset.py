@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from anchorframe.core import DAY, HOUR, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import days_between, label_key, lookup
-from anchorframe.operators.skew import HOT_GROUP_ROWS, SLIDING_ROWS, exact_median, group_bound, trailing_min
+from anchorframe.operators.skew import exact_median, trailing_min
 from anchorframe.operators.windows import arg_first, in_window
 
 
@@ -45,7 +45,7 @@ def peak_summary(
 _MEDIAN_RULES = ((30, "pre_1m_median"), (90, "pre_3m_median"), (365, "pre_1y_median"))
 
 
-def baseline_cascade(points: DataFrame, anchors: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def baseline_cascade(points: DataFrame, anchors: DataFrame) -> DataFrame:
     """Reference value per entity by the first rule that yields one.
 
     Two or more rows in the closed week before the anchor give their minimum;
@@ -101,7 +101,7 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame, hot_rows: int = HOT_
         .filter(off > -F.col("days").cast("long") * F.lit(DAY))
         .select("entity", "ts", "value")
     )
-    medians = exact_median(chosen, ["entity"], "value", "med", hot_rows, group_bound(points, ["entity"], hot_rows))
+    medians = exact_median(chosen, ["entity"], "value", "med")
     closest = (
         chosen.join(medians, "entity")
         .groupBy("entity")
@@ -134,13 +134,10 @@ def rolling_minimum(
     points: DataFrame,
     width_us: int = 48 * HOUR,
     name: str = "rolling_min",
-    hot_rows: int = SLIDING_ROWS,
-    known_rows: int | None = None,
 ) -> DataFrame:
     """Minimum over the trailing, left-open time frame; rows at the same time share their frame."""
     timed = points.withColumn("at_us", micros("ts"))
-    bound = group_bound(points, ["entity"], hot_rows) if known_rows is None else known_rows
-    return trailing_min(timed, "entity", "at_us", "value", width_us, name, hot_rows, known_rows=bound).drop("at_us")
+    return trailing_min(timed, "entity", "at_us", "value", width_us, name).drop("at_us")
 
 
 def detect_onset(
@@ -151,7 +148,6 @@ def detect_onset(
     look_back_us: int = 48 * HOUR,
     ratio_window: TimeWindow = TimeWindow.after(7),
     status: tuple[str, str] = ("onset", "no onset"),
-    hot_rows: int = SLIDING_ROWS,
 ) -> DataFrame:
     """First time after the anchor that a value rises by ``rise`` within the look-back or reaches ``ratio`` x baseline.
 
@@ -164,7 +160,7 @@ def detect_onset(
         keyed,
         TimeWindow(0, None),
     )
-    framed = rolling_minimum(post, look_back_us, "low", hot_rows, group_bound(points, ["entity"], hot_rows))
+    framed = rolling_minimum(post, look_back_us, "low")
     rose = (F.col("value") - F.col("low")) >= rise
     reached = F.coalesce(F.col("value") >= F.col("baseline_value") * F.lit(ratio), F.lit(False)) & ratio_window.contains("ts")
     hits = framed.groupBy("entity").agg(

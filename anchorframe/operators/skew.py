@@ -3,10 +3,9 @@
 Counts, sums, minima and arg-minima are pre-aggregated by Spark before the
 shuffle, so a hot group costs nothing special there.  Exact quantiles, running
 aggregates, ranks and rolling frames need their group in order.  Each function
-here first asks (with a key-only count, combined map-side) whether any group
-exceeds ``limit`` rows.  Usually none does and a plain window or percentile is
-planned.  Otherwise ordinary groups keep that plan and the hot ones are cut
-into pieces by value; both ways give the same exact answer.
+here has one plan for every size: a mergeable sketch or the time itself cuts a
+group into pieces, so no task needs a whole group and nothing is counted while
+the plan is built.  NULL keys form a group of their own.
 """
 
 from __future__ import annotations
@@ -16,295 +15,125 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_GROUP_ROWS = 5_000_000
-# Spark re-reads the whole frame for every row of a sliding window, so a trailing
-# frame is planned as a plain window only for entities with fewer rows than this.
-SLIDING_ROWS = 20_000
-STEP = 32
-CELLS = STEP * STEP
-BINS = 65_536
+CELLS = 1024  # slices of a group that get row numbers
+CUTS = 255  # cut points of a group in which running aggregates are carried on
+ACCURACY = 10_000  # a sketched rank is wrong by at most 1/ACCURACY of the group
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Keys of groups with more than ``limit`` rows (at most total rows / ``limit`` of them)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") > limit).select(*keys)
-
-
-# Largest group by plan, so that one pipeline counts its event table once.  A stale or
-# colliding answer only changes how a result is computed, never the result.
-_LARGEST: dict[tuple, int] = {}
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; reads the keys only and counts before the shuffle."""
-    only = df.select(*keys)
-    key = (df.sparkSession.sparkContext.applicationId, only.semanticHash(), tuple(keys))
-    if key not in _LARGEST:
-        if len(_LARGEST) > 1000:
-            _LARGEST.clear()
-        counts = only.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        _LARGEST[key] = counts.agg(F.max("__n")).first()[0] or 0
-    return _LARGEST[key]
-
-
-def has_hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> bool:
-    return largest_group(df, keys) > limit
-
-
-def group_bound(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> int | None:
-    """Rows of the largest group if within ``limit``, else None.
-
-    Asked of a source table before joins and filters: what holds there holds
-    for every subset, and only the key column is read.
-    """
-    largest = largest_group(df, keys)
-    return largest if largest <= limit else None
-
-
-def row_bound(df: DataFrame, limit: int = HOT_GROUP_ROWS) -> int | None:
-    """The row count of ``df`` if it is within ``limit``, else None."""
-    n = df.count()
-    return n if n <= limit else None
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups and rows of hot groups."""
-    # Broadcast is safe: the key list is no longer than total rows / limit.
-    hot = F.broadcast(hot_groups(df, keys, limit))
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+def _joined(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys in which NULL equals NULL; keys come from ``a``."""
+    named = b.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[c for c in b.columns if c not in set(keys)])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return a.join(named, on).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 # --------------------------------------------------------------------------
 # exact quantiles
 
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    names: Sequence[str],
-    limit: int = HOT_GROUP_ROWS,
-    known_rows: int | None = None,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Exact linearly interpolated quantiles of ``value`` per group, NULLs ignored.
 
-    ``known_rows`` is an upper bound on the rows of any group, if the caller has one.
+    A first pass sketches a bracket around each rank; a second counts the rows
+    below it and the values inside, which are at most 4/ACCURACY of the group
+    (or a group of at most 4 * ACCURACY rows).  Only those are put in order.
     """
-    keys, probs, names = list(keys), list(probs), list(names)
+    keys, probs, names = list(keys), [float(p) for p in probs], list(names)
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    if _bounded(rows, keys, limit, known_rows):
-        return _built_in_quantiles(rows, keys, probs, names)
-    cold, hot = split_hot(rows, keys, limit)
-    return _built_in_quantiles(cold, keys, probs, names).unionByName(_narrowed_quantiles(hot, keys, probs, names))
-
-
-def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = HOT_GROUP_ROWS, known_rows: int | None = None
-) -> DataFrame:
-    return exact_quantiles(df, keys, value, [0.5], [name], limit, known_rows)
-
-
-def _bounded(df: DataFrame, keys, limit: int, known_rows: int | None) -> bool:
-    if known_rows is not None and known_rows <= limit:
-        return True
-    return not has_hot_groups(df, keys, limit)
-
-
-def _built_in_quantiles(rows: DataFrame, keys, probs, names) -> DataFrame:
-    # one aggregate per group holds all its quantiles
-    q = rows.groupBy(*keys).agg(F.percentile("__v", [float(p) for p in probs]).alias("__q"))
-    return q.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-
-
-def _narrowed_quantiles(rows: DataFrame, keys, probs, names, levels: int = 3) -> DataFrame:
-    """Find order statistics by counting equal-width bins and zooming into the bin that holds the rank.
-
-    Every grouping here has at most ``BINS`` rows per group and rank, so no
-    task ever holds a hot group; after three zooms a bin is 2**-48 of the range.
-    """
-    spread = rows.groupBy(*keys).agg(
-        F.count("__v").alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+    ends = [min(1.0, max(0.0, p + side * 2.0 / ACCURACY)) for p in probs for side in (-1, 1)]
+    sketch = rows.groupBy(*keys).agg(
+        F.count("__v").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), F.percentile_approx("__v", ends, ACCURACY).alias("__q")
     )
-    positions = F.array(
-        *[
-            F.struct(F.lit(f"{i}{side}").alias("t"), fn((F.col("__n") - 1) * F.lit(float(p))).cast("long").alias("r"))
-            for i, p in enumerate(probs)
-            for side, fn in (("a", F.floor), ("b", F.ceil))
-        ]
+    small = F.col("__n") <= 4 * ACCURACY
+    brackets = [
+        F.struct(
+            F.lit(i).alias("t"),
+            F.when(small | F.lit(p <= 2.0 / ACCURACY), F.col("__min")).otherwise(F.col("__q")[2 * i]).alias("lo"),
+            F.when(small | F.lit(p >= 1 - 2.0 / ACCURACY), F.col("__max")).otherwise(F.col("__q")[2 * i + 1]).alias("hi"),
+        )
+        for i, p in enumerate(probs)
+    ]
+    bracketed = _joined(rows, sketch.select(*keys, "__n", F.array(*brackets).alias("__b")), keys).select(*keys, "__n", "__v", F.explode("__b").alias("__b"))
+    inside = bracketed.filter(F.col("__v") <= F.col("__b.hi")).select(
+        *keys, "__n", F.col("__b.t").alias("__t"), F.when(F.col("__v") >= F.col("__b.lo"), F.col("__v")).alias("__v")
     )
-    # Hot keys times two ranks per quantile: small enough to broadcast.
-    targets = spread.select(
-        *keys, "__lo", ((F.col("__hi") - F.col("__lo")) / F.lit(float(BINS))).alias("__w"), F.explode(positions).alias("__p")
-    ).select(*keys, "__lo", "__w", F.col("__p.t").alias("__t"), F.col("__p.r").alias("__r"))
+    counts = inside.groupBy(*keys, "__n", "__t", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    # rows below the bracket are one NULL value, which comes first
+    w = Window.partitionBy(*keys, "__t").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.withColumn("__upto", F.sum("__c").over(w))
 
-    on = list(keys)
-    here = rows
-    for _ in range(levels):
-        raw = F.floor((F.col("__v") - F.col("__lo")) / F.col("__w"))
-        bin_ = F.when(F.col("__w") > 0, F.greatest(F.lit(0), F.least(raw, F.lit(BINS - 1)))).otherwise(F.lit(0))
-        here = here.join(F.broadcast(targets), on).withColumn("__bin", bin_.cast("long"))
-        on = [*keys, "__t"]
-        counts = here.groupBy(*on, "__bin", "__lo", "__w", "__r").agg(F.count(F.lit(1)).alias("__c"))
-        w = Window.partitionBy(*on).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-        chosen = (
-            counts.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-            .filter((F.col("__before") <= F.col("__r")) & (F.col("__r") < F.col("__before") + F.col("__c")))
-            .select(
-                *on,
-                "__bin",
-                (F.col("__lo") + F.col("__bin") * F.col("__w")).alias("__lo"),
-                (F.col("__w") / F.lit(float(BINS))).alias("__w"),
-                (F.col("__r") - F.col("__before")).alias("__r"),
-            )
-        )
-        here = here.select(*on, "__v", "__bin").join(F.broadcast(chosen.select(*on, "__bin")), [*on, "__bin"], "left_semi")
-        here = here.select(*on, "__v")
-        targets = chosen.drop("__bin")
+    def at(i: int, p: float) -> Column:
+        place = (F.col("__n") - 1) * F.lit(p)
+        value_at = lambda rank: F.min(F.when((F.col("__t") == i) & (F.col("__upto") > rank), F.col("__v")))
+        low, high, share = value_at(F.floor(place)), value_at(F.ceil(place)), F.first(place - F.floor(place))
+        return (1 - share) * low + share * high
 
-    last = here.groupBy(*on, "__v").agg(F.count(F.lit(1)).alias("__c")).join(F.broadcast(targets.select(*on, "__r")), on)
-    w = Window.partitionBy(*on).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    stats = (
-        last.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-        .filter((F.col("__before") <= F.col("__r")) & (F.col("__r") < F.col("__before") + F.col("__c")))
-        .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct("__t", "__v"))).alias("__s"))
-    )
+    return upto.groupBy(*keys).agg(*[at(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
 
-    def interpolate(i: int, p: float) -> Column:
-        a, b = F.col("__s")[f"{i}a"], F.col("__s")[f"{i}b"]
-        pos = (F.col("__n") - 1) * F.lit(float(p))
-        return a + (pos - F.floor(pos)) * (b - a)
 
-    return stats.join(spread.select(*keys, "__n"), keys).select(
-        *keys, *[interpolate(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))]
-    )
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    return exact_quantiles(df, keys, value, [0.5], [name])
 
 
 # --------------------------------------------------------------------------
 # running aggregates
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    how: str,
-    name: str,
-    limit: int = HOT_GROUP_ROWS,
-    known_rows: int | None = None,
-) -> DataFrame:
+def running(df: DataFrame, keys: Sequence[str], order: str, value: str, how: str, name: str) -> DataFrame:
     """Add ``how`` ('sum' or 'max') of ``value`` over rows with a strictly smaller ``order`` in the group.
 
-    ``(keys, order)`` must be unique.  NULL where no earlier row exists.
+    ``(keys, order)`` must be unique.  NULL where no earlier row exists.  A
+    group is cut at its approximate order quantiles, from a sketch of fixed
+    size; pieces run on their own and carry on the total of those before.
     """
     keys = list(keys)
     fn = {"sum": F.sum, "max": F.max}[how]
-
-    def plain(part: DataFrame, by: list[str]) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return part.withColumn(name, fn(value).over(w))
-
-    if _bounded(df, keys, limit, known_rows):
-        return plain(df, keys)
-
-    cold, hot = split_hot(df, keys, limit)
-    # Cut a hot group at its approximate order quantiles; the cut points come
-    # from a mergeable sketch of fixed size.
-    cuts = hot.groupBy(*keys).agg(
-        F.percentile_approx(order, [i / CELLS for i in range(1, CELLS)], 10 * CELLS).alias("__cuts")
-    )
-    # Two short looks into the sorted cuts: every 32nd first, then the 31 in between.
-    coarse = cuts.withColumn("__coarse", F.array(*[F.col("__cuts")[i * STEP - 1] for i in range(1, STEP)]))
-    below = lambda arr: F.size(F.filter(arr, lambda x: x < F.col(order)))
+    before = Window.unboundedPreceding, -1
+    cuts = df.groupBy(*keys).agg(F.percentile_approx(order, [i / (CUTS + 1) for i in range(1, CUTS + 1)], 10 * CUTS).alias("__cuts"))
+    # two short looks into the sorted cuts: every 16th first, then the 15 in between
+    below = lambda arr: F.coalesce(F.size(F.filter(arr, lambda x: x < F.col(order))), F.lit(0))
+    coarse = F.transform(F.sequence(F.lit(16), F.lit(CUTS), F.lit(16)), lambda i: F.element_at("__cuts", i))
     celled = (
-        hot.join(coarse, keys)
-        .withColumn("__big", below("__coarse"))
-        .withColumn("__cell", F.col("__big") * STEP + below(F.slice("__cuts", F.col("__big") * STEP + 1, STEP - 1)))
+        _joined(df, cuts.withColumn("__coarse", coarse), keys)
+        .withColumn("__big", below(F.col("__coarse")))
+        .withColumn("__cell", F.col("__big") * 16 + below(F.slice("__cuts", F.col("__big") * 16 + 1, 15)))
         .drop("__cuts", "__coarse", "__big")
     )
     per_cell = celled.groupBy(*keys, "__cell").agg(fn(value).alias("__total"))
-    w = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_cell.withColumn("__carry", fn("__total").over(w)).drop("__total")
-    local = plain(celled, [*keys, "__cell"]).join(carry, [*keys, "__cell"])
+    carry = per_cell.withColumn("__carry", fn("__total").over(Window.partitionBy(*keys).orderBy("__cell").rowsBetween(*before))).drop("__total")
+    local = _joined(celled.withColumn(name, fn(value).over(Window.partitionBy(*keys, "__cell").orderBy(order).rowsBetween(*before))), carry, [*keys, "__cell"])
     if how == "sum":
         both = F.when(F.col(name).isNull() & F.col("__carry").isNull(), None).otherwise(
             F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col("__carry"), F.lit(0))
         )
     else:
         both = F.greatest(name, "__carry")
-    joined = local.withColumn(name, both).drop("__cell", "__carry")
-    return plain(cold, keys).unionByName(joined)
+    return local.withColumn(name, both).select(*df.columns, name)
 
 
 # --------------------------------------------------------------------------
 # trailing minimum
 
 
-def trailing_min(
-    df: DataFrame,
-    entity: str,
-    at_us: str,
-    value: str,
-    width_us: int,
-    name: str,
-    limit: int = SLIDING_ROWS,
-    cells_per_width: int = 2880,
-    known_rows: int | None = None,
-) -> DataFrame:
-    """Add the minimum of ``value`` over the entity's rows in ``(t - width, t]``; rows with equal times are peers."""
-
-    def plain(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(entity).orderBy(at_us).rangeBetween(-(width_us - 1), 0)
-        return part.withColumn(name, F.min(value).over(w))
-
-    if _bounded(df, [entity], limit, known_rows):
-        return plain(df)
+def trailing_min(df: DataFrame, entity: str, at_us: str, value: str, width_us: int, name: str) -> DataFrame:
+    """Add the minimum of ``value`` over the entity's rows in ``(t - width, t]``; rows with equal times are peers.
 
-    cold, hot = split_hot(df, [entity], limit)
-    return plain(cold).unionByName(
-        hot.join(_trailing_min_by_cell(hot, entity, at_us, value, width_us, name, cells_per_width), [entity, at_us])
-        .select(*hot.columns, name)
-    )
-
-
-def _trailing_min_by_cell(df, entity, at_us, value, width_us, name, cells_per_width) -> DataFrame:
-    """The frame is the head of t's cell, the whole cells before it, and the tail of the cell holding t - width."""
-    cells = cells_per_width
-    while width_us % cells:
-        cells -= 1
-    cell_us = width_us // cells
-    cell_of = lambda c: F.floor(c / F.lit(cell_us)).cast("long")
-
-    instants = df.groupBy(entity, at_us).agg(F.min(value).alias("__v")).withColumn("__cell", cell_of(F.col(at_us)))
-    by_cell = [entity, "__cell"]
-
-    head_w = Window.partitionBy(*by_cell).orderBy(at_us).rangeBetween(Window.unboundedPreceding, 0)
-    head = instants.select(entity, at_us, F.min("__v").over(head_w).alias("__m"))
-
-    totals = instants.groupBy(*by_cell).agg(F.min("__v").alias("__m"))
-    whole = totals.withColumn(
-        "__m", F.min("__m").over(Window.partitionBy(entity).orderBy("__cell").rangeBetween(-(cells - 1), -1))
-    )
-    middle = instants.select(*by_cell, at_us).join(whole, by_cell).select(entity, at_us, "__m")
-
-    probes = instants.select(
-        entity,
-        (F.col(at_us) - width_us).alias("__at"),
-        F.lit(None).cast("double").alias("__v"),
-        F.col(at_us).alias("__for"),
-    )
-    marks = instants.select(entity, F.col(at_us).alias("__at"), F.col("__v").cast("double"), F.lit(None).cast("long").alias("__for"))
-    stream = marks.unionByName(probes).withColumn("__cell", cell_of(F.col("__at")))
-    tail_w = Window.partitionBy(*by_cell).orderBy(F.col("__at").desc()).rangeBetween(Window.unboundedPreceding, -1)
-    tail = (
-        stream.withColumn("__m", F.min("__v").over(tail_w))
-        .filter(F.col("__for").isNotNull())
-        .select(entity, F.col("__for").alias(at_us), "__m")
-    )
-    return head.unionByName(middle).unionByName(tail).groupBy(entity, at_us).agg(F.min("__m").alias(name))
+    Time is cut into cells as wide as the frame, and every row is also copied
+    into the next cell, moved by one width.  The frame is then the own rows up
+    to t and the moved rows after t, so both parts are running minima and no
+    row is read again for each frame.  Rows without a time are peers of each
+    other.
+    """
+    t = F.col(at_us)
+    own = df.withColumns({"__own": F.lit(True), "__at": t, "__cell": F.floor(t / width_us).cast("long")})
+    moved = df.filter(t.isNotNull()).withColumns({"__own": F.lit(False), "__at": t + width_us, "__cell": (F.floor(t / width_us) + 1).cast("long")})
+    cell = Window.partitionBy(entity, "__cell")
+    up_to = F.min(F.when(F.col("__own"), F.col(value))).over(cell.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(~F.col("__own"), F.col(value))).over(cell.orderBy(F.col("__at").desc()).rangeBetween(Window.unboundedPreceding, -1))
+    both = own.unionAll(moved).withColumns({"__up_to": up_to, "__after": after}).filter("__own")
+    return both.select(*df.columns, F.least("__up_to", "__after").alias(name))
 
 
 # --------------------------------------------------------------------------

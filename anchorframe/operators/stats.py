@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from anchorframe.functions.pvalues import chi_square_p, normal_p, normal_two_sided
 from anchorframe.functions.scalar import to_double
 from anchorframe.operators.matrix import column_quantiles, to_long
-from anchorframe.operators.skew import HOT_GROUP_ROWS, row_bound, running
+from anchorframe.operators.skew import running
 from anchorframe.sources.readers import require_columns
 
 # --------------------------------------------------------------------------
@@ -46,7 +46,7 @@ def cluster_means(df: DataFrame, features: Sequence[str], cluster: str = "cluste
 # rank tests
 
 
-def mid_ranks(df: DataFrame, features: Sequence[str], cluster: str = "cluster", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def mid_ranks(df: DataFrame, features: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Mid-rank of every distinct value of every feature.
 
     ``(feature, value, ties, mid_rank, parts)``; ``parts`` counts the value's
@@ -59,7 +59,7 @@ def mid_ranks(df: DataFrame, features: Sequence[str], cluster: str = "cluster",
         F.sum("c").alias("ties"), F.collect_list(F.struct(F.col(cluster).alias("cluster"), F.col("c"))).alias("parts")
     )
     # a feature has no more distinct values than the table has rows
-    ranked = running(values, ["feature"], "value", "ties", "sum", "before", hot_rows, row_bound(df, hot_rows))
+    ranked = running(values, ["feature"], "value", "ties", "sum", "before")
     return ranked.withColumn("mid_rank", F.coalesce("before", F.lit(0)) + (F.col("ties") + 1) / 2).drop("before")
 
 
@@ -86,7 +86,6 @@ def kruskal_wallis(
     cluster: str = "cluster",
     min_effect: float | None = 0.01,
     with_p: bool = True,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Tie-corrected H, p and effect size per feature.
 
@@ -94,7 +93,7 @@ def kruskal_wallis(
     out, as are those with an effect below ``min_effect``.
     """
     n_clusters = df.select(F.count_distinct(cluster)).scalar()
-    groups = rank_groups(mid_ranks(df, features, cluster, hot_rows))
+    groups = rank_groups(mid_ranks(df, features, cluster))
     n, k = F.col("total").cast("double"), F.col("k")
     agg = (
         groups.groupBy("feature")
@@ -122,10 +121,9 @@ def dunn_pairs(
     cluster: str = "cluster",
     with_p: bool = True,
     alpha: float = 0.05,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Pairwise z on mean ranks with tie correction, Holm-adjusted p per feature, and the pair's means."""
-    groups = rank_groups(mid_ranks(df, features, cluster, hot_rows)).select(
+    groups = rank_groups(mid_ranks(df, features, cluster)).select(
         "feature",
         "cluster",
         "n",
@@ -355,9 +353,9 @@ def binarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[(flags[c] if c in flags else F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def fill_medians(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values become their column's median (one number per column comes back)."""
-    found = {r["feature"]: r["median"] for r in column_quantiles(df, columns, [0.5], ["median"], hot_rows).collect()}
+    found = {r["feature"]: r["median"] for r in column_quantiles(df, columns, [0.5], ["median"]).collect()}
     return df.fillna({f"{c}": v for c, v in found.items() if v is not None}) if found else df
 
 
@@ -378,35 +376,60 @@ def _sum_matrices(df: DataFrame, columns: Sequence[str], size: int, block) -> np
     return out
 
 
+def _independent(corr: np.ndarray, tolerance: float = 1e-10) -> list[int]:
+    """Columns that are no linear combination of those chosen before them, from a correlation matrix."""
+    left, chosen = corr.astype(float).copy(), []
+    for j in range(len(left)):
+        if left[j, j] > tolerance:
+            chosen.append(j)
+            left = left - np.outer(left[:, j], left[j]) / left[j, j]
+    return chosen
+
+
 def linear_associations(
     df: DataFrame, features: Sequence[str], target: str, alpha: float = 0.05, log_target: bool = True
 ) -> DataFrame:
     """Least squares with HC3 standard errors: coefficient, p, percentage change, adjusted p.
 
-    Pass one sums X'X and X'y; pass two sums the leverage-weighted squared
-    residuals.  Only matrices of the size of the feature list reach the driver.
+    Pass one finds means and spreads; pass two sums the products of the centred
+    and scaled columns, so large offsets cancel nothing; pass three sums the
+    leverage-weighted squared residuals.  Only matrices of the size of the
+    feature list reach the driver.  A feature that is constant, or a linear
+    combination of those before it, has no estimable effect and is reported
+    with NULLs.  A missing value is an error.
     """
     y = F.log1p(F.col(f"`{target}`")) if log_target else F.col(f"`{target}`")
-    data = df.select(F.lit(1.0).alias("const"), *[F.col(f"`{f}`") for f in features], y.alias("__y"))
-    columns = data.columns
-    p = len(features) + 1
-
-    gram = _sum_matrices(data, columns, p + 1, lambda m: m.T @ m)
-    inverse = np.linalg.pinv(gram[:p, :p])
-    beta = inverse @ gram[:p, p]
+    data = df.select(*[F.col(f"`{f}`").cast("double").alias(f"x{i}") for i, f in enumerate(features)], y.cast("double").alias("y"))
+    n_features = len(features)
+    found = data.agg(*[f(c).alias(f"{n}_{c}") for c in data.columns for n, f in (("mean", F.avg), ("sd", F.stddev_pop), ("n", F.count))], F.count("*").alias("rows")).first()
+    missing = [name for name, c in zip([*features, target], data.columns) if found[f"n_{c}"] < found["rows"] or found[f"mean_{c}"] != found[f"mean_{c}"]]
+    if missing:
+        raise ValueError(f"missing values in {missing}")
+    mean = np.array([found[f"mean_{c}"] or 0.0 for c in data.columns])
+    sd = np.array([found[f"sd_{c}"] or 0.0 for c in data.columns])
+    varying = [i for i in range(n_features) if sd[i] > 1e-12 * max(1.0, abs(mean[i]))]
+    scaled = data.select(
+        F.lit(1.0).alias("const"), *[((F.col(f"x{i}") - float(mean[i])) / float(sd[i])).alias(f"x{i}") for i in varying], (F.col("y") - float(mean[-1])).alias("y")
+    )
+    gram = _sum_matrices(scaled, scaled.columns, len(varying) + 2, lambda m: m.T @ m)
+    kept = [0] + [j + 1 for j in _independent(gram[1:-1, 1:-1] / max(found["rows"], 1))]
+    inverse = np.linalg.inv(gram[np.ix_(kept, kept)]) if found["rows"] else np.zeros((len(kept), len(kept)))
+    beta = inverse @ gram[kept, -1]
 
     def meat(m: np.ndarray) -> np.ndarray:
-        x, resid = m[:, :p], m[:, p] - m[:, :p] @ beta
+        x, resid = m[:, kept], m[:, -1] - m[:, kept] @ beta
         leverage = np.einsum("ij,jk,ik->i", x, inverse, x)
-        w = (resid / (1.0 - leverage)) ** 2
+        w = (resid / np.maximum(1.0 - leverage, 1e-12)) ** 2
         return (x * w[:, None]).T @ x
 
-    cov = inverse @ _sum_matrices(data, columns, p, meat) @ inverse
+    cov = inverse @ _sum_matrices(scaled, scaled.columns, len(kept), meat) @ inverse
     se = np.sqrt(np.diag(cov))
+    effect = {varying[j - 1]: (beta[k] / sd[varying[j - 1]], se[k] / sd[varying[j - 1]]) for k, j in enumerate(kept) if j}
     rows = []
-    for name, b, s in zip(features, beta[1:], se[1:]):
-        pv = normal_two_sided(b / s) if s > 0 else None
-        rows.append((name, float(b), float(s), pv, float((np.exp(b) - 1.0) * 100.0)))
+    for i, name in enumerate(features):
+        b, s = effect.get(i, (None, None))
+        pv = normal_two_sided(b / s) if s else None
+        rows.append((name, None if b is None else float(b), None if s is None else float(s), pv, None if b is None else float((np.exp(b) - 1.0) * 100.0)))
     table = df.sparkSession.createDataFrame(rows, "feature string, coef double, std_err double, p_value double, approx_pct_change double")
     if not log_target:
         table = table.drop("approx_pct_change")

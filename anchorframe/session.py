@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 
 import anchorframe
@@ -50,8 +52,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a local one only when none is named."""
+    """Use the folder that spark.checkpoint.dir names; all executors must share it.
+
+    Only a local session, whose tasks run in this process, may do without; it gets a folder that goes when Python ends.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="anchorframe-checkpoint-"))
+        if shared is None:
+            if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):
+                raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+            own = tempfile.TemporaryDirectory(prefix="anchorframe-checkpoint-")
+            atexit.register(own.cleanup)
+            shared = own.name
+        sc.setCheckpointDir(shared)

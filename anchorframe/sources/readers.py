@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from anchorframe.functions.scalar import to_double, to_id
+from anchorframe.functions.scalar import blank_to_null, to_double, to_id
 
 _COLUMNAR = {".parquet", ".pq"}
 
@@ -43,23 +43,34 @@ _PARSED = {
 
 
 def read_csv_table(
-    spark: SparkSession, paths: str | Sequence[str], types: Mapping[str, str] | None = None, strict: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    types: Mapping[str, str] | None = None,
+    strict: bool = False,
+    multiline: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """One or more CSV shards with a header; shards may differ in their columns.
 
     Column names are stripped and lower-cased.  ``types`` gives the type of
     listed columns ('id', 'double', 'timestamp', 'date'); others are text.
-    Blank and unreadable values are NULL, or an error with ``strict``.
+    Blank values (also quoted ones and spaces) are NULL; unreadable ones are
+    NULL, or an error with ``strict``.  ``multiline`` reads line breaks inside
+    quotes as text (such a file is one task).  ``corrupt`` names a column that
+    keeps the source of every record that could not be read as it should, NULL
+    for the others, so that losses can be counted.
     Typing happens in the reader, so unused columns are never parsed.
     """
     types = types or {}
     paths = [paths] if isinstance(paths, str) else list(paths)
     # the header line decides the order of the schema
-    headers = [[c.strip().lower() for c in spark.read.option("header", True).csv(p).columns] for p in paths]
+    headers = [[c.strip().lower() for c in spark.read.option("header", True).option("multiLine", multiline).csv(p).columns] for p in paths]
 
     def shard_group(header: list[str], group: list[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(c, _PARSED[types.get(c, "string")]) for c in header])
-        reader = spark.read.schema(schema).option("header", True).option("nullValue", "NaN")
+        fields = [T.StructField(c, _PARSED[types.get(c, "string")]) for c in header]
+        reader = spark.read.schema(T.StructType(fields + ([T.StructField(corrupt, T.StringType())] if corrupt else [])))
+        reader = reader.option("header", True).option("nullValue", "NaN").option("multiLine", multiline)
+        reader = reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader
         df = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(group)
         cols = []
         for c in header:
@@ -69,8 +80,10 @@ def read_csv_table(
                 col = to_id(col)
             elif kind == "date":
                 col = col.cast("timestamp")
+            elif kind == "string":
+                col = blank_to_null(col)
             cols.append(col.alias(c))
-        return df.select(*cols)
+        return df.select(*cols, *([corrupt] if corrupt else []))
 
     groups: dict[tuple[str, ...], list[str]] = {}
     for h, p in zip(headers, paths):

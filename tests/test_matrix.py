@@ -36,10 +36,9 @@ def test_empty_rows_and_zero_columns(spark):
     assert mx.drop_zero_columns(df, ["entity"]).columns == ["entity", "b", "age"]
 
 
-@pytest.mark.parametrize("limit", [1, 10**6])
-def test_impute(spark, limit):
+def test_impute(spark):
     df = spark.createDataFrame([(1, 1.0, None, 5.0, 9.0), (2, 4.0, 2, None, 9.0), (3, None, None, 7.0, 9.0)], "entity long, `v 1` double, n int, o double, t double")
-    missing, medians, filled = mx.impute_matrix(df, ["v 1"], drop=["t"], hot_rows=limit)
+    missing, medians, filled = mx.impute_matrix(df, ["v 1"], drop=["t"])
     assert {r["feature"]: r["median"] for r in medians.collect()} == {"v 1": 2.5}
     assert sorted(map(tuple, filled.collect())) == [(1, 1.0, 0, 5.0), (2, 4.0, 2, 0.0), (3, 2.5, 0, 7.0)]
     assert {r["feature"]: r["missing"] for r in missing.collect()} == {"entity": 0, "v 1": 0, "n": 0, "o": 0}
@@ -79,3 +78,18 @@ def test_rules(spark):
     got = {r["id"]: (r["colour"], r["cluster_advice"], r["hf_advice"]) for r in out.collect()}
     assert got == {1: ("#FF0000", "three", "failing"), 2: ("#000000", None, None), 3: (None, "four", None)}
     assert "gone_advice" not in out.columns
+
+
+def test_fills_with_a_fraction_widen_integers(spark):
+    df = spark.createDataFrame([(1, 60, 1), (2, 61, None), (3, None, 3)], "entity long, a int, b int")
+    _, _, filled = mx.impute_matrix(df, ["a", "b"])
+    assert [tuple(r) for r in filled.orderBy("entity").collect()] == [(1, 60.0, 1), (2, 61.0, 2), (3, 60.5, 3)]
+    scored = mx.fill_from_constants(df, {"a": 88.18})
+    assert [r.a for r in scored.orderBy("entity").collect()] == [60.0, 61.0, 88.18] and [r.b for r in scored.orderBy("entity").collect()] == [1, 0, 3]
+
+
+@pytest.mark.parametrize("width", [2, 8, 9, 40])
+def test_rows_without_a_key_survive_at_every_width(spark, width):
+    rows = [(None, *[0] * (width - 1), 1), (1, *[0] * width), (2, *[None] * (width - 1), 3)]
+    df = spark.createDataFrame(rows, "entity long, " + ", ".join(f"c{i} int" for i in range(width)))
+    assert sorted((r.entity or 0) for r in mx.drop_empty_rows(df, []).collect()) == [0, 2]

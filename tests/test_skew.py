@@ -5,9 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from anchorframe.core import DAY, HOUR, micros
+from anchorframe.core import HOUR
 from anchorframe.operators import features as ft
-from anchorframe.operators import onset as on
 from anchorframe.operators import skew
 
 
@@ -23,11 +22,19 @@ def table(spark):
     return pd.DataFrame({"g": g.astype("int64"), "v": v.astype("float64"), "t": t.astype("int64")})
 
 
-@pytest.mark.parametrize("limit", [1, 300, 10**9])
-def test_exact_quantiles(spark, table, limit):
+def both_sizes(monkeypatch, small):
+    """The pieces as they are for large groups, or as they are."""
+    if small:
+        monkeypatch.setattr(skew, "ACCURACY", 50)
+        monkeypatch.setattr(skew, "CUTS", 31)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_exact_quantiles(spark, table, small, monkeypatch):
+    both_sizes(monkeypatch, small)
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
     names = ["a", "b", "c", "d", "e"]
-    got = skew.exact_quantiles(spark.createDataFrame(table), ["g"], "v", probs, names, limit).toPandas().set_index("g")
+    got = skew.exact_quantiles(spark.createDataFrame(table), ["g"], "v", probs, names).toPandas().set_index("g")
     want = table.groupby("g")["v"].quantile(probs).unstack()
     assert len(got) == len(want)
     np.testing.assert_allclose(got.loc[want.index, names].to_numpy(), want.to_numpy(), rtol=1e-9)
@@ -35,16 +42,27 @@ def test_exact_quantiles(spark, table, limit):
 
 def test_quantiles_ignore_null_and_single_values(spark):
     df = spark.createDataFrame([("a", 5.0), ("a", None), ("b", 2.0), ("b", 2.0), ("b", 2.0)], "k string, v double")
-    for limit in (1, 100):
-        got = {r["k"]: r["m"] for r in skew.exact_median(df, ["k"], "v", "m", limit).collect()}
-        assert got == {"a": 5.0, "b": 2.0}
+    got = {r["k"]: r["m"] for r in skew.exact_median(df, ["k"], "v", "m").collect()}
+    assert got == {"a": 5.0, "b": 2.0}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_quantiles_with_null_group_and_one_extreme_value(spark, small, monkeypatch):
+    both_sizes(monkeypatch, small)
+    rng = np.random.default_rng(3)
+    values = np.r_[rng.integers(0, 50, 2999) / 7.0, 1e300]
+    df = spark.createDataFrame([(None, float(v)) for v in values] + [("a", 1.0)], "k string, v double")
+    got = {r["k"]: (r["m"], r["h"]) for r in skew.exact_quantiles(df, ["k"], "v", [0.5, 0.99], ["m", "h"]).collect()}
+    np.testing.assert_allclose(got[None], np.quantile(values, [0.5, 0.99]), rtol=1e-12)
+    assert got["a"] == (1.0, 1.0)
 
 
 @pytest.mark.parametrize("how", ["sum", "max"])
-@pytest.mark.parametrize("limit", [300, 10**9])
-def test_running(spark, table, how, limit):
+@pytest.mark.parametrize("small", [True, False])
+def test_running(spark, table, how, small, monkeypatch):
+    both_sizes(monkeypatch, small)
     df = spark.createDataFrame(table)
-    got = skew.running(df, ["g"], "t", "v", how, "r", limit).toPandas().sort_values(["g", "t"])
+    got = skew.running(df, ["g"], "t", "v", how, "r").toPandas().sort_values(["g", "t"])
     s = table.sort_values(["g", "t"])
     prefix = s.groupby("g")["v"].cumsum() if how == "sum" else s.groupby("g")["v"].cummax()
     want = prefix.groupby(s["g"]).shift(1)
@@ -52,12 +70,11 @@ def test_running(spark, table, how, limit):
     np.testing.assert_allclose(got["r"].to_numpy(dtype=float), want.to_numpy(), rtol=1e-6, atol=1e-6)
 
 
-@pytest.mark.parametrize("limit", [300, 10**9])
-def test_trailing_min(spark, table, limit):
+def test_trailing_min(spark, table):
     width = 48 * HOUR
     extra = table.assign(t=table["t"] // (3 * HOUR) * HOUR)  # many tied times, some exactly 48 h apart
     df = spark.createDataFrame(extra)
-    got = skew.trailing_min(df, "g", "t", "v", width, "m", limit, cells_per_width=48).toPandas()
+    got = skew.trailing_min(df, "g", "t", "v", width, "m").toPandas()
     for _, grp in got.groupby("g"):
         t, v = grp["t"].to_numpy(), grp["v"].to_numpy()
         want = [v[(t > x - width) & (t <= x)].min() for x in t]
@@ -72,28 +89,18 @@ def test_row_numbers_are_dense(spark, table):
         assert sorted(grp["i"]) == list(range(len(grp)))
 
 
-def test_onset_is_the_same_for_hot_entities(spark, table):
-    rows = spark.createDataFrame(table.assign(value=table["v"] % 50)).select(
-        F.col("g").alias("entity"), F.timestamp_micros(F.col("t") + 10**15).alias("ts"), F.lit("x").alias("label"), "value"
-    )
-    anchors = rows.groupBy("entity").agg(F.timestamp_micros(F.min(micros("ts")) + F.lit(DAY // 2)).alias("anchor_ts"))
-
-    def run(limit):
-        base = on.baseline_cascade(rows, anchors, limit)
-        found = on.detect_onset(rows, base, rise=20.0, ratio=1.4, hot_rows=limit)
-        return sorted(map(tuple, found.collect()))
-
-    assert run(50) == run(10**9)
+def test_trailing_min_passes_missing_times_and_entities_through(spark):
+    rows = [(1, 5, 3.0), (1, 7, 4.0), (1, 14, 9.0), (1, 15, 8.0), (1, None, 1.0), (1, None, None), (None, 5, 2.0), (None, None, 6.0), (1, -3, 7.0)]
+    got = skew.trailing_min(spark.createDataFrame(rows, "g long, t long, v double"), "g", "t", "v", 10, "m").collect()
+    want = {(1, 5): 3.0, (1, 7): 3.0, (1, 14): 3.0, (1, 15): 4.0, (1, None): 1.0, (None, 5): 2.0, (None, None): 6.0, (1, -3): 7.0}
+    assert len(got) == len(rows) and all(r.m == want[r.g, r.t] for r in got)
 
 
-def test_covered_time_is_the_same_for_hot_groups(spark, table):
+def test_covered_time_against_a_sequential_merge(spark, table):
     pieces = spark.createDataFrame(table).select(
         "g", F.col("t").alias("s_us"), (F.col("t") + F.abs(F.col("v")).cast("long") * 1_000_000 + 1).alias("e_us")
     )
-    run = lambda limit: sorted(map(tuple, ft.covered_time(pieces, ["g"], limit).collect()))
-    plain = run(10**9)
-    assert run(100) == plain
-    # against a sequential merge
+    plain = sorted(map(tuple, ft.covered_time(pieces, ["g"]).collect()))
     p = pieces.toPandas()
     for g, covered, islands in plain:
         total, n, reach = 0, 0, None

@@ -52,3 +52,13 @@ def test_decimal_comma(spark, tmp_path):
     assert tuple(sinks.with_decimal_commas(df).first()) == (1, "2,5", "a.b", None)
     sinks.write_csv(df, str(tmp_path / "o"), comma=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "o")).first()["x"] == "2,5"
+
+
+def test_quoted_blanks_line_breaks_and_corrupt_records(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text('id,name,v\n1,"",1.5\n2,"   ",x\n3,plain,2.5\n4,"two\nlines",3.5\n5,too,1,2,3\n')
+    types = {"id": "id", "v": "double"}
+    df = rd.read_csv_table(spark, str(p), types, multiline=True, corrupt="bad")
+    got = {r.id: r for r in df.collect()}
+    assert got[1].name is None and got[2].name is None and got[3].name == "plain" and got[4].name == "two\nlines"
+    assert {i for i, r in got.items() if r.bad is not None} == {2, 5} and got[2].v is None and got[1].bad is None
