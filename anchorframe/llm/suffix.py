@@ -37,11 +37,11 @@ from anchorframe.llm.common import written
 GRAM = 24
 #: Windows of a segment, at most (longer runs, as in periodic text, are cut); segments of a shard, about.
 MAX_RUN = 256
-SHARD_SEGMENTS = 16_384
+SHARD_SEGMENTS = 8_192
 #: Segments with one hash that stay together; more are spread over several shards.
 HOT_SEGMENTS = 2_048
 #: Bytes that a task hashes at once.
-BLOCK = 4_000_000
+BLOCK = 1_500_000
 
 # place: start << 31 | windows << 22 | may repeat itself << 21 | the low 21 bits of the text's crc32
 _TAG = (1 << 21) - 1
@@ -398,7 +398,8 @@ def merged(results: DataFrame) -> DataFrame:
 
 def snippets(texts: DataFrame, heads: DataFrame, shards: int, length: int) -> DataFrame:
     """(shard, a, parts, doc_id, place, text) of the segments in heads, cut from texts (doc_id, tag, text)."""
-    counts = heads.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_SEGMENTS)
+    # few rows: no more than all segments by HOT_SEGMENTS; as a table of known size Spark need not deal heads by their hash
+    counts = written(heads.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_SEGMENTS), "hot")
     parts = F.coalesce(F.ceil(F.col("n") / HOT_SEGMENTS), F.lit(1)).cast("long")
     sub = F.pmod(F.xxhash64("doc_id", "place"), F.col("parts"))
     placed = heads.join(counts, "a", "left").select("a", "doc_id", "place", parts.alias("parts")).withColumn("shard", F.pmod(F.xxhash64("a", sub), F.lit(shards).cast("long")))
