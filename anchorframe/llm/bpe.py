@@ -61,16 +61,20 @@ def newer_letters(tokenizer_json: str) -> str:
     cut, known = Tokenizer.from_str(tokenizer_json).pre_tokenizer.pre_tokenize_str, regex.compile(r"[\p{L}\p{N}]")
     young = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and known.match(c)]
     newer = [c for c in young if len(cut(f"a{c}a")) > 1 and len(cut(f"1{c}1")) > 1]  # it continues neither letters nor numbers
-    return "[" + "".join(newer) + "]" if newer else ""
+    # as ranges: every task compiles the class, and tests texts against it
+    first = [c for i, c in enumerate(newer) if not i or ord(newer[i - 1]) != ord(c) - 1]
+    last = [c for i, c in enumerate(newer) if i + 1 == len(newer) or ord(newer[i + 1]) != ord(c) + 1]
+    return "[" + "".join(f"{a}-{b}" for a, b in zip(first, last)) + "]" if newer else ""
 
 
 def splitter(special: list[str], newer: str = ""):
     """A function from a text to its words.  newer: characters that count as neither letter, number nor space."""
     find = regex.compile(PATTERN).findall
-    is_newer = regex.compile(newer) if newer else None
+    is_newer, first = regex.compile(newer or r"(?!)"), newer[1:2]
 
     def words(text: str) -> list[str]:
-        if is_newer is None or text.isascii() or not is_newer.search(text):
+        # the class lies beyond what most texts hold, and their largest character is found faster
+        if not newer or text.isascii() or max(text) < first or not is_newer.search(text):
             return find(text)
         ends = np.cumsum([len(w) for w in find(is_newer.sub("\ue000", text))]).tolist()
         return [text[a:b] for a, b in zip([0, *ends], ends)]
