@@ -122,27 +122,26 @@ class DensityGrid:
     side: tuple[float, ...]
     per_axis: int
 
-    @property
-    def max_cells(self) -> int:
-        # the upper edge falls into one extra cell per axis
-        return (self.per_axis + 1) ** len(self.side)
-
     def cell(self, vec: str) -> Column:
         arr = vector_to_array(F.col(vec))
         return F.array(
             *[
-                F.greatest(F.lit(-1), F.least(F.floor((arr[i] - F.lit(o)) / F.lit(s)), F.lit(self.per_axis))).cast("long")
+                F.floor((arr[i] - F.lit(o)) / F.lit(s)).cast("long")
                 for i, (o, s) in enumerate(zip(self.origin, self.side))
             ]
         )
 
 
 def density_grid(df: DataFrame, vec: str, dims: int = 2, cells: int = 24) -> DensityGrid:
-    """A grid of ``cells`` per axis between the extremes of the leading components."""
+    """A grid over the leading components, ``cells`` per axis between their 5% and 95% quantiles and as wide beyond.
+
+    A few far rows therefore do not widen the cells of all others.
+    """
     arr = vector_to_array(F.col(vec))
     width = df.select(F.size(arr).alias("n")).first()["n"]
     dims = min(dims, width)
-    row = df.agg(*[f(arr[i]).alias(f"{n}{i}") for i in range(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    ends = (("lo", 0.05), ("hi", 0.95))
+    row = df.agg(*[F.percentile_approx(arr[i], p, 10_000).alias(f"{n}{i}") for i in range(dims) for n, p in ends]).first()
     side = tuple(((row[f"hi{i}"] - row[f"lo{i}"]) / cells) or 1.0 for i in range(dims))
     return DensityGrid(tuple(row[f"lo{i}"] for i in range(dims)), side, cells)
 
@@ -153,7 +152,7 @@ def dense_components(df: DataFrame, vec: str, grid: DensityGrid, min_cell_rows:
     Dense cells that touch form a component; strength is the cell's row count
     relative to the densest cell of its component.  Components with fewer rows
     than ``min_cluster_size`` are noise and left out.  Work after the first
-    count is on cells, of which there are at most cells ** dims.
+    count is on dense cells, which each hold ``min_cell_rows`` rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -189,8 +188,6 @@ def with_density(df: DataFrame, vec: str, grid: DensityGrid, components: DataFra
     """Add ``density_component`` and ``density_strength`` (NULL and 0 for noise)."""
     celled = df.withColumn("cell", grid.cell(vec))
     named = components.select("cell", F.col("component").alias("density_component"), F.col("strength").alias("density_strength"))
-    if grid.max_cells <= 1_000_000:
-        named = F.broadcast(named)  # no more rows than the grid has cells
     return (
         celled.join(named, "cell", "left")
         .withColumn("density_strength", F.coalesce("density_strength", F.lit(0.0)))
@@ -244,6 +241,8 @@ def fit_mixture(
         bic = {k: mixture_bic(ll, n, k, d) for k, (ll, _) in best.items()}
     finally:
         data.unpersist()
+    if not bic:
+        raise ValueError("no mixture could be fitted: every likelihood was undefined")
     chosen = min(bic, key=lambda k: (bic[k], k))
     return MixtureChoice(best[chosen][1], chosen, bic)
 

@@ -84,7 +84,3 @@ def score_rows(rows: DataFrame, bundle: ClusterBundle, block_rows: int = 2048) -
 
 def append_scored(core: DataFrame, scored: DataFrame) -> DataFrame:
     return core.unionByName(scored, allowMissingColumns=True)
-
-
-def scoring_columns() -> Sequence[str]:
-    return ("cluster", "cluster_prob", "density_strength", "silhouette")

@@ -203,6 +203,8 @@ def _block_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     if left.empty or right.empty:
         return pd.DataFrame({"id": pd.Series(dtype="int64"), "cluster": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64"), "n": pd.Series(dtype="int64")})
     a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
+    centre = b.mean(axis=0)  # far from the origin the squares would cancel
+    a, b = a - centre, b - centre
     a2, b2 = (a * a).sum(1), (b * b).sum(1)
     groups, codes = np.unique(right["cluster"].to_numpy(), return_inverse=True)
     member = np.zeros((len(b), len(groups)))
@@ -303,10 +305,20 @@ def silhouette_squared(points: DataFrame) -> DataFrame:
     m = _cluster_moments(points)
     table = m.agg(F.collect_list(F.struct("cluster", "center", "sq_norm", "n")).alias("all"))  # one entry per cluster
     own = points.select("id", "vec", F.col("cluster").alias("own"))
-    joined = own.withColumn("all", table.scalar()).select("id", "vec", "own", F.inline("all"))
-    sq = _dot(F.col("vec"), F.col("vec")) + F.col("sq_norm") - 2 * _dot(F.col("vec"), F.col("center"))
-    sums = joined.select("id", "cluster", (F.greatest(sq, F.lit(0.0)) * F.col("n")).alias("dist"), "n")
-    return _silhouette_from(sums, own.select("id", "own"), 1)
+    joined = own.withColumn("all", table.scalar()).withColumn("norm", _dot(F.col("vec"), F.col("vec")))
+    # mean squared distance to every cluster, side by side in the row; nothing is shuffled after the moments
+    means = F.transform(
+        "all",
+        lambda c: F.struct(c["cluster"].alias("cluster"), c["n"].alias("n"), F.greatest(F.col("norm") + c["sq_norm"] - 2 * _dot(F.col("vec"), c["center"]), F.lit(0.0)).alias("d")),
+    )
+    told = joined.select("id", "own", means.alias("means")).select(
+        "id", "own",
+        F.element_at(F.filter("means", lambda c: c["cluster"] == F.col("own")), 1).alias("mine"),
+        F.array_min(F.transform(F.filter("means", lambda c: c["cluster"] != F.col("own")), lambda c: c["d"])).alias("b"),
+    )
+    within = F.try_divide(F.col("mine.d") * F.col("mine.n"), F.col("mine.n") - 1)
+    s = F.when(F.col("mine.n") <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(F.col("b") - within, F.greatest(F.col("b"), within)), F.lit(0.0)))
+    return told.select("id", F.col("own").cast("long").alias("cluster"), s.alias("silhouette"))
 
 
 def davies_bouldin(points: DataFrame) -> DataFrame:

@@ -18,11 +18,6 @@ def restrict_to_cohort(df: DataFrame, cohort: DataFrame, entity: str = "entity")
     return df.join(cohort.select(entity), entity, "left_semi")
 
 
-def attach(df: DataFrame, per_entity: DataFrame, how: str = "left") -> DataFrame:
-    """Attach one-row-per-entity columns (anchor, baseline, bridge id)."""
-    return df.join(per_entity, "entity", how)
-
-
 def attach_bridge(df: DataFrame, bridge: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Replace a visit key by its entity through a ``(key, entity)`` bridge."""
     return df.join(bridge.select(key, "entity").distinct(), key, how).drop(key)

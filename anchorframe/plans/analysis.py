@@ -42,7 +42,7 @@ class ClusterSettings:
     seed: int = 42
     max_iter: int = 100
     min_effect: float = 0.01
-    squared_silhouette: bool = False
+    squared_silhouette: bool = True
 
 
 def analyse_clusters(

@@ -144,9 +144,3 @@ def as_intervals(
             (to_double(amount) if amount else F.lit(None).cast("double")).alias("amount"),
         )
     )
-
-
-def as_anchors(df: DataFrame, entity: str, ts: str) -> DataFrame:
-    """One row per entity: its earliest anchor (NULL when it has none)."""
-    rows = _entity(df.select(F.col(entity).alias("entity"), F.col(ts).cast("timestamp").alias("anchor_ts")))
-    return rows.groupBy("entity").agg(F.min("anchor_ts").alias("anchor_ts"))
