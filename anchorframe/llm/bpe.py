@@ -32,6 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorframe.llm.common import small_batches
+
 #: The byte-level pre-token pattern (fixed value of the public vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK_CHARS = 6_000_000
@@ -163,7 +165,7 @@ def split_chunks(docs: DataFrame, special: list[str], newer: str, buckets: int,
         if ids:
             yield rows()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ROWS)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ROWS)
 
 
 SCHEMA = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("check", pa.int64()), ("doc_ids", pa.binary()),

@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from functools import reduce
 
 import anchorframe
 from pyspark import cloudpickle
@@ -67,8 +66,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+#: What a Python task holds of its input at a time.  Texts differ in length by far, so bytes are bounded too.
+BATCH_ROWS, BATCH_BYTES = 4_000, 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after its session has been told to hand rows to Python in small batches; a long row is a batch of its own."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        if conf.get(name, None) is None:  # what the session sets itself stays
+            conf.set(name, str(most))
+    return df
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorframe.llm.common import small_batches
+
 # Base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -78,7 +80,7 @@ def template_frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[byt
                     counts[w] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long")
+    counted = small_batches(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long")
     return {bytes(r["word"]): r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -144,4 +146,4 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     fields = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, fields)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, fields)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorframe.llm.common import small_batches
 from anchorframe.llm.dom import BLOCK, Element, parse, text_of
 
 #: Pages that the forest is trained on, at most.
@@ -307,5 +308,5 @@ def extracted(pages: DataFrame, rows: int = TRAIN_PAGES) -> DataFrame:
                 texts = main_texts(part.column(2).to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    found = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, url string, text string")
+    found = small_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, url string, text string")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

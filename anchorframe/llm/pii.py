@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorframe.llm.common import small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
@@ -190,7 +192,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
             spans = [[dict(zip(("kind", "start", "end", "base"), s)) for s in find_spans(t.as_py())] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, spans {SPANS}")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, spans {SPANS}")
 
 
 def redact(text: str | None) -> str | None:
@@ -217,5 +219,5 @@ def redacted(docs: DataFrame) -> DataFrame:
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(redact, na_action="ignore")
 
-    out = docs.withColumn("text", clean(F.col("text")))
+    out = small_batches(docs).withColumn("text", clean(F.col("text")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

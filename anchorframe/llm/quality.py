@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anchorframe.llm.common import small_batches
 from anchorframe.llm.sampling import in_fold, labelled_sample
 
 #: Labelled rows that the model is fitted on, at most.
@@ -70,7 +71,7 @@ def feature_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [x], [*keep, "x"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{schema}, x array<double>")
+    return small_batches(docs).select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{schema}, x array<double>")
 
 
 @dataclass
@@ -219,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0,
 
 def score_column(docs: DataFrame, model: AdditiveModel) -> Column:
     """Scores of the text column by vectorised look-ups."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # the tables' size is fixed by the number of bins
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)  # the tables' size is fixed by the number of bins
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

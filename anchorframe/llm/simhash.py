@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorframe.llm.common import components, written
+from anchorframe.llm.common import components, small_batches, written
 
 BITS = 64
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), k, seed) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
 def segment_balls(max_bits: int, segments: int) -> list[tuple[int, int, int]]:

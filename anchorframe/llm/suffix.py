@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anchorframe.llm.bpe import ragged
-from anchorframe.llm.common import written
+from anchorframe.llm.common import small_batches, written
 
 GRAM = 24
 #: Windows of a segment, at most (longer runs, as in periodic text, are cut); segments of a shard, about.
@@ -145,7 +145,7 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(v, mask=late), pa.array(doc), pa.array(place)], schema=schema)
 
     usable = docs.filter("doc_id is not null and octet_length(text) >= " + str(length))
-    return usable.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "a long, v long, doc_id long, place long")
+    return small_batches(usable).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "a long, v long, doc_id long, place long")
 
 
 def _late(a: np.ndarray, v: np.ndarray, doc: np.ndarray, place: np.ndarray, before: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:

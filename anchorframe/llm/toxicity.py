@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorframe.llm.common import alnum_words, written
+from anchorframe.llm.common import alnum_words, small_batches, written
 from anchorframe.llm.sampling import in_fold, labelled_sample
 
 #: Labelled rows that lexicon and weights are learned from, at most; lexicon terms, at most.
@@ -226,7 +226,7 @@ def _with_features(docs: DataFrame, terms: dict[str, float], keep: list[str]) ->
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [x], [*keep, "x"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{schema}, x array<double>")
+    return small_batches(docs).select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{schema}, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2, rows: int = TRAIN_ROWS) -> ToxicityModel:
