@@ -36,7 +36,9 @@ from anchorframe.llm.common import small_batches
 
 #: The byte-level pre-token pattern (fixed value of the public vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 3_000_000
+#: Decoded characters of a result batch, about; results leave Python in such pieces.
+OUT_CHARS = 500_000
 ROWS = "chunk string, bucket int, check long, doc_ids binary, counts binary, codes binary, owners binary, words binary"
 OUT = "doc_id long, n_tokens long, ids binary, decoded string"
 
@@ -226,8 +228,9 @@ def assemble(parts: DataFrame, table) -> DataFrame:
         ids = np.concatenate([unpack(r["codes"]) for r in asked] or [np.empty(0, np.uint32)])
         blob, edges = table.value
         blob = np.frombuffer(blob, np.uint8)
-        out = {"doc_id": [], "n_tokens": [], "ids": [], "decoded": []}
-        at = 0
+        schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
+        out: dict[str, list] = {c: [] for c in schema.names}
+        done, at, chars = [], 0, 0
         for i, k in enumerate(per_doc.tolist()):
             words = codes[at : at + k]
             at += k
@@ -236,7 +239,11 @@ def assemble(parts: DataFrame, table) -> DataFrame:
             out["n_tokens"].append(len(own))
             out["ids"].append(own.astype("<u4").tobytes())
             out["decoded"].append(blob[ragged(edges[own], edges[own + 1] - edges[own])].tobytes().decode("utf-8", "replace"))
-        return pa.table(out, schema=pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())]))
+            chars += len(out["decoded"][-1])
+            if chars >= OUT_CHARS:
+                done.append(pa.table(out, schema=schema))
+                out, chars = {c: [] for c in schema.names}, 0
+        return pa.concat_tables([*done, pa.table(out, schema=schema)])
 
     return parts.groupBy("chunk").applyInArrow(run, OUT)
 
