@@ -86,18 +86,3 @@ def test_save_load_score_and_stream(spark, found, tmp_path):
     got = {r["entity"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert set(got) == {1000, 1001, 1002}
     assert got[1001]["silhouette"] == pytest.approx(scored[1001]["silhouette"])
-
-
-def test_density_core_is_not_moved_by_one_far_row(spark):
-    rng = np.random.default_rng(2)
-    blobs = np.r_[rng.normal(0, 1, (1000, 2)), rng.normal(12, 1, (1000, 2))]
-
-    def core(points):
-        df = spark.createDataFrame([(i, Vectors.dense(p.tolist())) for i, p in enumerate(points)], ["entity", "v"])
-        grid = cl.density_grid(df, "v", 2, 24)
-        found = cl.with_density(df, "v", grid, cl.dense_components(df, "v", grid, 5, 50))
-        return {r.entity: r.density_component for r in found.filter("density_strength > 0").collect()}
-
-    plain, far = core(blobs), core(np.r_[blobs, [[5000.0, -4000.0]]])
-    assert len({str(c) for c in plain.values()}) == 2 == len({str(c) for c in far.values()})
-    assert 2000 not in far and len(set(plain) ^ set(far)) < 50
