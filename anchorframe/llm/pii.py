@@ -5,8 +5,9 @@ keeping for every output character the source characters it came from: homoglyph
 become digits, disguised at and dot signs become "@" and ".".  The same detectors run on the rewritten text; spans that
 hold a rewritten part are mapped back to the source and added.
 
-Bare words " at " and " dot " are common in prose, so they are rewritten only together and before a common domain ending
-(x at y dot com); digit words only in runs of at least four.  Texts without any disguise (no homoglyph, bracketed or bare at/dot, four digit words) skip the
+Bare words " at " and " dot " are common in prose, so a dot is rewritten only in the domain or the local part of an at sign
+(plain, bracketed or bare), and a bare at only with such a dot; words that make "dot" a noun ("at the dot", "dot product")
+stop both. Digit words are rewritten only in runs of at least four.  Texts without any disguise (no homoglyph, bracketed or bare at/dot, four digit words) skip the
 transducers.
 
 Defined cases: a null text is empty and has no spans; offsets are code points, end exclusive; every row gives a row,
@@ -84,12 +85,15 @@ DIGIT_WORDS = {w: str(d) for words in (
 MIN_DIGIT_WORDS = 4
 
 _BRACKETED = re.compile(r"[\[({<]\s*(at|dot|punkt|point|punto|arroba)\s*[\])}>]", re.I)
-# What a domain may end in for bare words to count as an address.
-_TOP = "com|org|net|edu|gov|info|biz|io|eu|uk|us|de|fr|es|it|ch|at|nl|ca|au|in|br|mx|example|test"
-_DOTS = rf"[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+){{0,4}}\s+dot\s+(?:{_TOP}))(?![A-Za-z0-9-])"
-_BARE = re.compile(rf"(?<=[A-Za-z0-9])\s+at\s+(?={_DOTS})", re.I)
-_DOTS_AFTER = re.compile(_DOTS, re.I)
-_DOT_WORD = re.compile(r"\s+dot\s+", re.I)
+_BARE = re.compile(r"(?<=[A-Za-z0-9])(?:\s++(at|dot)(?=\s++[A-Za-z0-9])|\s*+(@)\s*+(?=[A-Za-z0-9]))", re.I)
+_SPACE = re.compile(r"\s*")
+_NAMES = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+_LAST_WORD = re.compile(r"[A-Za-z]+\Z")
+# Words before a dot that make it a noun, and words (no domain ends in them) and numbers after one in prose.
+_BEFORE_NOUN = frozenset("the this that these those each every any some another which what its his her their my your our either neither no".split())
+_ENDS_NOTHING = frozenset(
+    "on of and or the was were are has had have that which with from for when where while then than into onto over under above below between near "
+    "this these those but not if product products matrix notation plot plots pattern patterns operator syntax graph".split()) | DIGIT_WORDS.keys()
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:plus[ -]+)?(?:{_WORD})(?:(?:[ -]+(?:dot[ -]+)?|[ ]*\.[ ]*)(?:{_WORD}|[0-9]+)(?![^\W_]))+", re.I)
 _SPELLED_PART = re.compile(rf"plus|dot|\.|{_WORD}|[0-9]+", re.I)
@@ -135,20 +139,65 @@ def spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-def sign_edits(text: str) -> list[tuple[int, int, str]]:
-    edits = []
+def _links(text: str) -> list[tuple[int, int, str, bool]]:
+    """(start, end, sign, sure) of at and dot signs with the space around them; bare words and spaced "@" are not sure."""
+    found = []
     for m in _BRACKETED.finditer(text):
         a, b = m.span()
         while a and text[a - 1].isspace():
             a -= 1
         while b < len(text) and text[b].isspace():
             b += 1
-        edits.append((a, b, "@" if m.group(1).lower() in ("at", "arroba") else "."))
+        found.append((a, b, "@" if m.group(1).lower() in ("at", "arroba") else ".", True))
     for m in _BARE.finditer(text):
-        dots = _DOTS_AFTER.match(text, m.end())
-        edits.append((m.start(), m.end(), "@"))
-        edits += [(d.start(), d.end(), ".") for d in _DOT_WORD.finditer(text, dots.start(1), dots.end(1))]
-    edits.sort()
+        end = _SPACE.match(text, m.end()).end()
+        found.append((m.start(), end, "." if (m.group(1) or "").lower() == "dot" else "@", m.group() == "@"))
+    found.sort()
+    return [x for i, x in enumerate(found) if not i or x[0] >= found[i - 1][1] or x[2] == found[i - 1][2] == "."]
+
+
+def _ending(name: str) -> bool:
+    last = name.rpartition(".")[2]
+    return len(last) > 1 and last.isalpha() and last.lower() not in _ENDS_NOTHING
+
+
+def sign_edits(text: str) -> list[tuple[int, int, str]]:
+    """Bracketed signs, and the bare words of addresses: dots in the domain and the local part of an at sign, and the at.
+
+    A bare at (or spaced "@") belongs to an address if a dot is disguised in its domain, or in its local part before a
+    dotted domain.  Signs are settled from the right, since what follows an at may be the local part of the next.
+    """
+    links = _links(text)
+    chosen = {i for i, (a, b, _, sure) in enumerate(links) if sure and text[a:b] != "@"}
+    next_address = -1  # start of the local part that is settled next to the right
+    for i in range(len(links) - 1, -1, -1):
+        start, end, sign, sure = links[i]
+        if sign == "." or not (start and text[start - 1] in _LOCAL) or not (m := _NAMES.match(text, end)):
+            continue
+        names, last = [m.group()], i
+        while last + 1 < len(links) and links[last + 1][2] == "." and links[last + 1][0] == m.end() and (n := _NAMES.match(text, links[last + 1][1])):
+            m, last = n, last + 1
+            names.append(m.group())
+        # the chain is the next address's local part, not a domain
+        if not sure and end == next_address:
+            continue
+        while last > i and not links[last][3] and not _ending(names[last - i]):
+            last -= 1
+        first, at = i, start
+        while first and links[first - 1][2] == "." and (run := text[links[first - 1][1] : at]) and _LOCAL.issuperset(run):
+            a, _, _, known = links[first - 1]
+            word = _LAST_WORD.search(text[max(0, a - 12) : a])
+            if not (a and text[a - 1] in _LOCAL) or not known and word and word.group().lower() in _BEFORE_NOUN:
+                break
+            first, at = first - 1, a
+        dotted = last > i or "." in names[0] and (sure or first < i and _ending(names[0]))
+        if not dotted or not sure and names[0].lower() in _BEFORE_NOUN | {"a", "an"}:
+            continue
+        chosen.update(range(first, last + 1))
+        next_address = at
+        while next_address and text[next_address - 1] in _LOCAL:
+            next_address -= 1
+    edits = [(a, b, sign) for i, (a, b, sign, _) in enumerate(links) if i in chosen and text[a:b] != sign]
     return [e for i, e in enumerate(edits) if not i or e[0] >= edits[i - 1][1]]
 
 

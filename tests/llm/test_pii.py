@@ -66,3 +66,24 @@ def test_table_and_redaction(docs):
     by = {r.doc_id: r for r in clean.collect()}
     assert by[1].text == "mail [EMAIL] or [PHONE], é [EMAIL]" and by[1].n_chars == len(by[1].text) and by[2].text is None and by[3].text == ""
     assert pii.personal_data(docs([])).count() == 0 and pii.redacted(docs([])).count() == 0
+
+
+def test_bare_dots_next_to_any_at_sign():
+    for source in (*(f"jane at example dot {e}" for e in ("dev", "co", "se", "pl", "ai", "app", "museum", "co dot uk")), "joe (at) mail dot org", "joe@mail dot org", "joe at mail [dot] org",
+                   "john dot smith at example dot com", "john dot smith@example.com", "j dot r dot smith [at] a dot b dot c dot d dot e dot f dot se", "john dot smith at example.com",
+                   "a dot smith at mail.example dot io", "JOE AT MAIL DOT DE", "joe @ mail dot org", "john [dot] smith at mail dot co.uk"):
+        for text in (source, f"write me at {source} at noon", f"reach ({source}), thanks", f"{source}\njoe at mail dot org"):
+            assert ("email", source, False) in [(k, text[a:b], base) for k, a, b, base in pii.find_spans(text)], text
+
+
+def test_prose_with_at_and_dot_gains_nothing():
+    for text in ("he looked at the dot on it", "stare at this dot in turn", "good at vector dot products", "sold at one dot five", "we stood at home. Dot was there", "look at each dot it draws",
+                 "at noon the dot com boom ended", "they laughed at the dot com bubble", "see the docs at example.com", "the dot at example.com is red", "@joe dot com", "dot at dot", "x at y dot 5"):
+        assert pii.find_spans(text) == [], text
+
+
+def test_many_signs_take_linear_time():
+    began = time.time()
+    for text in ("a dot " * 100_000, "a at " * 100_000, "a@b dot " * 50_000, "a (dot) " * 50_000, "a at b dot " * 50_000, "a dot b at " * 50_000, "a" + " \n" * 100_000 + "dot", "a @ " * 50_000):
+        pii.find_spans(text)
+    assert time.time() - began < 20
