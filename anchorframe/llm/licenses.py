@@ -1,10 +1,13 @@
 """License scans: which license templates and phrases a text holds.
 
-Templates are found by an exact set-similarity join between the texts' blocks (their non-empty lines) and a table of
-templates.  Words are ordered by how many documents of the whole table hold them, rarest first.  A block that holds at
+Templates are found by an exact set-similarity join between the texts' blocks and a table of templates.  Blocks are the
+lines, each taken whole, and, for notices that are wrapped, all runs of words across the line ends of a paragraph (lines up
+to a blank one) that are as long as the template; comment marks and comment words at line starts drop out.  (Longer runs
+take the words of a neighbouring line for a notice's: CC BY-SA next to a BY-NC would be both.)  Words are ordered by how many documents of the whole table hold them, rarest first.  A block that holds at
 least a share t of a template's n distinct words must hold one of the n - ceil(t n) + 1 rarest (prefix filter), must have
 at least ceil(t n) distinct words itself (length filter), and what can still follow a shared word in both orders must
-suffice (positional filter); what passes is verified on the sets.  The filters lose no block.
+suffice (positional filter); what passes is verified on the sets.  The filters see whole paragraphs, which hold all that
+their blocks hold, so they lose no block.
 
 Defined cases: a null text is empty, with no words, no labels and score 0; every row gives a row, whatever its doc_id;
 further columns are ignored; a block of any length is taken whole.
@@ -13,6 +16,7 @@ further columns are ignored; a block of any length is taken whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from math import ceil
 
 import pyarrow as pa
@@ -43,6 +47,8 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
 THRESHOLD = 0.9
+# Words that mark a line as a comment.
+COMMENTS = frozenset((b"dnl", b"rem"))
 
 _WORDS = bytes(ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(128)) + bytes(range(128, 256))
 
@@ -91,10 +97,12 @@ class TemplateIndex:
         self.rank = {w: i for i, w in enumerate(sorted(frequency, key=lambda w: (frequency[w], w)))}
         self.sets: dict[str, frozenset[bytes]] = {}
         self.needed: dict[str, int] = {}
+        self.lengths: dict[str, int] = {}
         self.postings: dict[bytes, list[tuple[str, int]]] = {}
         for label, text in sorted(templates.items()):
             order = sorted(set(words_of(text)), key=self.rank.__getitem__)
             self.sets[label], self.needed[label] = frozenset(order), ceil(threshold * len(order) - 1e-9)
+            self.lengths[label] = len(words_of(text))
             for place, w in enumerate(order[: len(order) - self.needed[label] + 1]):
                 self.postings.setdefault(w, []).append((label, place))
         self.prefixes = frozenset(self.postings)
@@ -116,6 +124,52 @@ class TemplateIndex:
                 if shared >= need:
                     yield label, shared / len(self.sets[label])
 
+    def _wrapped(self, words: list[bytes], label: str) -> int:
+        """The most of the template's words in one run of words that is as long as the template."""
+        wanted, width = self.sets[label], self.lengths[label]
+        hits = [(i, w) for i, w in enumerate(words) if w in wanted]
+        inside: dict[bytes, int] = {}
+        most = first = 0
+        for i, w in hits:
+            inside[w] = inside.get(w, 0) + 1
+            while hits[first][0] <= i - width:
+                gone = hits[first][1]
+                first += 1
+                inside[gone] -= 1
+                if not inside[gone]:
+                    del inside[gone]
+            most = max(most, len(inside))
+        return most
+
+    def found(self, text: bytes) -> dict[str, float]:
+        """The largest containment by label of the templates that a block of the text holds."""
+        best: dict[str, float] = {}
+        for lines in _paragraphs(text):
+            paragraph = b"\n".join(lines)
+            candidates = dict(self.matches(paragraph))
+            if not candidates:
+                continue
+            for label, share in candidates.items() if len(lines) == 1 else (m for line in lines for m in self.matches(line)):
+                best[label] = max(share, best.get(label, 0.0))
+            if len(lines) > 1:
+                words = [w for line in lines for w in _uncommented(line)]
+                for label, share in candidates.items():
+                    if best.get(label, 0.0) < share and (n := self._wrapped(words, label)) >= self.needed[label]:
+                        best[label] = max(n / len(self.sets[label]), best.get(label, 0.0))
+        return best
+
+
+def _uncommented(line: bytes) -> list[bytes]:
+    words = words_of(line)
+    return words[1:] if words and words[0] in COMMENTS else words
+
+
+def _paragraphs(text: bytes) -> Iterator[list[bytes]]:
+    """Runs of lines that are not blank."""
+    for blank, lines in groupby(text.split(b"\n"), lambda line: not line.strip()):
+        if not blank:
+            yield list(lines)
+
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """One row for every row of docs.
@@ -137,10 +191,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
                 words = words_of(data)
                 places = {label: found for label, phrase in split.items() if (found := phrase_places(words, phrase))}
                 starts = [p for found in places.values() for p in found]
-                found: dict[str, float] = {}
-                if not index.prefixes.isdisjoint(words):
-                    for label, share in (m for line in data.split(b"\n") for m in index.matches(line)):
-                        found[label] = max(share, found.get(label, 0.0))
+                found = {} if index.prefixes.isdisjoint(words) else index.found(data)
                 out.append({"doc_id": doc_id, "n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
                             "base_labels": sorted(places), "labels": sorted({*places, *found}), "score": 1.0 if places else max(found.values(), default=0.0)})
             yield pa.RecordBatch.from_pylist(out, schema=schema)

@@ -40,3 +40,23 @@ def test_brute_force(docs):
     assert sorted(((r.doc_id, *(r[f] for f in fields)) for r in got), key=key) == sorted(((i, *brute(t)) for i, t in rows), key=key)
     assert any(r.labels != r.base_labels for r in got)
     assert licenses.scan(docs([])).count() == 0
+
+
+def test_wrapped_notices(docs):
+    rows, want = [], []
+    for label, template in licenses.TEMPLATES.items():
+        words = template.split()
+        for mark in ("", "# ", " * ", "// ", "dnl "):
+            for width in (1, 4, 9):
+                body = [mark + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+                rows.append((len(rows), "\n".join(["intro words", "", "code above", *body, "more code below", "", "end"])))
+                want.append(label)
+    got = {r.doc_id: r for r in licenses.scan(docs(rows)).collect()}
+    for i, label in enumerate(want):
+        assert label in got[i].labels and got[i].score == 1.0, rows[i]
+
+
+def test_words_far_apart_are_no_notice(docs):
+    words = licenses.TEMPLATES["mit-grant"].split()
+    rows = [(1, ("\n" + "other " * 9 + "\n").join(words)), (2, "\n\n".join(words)), (3, " ".join(words[:9]) + "\n\n" + " ".join(words[9:]))]
+    assert all(not r.labels for r in licenses.scan(docs(rows)).collect())
