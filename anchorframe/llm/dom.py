@@ -17,9 +17,11 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _SCOPE = frozenset("ul ol dl table html body article main section aside nav div header footer form menu".split())
 _ENDS_P = BLOCK - {"br", "html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "legend", "summary", "caption"}
 
-# Possessive and bounded, so that broken markup costs little: a tag that does not end within bounds is text.
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/><]{0,63}+)((?:[^>"']{1,4096}+|"[^"]{0,65535}"|'[^']{0,65535}'|["']){0,200}+)>""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|data-role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)")
+_PLAIN = re.compile(r"""[^>"'=]*+(?:=\s*+)?""")
+_ATTRIBUTE = re.compile(r"""([^\s/=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*+))?""")
+_USED = frozenset("class id role itemprop aria-label data-role hidden style".split())
 _TOKEN = re.compile(r"[a-z]+")
 
 
@@ -32,13 +34,31 @@ class Element:
         self.hidden = tag in HIDDEN
         self.at = 0
         if attributes:
-            found = [(k.lower(), v.strip("\"'")) for k, v in _ATTRIBUTE.findall(attributes)]
+            found = [(k.lower(), v.strip("\"'")) for k, v in _ATTRIBUTE.findall(attributes) if k.lower() in _USED]
             named = " ".join(v for k, v in found if k not in ("style", "hidden"))
             named = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()
             self.tokens = frozenset(_TOKEN.findall(named))
             self.hidden |= any(k == "hidden" or k == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v, re.I) for k, v in found)
 
 
+def _tag_end(html: str, at: int, last: int) -> int:
+    """The ">" that ends a tag whose attributes begin here: the first one outside quoted values; -1 if none follows.
+
+    A quote opens a value only after "="; one that is not closed before the last ">" of the page stands for itself, so that
+    a ">" is always found and nothing is read twice.
+    """
+    while at < last:
+        m = _PLAIN.match(html, at)
+        at = m.end()
+        c = html[at] if at < len(html) else ">"
+        if c in "\"'" and m.group().rstrip().endswith("=") and at < (close := html.find(c, at + 1, last)):
+            at = close
+        elif c == ">":
+            break
+        at += 1
+    return at if at <= last else -1
+
+
 def parse(html: str) -> list[Element]:
     """All elements in page order, the root first.  An element's parts are its texts (str) and child elements."""
     root = Element("html", None)
@@ -65,17 +85,19 @@ def parse(html: str) -> list[Element]:
         begin = html.find("<", at)
         if begin < 0 or begin > last and not html.startswith("<!--", begin):
             break
-        m = _TAG.match(html, begin)
-        if m is None:
+        m = _NAME.match(html, begin)
+        end = _tag_end(html, m.end(), last) if m else -1
+        if m and end < 0 or not m and not (markup := _MARKUP.match(html, begin)):
             text(html[at : begin + 1])
             at = begin + 1
             continue
         text(html[at:begin])
-        at = m.end()
-        if m.group(2) is None:
-            if m.group().startswith("<![CDATA["):
-                text(m.group()[9:].removesuffix("]]>"))
+        if not m:
+            at = markup.end()
+            if markup.group().startswith("<![CDATA["):
+                text(markup.group()[9:].removesuffix("]]>"))
             continue
+        attributes, at = html[m.end() : end], end + 1
         tag = m.group(2).lower()
         if m.group(1):
             if tag == "br":
@@ -91,7 +113,7 @@ def parse(html: str) -> list[Element]:
             close(_CLOSES[tag], _SCOPE - {"div"} if tag == "li" else _SCOPE)
         if tag in ("body", "nav", "header", "main", "article", "div") and top.tag == "head":
             top = root
-        element = Element(tag, top, m.group(3))
+        element = Element(tag, top, attributes)
         element.at = len(out)
         top.children.append(element)
         top.parts.append(element)
@@ -99,7 +121,7 @@ def parse(html: str) -> list[Element]:
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = end.end() if end else n
-        elif tag not in VOID and not m.group(3).rstrip().endswith("/"):
+        elif tag not in VOID and not attributes.rstrip().endswith("/"):
             top = element
     text(html[at:])
     return out

@@ -62,3 +62,19 @@ def test_defined_cases(spark):
     got = pages.extracted(df).collect()
     assert len(got) == 5 and {r.text for r in got if r.page_id in (2, 3)} == {""} and [r.text for r in got if r.page_id == 1] == ["x", "x"]
     assert pages.extracted(df.limit(0)).count() == 0
+
+
+def test_tags_of_any_length():
+    uri, pairs = "data:image/png;base64," + "A" * 2_000_000, ", ".join(f'"key{i}": "a > b hidden {i}"' for i in range(20_000))
+    for attribute in (f'src="{uri}"', f"src={uri}", f"data-props='{{{pairs}}}'", 'title="' + "a > b " * 50_000 + '"', " ".join(f"a{i}='>'" for i in range(5000))):
+        page = f'<article><p>before</p><div {attribute} class="story" id=main>inside</div><p>after</p></article>'
+        assert everything(page) == "before inside after"
+        div = next(e for e in parse(page) if e.tag == "div")
+        assert div.tokens == {"story", "main"} and not div.hidden
+    assert everything("<p " + "x" * 10_000) == "<p " + "x" * 10_000 and everything("a <b c=\"d>e</b> f") == "a e f"
+    assert everything(f"<{'x' * 100}>y</{'x' * 100}>z") == "yz"
+    began = time.time()
+    for part in ("<p a='>' ", "<p a=", "<p a=\"", "<p =\"'>", "<a\"", "<p a = "):
+        for tail in ("", ">", "'>", "'>'", "\">\""):
+            everything(part * 20_000 + tail)
+    assert time.time() - began < 20
