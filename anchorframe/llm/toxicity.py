@@ -3,7 +3,8 @@
 The lexicon holds the words that mark toxic documents among a bounded sample of labelled ones (by smoothed log odds).
 Every word of a text runs through the intersection of the trie with the Levenshtein automaton: its states are sets of
 (trie node, errors), made when first needed, so a word leaves as soon as no lexicon term is within reach.  A hit's
-context window decides whether it is quoted (quotation marks around it, or a reporting word shortly before); what the
+context window decides whether it is quoted (it lies between a pair of quotation marks, one of them within the window, or
+a reporting word stands shortly before); what the
 hits of a text add up to is weighed by a logistic model fitted on the same sample.
 
 Defined cases: a null text is empty; a text without words has a score like any other; every row gives a row; a null
@@ -13,6 +14,7 @@ without any label); further columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,6 +38,9 @@ ADDRESS = frozenset(w.encode() for w in "you your youre are u du dich dir bist i
 
 _LOWER = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalnum() or c >= 128 else 32 for c in range(128)) + bytes(range(128, 256))
 _QUOTES = "\"“”„«»‹›"
+_MARK = re.compile(rf"[{_QUOTES}]|\n\s*\n")
+_STRAIGHT = str.maketrans(dict.fromkeys(_QUOTES, '"'))
+_FAMILY = {c: f for f in ('"', "“”„", "«»", "‹›") for c in f}
 
 
 def allowed_errors(term: str) -> int:
@@ -128,7 +133,8 @@ class Scorer:
         self.hits: dict[bytes, tuple[float, int]] = {}
 
     def features(self, text: str | None) -> list[float]:
-        words = (text or "").encode().translate(_LOWER).split()
+        marked = any(q in (text or "") for q in _QUOTES)
+        words = (text or "").translate(_STRAIGHT).encode().translate(_LOWER).split() if marked else (text or "").encode().translate(_LOWER).split()
         distinct = set(words)
         for w in distinct - self.seen:
             found = self.trie.find(w.decode())
@@ -141,7 +147,7 @@ class Scorer:
         own = distinct & self.hits.keys()
         if not own:
             return [0.0] * (len(FEATURES) - 1) + [float(np.log1p(len(words)))]
-        quoted = self._quoted(text, own) if any(q in text for q in _QUOTES) else frozenset()
+        quoted = _quoted(text) if marked else frozenset()
         sums, strongest, address = np.zeros(4), 0.0, 0
         for i, w in enumerate(words):
             if w in own:
@@ -155,34 +161,53 @@ class Scorer:
         kinds = len({self.hits[w][0] for w in own if not self.hits[w][1]})
         return [*np.log1p(sums).tolist(), strongest, float(np.log1p(kinds)), float((sums[0] + sums[1]) / len(words)), float(np.log1p(address)), float(np.log1p(len(words)))]
 
-    def _quoted(self, text: str, own: set[bytes]) -> frozenset[int]:
-        """Positions of hits between a pair of quotation marks not further apart than the window."""
-        out, at, opened = set(), 0, None
-        for part in _split_quotes(text):
-            if part in _QUOTES:
-                if opened is not None and len(opened) <= WINDOW:
-                    out.update(opened)
-                    opened = None
-                else:
-                    opened = []
-                continue
-            words = part.encode().translate(_LOWER).split()
-            if opened is not None:
-                opened += range(at, at + len(words))
-            at += len(words)
-        return frozenset(out)
-
-
-def _split_quotes(text: str) -> Iterator[str]:
-    at = 0
-    for i, c in enumerate(text):
-        if c in _QUOTES:
-            if i > at:
-                yield text[at:i]
-            yield c
-            at = i + 1
-    if at < len(text):
-        yield text[at:]
+
+def _quotations(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the marks of each quotation, whatever its length; within a paragraph.
+
+    Directional marks pair by kind (also „x“, »x« and ”x”).  A straight mark opens after white space or a bracket, closes
+    before white space or punctuation, and does what is due where both or neither holds.  An opening mark that is not
+    closed before the next of its kind, and a closing mark without an opening one, are strays.
+    """
+    out, opened = [], {}
+    for m in _MARK.finditer(text):
+        c, i = m.group(), m.start()
+        if c not in _FAMILY:
+            opened.clear()
+            continue
+        family = _FAMILY[c]
+        before, after = text[i - 1 : i] or " ", text[i + 1 : i + 2] or " "
+        left, right = before.isspace() or before in "([{<-–—:", after.isspace() or after in ")]}>.,;:!?-–—"
+        begun = opened.get(family)
+        if c == '"':
+            closes = begun is not None if left == right else right
+        elif c == "„":
+            closes = False
+        elif c == "“":
+            closes = begun is not None and text[begun] == "„"
+        elif begun is None:
+            closes = c in "”»›" and not (left and not right)
+        else:
+            closes = not (text[begun] == c and c in "«‹")
+        if not closes:
+            opened[family] = i
+        elif begun is not None:
+            out.append((begun, i))
+            del opened[family]
+    return sorted(out)
+
+
+def _quoted(text: str) -> frozenset[int]:
+    """Positions of words between a pair of quotation marks that have one of the two within the window."""
+    out: set[int] = set()
+    places, at, last = {}, 0, 0
+    for m in re.finditer(f"[{_QUOTES}]", text):
+        at += len(text[last : m.start()].encode().translate(_LOWER).split())
+        places[m.start()], last = at, m.end()
+    for a, b in _quotations(text):
+        first, end = places[a], places[b]
+        out.update(range(first, min(end, first + WINDOW)), range(max(first, end - WINDOW), end))
+    return frozenset(out)
 
 
 def learn_lexicon(sample: DataFrame, min_docs: int = 3, min_odds: float = 2.0, max_terms: int = MAX_TERMS) -> dict[str, float]:

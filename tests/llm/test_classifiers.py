@@ -89,3 +89,19 @@ def test_additive_model_learns_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     model = quality.fit(x, y)
     assert (0, 1) in model.pairs and ((model.scores(x) > 0.5) == y).mean() > 0.9
+
+
+def test_long_quotations_and_stray_marks():
+    scorer, names = toxicity.Scorer({"idiot": 3.0}), toxicity.FEATURES
+    long = "nine or more words stand in this first quotation here"
+
+    def kinds(text):
+        x = scorer.features(text)
+        return x[names.index("abuse")] > 0, x[names.index("quoted")] > 0
+
+    for a, b in ('""', "“”", "„“", "«»", "»«", "‹›", "””"):
+        assert kinds(f"{a}{long}{b} you idiot {a}fine{b}") == (True, False), a + b
+        assert kinds(f"{a}{long} idiot{b} fine {a}idiot{b}") == (False, True), a + b
+        assert kinds(f"a {a}b{b} c {a}idiot{b}, d") == (False, True), a + b
+    assert kinds('a 5" pipe, you idiot "fine"') == (True, False) == kinds('a "stray you idiot "fine"') == kinds('a "stray\n\nyou idiot" b')
+    assert kinds('a 5" pipe, "idiot" b') == (False, True) == kinds("il dit « idiot » ici")
