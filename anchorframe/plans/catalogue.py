@@ -650,7 +650,7 @@ def density_core(spark, d):
 @query
 def gmm_bic(spark, d):
     core = cl.density_core(_dense(spark, d), 0.2)
-    choice = cl.fit_mixture(core, "projected", ks=(2, 3), starts=1, max_iter=25)
+    choice = cl.fit_mixture(core, "projected")
     rows = [(k, float(v), int(k == choice.k)) for k, v in choice.bic.items()]
     return spark.createDataFrame(rows, "k int, bic double, chosen int")
 
@@ -658,7 +658,7 @@ def gmm_bic(spark, d):
 @query
 def gmm_assign(spark, d):
     core = cl.density_core(_dense(spark, d), 0.2)
-    choice = cl.fit_mixture(core, "projected", ks=(3,), starts=1, max_iter=25)
+    choice = cl.fit_mixture(core, "projected")
     return cl.assign(core, choice.model).select("entity", "cluster", "cluster_prob")
 
 
@@ -666,7 +666,7 @@ def gmm_assign(spark, d):
 def gbt_classifier(spark, d):
     m = durable(b.complete_matrix(spark, d))
     features = ["n_orders", "avg_price", "balance", "avg_quantity"]
-    r = md.boosted_classifier(m, features, "urgent", "entity", md.Boosting(rounds=3, depth=3), folds=2)
+    r = md.boosted_classifier(m, features, "urgent", "entity")
     return r.importances
 
 
@@ -674,7 +674,7 @@ def gbt_classifier(spark, d):
 def gbt_regressor(spark, d):
     m = durable(b.complete_matrix(spark, d))
     features = ["n_orders", "avg_price", "balance", "avg_quantity"]
-    r = md.boosted_regressor(m, features, "returned", "entity", md.Boosting(rounds=3, depth=3), folds=2)
+    r = md.boosted_regressor(m, features, "returned", "entity")
     return r.importances
 
 
@@ -684,7 +684,7 @@ def score(spark, d):
     from anchorframe.operators.score import score_rows
 
     m = durable(b.complete_matrix(spark, d).drop("segment"))
-    s = an.ClusterSettings(grid_cells=12, min_cell_rows=3, min_component_rows=10, min_strength=0.2, min_cluster_rows=10, ks=(3,), starts=1, max_iter=25)
+    s = an.ClusterSettings(grid_cells=12, min_cell_rows=3, min_component_rows=10, min_strength=0.2, min_cluster_rows=10)
     a = an.analyse_clusters(m, "entity", "urgent", "returned", s)
     out = score_rows(m, a.bundle)
     return rounded(out.select("entity", "cluster", "cluster_prob", "density_strength", "silhouette"))

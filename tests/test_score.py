@@ -86,3 +86,36 @@ def test_save_load_score_and_stream(spark, found, tmp_path):
     got = {r["entity"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert set(got) == {1000, 1001, 1002}
     assert got[1001]["silhouette"] == pytest.approx(scored[1001]["silhouette"])
+
+
+@pytest.mark.parametrize("name", ["gmm_bic", "gmm_assign", "gbt_classifier", "gbt_regressor", "score"])
+def test_queries_run_the_whole_job(monkeypatch, name):
+    """Registered settings: every k with all starts and iterations; all rounds, depth and folds."""
+    from inspect import signature
+
+    from anchorframe.plans import catalogue
+
+    class Reached(Exception):
+        pass
+
+    def reach(of):
+        def stop(*args, **named):
+            call = signature(of).bind(*args, **named)
+            call.apply_defaults()
+            raise Reached(call.arguments)
+        return stop
+
+    monkeypatch.setattr(catalogue, "durable", lambda df: df)
+    monkeypatch.setattr(catalogue, "_dense", lambda spark, d: None)
+    monkeypatch.setattr(catalogue.b, "complete_matrix", lambda spark, d: type("Table", (), {"drop": lambda self, *c: self})())
+    monkeypatch.setattr(cl, "density_core", lambda *a: None)
+    for module, f in ((cl, "fit_mixture"), (catalogue.md, "boosted_classifier"), (catalogue.md, "boosted_regressor"), (catalogue.an, "analyse_clusters")):
+        monkeypatch.setattr(module, f, reach(getattr(module, f)))
+    with pytest.raises(Reached) as reached:
+        catalogue.QUERIES[name](None, "")
+    got = reached.value.args[0]
+    if name.startswith("gbt"):
+        assert (got["settings"].rounds, got["settings"].depth, got["folds"]) == (500 if name == "gbt_classifier" else 800, 4, 5)
+    else:
+        s = got["settings"] if name == "score" else ClusterSettings(ks=got["ks"], starts=got["starts"], max_iter=got["max_iter"])
+        assert (tuple(s.ks), s.starts, s.max_iter) == ((3, 4, 5, 6, 7), 10, 100)
