@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.llm import bpe, decontam, licenses, pages, pii, quality, simhash, suffix, topk, toxicity
+from anchorframe.llm import bpe, decontam, licenses, pages, pii, prefixes, quality, simhash, suffix, topk, toxicity
 from anchorframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,15 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def ranks_file() -> str:
+    """The public ranks for many languages; another file can be named in CORPUS_RANKS."""
+    if "CORPUS_RANKS" in os.environ:
+        return os.environ["CORPUS_RANKS"]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
     return f
@@ -89,3 +98,9 @@ def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.without_repeats(table(spark, sf_dir, "documents"), length=100)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = prefixes.encode_decode(table(spark, sf_dir, "documents"), ranks_file())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
