@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.llm import bpe, decontam, licenses, pages, pii, prefixes, quality, simhash, suffix, topk, toxicity
+from anchorframe.llm import bpe, decontam, licenses, pages, pii, prefixes, quality, resample, simhash, suffix, topk, toxicity
 from anchorframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op3_topk": topk.SQL, "op9_decontamination": decontam.SQL}
+SQL: dict[str, str] = {"op3_topk": topk.SQL, "op9_decontamination": decontam.SQL, "op11_resampling": resample.SQL}
 
 
 def tokenizer_file() -> str:
@@ -104,3 +104,8 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = prefixes.encode_decode(table(spark, sf_dir, "documents"), ranks_file())
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
