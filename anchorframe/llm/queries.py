@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.llm import bpe, decontam, licenses, pages, pii, prefixes, quality, resample, simhash, suffix, topk, toxicity
+from anchorframe.llm import bpe, decontam, licenses, negatives, pages, pii, prefixes, quality, resample, simhash, suffix, topk, toxicity
 from anchorframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op3_topk": topk.SQL, "op9_decontamination": decontam.SQL, "op11_resampling": resample.SQL}
+SQL: dict[str, str] = {"op3_topk": topk.SQL, "op9_decontamination": decontam.SQL, "op11_resampling": resample.SQL, "op12_hard_negatives": negatives.SQL}
 
 
 def tokenizer_file() -> str:
@@ -109,3 +109,9 @@ def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.usable(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
