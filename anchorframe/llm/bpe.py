@@ -18,9 +18,10 @@ rows with the same or a null doc_id each give a row; further columns are ignored
 from __future__ import annotations
 
 import json
-import unicodedata
+import os
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -33,9 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anchorframe.llm.common import small_batches
+from anchorframe.llm.pretokens import as_class, once, unknown_letters, word_splitter
 
-#: The byte-level pre-token pattern (fixed value of the public vocabulary).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK_CHARS = 3_000_000
 #: Decoded characters of a result batch, about; results leave Python in such pieces.
 OUT_CHARS = 500_000
@@ -62,60 +62,57 @@ def newer_letters(tokenizer_json: str) -> str:
     """
     from tokenizers import Tokenizer
 
-    cut, known = Tokenizer.from_str(tokenizer_json).pre_tokenizer.pre_tokenize_str, regex.compile(r"[\p{L}\p{N}]")
-    young = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and known.match(c)]
-    newer = [c for c in young if len(cut(f"a{c}a")) > 1 and len(cut(f"1{c}1")) > 1]  # it continues neither letters nor numbers
-    # as ranges: every task compiles the class, and tests texts against it
-    first = [c for i, c in enumerate(newer) if not i or ord(newer[i - 1]) != ord(c) - 1]
-    last = [c for i, c in enumerate(newer) if i + 1 == len(newer) or ord(newer[i + 1]) != ord(c) + 1]
-    return "[" + "".join(f"{a}-{b}" for a, b in zip(first, last)) + "]" if newer else ""
+    cut = Tokenizer.from_str(tokenizer_json).pre_tokenizer.pre_tokenize_str
+    return as_class([c for c in unknown_letters() if len(cut(f"a{c}a")) > 1 and len(cut(f"1{c}1")) > 1])  # continues neither letters nor numbers
 
 
-def splitter(special: list[str], newer: str = ""):
+def splitter(special: list[str], newer: str = "") -> Callable[[str], list[str]]:
     """A function from a text to its words.  newer: characters that count as neither letter, number nor space."""
-    find = regex.compile(PATTERN).findall
-    is_newer, first = regex.compile(newer or r"(?!)"), newer[1:2]
-
-    def words(text: str) -> list[str]:
-        # the class lies beyond what most texts hold, and their largest character is found faster
-        if not newer or text.isascii() or max(text) < first or not is_newer.search(text):
-            return find(text)
-        ends = np.cumsum([len(w) for w in find(is_newer.sub("\ue000", text))]).tolist()
-        return [text[a:b] for a, b in zip([0, *ends], ends)]
-
+    words = word_splitter(newer)
     if not special:
         return words
     literal = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")")
 
     def split(text: str) -> list[str]:
-        if not literal.search(text):
+        if not any(s in text for s in special):
             return words(text)
         return [w for i, part in enumerate(literal.split(text)) for w in ([part] if i % 2 else words(part))]
 
     return split
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers as byte planes, compressed."""
-    planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+class Codec:
+    """Numbers and words as compressed bytes; one compressor serves all of a task's rows."""
+
+    def __init__(self):
+        self.zip, self.unzip = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
 
+    def pack(self, values: np.ndarray) -> bytes:
+        """Unsigned numbers as byte planes."""
+        planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+        return self.zip(planes.tobytes())
 
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    def unpack(self, data: bytes) -> np.ndarray:
+        planes = np.frombuffer(self.unzip(data), np.uint8).reshape(4, -1)
+        return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
+    def pack_words(self, words: list[bytes]) -> bytes:
+        lengths = np.fromiter(map(len, words), "<u4", len(words))
+        return self.zip(len(words).to_bytes(4, "little") + lengths.tobytes() + b"".join(words))
 
-def pack_words(words: list[bytes]) -> bytes:
-    lengths = np.fromiter(map(len, words), "<u4", len(words))
-    return zstandard.ZstdCompressor(level=3).compress(len(words).to_bytes(4, "little") + lengths.tobytes() + b"".join(words))
+    def unpack_words(self, data: bytes) -> list[bytes]:
+        raw = self.unzip(data)
+        n = int.from_bytes(raw[:4], "little")
+        ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)).tolist()
+        return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
 
 
-def unpack_words(data: bytes) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int.from_bytes(raw[:4], "little")
-    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)).tolist()
-    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
+class Numbers(dict):
+    """Words, numbered as they come."""
+
+    def __missing__(self, word) -> int:
+        self[word] = n = len(self)
+        return n
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -131,8 +128,8 @@ def split_chunks(docs: DataFrame, special: list[str], newer: str, buckets: int,
     """Rows of ROWS: with texts one a chunk (documents as word numbers), else one a chunk and bucket (distinct words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, partition, seq = splitter(special, newer), TaskContext.get().partitionId(), 0
-        numbers: dict[str, int] = {}
+        split, codec, partition, seq = splitter(special, newer), Codec(), TaskContext.get().partitionId(), 0
+        numbers = Numbers()
         codes: list[np.ndarray] = []
         ids: list[int | None] = []
         chars = 0
@@ -146,12 +143,12 @@ def split_chunks(docs: DataFrame, special: list[str], newer: str, buckets: int,
                 known = np.array([i is not None for i in ids], np.uint8)
                 values = np.array([i or 0 for i in ids], "<i8")
                 counts = np.fromiter(map(len, codes), np.int64, len(codes))
-                out = [base | {"doc_ids": known.tobytes() + values.tobytes(), "counts": pack(counts), "owners": pack(owner),
-                               "codes": pack(np.concatenate(codes) if codes else np.empty(0))}]
+                out = [base | {"doc_ids": known.tobytes() + values.tobytes(), "counts": codec.pack(counts), "owners": codec.pack(owner),
+                               "codes": codec.pack(np.concatenate(codes) if codes else np.empty(0))}]
             else:
                 order = np.argsort(owner, kind="stable")
                 cut = np.searchsorted(owner[order], np.arange(buckets + 1))
-                out = [base | {"bucket": b, "words": pack_words([words[i] for i in order[cut[b] : cut[b + 1]]])} for b in range(buckets) if cut[b] < cut[b + 1]]
+                out = [base | {"bucket": b, "words": codec.pack_words([words[i] for i in order[cut[b] : cut[b + 1]]])} for b in range(buckets) if cut[b] < cut[b + 1]]
             return pa.RecordBatch.from_pylist(out, schema=SCHEMA)
 
         for batch in batches:
@@ -159,9 +156,9 @@ def split_chunks(docs: DataFrame, special: list[str], newer: str, buckets: int,
                 text = text.as_py() or ""
                 if chars and chars + len(text) > chunk_chars:
                     yield rows()
-                    numbers, codes, ids, chars, seq = {}, [], [], 0, seq + 1
-                number = numbers.setdefault
-                codes.append(np.array([number(w, len(numbers)) for w in split(text)], np.uint32))
+                    numbers, codes, ids, chars, seq = Numbers(), [], [], 0, seq + 1
+                words = split(text)
+                codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
                 ids.append(doc_id)
                 chars += len(text)
         if ids:
@@ -174,25 +171,37 @@ SCHEMA = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("check", pa
                     ("counts", pa.binary()), ("codes", pa.binary()), ("owners", pa.binary()), ("words", pa.binary())])
 
 
+def _library(shared: dict):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(shared["json"])
+    library.no_truncation()
+    library.no_padding()
+    return library
+
+
 def encode_words(words: DataFrame, tokenizer) -> DataFrame:
-    """Words of every chunk and bucket to ids; each distinct word is encoded once.  tokenizer: a broadcast JSON text."""
+    """Words of every chunk and bucket to ids; each distinct word is encoded once.  tokenizer: a broadcast {"json": text}."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        library, known = Tokenizer.from_str(tokenizer.value), {}
-        library.no_truncation()
-        library.no_padding()
+        library, codec = once(tokenizer.value, _library), Codec()
+        known, ids, ends = Numbers(), array("I"), array("Q", [0])  # the ids of word n stand from ends[n] to ends[n + 1]
         for batch in batches:
             for row in batch.to_pylist():
-                asked = unpack_words(row["words"])
-                new = [w for w in asked if w not in known]
+                asked = codec.unpack_words(row["words"])
+                before = len(known)
+                number = np.fromiter(map(known.__getitem__, asked), np.int64, len(asked))
+                new = [w.decode() for w, n in zip(asked, number.tolist()) if n >= before]  # a chunk's words are distinct
                 for i in range(0, len(new), 4096):
-                    part = new[i : i + 4096]
-                    for w, e in zip(part, library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                        known[w] = np.array(e.ids, np.uint32)
-                ids = [known[w] for w in asked]
-                found = row | {"counts": pack(np.fromiter(map(len, ids), np.int64, len(ids))), "codes": pack(np.concatenate(ids)), "words": None}
+                    for e in library.encode_batch_fast(new[i : i + 4096], add_special_tokens=False):
+                        ids.extend(e.ids)
+                        ends.append(len(ids))
+                edge = np.frombuffer(ends, np.uint64).astype(np.int64)
+                length = edge[number + 1] - edge[number]
+                flat = np.frombuffer(ids, np.uint32)[ragged(edge[number], length)] if len(ids) else np.empty(0)
+                found = row | {"counts": codec.pack(length), "codes": codec.pack(flat), "words": None}
+                del edge  # an array that is looked at cannot grow
                 yield pa.RecordBatch.from_pylist([found], schema=SCHEMA)
 
     return words.mapInArrow(run, ROWS)
@@ -211,26 +220,27 @@ def pieces(tokenizer_json: str) -> tuple[bytes, np.ndarray]:
 def assemble(parts: DataFrame, table) -> DataFrame:
     """Ids joined back by position, and decoded.  parts: a chunk's row with texts and its rows with ids; table: broadcast pieces."""
 
-    def run(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        chunk = next(r for r in rows if r["bucket"] < 0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, codec = [r for batch in batches for r in batch.to_pylist()], Codec()
+        chunk = next((r for r in rows if r["bucket"] < 0), None)
         asked = sorted((r for r in rows if r["bucket"] >= 0), key=lambda r: r["bucket"])
-        if any(r["check"] != chunk["check"] for r in asked):
+        if chunk is None or any(r["check"] != chunk["check"] for r in asked):
             raise ValueError("docs changed between two reads; write them to a table first")
         n = len(chunk["doc_ids"]) // 9
         known, doc_ids = np.frombuffer(chunk["doc_ids"], bool, n), np.frombuffer(chunk["doc_ids"], "<i8", n, n)
-        codes, per_doc = unpack(chunk["codes"]), unpack(chunk["counts"]).astype(np.int64)
-        order = np.argsort(unpack(chunk["owners"]), kind="stable")
+        codes, per_doc = codec.unpack(chunk["codes"]), codec.unpack(chunk["counts"]).astype(np.int64)
+        order = np.argsort(codec.unpack(chunk["owners"]), kind="stable")
         length = np.empty(len(order), np.int64)
-        length[order] = np.concatenate([unpack(r["counts"]) for r in asked] or [np.empty(0)])
+        length[order] = np.concatenate([codec.unpack(r["counts"]) for r in asked] or [np.empty(0)])
         first = np.empty(len(order), np.int64)
         first[order] = np.cumsum(length[order]) - length[order]
-        ids = np.concatenate([unpack(r["codes"]) for r in asked] or [np.empty(0, np.uint32)])
+        ids = np.concatenate([codec.unpack(r["codes"]) for r in asked] or [np.empty(0, np.uint32)])
+        del rows, asked, chunk
         blob, edges = table.value
         blob = np.frombuffer(blob, np.uint8)
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
         out: dict[str, list] = {c: [] for c in schema.names}
-        done, at, chars = [], 0, 0
+        at, chars = 0, 0
         for i, k in enumerate(per_doc.tolist()):
             words = codes[at : at + k]
             at += k
@@ -241,9 +251,10 @@ def assemble(parts: DataFrame, table) -> DataFrame:
             out["decoded"].append(blob[ragged(edges[own], edges[own + 1] - edges[own])].tobytes().decode("utf-8", "replace"))
             chars += len(out["decoded"][-1])
             if chars >= OUT_CHARS:
-                done.append(pa.table(out, schema=schema))
+                yield pa.RecordBatch.from_pydict(out, schema=schema)
                 out, chars = {c: [] for c in schema.names}, 0
-        return pa.concat_tables([*done, pa.table(out, schema=schema)])
+        if out["doc_id"]:
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return parts.groupBy("chunk").applyInArrow(run, OUT)
 
@@ -257,7 +268,7 @@ def encode_decode(docs: DataFrame, path: str, buckets: int | None = None, chunk_
     text = Path(path).read_text(encoding="utf-8")
     special, sc = special_tokens(text), docs.sparkSession.sparkContext
     buckets = buckets or max(docs.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    words = split_chunks(docs, special, newer_letters(text), buckets, chunk_chars, texts=False).repartition(buckets, "bucket")
-    ids = encode_words(words, sc.broadcast(text))
+    words = split_chunks(docs, special, newer_letters(text), buckets, chunk_chars, texts=False).repartitionById(buckets, "bucket")
+    ids = encode_words(words, sc.broadcast({"json": text}))
     chunks = split_chunks(docs, special, newer_letters(text), buckets, chunk_chars, texts=True)
     return assemble(chunks.unionByName(ids), sc.broadcast(pieces(text)))

@@ -66,6 +66,17 @@ def test_empty_table_and_other_tokenizers(docs):
         bpe.encode_decode(docs([]), public_tokenizers.path("word_bpe_49k.json"))
 
 
-def test_changed_input_is_an_error():
-    data = bpe.pack(np.array([1, 300, 70_000]))
-    assert bpe.unpack(data).tolist() == [1, 300, 70_000] and bpe.unpack_words(bpe.pack_words([b"", b"ab", b"\xc3"])) == [b"", b"ab", b"\xc3"]
+def test_packing():
+    codec = bpe.Codec()
+    assert codec.unpack(codec.pack(np.array([1, 300, 70_000]))).tolist() == [1, 300, 70_000]
+    assert codec.unpack_words(codec.pack_words([b"", b"ab", b"\xc3"])) == [b"", b"ab", b"\xc3"]
+
+
+def test_changed_input_is_an_error(spark, docs):
+    text = open(PATH, encoding="utf-8").read()
+    sent = spark.sparkContext.broadcast({"json": text}), spark.sparkContext.broadcast(bpe.pieces(text))
+    first, second = (docs([(1, t)], parts=1) for t in ("one text", "another text"))
+    ids = bpe.encode_words(bpe.split_chunks(first, [], "", 2, 1_000, texts=False), sent[0])
+    chunks = bpe.split_chunks(second, [], "", 2, 1_000, texts=True)
+    with pytest.raises(Exception, match="docs changed between two reads"):
+        bpe.assemble(chunks.unionByName(ids), sent[1]).collect()
