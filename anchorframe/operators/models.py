@@ -1,4 +1,4 @@
-"""Predictive models and logistic associations with Spark ML."""
+"""Predictive models with their cross-validation, and logistic associations."""
 
 from __future__ import annotations
 
@@ -6,36 +6,26 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorframe.operators.boost import Boosting, Grown, grow
 from anchorframe.operators.skew import running, spread_row_number
 from anchorframe.operators.stats import _finish_associations
 from anchorframe.session import ensure_checkpoint_dir
 
 
-@dataclass(frozen=True)
-class Boosting:
-    """Boosted-tree settings."""
-
-    rounds: int = 500
-    depth: int = 4
-    rate: float = 0.05
-    row_share: float = 0.8
-    column_share: float = 0.8
-    seed: int = 42
-
-
 @dataclass
 class ModelReport:
-    model: object
+    """The model, mean and deviation of each score over the folds, the scores by fold, importances, and all predictions."""
+
+    model: Grown
     scores: dict[str, tuple[float, float]]
+    by_fold: DataFrame
     importances: DataFrame
+    predictions: DataFrame
 
 
 def assign_folds(df: DataFrame, key: str, folds: int = 5, stratify: str | None = None, seed: int = 42, name: str = "fold") -> DataFrame:
@@ -53,72 +43,61 @@ def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=[f"__x{i}" for i in range(len(features))], outputCol="features").transform(safe)
 
 
-def _importances(spark, features: Sequence[str], model) -> DataFrame:
-    values = model.featureImportances.toArray()
-    rows = sorted(((f, float(v)) for f, v in zip(features, values)), key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame(rows, "feature string, importance double")
+def ranking_scores(df: DataFrame, group: str, label: str, score: str) -> DataFrame:
+    """(group, roc_auc, average_precision): how well falling scores put label 1 before label 0, by group.
+
+    Equal scores count half in the area; precision is taken once for each distinct score, and weighted by the recall
+    gained there.  NULL where one of the labels is missing.  Rows are added up by distinct score first, and running
+    sums carry on over pieces of a group, so a group of any size is spread.
+    """
+    by = df.groupBy(F.col(group).alias("g"), (-F.col(score)).alias("at")).agg(F.sum(F.col(label).cast("double")).alias("hits"), F.count("*").cast("double").alias("n"))
+    ahead = running(running(by, ["g"], "at", "hits", "sum", "hits_before"), ["g"], "at", "n", "sum", "n_before")
+    hits_before, n_before = F.coalesce("hits_before", F.lit(0.0)), F.coalesce("n_before", F.lit(0.0))
+    misses = F.col("n") - F.col("hits")
+    # each miss lies behind the hits of higher scores, and half of those of its own
+    behind = misses * (hits_before + F.col("hits") / 2)
+    precision = (hits_before + F.col("hits")) / (n_before + F.col("n"))
+    sums = ahead.groupBy("g").agg(F.sum(behind).alias("area"), F.sum("hits").alias("h"), F.sum(misses).alias("m"), F.sum(F.col("hits") * precision).alias("p"))
+    return sums.select(F.col("g").alias(group), F.try_divide("area", F.col("h") * F.col("m")).alias("roc_auc"),
+                       F.when(F.col("m") > 0, F.try_divide("p", "h")).alias("average_precision"))
+
 
+def value_scores(df: DataFrame, group: str, label: str, prediction: str) -> DataFrame:
+    """(group, mae, r2) of predictions, by group; r2 is NULL where the label does not vary."""
+    miss = F.col(label) - F.col(prediction)
+    sums = df.groupBy(group).agg(F.avg(F.abs(miss)).alias("mae"), F.sum(miss * miss).alias("rest"), (F.var_pop(label) * F.count("*")).alias("all"))
+    return sums.select(group, "mae", (1 - F.try_divide("rest", "all")).alias("r2"))
 
-def _cross_validate(data: DataFrame, estimator, metrics: dict, folds: int) -> dict[str, tuple[float, float]]:
-    seen: dict[str, list[float]] = {m: [] for m in metrics}
-    for f in range(folds):
-        model = estimator.fit(data.filter(F.col("fold") != f))
-        scored = model.transform(data.filter(F.col("fold") == f)).persist()
-        for name, evaluator in metrics.items():
-            seen[name].append(evaluator.evaluate(scored))
-        scored.unpersist()
-    return {m: (float(np.nanmean(v)), float(np.nanstd(v))) for m, v in seen.items()}
 
+def _over_folds(by_fold: DataFrame) -> dict[str, tuple[float, float]]:
+    """Mean and deviation over the folds; folds without a score are left out."""
+    rows, names = by_fold.collect(), [c for c in by_fold.columns if c != "fold"]  # a row a fold
+    kept = {c: [r[c] for r in rows if r[c] is not None] for c in names}
+    return {c: (float(np.mean(v)), float(np.std(v))) if v else (float("nan"), float("nan")) for c, v in kept.items()}
 
-class AveragePrecision:
-    """Sum over the distinct scores, from the highest, of the recall gained there times the precision so far."""
 
-    def evaluate(self, scored: DataFrame) -> float:
-        by = scored.select((-vector_to_array("probability")[1]).alias("order"), "label").groupBy("order").agg(F.sum("label").alias("hits"), F.count("*").cast("double").alias("rows"))
-        by = by.withColumn("all", F.lit(0))
-        ahead = running(running(by, ["all"], "order", "hits", "sum", "hits_before"), ["all"], "order", "rows", "sum", "rows_before")
-        precision = (F.coalesce("hits_before", F.lit(0.0)) + F.col("hits")) / (F.coalesce("rows_before", F.lit(0.0)) + F.col("rows"))
-        found = ahead.agg(F.try_divide(F.sum(F.col("hits") * precision), F.sum("hits")).alias("ap")).first()["ap"]
-        return float("nan") if found is None else float(found)
+def _report(df: DataFrame, features: Sequence[str], target: str, key: str, settings: Boosting, folds: int, binary: bool) -> ModelReport:
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.filter(F.col(f"`{target}`").isNotNull())
+    grown = grow(assign_folds(kept, key, folds, target if binary else None).checkpoint(), features, target, key, binary, settings, folds)
+    predictions = grown.predictions().checkpoint()
+    by_fold = (ranking_scores if binary else value_scores)(predictions, "fold", "label", "cv_prediction").checkpoint()
+    importances = df.sparkSession.createDataFrame(grown.importances(), "feature string, importance double")
+    return ModelReport(grown, _over_folds(by_fold), by_fold, importances, predictions)
 
 
 def boosted_classifier(
     df: DataFrame, features: Sequence[str], target: str, key: str, settings: Boosting = Boosting(), folds: int = 5
 ) -> ModelReport:
     """Boosted trees with stratified cross-validation (ROC-AUC, average precision) and importances from a fit on all rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    data = assign_folds(_assemble(df, features), key, folds, target).select("features", F.col(f"`{target}`").cast("double").alias("label"), "fold")
-    data = data.persist()
-    try:
-        gbt = GBTClassifier(maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate, subsamplingRate=settings.row_share,
-                            featureSubsetStrategy=str(settings.column_share), seed=settings.seed)
-        metrics = {
-            "roc_auc": BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-            "average_precision": AveragePrecision(),
-        }
-        scores = _cross_validate(data, gbt, metrics, folds)
-        model = gbt.fit(data)
-    finally:
-        data.unpersist()
-    return ModelReport(model, scores, _importances(df.sparkSession, features, model))
+    return _report(df, features, target, key, settings, folds, binary=True)
 
 
 def boosted_regressor(
     df: DataFrame, features: Sequence[str], target: str, key: str, settings: Boosting = Boosting(rounds=800), folds: int = 5
 ) -> ModelReport:
     """Boosted regression trees with cross-validated MAE and R2."""
-    ensure_checkpoint_dir(df.sparkSession)
-    data = assign_folds(_assemble(df, features), key, folds).select("features", F.col(f"`{target}`").cast("double").alias("label"), "fold")
-    data = data.persist()
-    try:
-        gbt = GBTRegressor(maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate, subsamplingRate=settings.row_share,
-                           featureSubsetStrategy=str(settings.column_share), seed=settings.seed)
-        metrics = {"mae": RegressionEvaluator(metricName="mae"), "r2": RegressionEvaluator(metricName="r2")}
-        scores = _cross_validate(data, gbt, metrics, folds)
-        model = gbt.fit(data)
-    finally:
-        data.unpersist()
-    return ModelReport(model, scores, _importances(df.sparkSession, features, model))
+    return _report(df, features, target, key, settings, folds, binary=False)
 
 
 def logistic_associations(df: DataFrame, features: Sequence[str], target: str, alpha: float = 0.05) -> DataFrame:

@@ -120,8 +120,7 @@ def model_outcomes(
     regressor: md.Boosting = md.Boosting(rounds=800),
 ) -> OutcomeModels:
     """Boosted trees for both outcomes and the two association tables."""
-    # Spark's trees do not take missing values, so medians go in first
-    xy = lambda t: st.fill_medians(st.prepare_xy(df, features, t, [key]), features)
+    xy = lambda t: st.prepare_xy(df, features, t, [key])  # noqa: E731  the trees take missing values
     return OutcomeModels(
         md.boosted_classifier(xy(outcome), features, outcome, key, classifier),
         md.boosted_regressor(xy(stay), features, stay, key, regressor),

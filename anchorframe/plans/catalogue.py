@@ -609,6 +609,20 @@ def fold_numbers(spark, d):
     return f.groupBy("urgent", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def ranking_scores(spark, d):
+    """How well an event's value tells errors from other events, by user group."""
+    e = b.event_points(spark, d).select((F.col("entity") % 10).alias("grp"), (F.col("label") == "error").cast("double").alias("y"), "value")
+    return rounded(md.ranking_scores(e, "grp", "y", "value"))
+
+
+@query
+def value_scores(spark, d):
+    """An order's price predicted from its customer's number, by priority."""
+    o = b.order_points(spark, d).select("label", (F.col("value") / 1000).alias("price"), (F.col("entity") % 200 + 50).cast("double").alias("guess"))
+    return rounded(md.value_scores(o, "label", "price", "guess"))
+
+
 @query
 def ols_hc3(spark, d):
     m = durable(b.complete_matrix(spark, d))

@@ -379,6 +379,12 @@ SQL.update({
     "xy_prepare": with_(*CUSTOMERS, "t AS (SELECT * REPLACE (CASE WHEN balance < 0 THEN 'overdrawn' ELSE CAST(balance AS VARCHAR) END AS balance) FROM matrix)")
     + """SELECT entity, round(TRY_CAST(balance AS DOUBLE), 6) AS balance, CASE WHEN returned > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS returned,
   round(avg_quantity, 6) AS avg_quantity, round(avg_price, 6) AS avg_price FROM t WHERE avg_price IS NOT NULL""",
+    "ranking_scores": """WITH e AS (SELECT user_id % 10 AS grp, (event_type = 'error')::DOUBLE AS y, value FROM events),
+b AS (SELECT grp, value, sum(y) AS h, count(*) AS n FROM e GROUP BY 1, 2),
+w AS (SELECT *, sum(h) OVER s - h AS hb, sum(n) OVER s AS upto FROM b WINDOW s AS (PARTITION BY grp ORDER BY value DESC))
+SELECT grp, round(sum((n - h) * (hb + h / 2)) / (sum(h) * sum(n - h)), 6) AS roc_auc, round(sum(h * (hb + h) / upto) / sum(h), 6) AS average_precision FROM w GROUP BY 1""",
+    "value_scores": """WITH o AS (SELECT o_orderpriority AS label, o_totalprice / 1000 AS price, (o_custkey % 200 + 50)::DOUBLE AS guess FROM orders)
+SELECT label, round(avg(abs(price - guess)), 6) AS mae, round(1 - sum((price - guess) ** 2) / (var_pop(price) * count(*)), 6) AS r2 FROM o GROUP BY 1""",
     "fold_numbers": with_(*CUSTOMERS, "u AS (SELECT urgent, row_number() OVER (PARTITION BY urgent ORDER BY entity) - 1 AS i FROM full_matrix)")
     + "SELECT urgent, CAST(i % 5 AS INTEGER) AS fold, count(*) AS n FROM u GROUP BY 1, 2",
 })

@@ -191,17 +191,11 @@ def test_least_squares_with_large_offsets(spark):
         st.linear_associations(spark.createDataFrame(rows.assign(a=[None, *rows["a"][1:]])), ["a", "b"], "y", log_target=False)
 
 
-def test_average_precision(spark):
-    from pyspark.ml.linalg import Vectors
-
-    from anchorframe.operators.models import AveragePrecision
-
+def test_ranking_scores(spark):
     rng = np.random.default_rng(1)
     p, y = np.round(rng.random(500), 2), rng.integers(0, 2, 500).astype(float)
-    df = spark.createDataFrame([(Vectors.dense([1 - float(a), float(a)]), float(b)) for a, b in zip(p, y)], ["probability", "label"])
-    want, seen = 0.0, 0.0
-    for s in sorted(set(p), reverse=True):
-        hit = y[p == s].sum()
-        want += hit / y.sum() * y[p >= s].mean()
-        seen += hit
-    assert abs(AveragePrecision().evaluate(df) - want) < 1e-9
+    df = spark.createDataFrame([("g", float(a), float(b)) for a, b in zip(p, y)] + [("one", 0.5, 1.0), ("one", 0.7, 1.0), ("zero", 0.1, 0.0)], "g string, p double, y double")
+    want = sum(y[p == s].sum() / y.sum() * y[p >= s].mean() for s in set(p))
+    area = np.mean([(a > b) + (a == b) / 2 for a in p[y == 1] for b in p[y == 0]])
+    got = {r["g"]: (r["roc_auc"], r["average_precision"]) for r in md.ranking_scores(df, "g", "y", "p").collect()}
+    assert got["g"] == (pytest.approx(area), pytest.approx(want)) and got["one"] == got["zero"] == (None, None)
