@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorframe.operators.matrix import column_quantiles
+from anchorframe.operators.mixture import MixtureChoice, assign, fit_mixture, mixture_bic  # noqa: F401  the last step of clustering
 from anchorframe.session import ensure_checkpoint_dir
 
 
@@ -193,66 +192,3 @@ def with_density(df: DataFrame, vec: str, grid: DensityGrid, components: DataFra
 
 def density_core(df: DataFrame, min_strength: float) -> DataFrame:
     return df.filter(F.col("density_component").isNotNull() & (F.col("density_strength") >= min_strength))
-
-
-# --------------------------------------------------------------------------
-# mixture model
-
-
-def mixture_bic(log_likelihood: float, n: int, k: int, d: int) -> float:
-    """Bayesian information criterion of a full-covariance Gaussian mixture."""
-    free = (k - 1) + k * d + k * d * (d + 1) / 2
-    return -2.0 * log_likelihood + free * math.log(n)
-
-
-@dataclass
-class MixtureChoice:
-    model: GaussianMixtureModel
-    k: int
-    bic: dict[int, float]
-
-
-def fit_mixture(
-    df: DataFrame,
-    vec: str = "projected",
-    ks: Sequence[int] = tuple(range(3, 8)),
-    starts: int = 10,
-    seed: int = 42,
-    max_iter: int = 100,
-    tol: float = 1e-3,
-) -> MixtureChoice:
-    """For each k the best of several starts; the k with the lowest BIC."""
-    data = df.select(vec).persist()
-    try:
-        n = data.count()
-        d = len(data.first()[0])
-        best: dict[int, tuple[float, GaussianMixtureModel]] = {}
-        for k in ks:
-            for s in range(starts):
-                gm = GaussianMixture(k=k, seed=seed + s, maxIter=max_iter, tol=tol, featuresCol=vec, predictionCol="cluster", probabilityCol="cluster_probs")
-                model = gm.fit(data)
-                ll = model.summary.logLikelihood
-                if not math.isnan(ll) and (k not in best or ll > best[k][0]):
-                    best[k] = (ll, model)
-        bic = {k: mixture_bic(ll, n, k, d) for k, (ll, _) in best.items()}
-    finally:
-        data.unpersist()
-    if not bic:
-        raise ValueError("no mixture could be fitted: every likelihood was undefined")
-    chosen = min(bic, key=lambda k: (bic[k], k))
-    return MixtureChoice(best[chosen][1], chosen, bic)
-
-
-def assign(df: DataFrame, model: GaussianMixtureModel, valid: Sequence[int] | None = None) -> DataFrame:
-    """Add ``cluster`` and ``cluster_prob``; with ``valid`` only those clusters compete."""
-    out = model.transform(df).withColumn("__p", vector_to_array("cluster_probs"))
-    if valid is None:
-        return out.withColumn("cluster_prob", F.array_max("__p")).drop("__p", "cluster_probs")
-    options = F.array(*[F.struct(F.col("__p")[c].alias("p"), F.lit(-c).alias("c")) for c in valid])
-    best = F.array_max(options)
-    return (
-        out.withColumn("__b", best)
-        .withColumn("cluster", (-F.col("__b.c")).cast("int"))
-        .withColumn("cluster_prob", F.col("__b.p"))
-        .drop("__p", "__b", "cluster_probs")
-    )

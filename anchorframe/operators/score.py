@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import GaussianMixtureModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorframe.operators.cluster import DensityGrid, assign, project, with_density
 from anchorframe.operators.matrix import fill_from_constants
+from anchorframe.operators.mixture import Mixture
 from anchorframe.operators.stats import _silhouette_from, distance_sums
 
 
@@ -22,7 +22,7 @@ class ClusterBundle:
     """Everything needed to score new rows: fitted models, core rows, density cells, settings."""
 
     projection: PipelineModel
-    mixture: GaussianMixtureModel
+    mixture: Mixture
     core: DataFrame  # id, vec, cluster
     components: DataFrame  # cell, component, strength
     grid: DensityGrid
@@ -32,13 +32,13 @@ class ClusterBundle:
 
     def save(self, path: str) -> None:
         self.projection.write().overwrite().save(f"{path}/projection")
-        self.mixture.write().overwrite().save(f"{path}/mixture")
         self.core.write.mode("overwrite").parquet(f"{path}/core")
         self.components.write.mode("overwrite").parquet(f"{path}/components")
         settings = {
             "origin": self.grid.origin,
             "side": self.grid.side,
             "per_axis": self.grid.per_axis,
+            "mixture": self.mixture.to_lists(),
             "valid": list(self.valid),
             "fills": dict(self.fills),
             "key": self.key,
@@ -49,10 +49,9 @@ class ClusterBundle:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ClusterBundle:
         s = json.loads(spark.read.parquet(f"{path}/settings").first()["settings"])
-        mixture = GaussianMixtureModel.load(f"{path}/mixture")
         return cls(
             PipelineModel.load(f"{path}/projection"),
-            mixture,
+            Mixture.from_lists(s["mixture"]),
             spark.read.parquet(f"{path}/core"),
             spark.read.parquet(f"{path}/components"),
             DensityGrid(tuple(s["origin"]), tuple(s["side"]), s["per_axis"]),
