@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import product
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorframe.operators.matrix import column_quantiles
 from anchorframe.operators.mixture import MixtureChoice, assign, fit_mixture, mixture_bic  # noqa: F401  the last step of clustering
-from anchorframe.session import ensure_checkpoint_dir
+from anchorframe.operators.neighbours import Density, density_core, measure_density, score_density  # noqa: F401  the step before
 
 
 def _q(name: str) -> Column:
@@ -107,88 +106,3 @@ def fit_projection(
 def project(df: DataFrame, model: PipelineModel) -> DataFrame:
     out = model.transform(df)
     return out.drop(*[c for c in out.columns if c.startswith("__")])
-
-
-# --------------------------------------------------------------------------
-# density core
-
-
-@dataclass(frozen=True)
-class DensityGrid:
-    """Origin and side of the grid cells along the leading components."""
-
-    origin: tuple[float, ...]
-    side: tuple[float, ...]
-    per_axis: int
-
-    def cell(self, vec: str) -> Column:
-        arr = vector_to_array(F.col(vec))
-        return F.array(
-            *[
-                F.greatest(F.lit(-1), F.least(F.floor((arr[i] - F.lit(o)) / F.lit(s)), F.lit(self.per_axis))).cast("long")
-                for i, (o, s) in enumerate(zip(self.origin, self.side))
-            ]
-        )
-
-
-def density_grid(df: DataFrame, vec: str, dims: int = 2, cells: int = 24) -> DensityGrid:
-    """A grid of ``cells`` per axis between the extremes of the leading components."""
-    arr = vector_to_array(F.col(vec))
-    width = df.select(F.size(arr).alias("n")).first()["n"]
-    dims = min(dims, width)
-    row = df.agg(*[f(arr[i]).alias(f"{n}{i}") for i in range(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    side = tuple(((row[f"hi{i}"] - row[f"lo{i}"]) / cells) or 1.0 for i in range(dims))
-    return DensityGrid(tuple(row[f"lo{i}"] for i in range(dims)), side, cells)
-
-
-def dense_components(df: DataFrame, vec: str, grid: DensityGrid, min_cell_rows: int, min_cluster_size: int) -> DataFrame:
-    """``(cell, component, strength)`` of the dense cells.
-
-    Dense cells that touch form a component; strength is the cell's row count
-    relative to the densest cell of its component.  Components with fewer rows
-    than ``min_cluster_size`` are noise and left out.  Work after the first
-    count is on cells, of which there are at most cells ** dims.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    counts = df.select(grid.cell(vec).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    dense = counts.filter(F.col("n") >= min_cell_rows).checkpoint()
-
-    steps = [s for s in product((-1, 0, 1), repeat=len(grid.side)) if any(s)]
-    moved = F.array(*[F.array(*[F.col("cell")[i] + d for i, d in enumerate(s)]) for s in steps])
-    touching = dense.select("cell", F.explode(moved).alias("other")).join(
-        dense.select(F.col("cell").alias("other")), "other", "left_semi"
-    )
-    touching = touching.checkpoint()
-
-    labels = dense.select("cell", F.col("cell").alias("component"))
-    changed = 1
-    while changed:
-        # smallest label among the neighbours, then follow that label's own label
-        offers = touching.join(labels.withColumnRenamed("cell", "other"), "other").groupBy("cell").agg(F.min("component").alias("offer"))
-        lowered = labels.join(offers, "cell", "left").select("cell", "component", F.least("component", "offer").alias("low"))
-        hop = lowered.select(F.col("cell").alias("low"), F.col("low").alias("next"))
-        nxt = lowered.join(hop, "low", "left").select("cell", "component", F.coalesce("next", "low").alias("low"))
-        nxt = nxt.checkpoint()
-        changed = nxt.filter(F.col("component") != F.col("low")).count()
-        labels = nxt.select("cell", F.col("low").alias("component"))
-
-    sized = labels.join(dense, "cell")
-    per = sized.groupBy("component").agg(F.sum("n").alias("rows"), F.max("n").alias("peak"))
-    kept = per.filter(F.col("rows") >= min_cluster_size)
-    return sized.join(kept, "component").select("cell", "component", (F.col("n") / F.col("peak")).alias("strength"))
-
-
-def with_density(df: DataFrame, vec: str, grid: DensityGrid, components: DataFrame) -> DataFrame:
-    """Add ``density_component`` and ``density_strength`` (NULL and 0 for noise)."""
-    celled = df.withColumn("cell", grid.cell(vec))
-    named = components.select("cell", F.col("component").alias("density_component"), F.col("strength").alias("density_strength"))
-    return (
-        celled.join(named, "cell", "left")
-        .withColumn("density_strength", F.coalesce("density_strength", F.lit(0.0)))
-        .drop("cell")
-    )
-
-
-def density_core(df: DataFrame, min_strength: float) -> DataFrame:
-    return df.filter(F.col("density_component").isNotNull() & (F.col("density_strength") >= min_strength))

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.operators.cluster import DensityGrid, assign, project, with_density
+from anchorframe.operators.cluster import Density, assign, project, score_density
 from anchorframe.operators.matrix import fill_from_constants
 from anchorframe.operators.mixture import Mixture
 from anchorframe.operators.stats import _silhouette_from, distance_sums
@@ -19,13 +19,12 @@ from anchorframe.operators.stats import _silhouette_from, distance_sums
 
 @dataclass
 class ClusterBundle:
-    """Everything needed to score new rows: fitted models, core rows, density cells, settings."""
+    """Everything needed to score new rows: fitted models, core rows, the density of all rows, settings."""
 
     projection: PipelineModel
     mixture: Mixture
     core: DataFrame  # id, vec, cluster
-    components: DataFrame  # cell, component, strength
-    grid: DensityGrid
+    density: Density
     valid: list[int]
     fills: Mapping[str, float] = field(default_factory=dict)
     key: str = "entity"
@@ -33,11 +32,8 @@ class ClusterBundle:
     def save(self, path: str) -> None:
         self.projection.write().overwrite().save(f"{path}/projection")
         self.core.write.mode("overwrite").parquet(f"{path}/core")
-        self.components.write.mode("overwrite").parquet(f"{path}/components")
+        self.density.save(f"{path}/density")
         settings = {
-            "origin": self.grid.origin,
-            "side": self.grid.side,
-            "per_axis": self.grid.per_axis,
             "mixture": self.mixture.to_lists(),
             "valid": list(self.valid),
             "fills": dict(self.fills),
@@ -53,8 +49,7 @@ class ClusterBundle:
             PipelineModel.load(f"{path}/projection"),
             Mixture.from_lists(s["mixture"]),
             spark.read.parquet(f"{path}/core"),
-            spark.read.parquet(f"{path}/components"),
-            DensityGrid(tuple(s["origin"]), tuple(s["side"]), s["per_axis"]),
+            Density.load(spark, f"{path}/density"),
             s["valid"],
             s["fills"],
             s["key"],
@@ -72,7 +67,7 @@ def score_rows(rows: DataFrame, bundle: ClusterBundle, block_rows: int = 2048) -
     """
     filled = fill_from_constants(rows, dict(bundle.fills), bundle.key)
     placed = assign(project(filled, bundle.projection), bundle.mixture, bundle.valid)
-    dense = with_density(placed, "projected", bundle.grid, bundle.components).drop("density_component")
+    dense = score_density(placed, "projected", bundle.key, bundle.density).drop("density_component")
 
     new = core_points(dense, bundle.key)
     sums = distance_sums(new.select("id", "vec"), bundle.core, block_rows, same_rows=False)

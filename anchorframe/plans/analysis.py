@@ -31,9 +31,8 @@ class ClusterAnalysis:
 class ClusterSettings:
     variance_threshold: float = 0.01
     explained: float = 0.90
-    grid_dims: int = 2
-    grid_cells: int = 24
-    min_cell_rows: int = 2
+    neighbours: int = 15
+    dense_share: float = 0.75
     min_component_rows: int = 50
     min_strength: float = 0.848
     min_cluster_rows: int = 70
@@ -60,9 +59,8 @@ def analyse_clusters(
     projection = cl.fit_projection(df, features, s.explained, s.variance_threshold)
     # every later step reads the projected rows several times
     projected = cl.project(df, projection).checkpoint()
-    grid = cl.density_grid(projected, "projected", s.grid_dims, s.grid_cells)
-    components = cl.dense_components(projected, "projected", grid, s.min_cell_rows, s.min_component_rows)
-    dense = cl.density_core(cl.with_density(projected, "projected", grid, components), s.min_strength)
+    density, measured = cl.measure_density(projected, "projected", key, s.neighbours, s.dense_share, s.min_component_rows)
+    dense = cl.density_core(measured, s.min_strength).drop("density_distance").checkpoint()
 
     choice = cl.fit_mixture(dense, "projected", s.ks, s.starts, s.seed, s.max_iter)
     assigned = cl.assign(dense, choice.model).drop("density_component")
@@ -77,7 +75,7 @@ def analyse_clusters(
     mean_sil = scored.agg(F.avg("silhouette")).first()[0]
     dbi = st.davies_bouldin(points).first()[0]
 
-    bundle = ClusterBundle(projection, choice.model, points, components, grid, valid, fills or {}, key)
+    bundle = ClusterBundle(projection, choice.model, points, density, valid, fills or {}, key)
     return ClusterAnalysis(
         core=scored.drop("projected"),
         bic=choice.bic,

@@ -650,20 +650,28 @@ def pca_k(spark, d):
 
 def _dense(spark, d):
     m = durable(b.complete_matrix(spark, d))
-    projected = cl.project(m, cl.fit_projection(m, X, 0.90))
-    grid = cl.density_grid(projected, "projected", 2, 12)
-    comp = cl.dense_components(projected, "projected", grid, 3, 20)
-    return cl.with_density(projected, "projected", grid, comp)
+    projected = durable(cl.project(m, cl.fit_projection(m, X, 0.90)))
+    return cl.measure_density(projected, "projected", "entity", neighbours=10, dense_share=0.8, min_rows=20)[1]
 
 
 @query
 def density_core(spark, d):
-    return rounded(_dense(spark, d).select("entity", F.col("density_component").cast("string").alias("component"), "density_strength"))
+    """Density over all principal components."""
+    x = _dense(spark, d)
+    return rounded(x.select("entity", "density_distance", F.col("density_component").cast("string").alias("component"), "density_strength"))
+
+
+@query
+def neighbour_density(spark, d):
+    """Density of customers by balance, orders and mean quantity."""
+    m = durable(b.complete_matrix(spark, d).select("entity", F.array(F.col("balance") / 1000, F.col("n_orders") / 4, F.col("avg_quantity") / 5).alias("v")))
+    x = cl.measure_density(m, "v", "entity", neighbours=8, dense_share=0.7, min_rows=10)[1]
+    return rounded(x.select("entity", "density_distance", F.coalesce("density_component", F.lit(-1)).alias("component"), "density_strength"))
 
 
 @query
 def gmm_bic(spark, d):
-    core = cl.density_core(_dense(spark, d), 0.2)
+    core = cl.density_core(_dense(spark, d), 0.5)
     choice = cl.fit_mixture(core, "projected")
     rows = [(k, float(v), int(k == choice.k)) for k, v in choice.bic.items()]
     return spark.createDataFrame(rows, "k int, bic double, chosen int")
@@ -671,7 +679,7 @@ def gmm_bic(spark, d):
 
 @query
 def gmm_assign(spark, d):
-    core = cl.density_core(_dense(spark, d), 0.2)
+    core = cl.density_core(_dense(spark, d), 0.5)
     choice = cl.fit_mixture(core, "projected")
     return cl.assign(core, choice.model).select("entity", "cluster", "cluster_prob")
 
@@ -698,7 +706,7 @@ def score(spark, d):
     from anchorframe.operators.score import score_rows
 
     m = durable(b.complete_matrix(spark, d).drop("segment"))
-    s = an.ClusterSettings(grid_cells=12, min_cell_rows=3, min_component_rows=10, min_strength=0.2, min_cluster_rows=10)
+    s = an.ClusterSettings(neighbours=10, dense_share=0.8, min_component_rows=10, min_strength=0.5, min_cluster_rows=10)
     a = an.analyse_clusters(m, "entity", "urgent", "returned", s)
     out = score_rows(m, a.bundle)
     return rounded(out.select("entity", "cluster", "cluster_prob", "density_strength", "silhouette"))

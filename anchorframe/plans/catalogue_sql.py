@@ -385,6 +385,21 @@ w AS (SELECT *, sum(h) OVER s - h AS hb, sum(n) OVER s AS upto FROM b WINDOW s A
 SELECT grp, round(sum((n - h) * (hb + h / 2)) / (sum(h) * sum(n - h)), 6) AS roc_auc, round(sum(h * (hb + h) / upto) / sum(h), 6) AS average_precision FROM w GROUP BY 1""",
     "value_scores": """WITH o AS (SELECT o_orderpriority AS label, o_totalprice / 1000 AS price, (o_custkey % 200 + 50)::DOUBLE AS guess FROM orders)
 SELECT label, round(avg(abs(price - guess)), 6) AS mae, round(1 - sum((price - guess) ** 2) / (var_pop(price) * count(*)), 6) AS r2 FROM o GROUP BY 1""",
+    "neighbour_density": with_(
+        *CUSTOMERS,
+        "pts AS (SELECT entity AS e, balance / 1000 AS a, n_orders / 4 AS b, avg_quantity / 5 AS c FROM full_matrix)",
+        "away AS (SELECT x.e, y.e AS f, sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c)) AS r FROM pts x JOIN pts y ON x.e <> y.e)",
+        "core AS (SELECT e, r AS core FROM away QUALIFY row_number() OVER (PARTITION BY e ORDER BY r) = 8)",
+        "eps AS (SELECT min(core) AS eps FROM (SELECT core, count(*) OVER (ORDER BY core) AS upto, count(*) OVER () AS n FROM core) WHERE upto >= 0.7::DOUBLE * n)",
+        "dense AS (SELECT e, core FROM core, eps WHERE core <= eps)",
+        "near AS (SELECT e, f FROM away, eps WHERE r <= eps AND e IN (SELECT e FROM dense) AND f IN (SELECT e FROM dense))",
+        "reach AS (SELECT e, e AS root FROM dense UNION SELECT near.f, reach.root FROM reach JOIN near ON near.e = reach.e)",
+        "comp AS (SELECT e, min(root) AS component FROM reach GROUP BY e)",
+        "sized AS (SELECT component, quantile_cont(core, 0.5) AS scale FROM comp JOIN dense USING (e) GROUP BY 1 HAVING count(*) >= 10)",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+    + """SELECT pts.e AS entity, round(core.core, 6) AS density_distance, coalesce(sized.component, -1) AS component,
+  round(CASE WHEN sized.component IS NULL THEN 0 WHEN core.core <= scale THEN 1 ELSE scale / core.core END, 6)::DOUBLE AS density_strength
+FROM pts LEFT JOIN core USING (e) LEFT JOIN comp USING (e) LEFT JOIN sized USING (component)""",
     "fold_numbers": with_(*CUSTOMERS, "u AS (SELECT urgent, row_number() OVER (PARTITION BY urgent ORDER BY entity) - 1 AS i FROM full_matrix)")
     + "SELECT urgent, CAST(i % 5 AS INTEGER) AS fold, count(*) AS n FROM u GROUP BY 1, 2",
 })

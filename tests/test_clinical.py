@@ -12,7 +12,7 @@ from anchorframe.plans import vocabulary as voc
 from anchorframe.plans.analysis import ClusterSettings
 
 T0 = dt.datetime(2150, 3, 1, 8)
-SMALL = ClusterSettings(grid_cells=6, min_cell_rows=1, min_component_rows=4, min_strength=0.05, min_cluster_rows=8, ks=(2,), starts=1, max_iter=10)
+SMALL = ClusterSettings(neighbours=3, dense_share=0.95, min_component_rows=4, min_strength=0.05, min_cluster_rows=8, ks=(2,), starts=1, max_iter=10)
 N = 60
 
 

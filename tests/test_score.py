@@ -10,7 +10,7 @@ from anchorframe.operators.score import ClusterBundle, append_scored, score_rows
 from anchorframe.plans.analysis import ClusterSettings, analyse_clusters
 from anchorframe.streaming.scoring import start_scoring
 
-SMALL = ClusterSettings(grid_cells=10, min_cell_rows=2, min_component_rows=10, min_strength=0.1, min_cluster_rows=15, ks=(2, 3), starts=1, max_iter=20)
+SMALL = ClusterSettings(neighbours=5, dense_share=0.9, min_component_rows=10, min_strength=0.1, min_cluster_rows=15, ks=(2, 3), starts=1, max_iter=20)
 
 
 @pytest.fixture(scope="module")
@@ -23,21 +23,6 @@ def found(spark):
     return df, analyse_clusters(df, settings=SMALL, fills={"f1": 0.0})
 
 
-def test_density_components(spark):
-    """Two blobs joined by nothing, one stray point."""
-    pts = [(0.5 + i / 10, 0.5) for i in range(20)] + [(8.2, 8.2 + i / 20) for i in range(12)] + [(5.0, 2.0), (0.0, 0.0), (9.9, 9.9)]
-    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(pts)], ["id", "v"])
-    grid = cl.DensityGrid((0.0, 0.0), (1.0, 1.0), 10)
-    comp = cl.dense_components(df, "v", grid, 2, 5)
-    out = {r["id"]: r for r in cl.with_density(df, "v", grid, comp).collect()}
-    first, second = {str(out[i]["density_component"]) for i in range(20)}, {str(out[i]["density_component"]) for i in range(20, 32)}
-    assert len(first) == 1 and len(second) == 1 and first != second
-    assert out[32]["density_component"] is None and out[32]["density_strength"] == 0.0
-    assert max(out[i]["density_strength"] for i in range(20)) == 1.0
-    kept = cl.density_core(cl.with_density(df, "v", grid, comp), 0.9)
-    assert 0 < kept.count() < 32
-
-
 def test_analysis_separates_the_blobs(found):
     df, a = found
     seen = a.core.groupBy("cluster").agg(F.count_distinct("outcome").alias("k")).collect()
@@ -51,7 +36,7 @@ def test_analysis_separates_the_blobs(found):
 def test_too_few_clusters(found):
     df, _ = found
     with pytest.raises(ValueError):
-        analyse_clusters(df, settings=ClusterSettings(grid_cells=10, min_cell_rows=2, min_component_rows=10, min_strength=0.1, min_cluster_rows=10**6, ks=(2,), starts=1, max_iter=5))
+        analyse_clusters(df, settings=ClusterSettings(neighbours=5, dense_share=0.9, min_component_rows=10, min_strength=0.1, min_cluster_rows=10**6, ks=(2,), starts=1, max_iter=5))
 
 
 def test_save_load_score_and_stream(spark, found, tmp_path):
@@ -119,3 +104,17 @@ def test_queries_run_the_whole_job(monkeypatch, name):
     else:
         s = got["settings"] if name == "score" else ClusterSettings(ks=got["ks"], starts=got["starts"], max_iter=got["max_iter"])
         assert (tuple(s.ks), s.starts, s.max_iter) == ((3, 4, 5, 6, 7), 10, 100)
+
+
+def test_density_core_is_not_moved_by_one_far_row(spark):
+    rng = np.random.default_rng(2)
+    blobs = np.r_[rng.normal(0, 1, (1000, 2)), rng.normal(12, 1, (1000, 2))]
+
+    def core(points):
+        df = spark.createDataFrame([(i, Vectors.dense(p.tolist())) for i, p in enumerate(points)], ["entity", "v"])
+        _, found = cl.measure_density(df, "v", "entity", 10, 0.75, 50)
+        return {r.entity: r.density_component for r in found.filter("density_strength > 0").collect()}
+
+    plain, far = core(blobs), core(np.r_[blobs, [[5000.0, -4000.0]]])
+    assert len({str(c) for c in plain.values()}) == 2 == len({str(c) for c in far.values()})
+    assert 2000 not in far and len(set(plain) ^ set(far)) < 50
