@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from anchorframe.session import configure, ensure_checkpoint_dir
 
 SAMPLE_ROWS = 5_000
-BLOCK_ROWS = 1 << 16
-CHUNK_ROWS = 1_024
+#: Rows of a task at most, and at least where there are cores for more tasks.
+BLOCK_ROWS, LEAST_ROWS = 1 << 16, 1 << 10
+CHUNK_ROWS = 512
 FLOOR = 1e-6
 
 
@@ -80,12 +81,12 @@ def whitening(covariances: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_weighted(x: np.ndarray, weights: np.ndarray, means: np.ndarray, white: np.ndarray) -> np.ndarray:
-    """(rows, components): log of weight times density."""
-    d = x.shape[1]
-    away = np.einsum("ncj,cij->nci", x[:, None, :] - means, white)
+def _log_weighted(away: np.ndarray, weights: np.ndarray, white: np.ndarray) -> np.ndarray:
+    """(components, rows): log of weight times density, from differences (components, rows, d) to the means."""
+    d = away.shape[2]
     scale = np.log(np.maximum(weights, 1e-300)) + np.log(np.maximum(np.einsum("cii->ci", white), 1e-300)).sum(axis=1) - d / 2 * math.log(2 * math.pi)
-    return scale - 0.5 * np.square(away).sum(axis=2)
+    unit = np.matmul(away, white.transpose(0, 2, 1))
+    return scale[:, None] - 0.5 * np.einsum("cnd,cnd->cn", unit, unit)
 
 
 def _sums(x: np.ndarray, weights: np.ndarray, means: np.ndarray, white: np.ndarray, first: np.ndarray) -> tuple:
@@ -94,18 +95,17 @@ def _sums(x: np.ndarray, weights: np.ndarray, means: np.ndarray, white: np.ndarr
     sizes = np.diff([*first, c])
     n, s1, s2, ll = np.zeros(c), np.zeros((c, d)), np.zeros((c, d, d)), np.zeros(len(first))
     for i in range(0, len(x), CHUNK_ROWS):
-        part = x[i : i + CHUNK_ROWS]
-        log_p = log_weighted(part, weights, means, white)
-        top = np.maximum.reduceat(log_p, first, axis=1)
-        share = np.exp(log_p - np.repeat(top, sizes, axis=1))
-        total = np.add.reduceat(share, first, axis=1)
-        ll += (top + np.log(total)).sum(axis=0)
-        share /= np.repeat(total, sizes, axis=1)
-        n += share.sum(axis=0)
-        away = part[:, None, :] - means
+        away = x[None, i : i + CHUNK_ROWS] - means[:, None]
+        log_p = _log_weighted(away, weights, white)
+        top = np.maximum.reduceat(log_p, first, axis=0)
+        share = np.exp(log_p - np.repeat(top, sizes, axis=0))
+        total = np.add.reduceat(share, first, axis=0)
+        ll += (top + np.log(total)).sum(axis=1)
+        share /= np.repeat(total, sizes, axis=0)
+        n += share.sum(axis=1)
         weighed = share[:, :, None] * away
-        s1 += weighed.sum(axis=0)
-        s2 += np.matmul(weighed.transpose(1, 2, 0), away.transpose(1, 0, 2))
+        s1 += weighed.sum(axis=1)
+        s2 += np.matmul(weighed.transpose(0, 2, 1), away)
     return n, s1, s2, ll
 
 
@@ -119,7 +119,8 @@ def _blocks(df: DataFrame, vec: str, block_rows: int) -> tuple[DataFrame, int]:
             column = batch.column(0)
             yield pa.RecordBatch.from_arrays([pa.array([len(column)], pa.int64()), pa.array([column.flatten().to_numpy(zero_copy_only=False).astype("<f8").tobytes()], pa.binary())], ["n", "data"])
 
-    return vectors.repartition(max(1, -(-rows // block_rows))).mapInArrow(run, "n long, data binary").checkpoint(), rows
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return vectors.repartition(max(1, -(-rows // block_rows), min(cores, rows // LEAST_ROWS))).mapInArrow(run, "n long, data binary").checkpoint(), rows
 
 
 def _starts(sample: np.ndarray, k: int, seed: int) -> Mixture:
@@ -240,9 +241,9 @@ def assign(df: DataFrame, model: Mixture, valid: Sequence[int] | None = None, ve
         x = np.stack(v.to_numpy())
         p = np.empty((len(x), len(weights)))
         for i in range(0, len(x), CHUNK_ROWS):
-            log_p = log_weighted(x[i : i + CHUNK_ROWS], weights, means, white)
-            share = np.exp(log_p - log_p.max(axis=1, keepdims=True))
-            p[i : i + CHUNK_ROWS] = share / share.sum(axis=1, keepdims=True)
+            log_p = _log_weighted(x[None, i : i + CHUNK_ROWS] - means[:, None], weights, white)
+            share = np.exp(log_p - log_p.max(axis=0))
+            p[i : i + CHUNK_ROWS] = (share / share.sum(axis=0)).T
         at = p[:, options].argmax(axis=1)
         cluster = np.array(options)[at]
         return pd.DataFrame({"cluster": cluster.astype(np.int32), "cluster_prob": p[np.arange(len(p)), cluster]})
