@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anchorframe.core import LOOK_BACK_12H, MINUTE, SECOND, TimeWindow, micros, offset_us
+from anchorframe.core import HOUR, LOOK_BACK_12H, MINUTE, SECOND, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import classify, floored_days, half_even, label_key, lookup, title_case, within_limits
-from anchorframe.operators.skew import running
 from anchorframe.operators.windows import clipped, in_window, nearest_record, overlapping, restrict_to_cohort
 
 def observed_features(long: DataFrame, column: str = "feature") -> list[str]:
@@ -181,28 +180,37 @@ def _canonical(intervals: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     return intervals.filter(label_key("label").isin(list(names))).withColumn("label", lookup(label_key("label"), names))
 
 
-def covered_time(
-    pieces: DataFrame, keys: Sequence[str]
-) -> DataFrame:
+def covered_time(pieces: DataFrame, keys: Sequence[str], cell_us: int = 6 * HOUR) -> DataFrame:
     """Length of the union of ``[s_us, e_us]`` per key, and the number of separate islands.
 
-    In start order each interval adds only what reaches beyond the furthest end
-    seen so far; the union is the sum of those additions.
+    Time is cut into cells and pieces at their borders, so a key's cells are independent and a hot key is spread.  In
+    start order a piece adds only what reaches beyond the furthest end before it in its cell.  Islands that meet at a
+    border are one: a cell tells whether it is covered up to its borders.
     """
-    keys = list(keys)
-    distinct = pieces.groupBy(*keys, "s_us").agg(F.max("e_us").alias("e_us"))
-    reach = running(distinct, keys, "s_us", "e_us", "max", "reach")
-    fresh = F.greatest(F.lit(0), F.col("e_us") - F.greatest("s_us", "reach"))
-    return reach.groupBy(*keys).agg(
-        F.sum(fresh).alias("covered_us"),
-        F.count_if(F.col("reach").isNull() | (F.col("s_us") > F.col("reach"))).alias("islands"),
+    keys, s, e = list(keys), F.col("s_us"), F.col("e_us")
+    first = ((s - F.pmod(s, F.lit(cell_us))) / cell_us).cast("long")  # exact, also before 0
+    last = F.greatest(first, ((e - F.pmod(e, F.lit(cell_us))) / cell_us).cast("long") - (F.pmod(e, F.lit(cell_us)) == 0).cast("long"))
+    cut = pieces.select(*keys, "s_us", "e_us", F.explode(F.sequence(first, last)).alias("cell"))
+    low, high = F.col("cell") * cell_us, (F.col("cell") + 1) * cell_us
+    distinct = cut.groupBy(*keys, "cell", F.greatest(s, low).alias("s_us")).agg(F.max(F.least(e, high)).alias("e_us"))
+    before = Window.partitionBy(*keys, "cell").orderBy("s_us").rowsBetween(Window.unboundedPreceding, -1)
+    reach = distinct.withColumn("reach", F.max("e_us").over(before))
+    starts = F.col("reach").isNull() | (s > F.col("reach"))
+    per_cell = reach.groupBy(*keys, "cell").agg(
+        F.sum(F.greatest(F.lit(0), e - F.greatest("s_us", "reach"))).alias("covered_us"),
+        F.count_if(starts).alias("islands"),
+        (F.min("s_us") == low).alias("from_border"),
+        (F.max("e_us") == high).alias("to_border"),
     )
+    # a few cells a key: the ones covered up to the border that the next one is covered from
+    borders = F.array_intersect(F.collect_set(F.when(F.col("to_border"), F.col("cell") + 1)), F.collect_set(F.when(F.col("from_border"), F.col("cell"))))
+    return per_cell.groupBy(*keys).agg(F.sum("covered_us").alias("covered_us"), (F.sum("islands") - F.size(borders)).alias("islands"))
 
 
 def union_minutes(intervals, anchors, vocabulary, window=LOOK_BACK_12H) -> DataFrame:
     """Minutes of the window covered by at least one interval of the label."""
     pieces = clipped(_canonical(intervals, vocabulary), anchors, window)
-    covered = covered_time(pieces, ["entity", "label"])
+    covered = covered_time(pieces, ["entity", "label"], max(1, (window.hi - window.lo) // 4))
     return covered.select("entity", F.col("label").alias("feature"), (F.col("covered_us") / MINUTE).alias("value"))
 
 

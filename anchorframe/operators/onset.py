@@ -11,6 +11,7 @@ from anchorframe.core import DAY, HOUR, TimeWindow, micros, offset_us
 from anchorframe.functions.scalar import days_between, label_key, lookup
 from anchorframe.operators.skew import exact_median, trailing_min
 from anchorframe.operators.windows import arg_first, in_window
+from anchorframe.session import ensure_checkpoint_dir
 
 
 def first_index_event(index_events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -60,6 +61,9 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame) -> DataFrame:
         .withColumn("off", offset_us("ts"))
         .select("entity", "ts", "value", "off")
     )
+    # the rows around the anchors are read several times from here on; points and anchors once
+    ensure_checkpoint_dir(points.sparkSession)
+    near, anchors = near.checkpoint(), anchors.checkpoint()
 
     week = TimeWindow(-7 * DAY, 0).holds(off)
     month_after = TimeWindow(0, 30 * DAY).holds(off)
@@ -125,9 +129,10 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame) -> DataFrame:
     picked = decided.join(closest, "entity", "left").select(
         "entity", value.alias("baseline_value"), when.alias("baseline_ts"), r.alias("baseline_rule")
     )
-    return anchors.join(picked, "entity", "left").withColumn(
+    found = anchors.join(picked, "entity", "left").withColumn(
         "baseline_rule", F.coalesce("baseline_rule", F.lit("none"))
     )
+    return found.checkpoint()  # one row an entity, which all that follows joins
 
 
 def rolling_minimum(
@@ -140,6 +145,13 @@ def rolling_minimum(
     return trailing_min(timed, "entity", "at_us", "value", width_us, name).drop("at_us")
 
 
+def framed_points(points: DataFrame, baselines: DataFrame, look_back_us: int = 48 * HOUR) -> DataFrame:
+    """Values after the anchor with ``low``, the lowest of their trailing frame; onsets at any thresholds come from it."""
+    keyed = baselines.select("entity", "anchor_ts", "baseline_value")
+    rows = points.select("entity", "ts", "value").filter(F.col("value").isNotNull() & F.col("ts").isNotNull())
+    return rolling_minimum(in_window(rows, keyed, TimeWindow(0, None)), look_back_us, "low")
+
+
 def detect_onset(
     points: DataFrame,
     baselines: DataFrame,
@@ -148,19 +160,15 @@ def detect_onset(
     look_back_us: int = 48 * HOUR,
     ratio_window: TimeWindow = TimeWindow.after(7),
     status: tuple[str, str] = ("onset", "no onset"),
+    framed: DataFrame | None = None,
 ) -> DataFrame:
     """First time after the anchor that a value rises by ``rise`` within the look-back or reaches ``ratio`` x baseline.
 
     ``baselines`` holds ``entity, anchor_ts, baseline_value`` and any further
-    per-entity columns, which are kept.
+    per-entity columns, which are kept.  ``framed`` is what `framed_points`
+    gives for the same points, baselines and look-back, where it is at hand.
     """
-    keyed = baselines.select("entity", "anchor_ts", "baseline_value")
-    post = in_window(
-        points.select("entity", "ts", "value").filter(F.col("value").isNotNull() & F.col("ts").isNotNull()),
-        keyed,
-        TimeWindow(0, None),
-    )
-    framed = rolling_minimum(post, look_back_us, "low")
+    framed = framed_points(points, baselines, look_back_us) if framed is None else framed
     rose = (F.col("value") - F.col("low")) >= rise
     reached = F.coalesce(F.col("value") >= F.col("baseline_value") * F.lit(ratio), F.lit(False)) & ratio_window.contains("ts")
     hits = framed.groupBy("entity").agg(

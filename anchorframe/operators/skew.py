@@ -68,7 +68,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         place = (F.col("__n") - 1) * F.lit(p)
         value_at = lambda rank: F.min(F.when((F.col("__t") == i) & (F.col("__upto") > rank), F.col("__v")))
         low, high, share = value_at(F.floor(place)), value_at(F.ceil(place)), F.first(place - F.floor(place))
-        return (1 - share) * low + share * high
+        # the sketch is only trusted as far as the counts bear it out
+        mine = F.col("__t") == i
+        lost = F.bool_or(mine & F.col("__v").isNull() & (F.col("__upto") > F.floor(place))) | (F.max(F.when(mine, F.col("__upto"))) <= F.first(F.ceil(place)))
+        return F.when(lost, F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double")).otherwise((1 - share) * low + share * high)
 
     return upto.groupBy(*keys).agg(*[at(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
 
@@ -127,12 +130,15 @@ def trailing_min(df: DataFrame, entity: str, at_us: str, value: str, width_us: i
     other.
     """
     t = F.col(at_us)
-    own = df.withColumns({"__own": F.lit(True), "__at": t, "__cell": F.floor(t / width_us).cast("long")})
-    moved = df.filter(t.isNotNull()).withColumns({"__own": F.lit(False), "__at": t + width_us, "__cell": (F.floor(t / width_us) + 1).cast("long")})
+    at_cell = F.floor(t / width_us).cast("long")
+    place = lambda own, at, c: F.struct(F.lit(own).alias("own"), at.cast("long").alias("at"), c.alias("cell"))
+    # both places of a row from one read of it; a row without a time has one
+    places = F.when(t.isNull(), F.array(place(True, t, at_cell))).otherwise(F.array(place(True, t, at_cell), place(False, t + width_us, at_cell + 1)))
+    both = df.select("*", F.explode(places).alias("__p")).withColumns({"__own": F.col("__p.own"), "__at": F.col("__p.at"), "__cell": F.col("__p.cell")})
     cell = Window.partitionBy(entity, "__cell")
     up_to = F.min(F.when(F.col("__own"), F.col(value))).over(cell.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0))
     after = F.min(F.when(~F.col("__own"), F.col(value))).over(cell.orderBy(F.col("__at").desc()).rangeBetween(Window.unboundedPreceding, -1))
-    both = own.unionAll(moved).withColumns({"__up_to": up_to, "__after": after}).filter("__own")
+    both = both.withColumns({"__up_to": up_to, "__after": after}).filter("__own")
     return both.select(*df.columns, F.least("__up_to", "__after").alias(name))
 
 

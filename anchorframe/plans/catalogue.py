@@ -109,16 +109,24 @@ def detect_onset(spark, d):
     )
 
 
+def _two_onsets(spark, d):
+    """Onsets at two thresholds from one set of baselines and one framed table."""
+    points = b.event_points(spark, d)
+    base = on.baseline_cascade(points, b.event_anchors(spark, d))
+    framed = durable(on.framed_points(points, base))
+    return [on.detect_onset(points, base, rise=rise, ratio=1.5, framed=framed) for rise in (50.0, 120.0)]
+
+
 @query
 def compare_onsets(spark, d):
-    rows, _ = on.compare_onsets(_onsets(spark, d, 50.0), _onsets(spark, d, 120.0), "either_true", 6 * HOUR)
+    rows, _ = on.compare_onsets(*_two_onsets(spark, d), "either_true", 6 * HOUR)
     return rows.select("entity", whole("flag_orig"), whole("flag_new"), us_or("ts_orig", "orig_us"), us_or("ts_new", "new_us"),
                        F.coalesce("gap_us", F.lit(-1)).alias("gap_us"), whole("matches"))
 
 
 @query
 def compare_onsets_tally(spark, d):
-    _, tally = on.compare_onsets(_onsets(spark, d, 50.0), _onsets(spark, d, 120.0), "both_true", 6 * HOUR)
+    _, tally = on.compare_onsets(*_two_onsets(spark, d), "both_true", 6 * HOUR)
     return tally
 
 

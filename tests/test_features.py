@@ -103,3 +103,24 @@ def test_stays(spark, intervals, anchors, cohort):
 def test_history(spark, cohort):
     h = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (9, "a")], "entity long, label string")
     assert as_dict(ft.history_matrix(h, cohort([1, 2, 3]))) == {1: {"entity": 1, "a": 1, "b": 0}, 2: {"entity": 2, "a": 0, "b": 1}, 3: {"entity": 3, "a": 0, "b": 0}}
+
+
+def test_covered_time_over_cell_borders(spark):
+    """Pieces that end at, start at, span and touch borders, before and after time 0, in any cell width."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(k, s, s + rng.choice([0, 1, 5, 10, 25, 70])) for k in range(12) for s in (rng.randrange(-60, 60) for _ in range(rng.randint(1, 14)))]
+    rows += [(20, -10, 0), (20, 0, 10), (21, -10, -1), (21, 0, 10), (22, 10, 20), (22, 20, 30), (23, 10, 20), (23, 21, 30), (24, 0, 0), (25, 10, 10), (25, 5, 10)]
+    want = {}
+    for k in {r[0] for r in rows}:
+        reach, covered, islands = None, 0, 0
+        for _, s, e in sorted(r for r in rows if r[0] == k):
+            if reach is None or s > reach:
+                islands, covered, reach = islands + 1, covered + e - s, e
+            elif e > reach:
+                covered, reach = covered + e - reach, e
+        want[k] = (covered, islands)
+    df = spark.createDataFrame(rows, "k int, s_us long, e_us long")
+    for width in (1, 10, 7, 1_000):
+        assert {r.k: (r.covered_us, r.islands) for r in ft.covered_time(df, ["k"], width).collect()} == want, width

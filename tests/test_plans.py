@@ -82,3 +82,14 @@ def test_hot_entities_are_split_before_aggregation(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == RUNTIME_SETTINGS["spark.sql.adaptive.forceOptimizeSkewedJoin"]
+
+
+@pytest.mark.parametrize("name, most", [("baseline_cascade", 2), ("detect_onset", 4), ("compare_onsets_tally", 4), ("rolling_min", 1), ("onset_histogram", 4), ("union_minutes", 2)])
+def test_tables_are_read_few_times(spark, name, most):
+    """File scans of the plan that a query returns; what it wrote before is read from the shared folder."""
+    from anchorframe.plans.catalogue import QUERIES
+    from conftest import SF_DIR
+
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") <= most, plan
