@@ -236,6 +236,65 @@ def decimal_comma_text(spark, d):
     return with_decimal_commas(o)
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder in the shared one."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def csv_scan(spark, d):
+    """Orders written as CSV shards of two layouts, read back with types, names normalised."""
+    from anchorframe.sources import readers as rd
+    from anchorframe.sources import sinks
+
+    o = b.table(spark, d, "orders").select(F.col("o_orderkey").alias(" Order_ID"), F.col("o_orderdate").alias("DAY"), F.col("o_totalprice").alias("price"), "o_orderpriority")
+    low, high = F.col("price") < 100_000, F.col("price") >= 100_000
+    paths = [_folder(spark, "orders-a"), _folder(spark, "orders-b")]
+    sinks.write_csv(o.filter(low), paths[0])
+    sinks.write_csv(o.filter(high).select("price", " Order_ID", "DAY"), paths[1])
+    back = rd.read_csv_table(spark, paths, {"order_id": "id", "day": "date", "price": "double"})
+    rd.require_columns(back, ["order_id", "day", "price", "o_orderpriority"], "orders")
+    return back.select("order_id", us("day", "day_us"), r6("price", "price"), F.coalesce("o_orderpriority", F.lit("none")).alias("priority"))
+
+
+@query
+def cohort_scan(spark, d):
+    """Files by suffix, Parquet and CSV, kept to a cohort, the end time from whichever column is there."""
+    from anchorframe.sources import readers as rd
+
+    path = _folder(spark, "events") + ".csv"
+    e = b.table(spark, d, "events").select(F.col("user_id").alias("entity"), F.col("ts").cast("string").alias("stoptime"), "event_type")
+    e.write.option("header", True).csv(path)
+    cohort = b.event_cohort(spark, d)
+    rows = rd.with_end_column(rd.load_for_cohort(spark, path, cohort)).select(F.col("entity").cast("long").alias("entity"), "end_ts", "event_type")
+    plain = rd.with_end_column(rd.load(spark, f"{d}/events.parquet").select(F.col("user_id").alias("entity"), "event_type")).join(cohort, "entity", "left_semi")
+    both = rows.unionByName(plain.select("entity", "end_ts", "event_type"))
+    return both.groupBy("event_type").agg(F.count("*").alias("n"), F.count("end_ts").alias("ended"), F.max(micros("end_ts")).alias("last_us"), F.count_distinct("entity").alias("entities"))
+
+
+@query
+def row_positions(spark, d):
+    """Each order's place by price, then key."""
+    from anchorframe.sources import sinks
+
+    o = b.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return rounded(sinks.with_position(o, ["o_totalprice", "o_orderkey"], "place"))
+
+
+@query
+def indexed_csv(spark, d):
+    """Customers in a CSV sink with its row index, read back."""
+    from anchorframe.sources import sinks
+
+    path = _folder(spark, "customers")
+    sinks.write_csv(b.table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), path, comma=True, index_by=["c_mktsegment", "c_custkey"])
+    back = spark.read.option("header", True).schema("place long, c_custkey long, c_acctbal string, c_mktsegment string").csv(path)
+    return back.select("place", "c_custkey", "c_acctbal", "c_mktsegment")
+
+
 @query
 def value_counts(spark, d):
     e = b.event_points(spark, d)
@@ -583,6 +642,23 @@ def dunn_p(spark, d):
     return rounded(st.dunn_pairs(_segmented(spark, d), X))
 
 
+@query
+def cluster_comparison(spark, d):
+    """Means per cluster, adjusted feature tests and adjusted pairs, as one list."""
+    m = _segmented(spark, d)
+    means, tests, pairs = st.compare_clusters(m, st.kruskal_wallis(m, X, min_effect=None), X)
+    none = F.lit(-1)
+    parts = [
+        mx.to_long(means, X, ["cluster"]).select(F.lit("mean").alias("kind"), "feature", F.col("cluster").alias("cluster_a"), none.alias("cluster_b"), "value"),
+        tests.select(F.lit("p_fdr").alias("kind"), "feature", none.alias("cluster_a"), none.alias("cluster_b"), F.col("p_fdr").alias("value")),
+        pairs.select(F.lit("p_adj").alias("kind"), "feature", "cluster_a", "cluster_b", F.col("p_adj").alias("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out)
+
+
 def _pseudo_p(spark, d):
     """A number in (0, 1] per event type and user group, standing in for a p-value."""
     e = b.event_points(spark, d)
@@ -656,6 +732,14 @@ def pca_k(spark, d):
                               F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("length")))
 
 
+@query
+def pca_plane(spark, d):
+    """Two scaled columns turned to their principal components: how many are kept, and each row's length there."""
+    m = durable(b.complete_matrix(spark, d))
+    out = cl.project(m, cl.fit_projection(m, ["balance", "avg_quantity"], 0.60)).withColumn("v", cl.vector_to_array("projected"))
+    return rounded(out.select("entity", F.size("v").alias("components"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("length")))
+
+
 def _dense(spark, d):
     m = durable(b.complete_matrix(spark, d))
     projected = durable(cl.project(m, cl.fit_projection(m, X, 0.90)))
@@ -708,13 +792,36 @@ def gbt_regressor(spark, d):
     return r.importances
 
 
+@query
+def cluster_analysis(spark, d):
+    """The whole clustering job: clusters of the core with their size, outcome rate and mean stay."""
+    a = _analysis(spark, d)
+    return rounded(a.distribution.join(a.rates, "cluster").select(F.col("cluster").cast("long").alias("cluster"), "n", "pct", "outcome_rate", "mean_stay"))
+
+
+@query
+def outcome_models(spark, d):
+    """The whole modelling job: scores of both boosted models, and the association tables' effects."""
+    m = durable(b.complete_matrix(spark, d).drop("segment"))
+    r = an.model_outcomes(m, ["n_orders", "avg_price", "balance", "avg_quantity"], [], "entity", "urgent", "returned")
+    scores = [(f"{kind} {name}", float(v[0]), float(v[1])) for kind, report in (("classifier", r.classifier), ("regressor", r.regressor)) for name, v in report.scores.items()]
+    effects = r.outcome.select(F.concat(F.lit("outcome "), "feature").alias("name"), F.col("coef").alias("value"), F.col("q_value").alias("spread")).unionByName(
+        r.stay.select(F.concat(F.lit("stay "), "feature").alias("name"), F.col("coef").alias("value"), F.col("q_value").alias("spread")))
+    return rounded(spark.createDataFrame(scores, "name string, value double, spread double").unionByName(effects))
+
+
+def _analysis(spark, d):
+    m = durable(b.complete_matrix(spark, d).drop("segment"))
+    s = an.ClusterSettings(neighbours=10, dense_share=0.8, min_component_rows=10, min_strength=0.5, min_cluster_rows=10)
+    return an.analyse_clusters(m, "entity", "urgent", "returned", s)
+
+
 @query
 def score(spark, d):
     """A clustering of all customers, then every customer scored against its core."""
     from anchorframe.operators.score import score_rows
 
+    a = _analysis(spark, d)
     m = durable(b.complete_matrix(spark, d).drop("segment"))
-    s = an.ClusterSettings(neighbours=10, dense_share=0.8, min_component_rows=10, min_strength=0.5, min_cluster_rows=10)
-    a = an.analyse_clusters(m, "entity", "urgent", "returned", s)
     out = score_rows(m, a.bundle)
     return rounded(out.select("entity", "cluster", "cluster_prob", "density_strength", "silhouette"))

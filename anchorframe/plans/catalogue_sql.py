@@ -333,6 +333,21 @@ def silhouettes(distance: str) -> str:
     ) + "SELECT id, own AS cluster, round(CASE WHEN n < 2 THEN 0 ELSE (b - a) / greatest(a, b) END, 6) + 0 AS silhouette FROM ab"
 
 
+#: Two-sided p of a standard normal z, from the series of the error function.
+NORMAL_P = """CASE WHEN {z} = 0 THEN 1 ELSE 1 - 2 / sqrt(pi()) * exp(-{z} * {z} / 2) * list_sum(list_transform(range(0, 200),
+  lambda i: exp(i * ln(4) + lgamma(i + 1) - lgamma(2 * i + 2) + (2 * i + 1) * ln(abs({z}) / sqrt(2))))) END"""
+KRUSKAL = """h AS (SELECT feature, (12.0 / (nn * (nn + 1)) * sum(r * r / n) - 3 * (nn + 1)) / (1 - tt / (nn * nn * nn - nn)) AS h,
+  count(*) AS k, nn, min(dv) AS dv FROM grp JOIN tot USING (feature) GROUP BY feature, nn, tt)"""
+#: Five clusters, so four degrees of freedom, whose tail is a sum of two terms.
+TESTED = ["tst AS (SELECT *, exp(-h / 2) * (1 + h / 2) AS p, (h - k + 1) / (nn - k) AS eta FROM h WHERE dv > 1 AND k = 5)",
+          """fdr AS (SELECT *, least(1, min(p * m / rk) OVER (ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) AS p_fdr
+  FROM (SELECT *, row_number() OVER (ORDER BY p, feature) AS rk, count(*) OVER () AS m FROM tst))"""]
+PAIRS = [f"""prs AS (SELECT *, {NORMAL_P.format(z="z")} AS p FROM (SELECT a.feature, a.cluster AS cluster_a, b.cluster AS cluster_b,
+  (a.r / a.n - b.r / b.n) / sqrt((nn * (nn + 1) / 12 - tt / (12 * (nn - 1))) * (1.0 / a.n + 1.0 / b.n)) AS z, a.mean AS mean_a, b.mean AS mean_b
+  FROM grp a JOIN grp b ON a.feature = b.feature AND a.cluster < b.cluster JOIN tot t ON t.feature = a.feature))""",
+         """adj AS (SELECT *, least(1, max(p * (m - rk + 1)) OVER (PARTITION BY feature ORDER BY rk ROWS UNBOUNDED PRECEDING)) AS p_adj
+  FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY p, cluster_a, cluster_b) AS rk, count(*) OVER (PARTITION BY feature) AS m FROM prs))"""]
+
 PSEUDO = [POINTS, """ps AS (SELECT label, entity % 10 AS grp, CAST(count(*) FILTER (value > 120) AS DOUBLE) / count(*) AS p FROM points GROUP BY 1, 2)""",
           "o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY p, grp) AS rk, count(*) OVER (PARTITION BY label) AS m FROM ps)"]
 
@@ -379,6 +394,31 @@ SQL.update({
     "xy_prepare": with_(*CUSTOMERS, "t AS (SELECT * REPLACE (CASE WHEN balance < 0 THEN 'overdrawn' ELSE CAST(balance AS VARCHAR) END AS balance) FROM matrix)")
     + """SELECT entity, round(TRY_CAST(balance AS DOUBLE), 6) AS balance, CASE WHEN returned > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS returned,
   round(avg_quantity, 6) AS avg_quantity, round(avg_price, 6) AS avg_price FROM t WHERE avg_price IS NOT NULL""",
+    "kruskal_p": with_(*ranks(FEATURES), KRUSKAL, *TESTED)
+    + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round(eta, 6) + 0 AS eta_sq, round(p, 6) AS p, round(p_fdr, 6) AS p_fdr,
+  p_fdr < 0.05 AND eta > 0.06 AS consider FROM fdr""",
+    "dunn_p": with_(*ranks(FEATURES), *PAIRS)
+    + """SELECT feature, cluster_a, cluster_b, round(z, 6) + 0 AS z, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b,
+  round(mean_b - mean_a, 6) + 0 AS diff_b_minus_a, round(p, 6) AS p, round(p_adj, 6) AS p_adj, p_adj < 0.05 AS significant FROM adj""",
+    "cluster_comparison": with_(*ranks(FEATURES), KRUSKAL, *TESTED, *PAIRS)
+    + """SELECT 'mean' AS kind, feature, cluster AS cluster_a, -1 AS cluster_b, round(avg(value), 6) AS value FROM lng GROUP BY feature, cluster
+UNION ALL SELECT 'p_fdr', feature, -1, -1, round(p_fdr, 6) FROM fdr UNION ALL SELECT 'p_adj', feature, cluster_a, cluster_b, round(p_adj, 6) FROM adj""",
+    "pca_plane": with_(
+        *CUSTOMERS,
+        "m AS (SELECT entity, balance / (quantile_cont(balance, 0.75) OVER () - quantile_cont(balance, 0.25) OVER ()) AS x, avg_quantity / (quantile_cont(avg_quantity, 0.75) OVER () - quantile_cont(avg_quantity, 0.25) OVER ()) AS y FROM full_matrix)",
+        "c AS (SELECT entity, x - avg(x) OVER () AS x, y - avg(y) OVER () AS y FROM m)",
+        "s AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS d FROM c)",
+        "g AS (SELECT *, (a + d) / 2 + sqrt((a - d) * (a - d) / 4 + b * b) AS top, atan2(2 * b, a - d) / 2 AS turn FROM s)",
+    ) + """SELECT entity, CASE WHEN top / (a + d) > 0.6 THEN 1 ELSE 2 END AS components,
+  round(CASE WHEN top / (a + d) > 0.6 THEN abs(x * cos(turn) + y * sin(turn)) ELSE sqrt(x * x + y * y) END, 6) AS length FROM c, g""",
+    "csv_scan": """SELECT o_orderkey AS order_id, epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS day_us, round(o_totalprice, 6) AS price,
+  CASE WHEN o_totalprice < 100000 THEN o_orderpriority ELSE 'none' END AS priority FROM orders""",
+    "cohort_scan": with_(COHORT, """b AS (SELECT user_id, ts, event_type FROM events WHERE user_id IN (SELECT entity FROM cohort)
+  UNION ALL SELECT user_id, NULL, event_type FROM events WHERE user_id IN (SELECT entity FROM cohort))""")
+    + "SELECT event_type, count(*) AS n, count(ts) AS ended, max(epoch_us(ts)) AS last_us, count(DISTINCT user_id) AS entities FROM b GROUP BY 1",
+    "row_positions": "SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place FROM orders",
+    "indexed_csv": """SELECT row_number() OVER (ORDER BY c_mktsegment, c_custkey) - 1 AS place, c_custkey,
+  replace(CAST(c_acctbal AS VARCHAR), '.', ',') AS c_acctbal, c_mktsegment FROM customer""",
     "ranking_scores": """WITH e AS (SELECT user_id % 10 AS grp, (event_type = 'error')::DOUBLE AS y, value FROM events),
 b AS (SELECT grp, value, sum(y) AS h, count(*) AS n FROM e GROUP BY 1, 2),
 w AS (SELECT *, sum(h) OVER s - h AS hb, sum(n) OVER s AS upto FROM b WINDOW s AS (PARTITION BY grp ORDER BY value DESC))

@@ -62,3 +62,17 @@ def test_quoted_blanks_line_breaks_and_corrupt_records(spark, tmp_path):
     got = {r.id: r for r in df.collect()}
     assert got[1].name is None and got[2].name is None and got[3].name == "plain" and got[4].name == "two\nlines"
     assert {i for i, r in got.items() if r.bad is not None} == {2, 5} and got[2].v is None and got[1].bad is None
+
+
+def test_positions_and_indexed_csv(spark, tmp_path):
+    rows = [(i, (i * 7) % 50, None if i % 11 == 0 else "x") for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, v long, s string").repartition(5)
+    order = sorted(rows, key=lambda r: (r[2] is not None, r[2] or "", r[1], r[0]))
+    got = {r.id: r["index"] for r in sinks.with_position(df, ["s", "v", "id"], partitions=9).collect()}
+    assert got == {r[0]: i for i, r in enumerate(order)}
+    assert sinks.with_position(df.limit(0), ["v"]).count() == 0
+    sinks.write_csv(df, str(tmp_path / "o"), index_by=["id"])
+    back = spark.read.schema("place long, id long, v long, s string").option("header", True).csv(str(tmp_path / "o"))
+    assert {(r.place, r.id) for r in back.collect()} == {(i, i) for i in range(700)}
+    head = next(p for p in (tmp_path / "o").iterdir() if p.suffix == ".csv" and p.stat().st_size).read_text().splitlines()[0]
+    assert head.split(",")[1:] == ["id", "v", "s"]

@@ -199,3 +199,16 @@ def test_ranking_scores(spark):
     area = np.mean([(a > b) + (a == b) / 2 for a in p[y == 1] for b in p[y == 0]])
     got = {r["g"]: (r["roc_auc"], r["average_precision"]) for r in md.ranking_scores(df, "g", "y", "p").collect()}
     assert got["g"] == (pytest.approx(area), pytest.approx(want)) and got["one"] == got["zero"] == (None, None)
+
+
+def test_tails_are_those_of_the_plain_functions(spark):
+    from pyspark.sql import functions as F
+
+    from anchorframe.functions.pvalues import chi_square_p, chi_square_tail, normal_p, normal_two_sided
+
+    rows = [(x, k) for x in (0.0, 1e-9, 0.3, 1.0, 5.0, 17.9, 18.1, 60.0, 400.0) for k in range(1, 12)] + [(2.0, 0), (float("nan"), 2), (None, 3)]
+    got = spark.createDataFrame(rows, "x double, k long").select("x", "k", chi_square_p("x", F.col("k")).alias("p"), normal_p("x").alias("z")).collect()
+    for r in got:
+        want, z = chi_square_tail(r.x, r.k), normal_two_sided(r.x)
+        assert (r.p is None and math.isnan(want)) or r.p == pytest.approx(want, rel=1e-9, abs=1e-300), r
+        assert (r.z is None and math.isnan(z)) or r.z == pytest.approx(z, rel=1e-9, abs=1e-300), r
