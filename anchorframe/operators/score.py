@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from anchorframe.operators.cluster import Density, assign, project, score_density
 from anchorframe.operators.matrix import fill_from_constants
 from anchorframe.operators.mixture import Mixture
+from anchorframe.operators.balls import TOLERANCE, BallIndex, ball_index, ball_sums
 from anchorframe.operators.stats import _silhouette_from, distance_sums
 
 
@@ -28,11 +29,18 @@ class ClusterBundle:
     valid: list[int]
     fills: Mapping[str, float] = field(default_factory=dict)
     key: str = "entity"
+    balls: BallIndex | None = None  # the core rows in leaves; made when it is first needed
+
+    def ball_index(self) -> BallIndex:
+        if self.balls is None:
+            self.balls = ball_index(self.core)
+        return self.balls
 
     def save(self, path: str) -> None:
         self.projection.write().overwrite().save(f"{path}/projection")
         self.core.write.mode("overwrite").parquet(f"{path}/core")
         self.density.save(f"{path}/density")
+        self.ball_index().save(f"{path}/balls")
         settings = {
             "mixture": self.mixture.to_lists(),
             "valid": list(self.valid),
@@ -53,6 +61,7 @@ class ClusterBundle:
             s["valid"],
             s["fills"],
             s["key"],
+            BallIndex.load(spark, f"{path}/balls"),
         )
 
 
@@ -60,18 +69,20 @@ def core_points(df: DataFrame, key: str, vec: str = "projected") -> DataFrame:
     return df.select(F.col(key).alias("id"), vector_to_array(F.col(vec)).alias("vec"), F.col("cluster").cast("long").alias("cluster"))
 
 
-def score_rows(rows: DataFrame, bundle: ClusterBundle, block_rows: int = 2048) -> DataFrame:
+def score_rows(rows: DataFrame, bundle: ClusterBundle, tolerance: float | None = TOLERANCE, block_rows: int = 2048) -> DataFrame:
     """New rows with cluster, posterior, density strength and silhouette against the core.
 
-    The silhouette of a new row needs only its own distances to the core rows.
+    The silhouette of a new row needs only its own distances to the core rows, summed by cluster.  Groups of core rows
+    that lie far from a row are summed as a whole, within the tolerance; with tolerance None every pair is evaluated.
     """
     filled = fill_from_constants(rows, dict(bundle.fills), bundle.key)
     placed = assign(project(filled, bundle.projection), bundle.mixture, bundle.valid)
     dense = score_density(placed, "projected", bundle.key, bundle.density).drop("density_component")
 
     new = core_points(dense, bundle.key)
-    sums = distance_sums(new.select("id", "vec"), bundle.core, block_rows, same_rows=False)
-    own = new.select("id", F.col("cluster").alias("own"))
+    asked = new.select("id", "vec").dropDuplicates(["id"])
+    sums = distance_sums(asked, bundle.core, block_rows, same_rows=False) if tolerance is None else ball_sums(asked, bundle.ball_index(), tolerance)
+    own = new.select("id", F.col("cluster").alias("own")).dropDuplicates(["id"])
     sil = _silhouette_from(sums, own, 0).select(F.col("id").alias(bundle.key), "silhouette")
     return dense.join(sil, bundle.key, "left").drop("projected")
 
