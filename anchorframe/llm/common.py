@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 import anchorframe
 from pyspark import cloudpickle
@@ -19,6 +20,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _FOLDERS: dict[str, str] = {}
+_WRITTEN: dict[int, tuple] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +65,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, and safe from lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Removes what `written` wrote for df, once nothing reads it any more; the rest goes when Python ends."""
+    known, path = _WRITTEN.pop(id(df), (None, None))
+    if known is not None and known() is df:
+        _remove(df.sparkSession, path)
+
+
+def floored(x: Column, scale: float) -> Column:
+    """floor(scale * x) as a double of any size, x as double; floor() alone would hold it to a long."""
+    y = x.cast("double") * scale
+    return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)  # a larger double is whole
 
 
 #: What a Python task holds of its input at a time.  Texts differ in length by far, so bytes are bounded too.
@@ -83,9 +100,9 @@ def small_batches(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of the edges; root is the smallest node it can reach.
 
-    Alternates large-star and small-star steps: each hangs neighbours on the smallest node seen so far.  Both are
-    aggregations and joins that Spark can combine before the shuffle and split when a node is hot, the number of
-    edges never grows, and the rounds grow with the logarithm of the chain length.
+    Alternates large-star and small-star steps: each hangs neighbours on the smallest node seen so far.  The least
+    neighbours are written before they are joined, so Spark sees the join's real sides and can split a hot node; the
+    number of edges never grows, the rounds grow with the logarithm of the chain length, and tables of earlier rounds go.
     """
     e = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "edges")
     before = None
@@ -95,9 +112,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v"), F.col("v"))).distinct()
         before = state
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        e = written(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
+        lower = written(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
+        small = large.join(lower, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        after = written(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
+        for old in (e, least, large, lower):
+            forget(old)
+        e = after

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anchorframe.llm.common import small_batches, written
+from anchorframe.llm.common import floored, small_batches, written
 
 SAMPLE_ROWS = 8_192
 BLOCK_ROWS = 4_096
@@ -48,9 +48,7 @@ PACK = "block int, ids binary, labels binary, vectors binary"
 def usable(vectors: DataFrame, label: Column, scale: float = 256.0) -> DataFrame:
     """(vec_id, label, v): floor(scale * component) of every usable vector, one row a vec_id."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    # a double holds a whole number of any size here; floor() alone would make it a long
-    whole = lambda x: x.cast("double") * scale - F.pmod(x.cast("double") * scale, F.lit(1.0))
-    v = F.transform("embedding", lambda x: F.when(F.abs(x) < 1e13, F.floor(x.cast("double") * scale).cast("double")).otherwise(whole(x)))
+    v = F.transform("embedding", lambda x: floored(x, scale))
     kept = vectors.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)))
     rows = kept.select(F.col("vec_id").cast("long").alias("vec_id"), F.struct(label.cast("long").alias("label"), v.alias("v")).alias("row"))
     return rows.groupBy("vec_id").agg(F.min("row").alias("row")).select("vec_id", "row.label", "row.v")

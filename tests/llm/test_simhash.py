@@ -76,6 +76,23 @@ def test_one_of_each_group(docs):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, text), (0, text), (2, text), rows[3]])
 
 
+def test_every_group_keeps_one_document(docs):
+    """Different texts under one id: each belongs to its own group, and no group is lost."""
+    a, b, c = ("one two three four five six seven", "quite another text with words of its own", "a third one that has nothing to do with these")
+    kept = simhash.one_of_each_group(docs([(4, a), (4, b), (9, b), (9, c), (5, c), (4, a), (7, ""), (8, None)]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(4, a), (4, b), (5, c), (7, "")])
+
+
+@pytest.mark.parametrize("k", [1, 2, 4])
+def test_shingle_lengths_and_pieces(monkeypatch, k):
+    rng = random.Random(k)
+    for piece in (1, 7, 40, 1 << 20):
+        monkeypatch.setattr(simhash, "PIECE", piece)
+        for n in (0, 1, 2, 3, 4, 5, 30):
+            text = "".join(rng.choice(["a", "bc", "É", "\u2003"]) + rng.choice([" ", "\n\t", "  "]) for _ in range(n))
+            assert simhash.fingerprint(text, k) == brute_fingerprint(text, k)
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)] + [(7, 7)]
