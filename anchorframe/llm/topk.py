@@ -10,7 +10,8 @@ k, and the best k of those are kept.  All bounds carry a slack for rounding, so
 Defined cases: vectors that are null or hold null or non-finite components take no part; a shorter vector counts as if
 filled up with zeros; rows with a null vec_id take no part; a query's own rows are all rows with its vec_id; a row that
 repeats another (same vec_id and vector) counts once; ties go to the smaller vec_id; further columns are ignored; no
-vectors give no rows.
+vectors give no rows.  Vectors whose products a double cannot hold exactly stay out of the trees and are multiplied as
+integers of any size; a score beyond a 64-bit integer counts as the largest or smallest of them.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from anchorframe.llm.common import floored
+
 PAGE = 1024
 FANOUT = 16
 SHARD_ROWS = 32_768
@@ -33,7 +36,7 @@ _EXACT = 2.0**52
 def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """(vec_id, v): floor(scale * component) of every usable vector, once per distinct row."""
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    v = F.transform("embedding", lambda x: floored(x, scale))
     return vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(usable, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).distinct()
 
 
@@ -125,6 +128,12 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def _whole_products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers of any size, held to 64 bits."""
+    whole = [int(c) for c in q]
+    return np.array([min(max(sum(int(a) * b for a, b in zip(row, whole)), -(2**63)), 2**63 - 1) for row in x.tolist()], np.int64)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for every query; vectors and queries: (vec_id, v) as `quantised` gives them."""
     spark = vectors.sparkSession
@@ -148,14 +157,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         data, data_ids, wanted, wanted_ids = x[~asks], ids[~asks], x[asks], ids[asks]
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if len(data) and len(wanted):
-            if width * np.abs(x).max(initial=0.0) ** 2 >= _EXACT:
-                raise ValueError("components are too large for exact integer products")
-            tree = MTree(data)
-            for q, own in zip(wanted, wanted_ids.tolist()):
-                rows, scores = tree.search(q, k, data_ids, own)
-                out["query_id"] += [own] * len(rows)
-                out["vec_id"] += data_ids[rows].tolist()
-                out["score"] += scores.astype(np.int64).tolist()
+            large, asks_large = (np.abs(m).max(axis=1, initial=0.0) >= np.sqrt(_EXACT / max(width, 1)) for m in (data, wanted))
+
+            def add(own: int, rows: np.ndarray, scores: np.ndarray) -> None:
+                out["query_id"].extend([own] * len(rows))
+                out["vec_id"].extend(rows.tolist())
+                out["score"].extend(scores.tolist())
+
+            tree, tree_ids = MTree(data[~large]), data_ids[~large]
+            for q, own in zip(wanted[~asks_large], wanted_ids[~asks_large].tolist()):
+                rows, scores = tree.search(q, k, tree_ids, own)
+                add(own, tree_ids[rows], scores.astype(np.int64))
+            # large vectors against all, all against large ones: each pair that the tree has not seen, once
+            for q, own, of in [*((q, i, slice(None)) for q, i in zip(wanted[asks_large], wanted_ids[asks_large].tolist())),
+                               *((q, i, large) for q, i in zip(wanted[~asks_large], wanted_ids[~asks_large].tolist()) if large.any())]:
+                rows, scores = data_ids[of], _whole_products(data[of], q)
+                rows, scores = rows[rows != own], scores[rows != own]
+                best = np.lexsort((rows, ~scores))[:k]  # ~ turns the order of integers of any sign
+                add(own, rows[best], scores[best])
         return pa.table(out, schema=pa.schema([(c, pa.int64()) for c in out]))
 
     found = held.unionByName(asked).groupBy("shard", "block").applyInArrow(run, "query_id long, vec_id long, score long")

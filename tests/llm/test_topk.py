@@ -14,7 +14,7 @@ def brute(rows, k=20):
         for _, a in (r for r in ok if r[0] == q):
             for i, b in ok:
                 if i != q:
-                    best[i] = max(best.get(i, -(10**18)), sum(x * y for x, y in zip(a, b)))
+                    best[i] = max(best.get(i, -(2**63)), min(2**63 - 1, sum(x * y for x, y in zip(a, b))))
         ranked = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
         out |= {(q, n + 1, i, s) for n, (i, s) in enumerate(ranked)}
     return out
@@ -49,6 +49,14 @@ def test_brute_force(spark, monkeypatch):
     check(spark, as_float(rows[:7]), k=20)
 
 
+def test_large_components(spark, monkeypatch):
+    """Beyond what doubles multiply exactly, and beyond what a long holds."""
+    monkeypatch.setattr(topk, "PAGE", 4)
+    rng = random.Random(3)
+    rows = [(i, single(rng)) for i in range(60)] + [(60, [3e7] + single(rng, 5)), (61, [-3e7] + single(rng, 5)), (62, [3e38] * 6), (80, [-3e38, 1e25, 1.0, 0.3, 0.0, 2.5e9]), (64, [1e17 / 3] * 6)]
+    check(spark, as_float(rows))
+
+
 def test_none(spark):
     check(spark, [])
     check(spark, [(1, [0.5])])
