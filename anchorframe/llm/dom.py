@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,17 +64,25 @@ def parse(html: str) -> list[Element]:
     """All elements in page order, the root first.  An element's parts are its texts (str) and child elements."""
     root = Element("html", None)
     out, top, at = [root], root, 0
+    open_tags: Counter[str] = Counter()
 
     def text(piece: str) -> None:
         if piece:
             top.parts.append(unescape(piece))
 
-    def close(tags: tuple[str, ...], stop: frozenset[str] = frozenset()) -> None:
+    def leave(to: Element) -> None:
         nonlocal top
+        while top is not to:
+            open_tags[top.tag] -= 1
+            top = top.parent
+
+    def close(tags: tuple[str, ...], stop: frozenset[str] = frozenset()) -> None:
+        if not any(open_tags[t] for t in tags):  # a stray end tag costs no walk to the root
+            return
         e = top
         while e is not root:
             if e.tag in tags:
-                top = e.parent
+                leave(e.parent)
                 return
             if e.tag in stop:
                 return
@@ -112,7 +121,7 @@ def parse(html: str) -> list[Element]:
         if tag in _CLOSES:
             close(_CLOSES[tag], _SCOPE - {"div"} if tag == "li" else _SCOPE)
         if tag in ("body", "nav", "header", "main", "article", "div") and top.tag == "head":
-            top = root
+            leave(root)
         element = Element(tag, top, attributes)
         element.at = len(out)
         top.children.append(element)
@@ -123,6 +132,7 @@ def parse(html: str) -> list[Element]:
             at = end.end() if end else n
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             top = element
+            open_tags[tag] += 1
     text(html[at:])
     return out
 

@@ -16,6 +16,7 @@ markup is read forgivingly; every row gives a row, whatever its page_id; further
 from __future__ import annotations
 
 import random
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from anchorframe.llm.common import small_batches
 from anchorframe.llm.dom import BLOCK, Element, parse, text_of
 
-#: Pages that the forest is trained on, at most.
-TRAIN_PAGES = 150
+#: Pages that the forest is trained on, at most, and the characters of the longest that can be among them.
+TRAIN_PAGES, TRAIN_CHARS = 150, 200_000
 
 # Words of class, id and role attributes, by role.
 GOOD_TOKENS = frozenset("article articlebody body content entry main post story text page hentry blog prose chapter".split())
@@ -82,6 +83,7 @@ def node_features(elements: list[Element]) -> tuple[list[int], np.ndarray, np.nd
     depth, bad_above, good_above, dropped_above = [0] * n, [0] * n, [0] * n, [0] * n
     out, at, held = [], [], []
     total = max(chars[0], 1)
+    alike = [Counter(s.tag for s in e.children) if e.children else None for e in elements]
     for e in elements:
         i, p = e.at, e.parent.at if e.parent is not None else None
         group = _GROUP.get(e.tag, len(_GROUPS) - 1)
@@ -99,7 +101,7 @@ def node_features(elements: list[Element]) -> tuple[list[int], np.ndarray, np.nd
         row[0:16] = [
             group, depth[i], np.log1p(chars[i]), np.log1p(own[i]), link[i] / max(chars[i], 1), chars[i] / tags[i], tags[i], commas[i] / max(words[i], 1),
             chars[i] / total, len(siblings), chars[i] / max(chars[e.parent.at], 1), _GROUP.get(e.parent.tag, len(_GROUPS) - 1), chars[i] / max(words[i], 1),
-            sum(s.tag == e.tag for s in siblings) / len(siblings), float(good), float(bool(kinds)),
+            alike[p][e.tag] / len(siblings), float(good), float(bool(kinds)),
         ]
         for kind in kinds:
             row[16 + kind] = 1.0
@@ -247,8 +249,11 @@ def _known_roles(html: str) -> tuple[list[Element], list[bool]]:
 
 
 def train(pages: DataFrame, rows: int = TRAIN_PAGES, layouts: int = 3) -> Forest:
-    """A forest trained on at most `rows` pages (those with the smallest hashes of their ids)."""
-    found = pages.filter("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(rows).collect()
+    """A forest trained on at most `rows` pages of up to TRAIN_CHARS characters (those with the smallest hashes of their ids)."""
+    fit = pages.filter(F.length("html") <= TRAIN_CHARS)
+    # ids first: only the chosen pages themselves leave the executors
+    chosen = fit.select("page_id").filter("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
+    found = sorted(fit.select("page_id", "html").join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect(), key=lambda r: r["page_id"])
     rng, xs, ys, ws = random.Random(11), [], [], []
     texts = []
     for r in found:

@@ -78,3 +78,19 @@ def test_tags_of_any_length():
         for tail in ("", ">", "'>", "'>'", "\">\""):
             everything(part * 20_000 + tail)
     assert time.time() - began < 20
+
+
+def test_time_is_linear_in_flat_and_broken_pages():
+    began = time.time()
+    flat = parse("<ul>" + "<li>item, text</li>" * 100_000 + "</ul>")
+    at, x, _ = pages.node_features(flat)
+    assert len(at) == 100_001 and x[5, 13] == 1.0
+    stray = parse("<span>" * 50_000 + "</b>" * 100_000 + "text" + "</span>" * 50_000 + "<p>after")
+    assert stray[-1].tag == "p" and stray[-1].parent is stray[0]
+    assert time.time() - began < 25
+
+
+def test_training_pages_are_chosen_by_id(spark):
+    rows = [(i % 50, "u", f"<article><p>{'long ' * (60_000 if i % 7 == 0 else 5)}{i}</p></article>") for i in range(60)] + [(None, "u", "<p>x</p>")]
+    forest = pages.train(spark.createDataFrame(rows, "page_id long, url string, html string"), rows=10, layouts=1)
+    assert np.isfinite(forest.value).all()
