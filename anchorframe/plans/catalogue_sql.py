@@ -338,6 +338,28 @@ NORMAL_P = """CASE WHEN {z} = 0 THEN 1 ELSE 1 - 2 / sqrt(pi()) * exp(-{z} * {z}
   lambda i: exp(i * ln(4) + lgamma(i + 1) - lgamma(2 * i + 2) + (2 * i + 1) * ln(abs({z}) / sqrt(2))))) END"""
 KRUSKAL = """h AS (SELECT feature, (12.0 / (nn * (nn + 1)) * sum(r * r / n) - 3 * (nn + 1)) / (1 - tt / (nn * nn * nn - nn)) AS h,
   count(*) AS k, nn, min(dv) AS dv FROM grp JOIN tot USING (feature) GROUP BY feature, nn, tt)"""
+
+
+def least_squares(source: str, features: list[str], y: str) -> list[str]:
+    """Coefficient and HC3 error of each feature: columns are made orthogonal in turn, the feature's own last."""
+    parts = [f"sc AS (SELECT {y} - avg({y}) OVER () AS y, " + ", ".join(
+        f"({f} - avg({f}) OVER ()) / stddev_pop({f}) OVER () AS {f}, stddev_pop({f}) OVER () AS sd_{f}" for f in features) + f", count(*) OVER () AS n FROM {source})"]
+    for own in features:
+        order, before = [f for f in features if f != own] + [own], "sc"
+        for i, q in enumerate(order):
+            left = [*order[i + 1 :], "y"]
+            now = f"o{i}_{own}"
+            keep = ", ".join([*order[: i + 1], f"sd_{own}", "n"])
+            beta = f", sum(y * {q}) OVER () / sum({q} * {q}) OVER () AS beta" if q == own else ""
+            parts.append(f"{now} AS (SELECT {keep}{beta}, " + ", ".join(f"{c} - {q} * (sum({c} * {q}) OVER () / sum({q} * {q}) OVER ()) AS {c}" for c in left) + f" FROM {before})")
+            before = now
+        lever = " + ".join(f"{q} * {q} / sum({q} * {q}) OVER ()" for q in order)
+        parts.append(f"h_{own} AS (SELECT *, 1.0 / n + {lever} AS lever FROM {before})")
+        parts.append(f"""e_{own} AS (SELECT '{own}' AS feature, any_value(beta) / any_value(sd_{own}) AS coef,
+  sqrt(sum(({own} * y / (1 - lever)) ** 2)) / sum({own} * {own}) / any_value(sd_{own}) AS err FROM h_{own})""")
+    return [*parts, "est AS (" + " UNION ALL ".join(f"SELECT * FROM e_{f}" for f in features) + ")"]
+
+
 #: Five clusters, so four degrees of freedom, whose tail is a sum of two terms.
 TESTED = ["tst AS (SELECT *, exp(-h / 2) * (1 + h / 2) AS p, (h - k + 1) / (nn - k) AS eta FROM h WHERE dv > 1 AND k = 5)",
           """fdr AS (SELECT *, least(1, min(p * m / rk) OVER (ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) AS p_fdr
@@ -394,6 +416,15 @@ SQL.update({
     "xy_prepare": with_(*CUSTOMERS, "t AS (SELECT * REPLACE (CASE WHEN balance < 0 THEN 'overdrawn' ELSE CAST(balance AS VARCHAR) END AS balance) FROM matrix)")
     + """SELECT entity, round(TRY_CAST(balance AS DOUBLE), 6) AS balance, CASE WHEN returned > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS returned,
   round(avg_quantity, 6) AS avg_quantity, round(avg_price, 6) AS avg_price FROM t WHERE avg_price IS NOT NULL""",
+    "ols_hc3": with_(
+        *CUSTOMERS,
+        "xy AS (SELECT avg_price, balance, avg_quantity, CAST(urgent > 0 AS DOUBLE) AS urgent, ln(1 + returned) AS target FROM full_matrix)",
+        *least_squares("xy", ["avg_price", "balance", "avg_quantity", "urgent"], "target"),
+        f"pv AS (SELECT *, {NORMAL_P.format(z='(coef / err)')} AS p FROM est)",
+        """qv AS (SELECT *, least(1, min(p * m / rk) OVER (ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) AS q
+  FROM (SELECT *, row_number() OVER (ORDER BY p, feature) AS rk, count(*) OVER () AS m FROM pv))""",
+    ) + """SELECT feature, round(coef, 6) + 0 AS coef, round(err, 6) AS std_err, round(p, 6) AS p_value, round((exp(coef) - 1) * 100, 6) + 0 AS approx_pct_change,
+  round(q, 6) AS q_value, q < 0.05 AS significant FROM qv""",
     "kruskal_p": with_(*ranks(FEATURES), KRUSKAL, *TESTED)
     + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round(eta, 6) + 0 AS eta_sq, round(p, 6) AS p, round(p_fdr, 6) AS p_fdr,
   p_fdr < 0.05 AND eta > 0.06 AS consider FROM fdr""",

@@ -6,7 +6,7 @@ later stage reads columns it needs from a finished table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,14 +55,26 @@ _TYPES = {
 
 @dataclass
 class StudyTables:
-    """The input tables, read lazily from a folder of CSV files."""
+    """The input tables, from a folder of CSV files.
+
+    With ``staged`` every file is parsed once: the first use writes its typed rows as Parquet there, and each use reads
+    the columns it needs.  Staged tables are not bucketed by entity: joins then could not split a hot entity's bucket.
+    """
 
     spark: SparkSession
     folder: str
+    staged: str | None = None
+    tables: dict[tuple[str, ...], DataFrame] = field(default_factory=dict)
 
     def read(self, *names: str) -> DataFrame:
-        df = read_csv_table(self.spark, [f"{self.folder}/{n}.csv" for n in names], _TYPES)
-        return df.withColumnRenamed("subject_id", "entity")
+        if names not in self.tables:
+            df = read_csv_table(self.spark, [f"{self.folder}/{n}.csv" for n in names], _TYPES).withColumnRenamed("subject_id", "entity")
+            if self.staged is not None:
+                path = f"{self.staged}/{'+'.join(names)}"
+                write_parquet(df, path)
+                df = self.spark.read.schema(df.schema).parquet(path)
+            self.tables[names] = df
+        return self.tables[names]
 
     def index_events(self) -> DataFrame:
         return as_points(self.read("sepsis_diagnose_time"), "entity", "suspected_infection_time")
@@ -217,7 +229,7 @@ def run_study(
 ) -> StudyResult:
     """Every stage in order; tables land under ``out``."""
     configure(spark)
-    t = StudyTables(spark, data)
+    t = StudyTables(spark, data, f"{out}/staged")
     write_parquet(find_onsets(t), f"{out}/onsets")
     onsets = spark.read.parquet(f"{out}/onsets")
     write_csv(_subject(on.onset_cohort(onsets, voc.STATUS[0])), f"{out}/cohort_csv")

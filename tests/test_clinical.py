@@ -135,3 +135,18 @@ def test_clusters_models_and_scoring(spark, study):
 
     r = boosted_regressor(core, ["Heart Rate", "Furosemide"], voc.STAY_COLUMN, "entity", Boosting(rounds=2, depth=2), folds=2)
     assert set(r.scores) == {"mae", "r2"}
+
+
+def test_each_file_is_parsed_once(spark, study, tmp_path, monkeypatch):
+    result, out, _, data = study
+    seen = []
+    read = clinical.read_csv_table
+    monkeypatch.setattr(clinical, "read_csv_table", lambda spark, paths, types: seen.extend(paths) or read(spark, paths, types))
+    t = clinical.StudyTables(spark, data, str(tmp_path))
+    matrix = clinical.build_matrix(t, result.onsets)
+    clinical.medication_log(t, result.onsets)
+    clinical.heart_rate_series(t, result.onsets)
+    assert len(seen) == len(set(seen)) > 10
+    assert ".csv" not in matrix._jdf.queryExecution().sparkPlan().toString()
+    plain = clinical.build_matrix(clinical.StudyTables(spark, data), result.onsets)
+    assert {tuple(r) for r in matrix.select(*[f"`{c}`" for c in plain.columns]).collect()} == {tuple(r) for r in plain.collect()}
