@@ -360,6 +360,36 @@ def least_squares(source: str, features: list[str], y: str) -> list[str]:
     return [*parts, "est AS (" + " UNION ALL ".join(f"SELECT * FROM e_{f}" for f in features) + ")"]
 
 
+def logistic(source: str, features: list[str], y: str, steps: int = 12) -> list[str]:
+    """Maximum-likelihood coefficient and error of each feature: reweighted least squares, each step by columns made orthogonal in turn; a constant one has NULLs."""
+    scaled = ", ".join(f"coalesce(({f} - avg({f}) OVER ()) / nullif(stddev_pop({f}) OVER (), 0), 0) AS {f}, nullif(stddev_pop({f}) OVER (), 0) AS sd_{f}" for f in features)
+    parts = [f"g0 AS (SELECT {y}::DOUBLE AS y, 0::DOUBLE AS eta, 1::DOUBLE AS one, {scaled} FROM {source})"]
+    sds = [f"sd_{f}" for f in features]
+
+    def orthogonal(before: str, order: list[str], tag: str) -> str:
+        """Takes the columns out of those after them and of z, in turn, under the weights w."""
+        for i, q in enumerate(order):
+            left = [*order[i + 1 :], "z"]
+            now = f"{tag}_{i}"
+            parts.append(f"{now} AS (SELECT * REPLACE (" + ", ".join(f"{c} - {q} * coalesce(sum(w * {c} * {q}) OVER () / nullif(sum(w * {q} * {q}) OVER (), 0), 0) AS {c}" for c in left)
+                         + f"){', sum(w * z * ' + q + ') OVER () / sum(w * ' + q + ' * ' + q + ') OVER () AS beta' if i + 1 == len(order) else ''} FROM {before})")
+            before = now
+        return before
+
+    for t in range(steps):
+        keep = ", ".join(["y", "one", *features, *sds])
+        parts.append(f"w{t} AS (SELECT {keep}, eta, p * (1 - p) AS w, eta + (y - p) / (p * (1 - p)) AS z, eta + (y - p) / (p * (1 - p)) AS full_z, "
+                     + ", ".join(f"{f} AS raw_{f}" for f in features) + f" FROM (SELECT *, 1 / (1 + exp(-eta)) AS p FROM g{t}))")
+        last = orthogonal(f"w{t}", ["one", *features], f"s{t}")
+        # what the columns explain of z are the next fitted values
+        parts.append(f"g{t + 1} AS (SELECT y, full_z - z AS eta, 1::DOUBLE AS one, " + ", ".join(f"raw_{f} AS {f}" for f in features) + ", " + ", ".join(sds) + f" FROM {last})")
+    for f in features:
+        order = ["one", *[g for g in features if g != f], f]
+        last = orthogonal(f"w{steps - 1}", order, f"f_{f}")
+        parts.append(f"e_{f} AS (SELECT '{f}' AS feature, any_value(beta) / any_value(sd_{f}) AS coef, 1 / sqrt(nullif(sum(w * {f} * {f}), 0)) / any_value(sd_{f}) AS err FROM {last})")
+    return [*parts, "est AS (" + " UNION ALL ".join(f"SELECT * FROM e_{f}" for f in features) + ")"]
+
+
 #: Five clusters, so four degrees of freedom, whose tail is a sum of two terms.
 TESTED = ["tst AS (SELECT *, exp(-h / 2) * (1 + h / 2) AS p, (h - k + 1) / (nn - k) AS eta FROM h WHERE dv > 1 AND k = 5)",
           """fdr AS (SELECT *, least(1, min(p * m / rk) OVER (ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) AS p_fdr
@@ -425,6 +455,14 @@ SQL.update({
   FROM (SELECT *, row_number() OVER (ORDER BY p, feature) AS rk, count(*) OVER () AS m FROM pv))""",
     ) + """SELECT feature, round(coef, 6) + 0 AS coef, round(err, 6) AS std_err, round(p, 6) AS p_value, round((exp(coef) - 1) * 100, 6) + 0 AS approx_pct_change,
   round(q, 6) AS q_value, q < 0.05 AS significant FROM qv""",
+    "logit": with_(
+        *CUSTOMERS,
+        "xy AS (SELECT n_orders, balance, avg_quantity, CAST(returned > 0 AS DOUBLE) AS returned, urgent FROM full_matrix)",
+        *logistic("xy", ["n_orders", "balance", "avg_quantity", "returned"], "urgent"),
+        f"pv AS (SELECT *, {NORMAL_P.format(z='(coef / err)')} AS p FROM est)",
+        """qv AS (SELECT *, CASE WHEN p IS NOT NULL THEN least(1, min(p * m / rk) OVER (ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) END AS q
+  FROM (SELECT *, row_number() OVER (ORDER BY p NULLS LAST, feature) AS rk, count(p) OVER () AS m FROM pv))""",
+    ) + """SELECT feature, round(coef, 6) + 0 AS coef, round(p, 6) AS p_value, round(exp(coef), 6) AS odds_ratio, round(q, 6) AS q_value, coalesce(q < 0.05, false) AS significant FROM qv""",
     "kruskal_p": with_(*ranks(FEATURES), KRUSKAL, *TESTED)
     + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round(eta, 6) + 0 AS eta_sq, round(p, 6) AS p, round(p_fdr, 6) AS p_fdr,
   p_fdr < 0.05 AND eta > 0.06 AS consider FROM fdr""",
