@@ -776,6 +776,38 @@ def gmm_assign(spark, d):
     return cl.assign(core, choice.model).select("entity", "cluster", "cluster_prob")
 
 
+def _plane(spark, d):
+    """Customers by balance and orders, with the market segment as cluster."""
+    m = _segmented(spark, d).fillna(0.0, subset=X)
+    return m.select("entity", "cluster", F.array(F.col("balance") / 1000, F.col("n_orders") / 4).alias("v"))
+
+
+@query
+def mixture_posterior(spark, d):
+    """Each customer's most likely segment under a mixture of the segments' own means and covariances."""
+    import numpy as np
+
+    from anchorframe.operators.mixture import Mixture
+
+    p = durable(_plane(spark, d))
+    a, c = F.col("v")[0], F.col("v")[1]
+    # five rows of moments
+    rows = p.groupBy("cluster").agg(F.count("*").alias("n"), F.avg(a).alias("ma"), F.avg(c).alias("mb"), F.var_pop(a).alias("saa"), F.covar_pop(a, c).alias("sab"), F.var_pop(c).alias("sbb")).orderBy("cluster").collect()
+    n = np.array([r["n"] for r in rows], float)
+    model = Mixture(n / n.sum(), np.array([[r["ma"], r["mb"]] for r in rows]), np.array([[[r["saa"], r["sab"]], [r["sab"], r["sbb"]]] for r in rows]))
+    return rounded(cl.assign(p.drop("cluster"), model, vec="v").select("entity", "cluster", "cluster_prob"))
+
+
+@query
+def cluster_distances(spark, d):
+    """Mean distance of each customer to the customers of each segment, over a tree of balls."""
+    from anchorframe.operators.balls import ball_index, ball_sums
+
+    p = durable(_plane(spark, d))
+    sums = ball_sums(p.select(F.col("entity").alias("id"), F.col("v").alias("vec")), ball_index(p.select(F.col("v").alias("vec"), "cluster")), tolerance=1e-12)
+    return rounded(sums.select("id", "cluster", (F.col("dist") / F.col("n")).alias("mean_dist"), "n"))
+
+
 @query
 def gbt_classifier(spark, d):
     m = durable(b.complete_matrix(spark, d))

@@ -463,6 +463,17 @@ SQL.update({
         """qv AS (SELECT *, CASE WHEN p IS NOT NULL THEN least(1, min(p * m / rk) OVER (ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) END AS q
   FROM (SELECT *, row_number() OVER (ORDER BY p NULLS LAST, feature) AS rk, count(p) OVER () AS m FROM pv))""",
     ) + """SELECT feature, round(coef, 6) + 0 AS coef, round(p, 6) AS p_value, round(exp(coef), 6) AS odds_ratio, round(q, 6) AS q_value, coalesce(q < 0.05, false) AS significant FROM qv""",
+    "mixture_posterior": with_(
+        *CUSTOMERS,
+        "pts AS (SELECT entity, cluster, balance / 1000 AS a, n_orders / 4 AS b FROM full_matrix)",
+        """mo AS (SELECT cluster, count(*) / sum(count(*)) OVER () AS w, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS saa, covar_pop(a, b) AS sab, var_pop(b) AS sbb
+  FROM pts GROUP BY 1)""",
+        """de AS (SELECT entity, mo.cluster, w / (2 * pi() * sqrt(saa * sbb - sab * sab)) *
+  exp(-0.5 * (sbb * (a - ma) ** 2 - 2 * sab * (a - ma) * (b - mb) + saa * (b - mb) ** 2) / (saa * sbb - sab * sab)) AS p FROM pts, mo)""",
+    ) + "SELECT entity, CAST(arg_max(cluster, p) AS INTEGER) AS cluster, round(max(p) / sum(p), 6) AS cluster_prob FROM de GROUP BY 1",
+    "cluster_distances": with_(*CUSTOMERS, "pts AS (SELECT entity, cluster, balance / 1000 AS a, n_orders / 4 AS b FROM full_matrix)")
+    + """SELECT x.entity AS id, CAST(y.cluster AS BIGINT) AS cluster, round(avg(sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2)), 6) AS mean_dist, count(*) AS n
+  FROM pts x, pts y GROUP BY 1, 2""",
     "kruskal_p": with_(*ranks(FEATURES), KRUSKAL, *TESTED)
     + """SELECT feature, round(h, 6) AS "H", k, CAST(nn AS BIGINT) AS n, round(eta, 6) + 0 AS eta_sq, round(p, 6) AS p, round(p_fdr, 6) AS p_fdr,
   p_fdr < 0.05 AND eta > 0.06 AS consider FROM fdr""",
