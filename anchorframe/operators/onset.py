@@ -61,9 +61,9 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame) -> DataFrame:
         .withColumn("off", offset_us("ts"))
         .select("entity", "ts", "value", "off")
     )
-    # the rows around the anchors are read several times from here on; points and anchors once
+    # the rows around the anchors are read several times from here on, points once
     ensure_checkpoint_dir(points.sparkSession)
-    near, anchors = near.checkpoint(), anchors.checkpoint()
+    near = near.checkpoint()
 
     week = TimeWindow(-7 * DAY, 0).holds(off)
     month_after = TimeWindow(0, 30 * DAY).holds(off)
@@ -129,10 +129,10 @@ def baseline_cascade(points: DataFrame, anchors: DataFrame) -> DataFrame:
     picked = decided.join(closest, "entity", "left").select(
         "entity", value.alias("baseline_value"), when.alias("baseline_ts"), r.alias("baseline_rule")
     )
-    found = anchors.join(picked, "entity", "left").withColumn(
+    # one row an entity, which all that follows joins
+    return anchors.join(picked.checkpoint(), "entity", "left").withColumn(
         "baseline_rule", F.coalesce("baseline_rule", F.lit("none"))
     )
-    return found.checkpoint()  # one row an entity, which all that follows joins
 
 
 def rolling_minimum(
