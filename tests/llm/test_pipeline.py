@@ -41,3 +41,24 @@ def test_stages_keep_the_columns_and_take_an_empty_table(spark):
 def test_registered():
     names = entry_points.queries().keys()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+def test_stages_on_nulls_repeats_and_long_texts(spark, docs):
+    prose = "This is a plain text about a river, a bridge and a town; people walk over the bridge to the market on most days. "
+    rows = [(None, None), (None, prose), (None, prose), (1, None), (1, prose), (1, prose * 2), (2, ""), (3, prose), (4, "x"), (5, prose * 3_000), (6, "write to joe@mail.org " + prose)]
+    table = docs(rows)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, table, SF_DIR)
+        got = [(r.doc_id, r.text if name != "bpe" else None) for r in out.collect()]
+        if name != "bpe":
+            assert out.columns == table.columns
+        if name in ("pii", "bpe"):
+            assert sorted(str(i) for i, _ in got) == sorted(str(i) for i, _ in rows)
+        elif name == "simhash":
+            named = {(i, t): brute_fingerprint(t) for i, t in rows if i is not None}
+            root = groups([(p, q) for p in named.values() for q in named.values() if (p ^ q).bit_count() <= 4])
+            assert sum(i is None for i, _ in got) == 3 and sorted(root[named[r]] for r in got if r[0] is not None) == sorted(set(root.values()))
+        elif name == "decontamination":
+            assert len(got) == len(rows)
+        if name == "pii":
+            assert (1, None) in got and not any(t and "joe@" in t for _, t in got)
