@@ -1,9 +1,9 @@
 """License scans: which license templates and phrases a text holds.
 
-Templates are found by an exact set-similarity join between the texts' blocks and a table of templates.  Blocks are the
-lines, each taken whole, and, for notices that are wrapped, all runs of words across the line ends of a paragraph (lines up
-to a blank one) that are as long as the template; comment marks and comment words at line starts drop out.  (Longer runs
-take the words of a neighbouring line for a notice's: CC BY-SA next to a BY-NC would be both.)  Words are ordered by how many documents of the whole table hold them, rarest first.  A block that holds at
+Templates are found by an exact set-similarity join between the texts' blocks and a table of templates.  For a template,
+the blocks of a text are all runs of words in a paragraph (lines up to a blank one) of the template's length and a quarter
+more, two words at least, so that a few words may stand between its own; line breaks, comment marks and comment words at
+line starts make no difference.  (Much longer runs would take the words of a neighbouring notice for this one's.)  Words are ordered by how many documents of the whole table hold them, rarest first.  A block that holds at
 least a share t of a template's n distinct words must hold one of the n - ceil(t n) + 1 rarest (prefix filter), must have
 at least ceil(t n) distinct words itself (length filter), and what can still follow a shared word in both orders must
 suffice (positional filter); what passes is verified on the sets.  The filters see whole paragraphs, which hold all that
@@ -97,12 +97,13 @@ class TemplateIndex:
         self.rank = {w: i for i, w in enumerate(sorted(frequency, key=lambda w: (frequency[w], w)))}
         self.sets: dict[str, frozenset[bytes]] = {}
         self.needed: dict[str, int] = {}
-        self.lengths: dict[str, int] = {}
+        self.widths: dict[str, int] = {}
         self.postings: dict[bytes, list[tuple[str, int]]] = {}
         for label, text in sorted(templates.items()):
             order = sorted(set(words_of(text)), key=self.rank.__getitem__)
             self.sets[label], self.needed[label] = frozenset(order), ceil(threshold * len(order) - 1e-9)
-            self.lengths[label] = len(words_of(text))
+            length = len(words_of(text))
+            self.widths[label] = length + max(2, length // 4)
             for place, w in enumerate(order[: len(order) - self.needed[label] + 1]):
                 self.postings.setdefault(w, []).append((label, place))
         self.prefixes = frozenset(self.postings)
@@ -124,9 +125,9 @@ class TemplateIndex:
                 if shared >= need:
                     yield label, shared / len(self.sets[label])
 
-    def _wrapped(self, words: list[bytes], label: str) -> int:
-        """The most of the template's words in one run of words that is as long as the template."""
-        wanted, width = self.sets[label], self.lengths[label]
+    def _in_a_run(self, words: list[bytes], label: str) -> int:
+        """The most of the template's words in one of its blocks."""
+        wanted, width = self.sets[label], self.widths[label]
         hits = [(i, w) for i, w in enumerate(words) if w in wanted]
         inside: dict[bytes, int] = {}
         most = first = 0
@@ -145,16 +146,11 @@ class TemplateIndex:
         """The largest containment by label of the templates that a block of the text holds."""
         best: dict[str, float] = {}
         for lines in _paragraphs(text):
-            paragraph = b"\n".join(lines)
-            candidates = dict(self.matches(paragraph))
-            if not candidates:
-                continue
-            for label, share in candidates.items() if len(lines) == 1 else (m for line in lines for m in self.matches(line)):
-                best[label] = max(share, best.get(label, 0.0))
-            if len(lines) > 1:
-                words = [w for line in lines for w in _uncommented(line)]
-                for label, share in candidates.items():
-                    if best.get(label, 0.0) < share and (n := self._wrapped(words, label)) >= self.needed[label]:
+            words = None
+            for label, share in self.matches(b"\n".join(lines)):
+                if best.get(label, 0.0) < share:  # the paragraph holds as much as any of its blocks
+                    words = words or [w for line in lines for w in _uncommented(line)]
+                    if (n := self._in_a_run(words, label)) >= self.needed[label]:
                         best[label] = max(n / len(self.sets[label]), best.get(label, 0.0))
         return best
 
