@@ -857,3 +857,16 @@ def score(spark, d):
     m = durable(b.complete_matrix(spark, d).drop("segment"))
     out = score_rows(m, a.bundle)
     return rounded(out.select("entity", "cluster", "cluster_prob", "density_strength", "silhouette"))
+
+
+@query
+def stream_scoring(spark, d):
+    """The customers as a stream of files, scored batch by batch against the clustering of all."""
+    from anchorframe.streaming.scoring import start_scoring
+
+    m = durable(b.complete_matrix(spark, d).drop("segment"))
+    source, out = _folder(spark, "stream-in"), _folder(spark, "stream-out")
+    m.repartition(2).write.parquet(source)
+    stream = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    start_scoring(stream, _analysis(spark, d).bundle, out, _folder(spark, "stream-state"), available_now=True).awaitTermination()
+    return rounded(spark.read.parquet(out).select("entity", "cluster", "cluster_prob", "density_strength", "silhouette"))

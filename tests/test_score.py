@@ -118,3 +118,14 @@ def test_density_core_is_not_moved_by_one_far_row(spark):
     plain, far = core(blobs), core(np.r_[blobs, [[5000.0, -4000.0]]])
     assert len({str(c) for c in plain.values()}) == 2 == len({str(c) for c in far.values()})
     assert 2000 not in far and len(set(plain) ^ set(far)) < 50
+
+
+def test_stream_scores_as_batch_does(spark):
+    from conftest import SF_DIR
+
+    from anchorframe.plans.catalogue import QUERIES
+
+    batch, stream = ({r.entity: tuple(r) for r in QUERIES[q](spark, SF_DIR).collect()} for q in ("score", "stream_scoring"))
+    assert batch.keys() == stream.keys() and len(batch) > 100
+    for k, row in batch.items():
+        assert stream[k][1] == row[1] and all(x == pytest.approx(y, abs=2e-6) for x, y in zip(stream[k][2:], row[2:]))
