@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorframe.llm import bpe, decontam, licenses, negatives, pages, pii, prefixes, quality, resample, simhash, suffix, topk, toxicity
-from anchorframe.llm.common import table
+from anchorframe.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op3_topk": topk.SQL, "op9_decontamination": decontam.SQL, "op11_resampling": resample.SQL, "op12_hard_negatives": negatives.SQL}
@@ -85,7 +85,7 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    vectors = written(topk.quantised(table(spark, sf_dir, "embeddings")), "vectors")  # read for the shards, the blocks and their counts
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
