@@ -16,9 +16,11 @@ from anchorframe.core import HOUR, LOOK_BACK_12H, MINUTE, SECOND, TimeWindow, mi
 from anchorframe.functions.scalar import classify, floored_days, half_even, label_key, lookup, title_case, within_limits
 from anchorframe.operators.windows import clipped, in_window, nearest_record, overlapping, restrict_to_cohort
 
-def observed_features(long: DataFrame, column: str = "feature") -> list[str]:
-    """Sorted distinct feature names, for pivots without a given vocabulary."""
-    names = [r[0] for r in long.select(column).distinct().orderBy(column).collect()]
+def observed_features(long: DataFrame, column: str = "feature", most: int = 10_000) -> list[str]:
+    """Sorted distinct feature names, for pivots without a given vocabulary; more than ``most`` columns are an error."""
+    names = [r[0] for r in long.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} different values of {column}: name a vocabulary")
     return names
 
 

@@ -124,3 +124,10 @@ def test_covered_time_over_cell_borders(spark):
     df = spark.createDataFrame(rows, "k int, s_us long, e_us long")
     for width in (1, 10, 7, 1_000):
         assert {r.k: (r.covered_us, r.islands) for r in ft.covered_time(df, ["k"], width).collect()} == want, width
+
+
+def test_observed_names_are_bounded(spark):
+    df = spark.createDataFrame([(x,) for x in "cabbc"], "feature string")
+    assert ft.observed_features(df) == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        ft.observed_features(df, most=2)
