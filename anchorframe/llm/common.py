@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import weakref
@@ -45,9 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
     if sc.applicationId not in _FOLDERS:
         base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
         if base is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):  # local-cluster has executors of its own
                 raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
             base = "file://" + tempfile.mkdtemp(prefix="corpus-")
+            atexit.register(_remove, spark, base)
         folder = _FOLDERS[sc.applicationId] = f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
         atexit.register(_remove, spark, folder)
     return _FOLDERS[sc.applicationId]
