@@ -76,7 +76,7 @@ class Balls:
             away = x[rows] - self.centre[c, i]
             d = np.sqrt(np.square(away).sum(axis=1))
             trace, gap = float(np.trace(self.spread[c, i])), d - self.radius[c, i] * (1 + 1e-9)
-            safe = np.maximum(gap, 1e-150)
+            safe = np.maximum(gap, 1e-100)
             # sum of |row - centre|**3 is at most radius * trace; 2 / sqrt(3) / 6 < 0.19246
             error = 0.19246 * self.radius[c, i] * trace / np.square(safe)
             fine = (gap > 0) & (error <= tolerance * n * safe)

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorframe.core import DAY, HOUR, TimeWindow, micros
-from anchorframe.functions.scalar import decimal_comma, floored_days, label_key, lookup, title_case
+from anchorframe.core import HOUR, TimeWindow, micros
+from anchorframe.functions.scalar import label_key, lookup, title_case
 from anchorframe.operators import features as ft
 from anchorframe.operators import matrix as mx
 from anchorframe.operators import onset as on
