@@ -41,7 +41,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
         .appName("anchorframe")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
