@@ -17,7 +17,7 @@ same document).  All strings of that length, at every byte, take part:
 
 Defined cases: a null text is empty; a document shorter than `length` loses nothing; rows with a null doc_id neither
 match nor lose anything; rows that share a doc_id each give a row, and of two windows at the same doc_id and start
-neither is earlier; every row gives a row; further columns are ignored.
+neither is earlier, so both go if another is; every row gives a row; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -148,6 +148,13 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
     return small_batches(usable).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "a long, v long, doc_id long, place long")
 
 
+def _twins(same: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of sorted rows, those at the doc_id and start of the first of their kind (same) but in another text than the row ahead."""
+    out = same.copy()
+    out[1:] &= place[1:] & _TAG != place[:-1] & _TAG
+    return out
+
+
 def _late(a: np.ndarray, v: np.ndarray, doc: np.ndarray, place: np.ndarray, before: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Of sorted segments: which have an equal text at a smaller (doc_id, start), and which are the first of their text.
 
@@ -189,7 +196,8 @@ def copies_and_heads(segs: DataFrame) -> DataFrame:
                     goes.append(np.zeros(1, bool))
                     waiting = None
                 self_repeat = place >> 21 & 1 == 1
-                look = head & ((seen[run_of] > 1) | self_repeat)
+                # rows that share a doc_id may hold one text at one place: each of them loses what goes there
+                look = head & ((seen[run_of] > 1) | self_repeat) | _twins(~head & ~late, place)
                 for chosen, flag in ((late, True), (look, False)):
                     out_doc.append(doc[chosen])
                     out_place.append(place[chosen])
@@ -253,8 +261,10 @@ def suffix_array(data: bytes, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def common_prefixes(data: bytes, order: np.ndarray, group: np.ndarray, most: int) -> np.ndarray:
     """For each slot the bytes that its suffix shares with the one before, at most `most` (Kasai).
 
-    Walks the text: dropping its first byte shortens a suffix's common prefix by one at most.  Suffixes whose group
-    already differs from that of the one before share too little to matter, and count as zero.
+    Walks the text: dropping its first byte shortens a suffix's common prefix by one at most, if the suffix before also
+    stays before it without its first byte.  Suffixes alike in all the bytes that `order` looks at may change places
+    there; they are compared from the start.  Suffixes whose group already differs from that of the one before share too
+    little to matter, and count as zero.
     """
     n = len(order)
     out = np.zeros(n, np.int64)
@@ -265,9 +275,11 @@ def common_prefixes(data: bytes, order: np.ndarray, group: np.ndarray, most: int
     slot[order] = np.arange(n)
     at = np.flatnonzero(before >= 0)
     shared = np.zeros(len(at), np.int64)
-    h, expected, limit = 0, -1, len(data)
-    for k, (i, j) in enumerate(zip(at.tolist(), before[at].tolist())):
-        h = h - 1 if i == expected and h else 0
+    goes_on = np.zeros(len(at), bool)
+    goes_on[1:] = (at[1:] == at[:-1] + 1) & (slot[np.minimum(before[at[:-1]] + 1, n - 1)] < slot[at[1:]])
+    h, limit = 0, len(data)
+    for k, (i, j, on) in enumerate(zip(at.tolist(), before[at].tolist(), goes_on.tolist())):
+        h = h - 1 if on and h else 0
         if not h and data[i : i + most] == data[j : j + most]:
             h = min(most, limit - max(i, j))
         else:
@@ -275,7 +287,6 @@ def common_prefixes(data: bytes, order: np.ndarray, group: np.ndarray, most: int
             while h < end and data[i + h] == data[j + h]:
                 h += 1
         shared[k] = h
-        expected = i + 1
     out[slot[at]] = shared
     return out
 
@@ -297,7 +308,7 @@ def _later_windows(group: pa.Table, length: int) -> tuple[dict, dict]:
     at, run_of = order[window], run_of[window]
     doc, place = group["doc_id"].to_numpy()[owner[at]], group["place"].to_numpy()[owner[at]]
     start = (place >> 31) + offset[at]
-    by = np.lexsort((start, doc, run_of))
+    by = np.lexsort((place & _TAG, start, doc, run_of))
     at, run_of, doc, place, start = at[by], run_of[by], doc[by], place[by], start[by]
     head = np.ones(len(at), bool)
     head[1:] = run_of[1:] != run_of[:-1]
@@ -305,7 +316,7 @@ def _later_windows(group: pa.Table, length: int) -> tuple[dict, dict]:
     late = (doc != doc[first]) | (start != start[first])
     split = group["parts"].to_numpy()[owner[at]] > 1
     out = {"doc": doc, "start": start, "tag": place & _TAG}
-    hand = head & split
+    hand = (head | _twins(~head & ~late, place)) & split
     total = len(data)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.frombuffer(data, np.uint8).astype(np.uint64) * _powers(_BASE, total))])
     value = (sums[at[hand] + length] - sums[at[hand]]) * _powers(_INVERSE, total)[at[hand]]
@@ -361,7 +372,7 @@ def shard_results(snippets: DataFrame, shards: int, length: int) -> DataFrame:
 def merged(results: DataFrame) -> DataFrame:
     """(doc_id, place): all runs of windows to remove, after the sorted runs of different shards have met.
 
-    Each run is looked up in what has been merged so far by binary search; of two equal windows the later one goes.
+    Each run is looked up in what has been merged so far by binary search; all but the earliest of equal windows go.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64())])
     key = np.dtype([("a", "<i8"), ("f1", "<i8"), ("f2", "<i8")])
@@ -378,19 +389,21 @@ def merged(results: DataFrame) -> DataFrame:
             for r in np.unique(of):
                 mine = np.flatnonzero(of == r)
                 mine = mine[np.argsort(keys[mine], kind="stable")]
+                mine = mine[np.append(True, keys[mine[1:]] != keys[mine[:-1]])]
                 k, d, p = keys[mine], doc[mine], place[mine]
                 at = np.searchsorted(have, k)
                 same = np.zeros(len(k), bool)
                 inside = at < len(have)
                 same[inside] = have[at[inside]] == k[inside]
                 i, j = np.flatnonzero(same), at[same]
-                order = np.sign(d[i] - have_doc[j]) * 2 + np.sign((p[i] >> 31) - (have_place[j] >> 31))
-                docs += [d[i][order > 0], have_doc[j][order < 0]]
-                places += [p[i][order > 0], have_place[j][order < 0]]
-                won = order < 0
+                won = (d[i] < have_doc[j]) | (d[i] == have_doc[j]) & (p[i] >> 31 < have_place[j] >> 31)
                 have_doc[j[won]], have_place[j[won]] = d[i][won], p[i][won]
                 new = ~same
                 have, have_doc, have_place = np.insert(have, at[new], k[new]), np.insert(have_doc, at[new], d[new]), np.insert(have_place, at[new], p[new])
+            first = np.searchsorted(have, keys)
+            goes = (doc != have_doc[first]) | (place >> 31 != have_place[first] >> 31)
+            docs.append(doc[goes])
+            places.append(place[goes])
         return pa.table([pa.array(np.concatenate(docs)), pa.array(np.concatenate(places))], schema=schema)
 
     return results.groupBy("m").applyInArrow(run, "doc_id long, place long")

@@ -81,3 +81,35 @@ def test_suffix_array_and_common_prefixes():
             a, b = data[order[k - 1] : order[k - 1] + 64], data[order[k] : order[k] + 64]
             n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
             assert shared[k] == n or n < 64 and shared[k] < 64
+
+
+def test_common_prefixes_of_suffixes_alike_in_all_that_was_sorted():
+    """Suffixes alike in the 128 bytes that were sorted may change places without their first byte."""
+    for seed in (355, 366, 367, 369):
+        rng, letters = random.Random(seed), b"ab " if seed % 2 else b"abcdef "
+        passage, parts = bytes(rng.choice(letters) for _ in range(300)), []
+        for _ in range(12):
+            a = rng.randrange(0, 200)
+            parts.append(passage[a : a + rng.randint(60, 280)])
+            parts.append(bytes(rng.choice(letters) for _ in range(rng.randint(0, 4))))
+        data = b"".join(parts)
+        order, group = suffix.suffix_array(data, 100)
+        shared = suffix.common_prefixes(data, order, group, 100)
+        whole = [data[i : i + 100] for i in order]
+        assert [s >= 100 for s in shared[1:]] == [a == b and len(a) == 100 for a, b in zip(whole, whole[1:])]
+
+
+def test_rows_that_share_an_id_and_a_place(docs, monkeypatch):
+    """Rows with one doc_id and texts that begin alike lose the same bytes there, also where shards are merged."""
+    monkeypatch.setattr(suffix, "HOT_SEGMENTS", 3)
+    monkeypatch.setattr(suffix, "SHARD_SEGMENTS", 16)
+    rng = random.Random(5)
+    passages = ["".join(rng.choice("ab ") for _ in range(400)) for _ in range(3)]
+    rows = []
+    for _ in range(100):
+        cuts = [(rng.choice(passages), rng.randrange(0, 300), rng.randint(60, 380)) for _ in range(rng.randint(1, 6))]
+        rows.append((rng.randint(1, 40), "".join(p[a : a + n] + rng.choice("ab ") for p, a, n in cuts)))
+    for _ in range(30):
+        doc_id, text = rng.choice(rows)
+        rows.append((doc_id, text[: rng.randint(50, len(text))] + "".join(rng.choice("ab ") for _ in range(50))))
+    check(docs(rows, 4), rows)
