@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorframe.operators.neighbours import CHUNK_ROWS, LEAF_ROWS, Tree, _bytes, _read, distances, space_index
+from anchorframe.operators.neighbours import CHUNK_ROWS, LEAF_ROWS, Tree, _bytes, _read, distances, packs_joined, space_index
 from anchorframe.session import configure
 
 #: Keeps a silhouette within 1e-6: it changes by three times this factor at most.
@@ -198,7 +198,7 @@ def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) ->
 
     asks = new.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec")).mapInArrow(ask, "leaf int, ids binary, asked binary, wanted binary").checkpoint()
     schema = "id long, cluster long, dist double"
-    met = asks.filter("leaf >= 0").join(index.leaves, "leaf").select("ids", "asked", "wanted", "clusters", "counts", "vectors").mapInArrow(near, schema)
+    met = packs_joined(asks.filter("leaf >= 0"), index.leaves).select("ids", "asked", "wanted", "clusters", "counts", "vectors").mapInArrow(near, schema)
     found = asks.filter("leaf < 0").select("ids", "wanted").mapInArrow(far, schema).unionByName(met)
     sums = found.groupBy("id", "cluster").agg(F.sum("dist").alias("dist"))
     # every cluster has a sum for every row, also one of 0

@@ -177,6 +177,15 @@ def kth_smallest(d: np.ndarray, counts: np.ndarray, k: int, own: np.ndarray | No
     return out
 
 
+def packs_joined(asked: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Packs of asked rows with the leaf they ask.
+
+    Spark guesses a packed row by its columns at a few hundred bytes, and would send whole tables of them through the
+    driver to every executor; they meet by a shuffle instead.
+    """
+    return asked.hint("merge").join(leaves.hint("merge"), "leaf")
+
+
 # --------------------------------------------------------------------------
 # the index
 
@@ -282,7 +291,7 @@ def core_distances(index: SpaceIndex, k: int) -> DataFrame:
 
     first = index.leaves.mapInArrow(near, LEAVES + ", found binary, reach binary").checkpoint()
     asked = first.select("leaf", "vectors", "reach").mapInArrow(ask, "home int, leaf int, places binary, asked binary, reach binary")
-    far = asked.join(index.leaves.select("leaf", "counts", "vectors"), "leaf").select("home", "places", "asked", "reach", "counts", "vectors").mapInArrow(meet, "leaf int, places binary, far binary")
+    far = packs_joined(asked, index.leaves.select("leaf", "counts", "vectors")).select("home", "places", "asked", "reach", "counts", "vectors").mapInArrow(meet, "leaf int, places binary, far binary")
     both = first.drop("reach").unionByName(far, allowMissingColumns=True)
     return both.groupBy("leaf").applyInArrow(merge, LEAVES + ", core binary").checkpoint()
 
@@ -378,7 +387,7 @@ def dense_labels(measured: DataFrame, tree: Tree, width: int, eps: float) -> Dat
 
     held = measured.mapInArrow(local, LEAVES + ", core binary, labels binary").checkpoint()
     asked = held.select("leaf", "vectors", "labels").mapInArrow(ask, "leaf int, asked binary, own binary")
-    links = asked.join(held.select("leaf", "vectors", "labels"), "leaf").select("asked", "own", "vectors", "labels").mapInArrow(meet, "a long, b long").distinct().checkpoint()
+    links = packs_joined(asked, held.select("leaf", "vectors", "labels")).select("asked", "own", "vectors", "labels").mapInArrow(meet, "a long, b long").distinct().checkpoint()
     roots = connected(links)
 
     # the labels that were linked meet their leaves again, so that packed labels are final
@@ -525,7 +534,7 @@ def score_density(df: DataFrame, vec: str, key: str, density: Density) -> DataFr
                     label = [int(labels[dense[b]]) if np.isfinite(a) else None for a, b in zip(away, best)]
                     yield pa.RecordBatch.from_arrays([pa.array(row["keys"][i : i + CHUNK_ROWS]), pa.array(near, pa.list_(pa.float64())), pa.array([a if np.isfinite(a) else None for a in away], pa.float64()), pa.array(label, pa.int64())], ["key", "near", "away", "label"])
 
-    met = asked.mapInArrow(ask, "leaf int, keys array<string>, asked binary").join(density.leaves.select("leaf", "counts", "vectors", "labels"), "leaf").select("keys", "asked", "counts", "vectors", "labels")
+    met = packs_joined(asked.mapInArrow(ask, "leaf int, keys array<string>, asked binary"), density.leaves.select("leaf", "counts", "vectors", "labels")).select("keys", "asked", "counts", "vectors", "labels")
     found = met.mapInArrow(meet, "key string, near array<double>, away double, label long").groupBy("key").agg(
         F.array_sort(F.flatten(F.collect_list("near"))).alias("near"),  # k for each leaf within eps
         F.min(F.when(F.col("label").isNotNull(), F.struct("away", "label"))).alias("nearest"))

@@ -61,3 +61,11 @@ def test_no_rows(spark):
     assert bl.ball_sums(nothing, index).count() == 0
     one = spark.createDataFrame([(9, [0.0, 0.0])], "id long, vec array<double>")
     assert sorted((r.cluster, r.dist, r.n) for r in bl.ball_sums(one, index).collect()) == [(1, 0.0, 2), (2, 0.0, 1)]
+
+
+def test_packed_rows_meet_by_a_shuffle(spark):
+    """Spark takes packed rows for small ones and would broadcast them, through the driver."""
+    points = spark.createDataFrame([(i, [float(i), float(i % 7)], i % 2) for i in range(50)], "id long, vec array<double>, cluster long")
+    sums = ball_sums(points.select("id", "vec"), ball_index(points.select("vec", "cluster"), leaf_rows=10))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [leaf" in plan and "BroadcastHashJoin [leaf" not in plan
