@@ -6,14 +6,16 @@ add up to an expansion around the centre,
 
     n D + (trace S - u' S u) / (2 D),    D the distance to the centre, u its direction, S the second moments,
 
-and the third derivative of a distance, 2 / sqrt(3) / D**2 at most, bounds what that leaves out.  Where this bound is
-within `tolerance` of the sum, the node's rows are not read; else its children are asked, and in a leaf the rows
+and the third derivative of a distance, 2 / sqrt(3) / D**2 at most, bounds what that leaves out.  In the plane, and on the
+line, points are complex numbers and the expansion goes on to order 16: with z the distance to the centre as such a number,
+|z - t| = |z| |1 - t / z|, whose powers of t add up to moments that all rows share.  Where the bound is within `tolerance` of the sum, the node's rows are not read; else its children are asked, and in a leaf the rows
 themselves.  Each sum is thus within a factor of 1 +- tolerance of the exact one; with tolerance 0 it is exact.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,30 +29,77 @@ from anchorframe.session import configure
 
 #: Keeps a silhouette within 1e-6: it changes by three times this factor at most.
 TOLERANCE = 3e-7
+#: Powers of the expansion in the plane; near the limit of a double its bound is reached from five times a node's reach.
+ORDERS = (6, 16)
+_J, _K = (np.array(c) for c in zip(*((j, k) for j in range(ORDERS[-1] + 1) for k in range(min(j, ORDERS[-1] - j) + 1))))
+#: Of the square root of 1 - z: coefficients of its powers, and binomials to move moments.
+_ROOT = np.cumprod([1.0, *((j - 1.5) / j for j in range(1, ORDERS[-1] + 2))])
+_BINOMIAL = np.array([[math.comb(j, a) for a in range(ORDERS[-1] + 1)] for j in range(ORDERS[-1] + 1)], float)
 PACKED = "leaf int, clusters binary, counts binary, vectors binary"
 
 
+def _over(x: np.ndarray, scale: float) -> np.ndarray:
+    return x / scale if scale > 0 else np.zeros_like(x)
+
+
+def as_plane(x: np.ndarray) -> np.ndarray:
+    """Rows of one or two numbers as complex ones."""
+    return x[..., 0] + (1j * x[..., 1] if x.shape[-1] > 1 else 0j)
+
+
+def _raised(z: np.ndarray, most: int) -> np.ndarray:
+    """Powers 0 to most of complex numbers, one below the other."""
+    out = np.ones((most + 1, len(z)), complex)
+    for i in range(most):
+        np.multiply(out[i], z, out=out[i + 1])
+    return out
+
+
+def plane_moments(away: np.ndarray, weight: np.ndarray, reach: float) -> np.ndarray:
+    """Sums of t**j * conj(t)**k over differences t to a centre, in units of the reach, for the pairs (_J, _K)."""
+    powers = _raised(_over(as_plane(away), reach), ORDERS[-1])
+    return ((powers * weight) @ powers.conj().T)[_J, _K]
+
+
+def _square(moments: np.ndarray) -> np.ndarray:
+    out = np.zeros((ORDERS[-1] + 1, ORDERS[-1] + 1), complex)
+    out[_J, _K], out[_K, _J] = moments, moments.conj()
+    return out
+
+
+def moved_moments(moments: np.ndarray, reach: float, shift: np.ndarray, wider: float) -> np.ndarray:
+    """The same moments around another centre, which lies -shift away, in units of the wider reach."""
+    steps = np.arange(ORDERS[-1] + 1)
+    by = np.tril(_BINOMIAL * _over(as_plane(shift), wider) ** np.maximum(steps[:, None] - steps, 0)) * _over(np.float64(reach), wider) ** steps
+    return (by @ _square(moments) @ by.conj().T)[_J, _K]
+
+
 @dataclass
 class Balls:
-    """By cluster and node of the tree: rows, centre, second moments, reach."""
+    """By cluster and node of the tree: rows, centre, second moments, reach; in the plane also `plane_moments`."""
 
     clusters: list[int]
     count: np.ndarray
     centre: np.ndarray
     spread: np.ndarray
     radius: np.ndarray
+    plane: np.ndarray | None = None
 
     @classmethod
     def of(cls, tree: Tree, leaves: list[tuple]) -> Balls:
-        """leaves: (leaf, cluster, n, centre, moments, reach) of every leaf and cluster that has rows."""
+        """leaves: (leaf, cluster, n, centre, moments, reach, plane) of every leaf and cluster that has rows."""
         clusters = sorted({r[1] for r in leaves})
         k, nodes, d = len(clusters), len(tree.dim), tree.low.shape[1]
         out = cls(clusters, np.zeros((k, nodes)), np.zeros((k, nodes, d)), np.zeros((k, nodes, d, d)), np.zeros((k, nodes)))
+        if d <= 2:
+            out.plane = np.zeros((k, nodes, len(_J)), complex)
         node_of = {int(number): i for i, number in enumerate(tree.leaf) if number >= 0}
         place = {c: i for i, c in enumerate(clusters)}
-        for leaf, cluster, n, centre, moments, reach in leaves:
+        for leaf, cluster, n, centre, moments, reach, plane in leaves:
             at = place[cluster], node_of[leaf]
             out.count[at], out.centre[at], out.spread[at], out.radius[at] = n, centre, np.array(moments).reshape(d, d), reach
+            if d <= 2:
+                out.plane[at] = np.frombuffer(plane, complex)
         for i in range(nodes - 1, -1, -1):  # children come after their parents
             if tree.children[i, 0] >= 0:
                 both = tree.children[i]
@@ -62,8 +111,36 @@ class Balls:
                 out.spread[:, i] = out.spread[:, both].sum(axis=1) + np.einsum("kc,kci,kcj->kij", n, shift, shift)
                 reach = np.sqrt(np.square(shift).sum(axis=2)) + out.radius[:, both]
                 out.radius[:, i] = np.where(n > 0, reach, 0.0).max(axis=1)
+                for c, side in zip(*np.nonzero(n)) if d <= 2 else ():
+                    out.plane[c, i] += moved_moments(out.plane[c, both[side]], out.radius[c, both[side]], shift[c, side], out.radius[c, i])
         return out
 
+    def _expanded(self, c: int, i: int, away: np.ndarray, d: np.ndarray, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows by their differences to a node's centre: which lie far enough, and those rows' sums."""
+        n, reach, spread = self.count[c, i], self.radius[c, i], self.spread[c, i]
+        trace, gap = float(np.trace(spread)), d - reach * (1 + 1e-9)
+        safe = np.maximum(gap, 1e-100)
+        if self.plane is None:
+            # sum of |row - centre|**3 is at most radius * trace; 2 / sqrt(3) / 6 < 0.19246
+            error = 0.19246 * reach * trace / np.square(safe)
+            fine = (gap > 0) & (error <= tolerance * n * safe)
+            u = away[fine] / d[fine, None]
+            return fine, n * d[fine] + (trace - np.einsum("ri,ij,rj->r", u, spread, u)) / (2 * d[fine])
+        fine, sums = np.zeros(len(d), bool), np.zeros(len(d))
+        part = np.where(gap > 0, reach / np.maximum(d, 1e-100), 1.0)
+        whole = _square(self.plane[c, i]) * (2 - np.eye(ORDERS[-1] + 1)) * np.outer(_ROOT[:-1], _ROOT[:-1])
+        for order in ORDERS:
+            # coefficients of order m add up to 4 * |_ROOT[m]|, and fall; sum of |row - centre|**2 is the trace
+            error = 4 * abs(_ROOT[order + 1]) * part ** (order - 1) / np.maximum(1 - part, 1e-100) * trace / np.maximum(d, 1e-100)
+            now = ~fine & (gap > 0) & (error <= tolerance * n * safe)
+            if now.any():
+                powers = _raised(reach / as_plane(away[now]), order)
+                j, k = np.indices((order + 1, order // 2 + 1))
+                terms = np.where((j >= k) & (j + k <= order), whole[: order + 1, : order // 2 + 1], 0)
+                sums[now] = d[now] * ((terms.T @ powers) * powers[: order // 2 + 1].conj()).sum(axis=0).real
+                fine |= now
+        return fine, sums[fine]
+
     def far(self, tree: Tree, c: int, x: np.ndarray, tolerance: float) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
         """Of one cluster: each row's sum over the nodes that lie far enough, and the leaves that it has to meet itself."""
         sums, near = np.zeros(len(x)), []
@@ -75,13 +152,8 @@ class Balls:
                 continue
             away = x[rows] - self.centre[c, i]
             d = np.sqrt(np.square(away).sum(axis=1))
-            trace, gap = float(np.trace(self.spread[c, i])), d - self.radius[c, i] * (1 + 1e-9)
-            safe = np.maximum(gap, 1e-100)
-            # sum of |row - centre|**3 is at most radius * trace; 2 / sqrt(3) / 6 < 0.19246
-            error = 0.19246 * self.radius[c, i] * trace / np.square(safe)
-            fine = (gap > 0) & (error <= tolerance * n * safe)
-            u = away[fine] / d[fine, None]
-            sums[rows[fine]] += n * d[fine] + (trace - np.einsum("ri,ij,rj->r", u, self.spread[c, i], u)) / (2 * d[fine])
+            fine, far = self._expanded(c, i, away, d, tolerance)
+            sums[rows[fine]] += far
             rows = rows[~fine]
             if len(rows):
                 if tree.children[i, 0] < 0:
@@ -90,12 +162,16 @@ class Balls:
                     stack += [(int(child), rows) for child in tree.children[i]]
         return sums, near
 
+    def arrays(self) -> dict:
+        return {"clusters": self.clusters, **{c: getattr(self, c) for c in ("count", "centre", "spread", "radius", "plane")}}
+
     def to_lists(self) -> dict:
+        """All but the moments of the plane, which are many."""
         return {"clusters": self.clusters, **{c: getattr(self, c).tolist() for c in ("count", "centre", "spread", "radius")}}
 
     @classmethod
-    def from_lists(cls, lists: dict) -> Balls:
-        return cls(list(lists["clusters"]), *(np.array(lists[c]) for c in ("count", "centre", "spread", "radius")))
+    def from_lists(cls, lists: dict, plane: np.ndarray | None = None) -> Balls:
+        return cls(list(lists["clusters"]), *(np.array(lists[c]) for c in ("count", "centre", "spread", "radius")), plane)
 
 
 @dataclass
@@ -110,12 +186,17 @@ class BallIndex:
     def save(self, path: str) -> None:
         self.leaves.write.mode("overwrite").parquet(f"{path}/leaves")
         settings = json.dumps({"tree": self.tree.to_lists(), "balls": self.balls.to_lists(), "width": self.width})
-        self.leaves.sparkSession.createDataFrame([(settings,)], "settings string").write.mode("overwrite").parquet(f"{path}/settings")
+        plane = None if self.balls.plane is None else bytearray(self.balls.plane.tobytes())
+        self.leaves.sparkSession.createDataFrame([(settings, plane)], "settings string, plane binary").write.mode("overwrite").parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> BallIndex:
-        s = json.loads(spark.read.parquet(f"{path}/settings").first()["settings"])
-        return cls(spark.read.parquet(f"{path}/leaves"), Tree.from_lists(s["tree"]), Balls.from_lists(s["balls"]), s["width"])
+        row = spark.read.parquet(f"{path}/settings").first().asDict()
+        s, plane = json.loads(row["settings"]), row.get("plane")
+        balls = Balls.from_lists(s["balls"])
+        if plane is not None:
+            balls.plane = np.frombuffer(plane, complex).reshape(*balls.count.shape, len(_J))
+        return cls(spark.read.parquet(f"{path}/leaves"), Tree.from_lists(s["tree"]), balls, s["width"])
 
 
 def ball_index(points: DataFrame, leaf_rows: int = LEAF_ROWS) -> BallIndex:
@@ -140,13 +221,14 @@ def ball_index(points: DataFrame, leaf_rows: int = LEAF_ROWS) -> BallIndex:
             own, weight = x[cluster == c], n[cluster == c]
             centre = (weight[:, None] * own).sum(axis=0) / weight.sum()
             away = own - centre
+            reach = float(np.sqrt(np.square(away).sum(axis=1)).max())
             known.append({"cluster": int(c), "n": int(weight.sum()), "centre": centre.tolist(), "moments": ((weight[:, None] * away).T @ away).ravel().tolist(),
-                          "reach": float(np.sqrt(np.square(away).sum(axis=1)).max())})
+                          "reach": reach, "plane": plane_moments(away, weight, reach).tobytes() if width <= 2 else None})
         row = {"leaf": group["leaf"][0].as_py(), "clusters": _bytes(cluster, "<i8"), "counts": _bytes(n, "<i8"), "vectors": _bytes(x), "known": known}
-        entry = pa.struct([("cluster", pa.int64()), ("n", pa.int64()), ("centre", pa.list_(pa.float64())), ("moments", pa.list_(pa.float64())), ("reach", pa.float64())])
+        entry = pa.struct([("cluster", pa.int64()), ("n", pa.int64()), ("centre", pa.list_(pa.float64())), ("moments", pa.list_(pa.float64())), ("reach", pa.float64()), ("plane", pa.binary())])
         return pa.Table.from_pylist([row], schema=pa.schema([("leaf", pa.int32()), *((c, pa.binary()) for c in ("clusters", "counts", "vectors")), ("known", pa.list_(entry))]))
 
-    known = "array<struct<cluster:long,n:long,centre:array<double>,moments:array<double>,reach:double>>"
+    known = "array<struct<cluster:long,n:long,centre:array<double>,moments:array<double>,reach:double,plane:binary>>"
     held = rows.mapInArrow(numbered, "leaf int, v array<double>, cluster long, n long").groupBy("leaf").applyInArrow(packed, f"{PACKED}, known {known}").checkpoint()
     # numbers a leaf and cluster, not rows
     summary = [(r["leaf"], *k) for r in held.select("leaf", "known").collect() for k in r["known"]]
@@ -156,12 +238,13 @@ def ball_index(points: DataFrame, leaf_rows: int = LEAF_ROWS) -> BallIndex:
 def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) -> DataFrame:
     """(id, cluster, dist, n): summed Euclidean distances of each new row (id, vec) to each cluster's rows."""
     spark = configure(new.sparkSession)
-    sent = spark.sparkContext.broadcast({"tree": index.tree.to_lists(), "balls": index.balls.to_lists()})
+    sent = spark.sparkContext.broadcast((index.tree.to_lists(), index.balls.arrays()))
     width, clusters = index.width, index.balls.clusters
     sizes = dict(zip(clusters, index.balls.count[:, 0].astype(int).tolist()))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, balls = Tree.from_lists(sent.value["tree"]), Balls.from_lists(sent.value["balls"])
+        tree, known = Tree.from_lists(sent.value[0]), sent.value[1]
+        balls = Balls.from_lists(known, known["plane"])
         schema = pa.schema([("leaf", pa.int32()), *((c, pa.binary()) for c in ("ids", "asked", "wanted"))])
         for batch in batches:
             ids, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
@@ -196,12 +279,21 @@ def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) ->
                     part = slice(i, i + CHUNK_ROWS)
                     yield long(ids[part], (distances(x[part], y) @ member) * wanted[part])
 
-    asks = new.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec")).mapInArrow(ask, "leaf int, ids binary, asked binary, wanted binary").checkpoint()
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Tree.from_lists(sent.value[0])
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.leaf_of(x), pa.int32())], ["id", "vec", "leaf"])
+
+    # rows that lie near each other ask the same leaves: a batch of them then asks few
+    rows = new.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    placed = rows.mapInArrow(numbered, "id long, vec array<double>, leaf int").checkpoint()
+    asks = placed.repartitionByRange("leaf", "id").sortWithinPartitions("leaf").select("id", "vec").mapInArrow(ask, "leaf int, ids binary, asked binary, wanted binary").checkpoint()
     schema = "id long, cluster long, dist double"
     met = packs_joined(asks.filter("leaf >= 0"), index.leaves).select("ids", "asked", "wanted", "clusters", "counts", "vectors").mapInArrow(near, schema)
     found = asks.filter("leaf < 0").select("ids", "wanted").mapInArrow(far, schema).unionByName(met)
     sums = found.groupBy("id", "cluster").agg(F.sum("dist").alias("dist"))
     # every cluster has a sum for every row, also one of 0
-    each = new.select(F.col("id").cast("long").alias("id")).distinct().select("id", F.explode(F.array(*[F.lit(c).cast("long") for c in clusters])).alias("cluster"))
+    each = placed.select("id").distinct().select("id", F.explode(F.array(*[F.lit(c).cast("long") for c in clusters])).alias("cluster"))
     size = F.element_at(F.create_map(*[F.lit(v).cast("long") for c in clusters for v in (c, sizes[c])]), F.col("cluster"))
     return each.join(sums, ["id", "cluster"], "left").select("id", "cluster", F.coalesce("dist", F.lit(0.0)).alias("dist"), size.alias("n"))

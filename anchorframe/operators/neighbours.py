@@ -30,7 +30,8 @@ from anchorframe.session import configure, ensure_checkpoint_dir
 LEAF_ROWS = 1_024
 SAMPLE_PER_LEAF = 16
 MOST_LEAVES = 1 << 15
-CHUNK_ROWS = 256
+#: Rows that meet a leaf at a time: their distances stay in a core's cache.
+CHUNK_ROWS = 64
 
 LEAVES = "leaf int, ids binary, counts binary, vectors binary"
 

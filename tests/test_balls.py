@@ -66,6 +66,23 @@ def test_no_rows(spark):
 def test_packed_rows_meet_by_a_shuffle(spark):
     """Spark takes packed rows for small ones and would broadcast them, through the driver."""
     points = spark.createDataFrame([(i, [float(i), float(i % 7)], i % 2) for i in range(50)], "id long, vec array<double>, cluster long")
-    sums = ball_sums(points.select("id", "vec"), ball_index(points.select("vec", "cluster"), leaf_rows=10))
+    sums = bl.ball_sums(points.select("id", "vec"), bl.ball_index(points.select("vec", "cluster"), leaf_rows=10))
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [leaf" in plan and "BroadcastHashJoin [leaf" not in plan
+
+
+def test_far_rows_of_the_plane_are_expanded_at_a_tight_tolerance(spark):
+    """Each row reads the leaves around it, not a share of all leaves, and sums stay exact to that tolerance."""
+    rng = np.random.default_rng(9)
+    x, cluster = rng.uniform(-1, 10, size=(6000, 2)), rng.integers(0, 3, 6000)
+    index = bl.ball_index(core(spark, x, cluster), 20)
+    read = np.zeros(6000)
+    for c in range(3):
+        sums, near = index.balls.far(index.tree, c, x, 1e-12)
+        for leaf, rows in near:
+            read[rows] += 1
+    assert read.mean() / 3 < 0.35 * (index.tree.leaf >= 0).sum()
+    asked = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(0, 6000, 60)], "id long, vec array<double>")
+    for r in bl.ball_sums(asked, index, 1e-12).collect():
+        want = np.sqrt(np.square(x[cluster == r.cluster] - x[r.id]).sum(1)).sum()
+        assert abs(r.dist - want) <= 1e-11 * want
