@@ -2,8 +2,9 @@
 
 Columns are binned once to bytes (255 bins between sketched quantiles, one for missing values), and rows are packed in
 blocks of bounded size.  The models of all folds and the model of all rows advance side by side: one Spark job per tree
-level sums the gradients of every model, node, column and bin over the blocks, the driver picks the splits from these
-sums, whose size does not depend on the rows, and the next level follows.  Where all rows are one block its task has the
+level sums the gradients of every model, node, column and bin over the blocks; the sums, whose size does not
+depend on the rows, give the splits (of more than 16 blocks they meet in a task, and only splits reach the driver), and
+the next level follows.  Where all rows are one block its task has the
 whole sums already, so nothing needs to meet between levels, and each model grows in one task by the same functions.
 Gradients are rounded to whole multiples of 2**-20 before they are summed, so sums are exact, and the trees are the same
 however the rows are partitioned.
@@ -259,15 +260,20 @@ def block_sums(state: dict, s: Boosting, r: int, models: Sequence[int], level: i
     return out
 
 
-def grow_round(trees: Trees, r: int, s: Boosting, models: Sequence[int], width: int, sums_of: Callable[[int, np.ndarray], np.ndarray]) -> None:
-    """The models' trees of round r.  sums_of(level, allowed): the sums over all rows."""
+def level_splits(units: np.ndarray, allowed: np.ndarray, s: Boosting) -> Splits:
+    """The models' best splits of a level, from the sums in whole units over all rows."""
+    sums = units / UNIT
+    # of a column that a model may not use nothing was summed; any allowed one has all rows
+    first = allowed.argmax(axis=1)
+    sums[:, :, 0] = np.where(allowed[:, None, :1, None], sums[:, :, 0], _as_one_bin(sums[np.arange(len(sums)), :, first]))
+    return best_splits(sums, allowed, s.l2, s.min_child)
+
+
+def grow_round(trees: Trees, r: int, s: Boosting, models: Sequence[int], width: int, splits_of: Callable[[int, np.ndarray], Splits]) -> None:
+    """The models' trees of round r.  splits_of(level, allowed): the level's splits, from the sums over all rows."""
     allowed = allowed_columns(s, r, models, width)
     for level in range(s.depth):
-        sums = sums_of(level, allowed) / UNIT
-        # of a column that a model may not use nothing was summed; any allowed one has all rows
-        first = allowed.argmax(axis=1)
-        sums[:, :, 0] = np.where(allowed[:, None, :1, None], sums[:, :, 0], _as_one_bin(sums[np.arange(len(models)), :, first]))
-        found = best_splits(sums, allowed, s.l2, s.min_child)
+        found = splits_of(level, allowed)
         nodes = slice(2**level - 1, 2 ** (level + 1) - 1)
         trees.column[r, :, nodes], trees.cut[r, :, nodes], trees.missing_left[r, :, nodes], trees.gain[r, :, nodes] = found.column, found.cut, found.missing_left, found.gain
     both = np.stack([found.left, found.right], axis=2).reshape(len(models), 2**s.depth, 2)
@@ -291,7 +297,7 @@ def _grow_apart(held: DataFrame, s: Boosting, models: int, width: int, start: np
                 state = new_state(row["data"], start[m : m + 1], middle, scale)
                 for r in range(s.rounds):
                     growing = tuple(p[r] for p in trees.parts()[:3])
-                    grow_round(trees, r, s, [m], width, lambda level, allowed: block_sums(state, s, r, [m], level, growing, allowed, binary))  # noqa: B023
+                    grow_round(trees, r, s, [m], width, lambda level, allowed: level_splits(block_sums(state, s, r, [m], level, growing, allowed, binary), allowed, s))  # noqa: B023
                     advance(state["scores"], state["bins"], tuple(p[r : r + 1] for p in trees.parts()), s.depth)
                 packed = [np.ascontiguousarray(p).tobytes() for p in (*trees.parts(), trees.gain)]
                 yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], ["model", *TREE_COLUMNS])
@@ -306,6 +312,7 @@ def _grow_apart(held: DataFrame, s: Boosting, models: int, width: int, start: np
     return trees
 
 
+SPLIT_PARTS = ["column", "cut", "missing_left", "gain", "left", "right"]
 TREE_COLUMNS = ["column", "cut", "missing_left", "leaf", "gain"]
 
 
@@ -317,11 +324,11 @@ def _grow_together(held: DataFrame, s: Boosting, models: int, width: int, start:
     memory = sc.broadcast({"blocks": {}})
     sent: list = []  # broadcasts of SHIPPED_ROUNDS rounds each
 
-    def job(r: int, level: int, allowed: np.ndarray) -> np.ndarray:
+    def job(r: int, level: int, allowed: np.ndarray) -> Splits:
         recent = tuple(p[len(sent) * SHIPPED_ROUNDS : r] for p in trees.parts())
         growing, before = tuple(p[r] for p in trees.parts()[:3]), list(sent)
 
-        def run(rows: Iterator[tuple]) -> Iterator[np.ndarray]:
+        def run(rows: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
             out, known = np.zeros((models, 2**level, width, BINS, 2)), memory.value["blocks"]
             for name, packed in rows:
                 state = known.pop(name, None)
@@ -335,11 +342,25 @@ def _grow_together(held: DataFrame, s: Boosting, models: int, width: int, start:
                 advance(state["scores"], state["bins"], tuple(p[max(0, state["round"] - len(before) * SHIPPED_ROUNDS) :] for p in recent), s.depth)
                 state["round"] = r
                 out += block_sums(state, s, r, every, level, growing, allowed, binary)
-            yield out
+            # of columns that a model may not use there is nothing to send
+            yield from ((m, out[m][:, allowed[m]]) for m in every)
+
+        def choose(found: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple]:
+            for m, part in found:
+                sums = np.zeros((1, 2**level, width, BINS, 2))
+                sums[0][:, allowed[m]] = part
+                best = level_splits(sums, allowed[m : m + 1], s)
+                yield m, *(getattr(best, c) for c in SPLIT_PARTS)
 
         each = data.mapPartitions(run)
-        # a few sums come to the driver; of many, executors add up most before
-        return sum(each.collect()) if parts <= 16 else each.treeReduce(np.add, depth=2)
+        if parts <= 16:  # a few sums come to the driver: a second stage would cost each level more time
+            totals: dict[int, np.ndarray] = {}
+            for m, part in each.collect():
+                totals[m] = totals[m] + part if m in totals else part
+            chosen = list(choose(iter(sorted(totals.items()))))
+        else:  # of many blocks they meet in a task, and a few numbers a node come
+            chosen = sorted(each.reduceByKey(np.add, 1).mapPartitions(choose).collect(), key=lambda r: r[0])
+        return Splits(*(np.concatenate(c) for c in list(zip(*chosen))[1:]))
 
     try:
         for r in range(s.rounds):

@@ -138,3 +138,18 @@ def test_defined_cases(spark):
         md.boosted_classifier(df, ["y"], "id", "id", tiny, 3)
     with pytest.raises(ValueError):
         md.boosted_regressor(df.limit(0), ["y"], "one", "id", tiny, 3)
+
+
+def test_sums_of_many_blocks_stay_on_executors(spark, monkeypatch):
+    """Splits reach the driver, not the sums they are picked from."""
+    import pickle
+
+    from pyspark import RDD
+    from pyspark.sql import functions as F
+
+    sent, collect, reduce = [], RDD.collect, RDD.treeReduce
+    monkeypatch.setattr(RDD, "collect", lambda self: [sent.append(len(pickle.dumps(r))) or r for r in collect(self)])
+    monkeypatch.setattr(RDD, "treeReduce", lambda self, f, depth=2: [sent.append(len(pickle.dumps(r))) or r for r in [reduce(self, f, depth)]][0])
+    df = spark.range(900).select(F.col("id").alias("k"), F.rand(1).alias("x"), F.rand(2).alias("z"), (F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 3).cast("int").alias("fold"))
+    bo.grow(df, ["x", "z"], "y", "k", True, bo.Boosting(rounds=3, depth=3), 3, block_rows=40)
+    assert sent and sum(sent) < 3 * 3 * 4 * 2_000
