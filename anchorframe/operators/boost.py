@@ -4,8 +4,8 @@ Columns are binned once to bytes (255 bins between sketched quantiles, one for m
 blocks of bounded size.  The models of all folds and the model of all rows advance side by side: one Spark job per tree
 level sums the gradients of every model, node, column and bin over the blocks; the sums, whose size does not
 depend on the rows, give the splits (of more than 16 blocks they meet in a task, and only splits reach the driver), and
-the next level follows.  Where all rows are one block its task has the
-whole sums already, so nothing needs to meet between levels, and each model grows in one task by the same functions.
+the next level follows.  Up to APART_ROWS rows each model grows in one task by the same functions: a task that has all
+blocks has the whole sums already, so nothing needs to meet between levels.
 Gradients are rounded to whole multiples of 2**-20 before they are summed, so sums are exact, and the trees are the same
 however the rows are partitioned.
 
@@ -34,6 +34,12 @@ BINS = 256
 MISSING = BINS - 1
 #: Rows of a block, some 50 bytes each.
 BLOCK_ROWS = 1 << 18
+#: Up to so many rows a model grows in one task, which holds some 100 bytes a row.
+APART_ROWS = 1 << 20
+#: Rows of a block at least, where there are cores for more of those that such models share.
+LEAST_ROWS = 1 << 14
+#: Rows that are added up at once, so that they stay in a processor's cache.
+CHUNK_ROWS = 1 << 16
 UNIT = 2.0**20
 #: Trees of so many rounds travel with a job; those before are broadcast once.
 SHIPPED_ROUNDS = 50
@@ -94,22 +100,29 @@ def binned(values: np.ndarray, cuts: Sequence[float]) -> np.ndarray:
     return np.where(missing, MISSING, found).astype(np.uint8)
 
 
-def blocks(df: DataFrame, features: Sequence[str], target: str, key: str, cuts: list[list[float]], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(block, data): Arrow blocks of (key, h, y, fold, one byte column a feature); df has a column fold."""
+def blocks(df: DataFrame, features: Sequence[str], target: str, key: str, cuts: list[list[float]], block_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """(block, data): Arrow blocks of (key, h, y, fold, one byte column a feature); df has a column fold.
+
+    Also whether each model grows apart: up to APART_ROWS rows, or, where a size is named, up to that.
+    """
     rows = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{target}`").cast("double").alias("y"),
                      F.col("fold").cast("byte").alias("fold"), *[_number(f).alias(f"x{i}") for i, f in enumerate(features)])
     rows = rows.filter(F.col("y").isNotNull()).checkpoint()
-    parts = max(1, -(-rows.count() // block_rows))
+    n, size = rows.count(), block_rows or BLOCK_ROWS
+    apart = n <= (block_rows or APART_ROWS)
+    parts = max(1, -(-n // size))
+    if apart:
+        parts = max(parts, min(df.sparkSession.sparkContext.defaultParallelism, n // LEAST_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seq = [], 0, 0
+        held, count, seq = [], 0, 0
         for batch in batches:
             columns = [*batch.columns[:4], *(pa.array(binned(c.to_numpy(zero_copy_only=False), cut)) for c, cut in zip(batch.columns[4:], cuts))]
             held.append(pa.RecordBatch.from_arrays(columns, batch.schema.names))
-            size += batch.num_rows
-            if size >= block_rows:
+            count += batch.num_rows
+            if count >= size:
                 yield packed(held, seq)
-                held, size, seq = [], 0, seq + 1
+                held, count, seq = [], 0, seq + 1
         if held:
             yield packed(held, seq)
 
@@ -121,7 +134,7 @@ def blocks(df: DataFrame, features: Sequence[str], target: str, key: str, cuts:
         name = f"{TaskContext.get().partitionId()}-{seq}"
         return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "data"])
 
-    return rows.repartition(parts).mapInArrow(run, "block string, data binary").checkpoint()
+    return rows.repartition(parts).mapInArrow(run, "block string, data binary").checkpoint(), apart
 
 
 def read_block(data: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -142,18 +155,21 @@ def go_right(bins: np.ndarray, column: int, cut: int, missing_left: bool) -> np.
     return right & (bins[column] != MISSING) if missing_left else right
 
 
-def places(bins: np.ndarray, column: np.ndarray, cut: np.ndarray, missing_left: np.ndarray, levels: int) -> np.ndarray:
-    """The node of level `levels` that each row falls in.  Rows of bytes are compared and combined, none is looked up."""
-    turns: list[np.ndarray] = []
-    for level in range(levels):
+def places(bins: np.ndarray, column: np.ndarray, cut: np.ndarray, missing_left: np.ndarray, levels: int, turns: list[np.ndarray] | None = None) -> np.ndarray:
+    """The node of level `levels` that each row falls in.  Rows of bytes are compared and combined, none is looked up.
+
+    turns: those of the levels above that are known; the others are added to it.
+    """
+    turns = [] if turns is None else turns
+    for level in range(len(turns), levels):
         first = 2**level - 1
         choice = [go_right(bins, int(column[first + i]), int(cut[first + i]), bool(missing_left[first + i])) for i in range(2**level)]
-        for turn in turns:  # half as many remain with each turn taken before
+        for turn in turns[:level]:  # half as many remain with each turn taken before
             half = len(choice) // 2
-            choice = [np.where(turn, choice[half + i], choice[i]) for i in range(half)]
+            choice = [choice[i] ^ (turn & (choice[i] ^ choice[half + i])) for i in range(half)]
         turns.append(choice[0])
     at = np.zeros(bins.shape[1], np.uint8 if levels <= 8 else np.uint32)
-    for turn in turns:
+    for turn in turns[:levels]:
         at = at * 2 + turn
     return at
 
@@ -170,11 +186,14 @@ def drawn(hashes: np.ndarray, seed: int, r: int, m: int, share: float) -> np.nda
     """Whether a row takes part in model m's tree of round r: a hash of the row's own hash and the round."""
     if share >= 1:
         return np.ones(len(hashes), bool)
+    out = np.empty(len(hashes), bool)
     with np.errstate(over="ignore"):
-        x = hashes + np.uint64((seed * 1_000_003 + r * 131 + m + 1) * 0x9E3779B97F4A7C15 % 2**64)
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return (x >> np.uint64(32)).astype(np.float64) < share * 2.0**32
+        for i in range(0, len(hashes), CHUNK_ROWS):
+            x = hashes[i : i + CHUNK_ROWS] + np.uint64((seed * 1_000_003 + r * 131 + m + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+            out[i : i + CHUNK_ROWS] = (x >> np.uint64(32)).astype(np.float64) < share * 2.0**32
+    return out
 
 
 def gradients(scores: np.ndarray, y: np.ndarray, binary: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -236,9 +255,9 @@ def allowed_columns(s: Boosting, r: int, models: Sequence[int], width: int) -> n
     return out
 
 
-def new_state(packed: bytes, start: np.ndarray, middle: float, scale: float) -> dict:
-    """A block's rows with the models' scores before the first round."""
-    _, hashes, labels, fold, bins = read_block(packed)
+def new_state(packed: Sequence[bytes], start: np.ndarray, middle: float, scale: float) -> dict:
+    """The rows of blocks with the models' scores before the first round."""
+    hashes, labels, fold, bins = (np.concatenate(p, axis=-1) for p in zip(*(read_block(p)[1:] for p in packed)))
     return {"round": 0, "bins": bins, "y": (labels - middle) / scale, "fold": fold, "hash": hashes, "scores": np.repeat(start[:, None], len(labels), axis=1), "drawn": -1}
 
 
@@ -248,16 +267,21 @@ def block_sums(state: dict, s: Boosting, r: int, models: Sequence[int], level: i
     if state["drawn"] != r:
         g, h = gradients(state["scores"], state["y"], binary)
         state["in"] = [np.flatnonzero((state["fold"] != m) & drawn(state["hash"], s.seed, r, m, s.row_share)) for m in models]
-        state["g"], state["h"] = ([np.rint(x[i][rows] * UNIT) for i, rows in enumerate(state["in"])] for x in (g, h))
-        state["drawn"] = r
-    out = np.zeros((len(models), nodes, len(bins), BINS, 2))
+        state["g"] = [np.rint(g[i][rows] * UNIT) for i, rows in enumerate(state["in"])]
+        state["h"] = [np.rint(h[i][rows] * UNIT) if binary else None for i, rows in enumerate(state["in"])]  # else all are one
+        state["seen"] = [[bins[c][rows] if allowed[i, c] else None for c in range(len(bins))] for i, rows in enumerate(state["in"])]
+        state["turns"], state["drawn"] = [[] for _ in models], r
+    out = np.zeros((len(models), len(bins), 2, nodes * BINS))
     for i, rows in enumerate(state["in"]):
-        at = places(bins, *(p[i] for p in growing), level)[rows].astype(np.int64) * BINS
-        for c in np.flatnonzero(allowed[i]):
-            cell = at + bins[c][rows]
-            out[i, :, c, :, 0] = np.bincount(cell, state["g"][i], nodes * BINS).reshape(nodes, BINS)
-            out[i, :, c, :, 1] = np.bincount(cell, state["h"][i], nodes * BINS).reshape(nodes, BINS)
-    return out
+        at, used = places(bins, *(p[i] for p in growing), level, state["turns"][i]), np.flatnonzero(allowed[i])
+        for j in range(0, len(rows), CHUNK_ROWS):
+            part = slice(j, j + CHUNK_ROWS)
+            node = at[rows[part]].astype(np.int64) * BINS
+            for c in used:
+                cell = node + state["seen"][i][c][part]
+                out[i, c, 0] += np.bincount(cell, state["g"][i][part], nodes * BINS)
+                out[i, c, 1] += np.bincount(cell, state["h"][i][part], nodes * BINS) if binary else np.bincount(cell, minlength=nodes * BINS) * UNIT
+    return out.reshape(len(models), len(bins), 2, nodes, BINS).transpose(0, 3, 1, 4, 2)
 
 
 def level_splits(units: np.ndarray, allowed: np.ndarray, s: Boosting) -> Splits:
@@ -288,19 +312,21 @@ def _as_one_bin(sums: np.ndarray) -> np.ndarray:
 
 
 def _grow_apart(held: DataFrame, s: Boosting, models: int, width: int, start: np.ndarray, middle: float, scale: float, binary: bool) -> Trees:
-    """All rows are one block: each model grows in a task of its own, which holds that block."""
+    """Not too many rows: each model grows in a task of its own, which holds all blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                m, trees = row["model"], no_trees(s.rounds, 1, s.depth)
-                state = new_state(row["data"], start[m : m + 1], middle, scale)
-                for r in range(s.rounds):
-                    growing = tuple(p[r] for p in trees.parts()[:3])
-                    grow_round(trees, r, s, [m], width, lambda level, allowed: level_splits(block_sums(state, s, r, [m], level, growing, allowed, binary), allowed, s))  # noqa: B023
-                    advance(state["scores"], state["bins"], tuple(p[r : r + 1] for p in trees.parts()), s.depth)
-                packed = [np.ascontiguousarray(p).tobytes() for p in (*trees.parts(), trees.gain)]
-                yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], ["model", *TREE_COLUMNS])
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        if not rows:
+            return
+        m, trees = rows[0]["model"], no_trees(s.rounds, 1, s.depth)
+        state = new_state([row["data"] for row in rows], start[m : m + 1], middle, scale)
+        del rows
+        for r in range(s.rounds):
+            growing = tuple(p[r] for p in trees.parts()[:3])
+            grow_round(trees, r, s, [m], width, lambda level, allowed: level_splits(block_sums(state, s, r, [m], level, growing, allowed, binary), allowed, s))  # noqa: B023
+            state["scores"][0] += trees.leaf[r, 0][places(state["bins"], *(p[0] for p in growing), s.depth, state["turns"][0])]
+        packed = [np.ascontiguousarray(p).tobytes() for p in (*trees.parts(), trees.gain)]
+        yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], ["model", *TREE_COLUMNS])
 
     each = held.select(F.explode(F.sequence(F.lit(0), F.lit(models - 1))).alias("model"), "data").repartitionById(models, "model")
     trees = no_trees(s.rounds, models, s.depth)
@@ -333,7 +359,7 @@ def _grow_together(held: DataFrame, s: Boosting, models: int, width: int, start:
             for name, packed in rows:
                 state = known.pop(name, None)
                 if state is None or state["round"] > r:
-                    state = new_state(packed, start, middle, scale)
+                    state = new_state([packed], start, middle, scale)
                 known[name] = state  # the latest last
                 while len(known) > REMEMBERED:
                     known.pop(next(iter(known)))
@@ -436,7 +462,7 @@ class Grown:
         return df.withColumn(name, scored(*[_number(f) for f in self.features]))
 
 
-def grow(df: DataFrame, features: Sequence[str], target: str, key: str, binary: bool, settings: Boosting, folds: int, block_rows: int = BLOCK_ROWS) -> Grown:
+def grow(df: DataFrame, features: Sequence[str], target: str, key: str, binary: bool, settings: Boosting, folds: int, block_rows: int | None = None) -> Grown:
     """Grows `folds` models, each without one fold, and one on all rows.  df: has a column fold from 0 to folds - 1.
 
     Rows without a target take no part; missing and NaN features are missing values; without rows it is an error.
@@ -461,8 +487,7 @@ def grow(df: DataFrame, features: Sequence[str], target: str, key: str, binary:
         start = np.array([(m - middle) / scale for m in means])
 
     cuts = bin_cuts(df.filter(y.isNotNull()), features)
-    held = blocks(df, features, target, key, cuts, block_rows)
+    held, apart = blocks(df, features, target, key, cuts, block_rows)
     models, width = folds + 1, len(features)
-    together = _grow_apart if held.count() == 1 else _grow_together
-    trees = together(held, s, models, width, start, middle, scale, binary)
+    trees = (_grow_apart if apart else _grow_together)(held, s, models, width, start, middle, scale, binary)
     return Grown(trees, features, cuts, start, middle, scale, binary, s.depth, held, df.schema[key].dataType.simpleString())

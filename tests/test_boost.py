@@ -153,3 +153,18 @@ def test_sums_of_many_blocks_stay_on_executors(spark, monkeypatch):
     df = spark.range(900).select(F.col("id").alias("k"), F.rand(1).alias("x"), F.rand(2).alias("z"), (F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 3).cast("int").alias("fold"))
     bo.grow(df, ["x", "z"], "y", "k", True, bo.Boosting(rounds=3, depth=3), 3, block_rows=40)
     assert sent and sum(sent) < 3 * 3 * 4 * 2_000
+
+
+def test_models_of_more_rows_than_a_block_grow_apart(spark, monkeypatch):
+    """No job a tree level for 300,000 rows, and the same trees as with one."""
+    df = spark.range(300_000, numPartitions=4).select(F.col("id").alias("k"), F.rand(1).alias("x"), F.rand(2).alias("z"), (F.rand(3) < 0.3).cast("double").alias("y"), (F.col("id") % 2).cast("int").alias("fold")).checkpoint()
+    s = bo.Boosting(rounds=2, depth=3, rate=0.3)
+    for target, binary in (("y", True), ("x", False)):
+        many = bo.grow(df, ["x", "z"], target, "k", binary, s, 2, block_rows=90_000)
+        with monkeypatch.context() as patched:
+            patched.setattr(bo, "_grow_together", None)
+            apart = bo.grow(df, ["x", "z"], target, "k", binary, s, 2)
+        assert apart.rows.count() > 1  # predictions are spread all the same
+        for p, q in zip(many.trees.parts(), apart.trees.parts()):
+            np.testing.assert_array_equal(p, q)
+        assert apart.predictions().exceptAll(many.predictions()).count() == 0
