@@ -6,6 +6,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +16,14 @@ from anchorframe.functions.pvalues import chi_square_p, normal_p, normal_two_sid
 from anchorframe.functions.scalar import to_double
 from anchorframe.operators.matrix import column_quantiles, to_long
 from anchorframe.operators.skew import running
+from anchorframe.session import configure, ensure_checkpoint_dir
 from anchorframe.sources.readers import require_columns
 
+#: Of rows that all meet: rows and bytes that stay in a task at most, bytes that pass by at once, and rows of both in one product.
+STAY_ROWS, STAY_BYTES, PASS_BYTES, TILE = 1 << 15, 1 << 24, 1 << 22, (256, 1024)
+#: Stands for a missing cluster.
+_UNKNOWN = int(np.iinfo(np.int64).min)
+
 # --------------------------------------------------------------------------
 # clusters as groups
 
@@ -198,34 +207,95 @@ def compare_clusters(
 # distances
 
 
-def _block_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Summed Euclidean distance of each left row to the right rows of each cluster."""
-    if left.empty or right.empty:
-        return pd.DataFrame({"id": pd.Series(dtype="int64"), "cluster": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64"), "n": pd.Series(dtype="int64")})
-    a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-    centre = b.mean(axis=0)  # far from the origin the squares would cancel
-    a, b = a - centre, b - centre
-    a2, b2 = (a * a).sum(1), (b * b).sum(1)
-    groups, codes = np.unique(right["cluster"].to_numpy(), return_inverse=True)
-    member = np.zeros((len(b), len(groups)))
-    member[np.arange(len(b)), codes] = 1.0
-    # a row is at distance exactly 0 from itself
-    ids, same = left["id"].to_numpy(), right["same_as"].to_numpy()
-    sums = np.empty((len(a), len(groups)))
-    for i in range(0, len(a), 512):
-        d2 = a2[i : i + 512, None] + b2[None, :] - 2.0 * (a[i : i + 512] @ b.T)
-        d = np.sqrt(np.maximum(d2, 0.0))
-        d[ids[i : i + 512, None] == same[None, :]] = 0.0
-        sums[i : i + 512] = d @ member
-    n = member.sum(0).astype("int64")
-    return pd.DataFrame(
-        {
-            "id": np.repeat(ids, len(groups)),
-            "cluster": np.tile(groups.astype("int64"), len(a)),
-            "dist": sums.ravel(),
-            "n": np.tile(n, len(a)),
+def _packs(df: DataFrame, most: int) -> DataFrame:
+    """(name, data): rows as Arrow bytes, some `most` bytes each; written, so that they can be read again and again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seq = [], 0, 0
+        for batch in batches:
+            step = max(1, int(most / max(1.0, batch.nbytes / max(1, batch.num_rows))))
+            for i in range(0, batch.num_rows, step):
+                part = batch.slice(i, step)
+                if held and size + part.nbytes > most:
+                    yield packed(held, seq)
+                    held, size, seq = [], 0, seq + 1
+                held.append(part)
+                size += part.nbytes
+        if held:
+            yield packed(held, seq)
+
+    def packed(held: list[pa.RecordBatch], seq: int) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_batches(held).combine_chunks()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        return pa.RecordBatch.from_arrays([pa.array([f"{TaskContext.get().partitionId()}-{seq}"]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["name", "data"])
+
+    return df.mapInArrow(run, "name string, data binary").checkpoint()
+
+
+def _unpacked(data: bytes, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of a column, which of them are known, vectors)."""
+    table = pa.ipc.open_stream(data).read_all()
+    vec, x = table["vec"].combine_chunks(), table[column].combine_chunks()
+    sizes = set(pc.list_value_length(vec).to_pylist())
+    if len(sizes) > 1 or None in sizes:
+        raise ValueError("vectors are missing or differ in length")
+    vectors = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vec), -1)
+    return x.fill_null(_UNKNOWN).to_numpy(zero_copy_only=False).astype(np.int64), x.is_valid().to_numpy(zero_copy_only=False), vectors
+
+
+class _Staying:
+    """Rows that stay in a task, and their summed distances to each cluster of the rows that have passed by."""
+
+    def __init__(self, data: bytes):
+        self.ids, self.known, x = _unpacked(data, "id")
+        finite = np.where(np.isfinite(x), x, 0.0)
+        self.centre = finite.mean(axis=0)  # far from the origin the squares would cancel
+        x = x - self.centre
+        self.x = np.column_stack([x, (x * x).sum(axis=1), np.ones(len(x))])
+        self.sums: dict[int, np.ndarray] = {}
+        self.n: dict[int, int] = {}
+
+    def meet(self, data: bytes) -> None:
+        clusters, _, y = _unpacked(data, "cluster")
+        same, known, _ = _unpacked(data, "same_as")
+        y = y - self.centre
+        # a product of these and of self.x is a squared distance
+        y = np.column_stack([-2.0 * y, np.ones(len(y)), (y * y).sum(axis=1)]).T
+        groups, codes = np.unique(clusters, return_inverse=True)
+        member = np.zeros((len(codes), len(groups)))
+        member[np.arange(len(codes)), codes] = 1.0
+        here = known & np.isin(same, self.ids[self.known])
+        sums = np.zeros((len(self.x), len(groups)))
+        for j in range(0, len(codes), TILE[1]):
+            some, among = y[:, j : j + TILE[1]], member[j : j + TILE[1]]
+            mine = np.flatnonzero(here[j : j + TILE[1]])
+            for i in range(0, len(self.x), TILE[0]):
+                d = self.x[i : i + TILE[0]] @ some
+                np.maximum(d, 0.0, out=d)
+                np.sqrt(d, out=d)
+                if len(mine):  # a row is at distance exactly 0 from itself
+                    equal = (self.ids[i : i + TILE[0], None] == same[j + mine]) & self.known[i : i + TILE[0], None]
+                    at, to = np.nonzero(equal)
+                    d[at, mine[to]] = 0.0
+                sums[i : i + TILE[0]] += d @ among
+        for k, (group, n) in enumerate(zip(groups.tolist(), member.sum(axis=0))):
+            self.sums[group] = self.sums[group] + sums[:, k] if group in self.sums else sums[:, k].copy()
+            self.n[group] = self.n.get(group, 0) + int(n)
+
+    def result(self) -> bytes:
+        groups, rows = list(self.sums), len(self.ids)
+        columns = {
+            "id": pa.array(np.tile(self.ids, len(groups)), mask=~np.tile(self.known, len(groups))),
+            "cluster": np.repeat(np.array(groups, np.int64), rows),
+            "dist": np.concatenate([self.sums[g] for g in groups]),
+            "n": np.repeat(np.array([self.n[g] for g in groups], np.int64), rows),
         }
-    )
+        sink, table = pa.BufferOutputStream(), pa.table(columns)
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table, max_chunksize=10_000)
+        return sink.getvalue().to_pybytes()
 
 
 def distance_sums(left: DataFrame, right: DataFrame, block_rows: int = 2048, same_rows: bool = True) -> DataFrame:
@@ -233,33 +303,36 @@ def distance_sums(left: DataFrame, right: DataFrame, block_rows: int = 2048, sam
 
     ``same_rows`` says that equal ids on both sides are the same row.
 
-    The distance is not decomposable, so every pair has to be evaluated; both
-    sides are cut into blocks and each block pair becomes one bounded task that
-    returns per-cluster sums.  No pair is ever emitted as a row.
+    The distance is not decomposable, so every pair has to be evaluated.  Both sides are written once as packs of bounded
+    size.  A pack of left rows stays in a task while the right packs are read past it, so what is shuffled and written grows
+    with the rows, and only what is read and computed with the pairs.  No pair is ever emitted as a row.  A task has
+    ``block_rows`` left rows at least, or more where there are no cores for more tasks.
     """
-    def blocks(df: DataFrame) -> int:
-        return max(1, -(-df.count() // block_rows))
-
-    n_left, n_right = blocks(left), blocks(right)
-
-    def place(df: DataFrame, cols: list[str], own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.select(
-            *cols,
-            F.pmod(F.xxhash64("id"), F.lit(own_n)).alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)).cast("array<bigint>")).alias(other),
-        )
+    spark = configure(left.sparkSession)
+    ensure_checkpoint_dir(spark)
+    rows = left.count()
+    parts = max(1, -(-rows // STAY_ROWS), min(4 * spark.sparkContext.defaultParallelism, -(-rows // block_rows)))
+    a = _packs(left.select("id", "vec").repartition(parts), STAY_BYTES)
+    b = _packs(right.select("vec", F.col("cluster").cast("long").alias("cluster"), (F.col("id") if same_rows else F.lit(None).cast("long")).alias("same_as")), PASS_BYTES)
+
+    def run(pairs: Iterator[tuple]) -> Iterator[tuple[bytes]]:
+        staying: dict[str, _Staying] = {}
+        for (name, data), (_, passing) in pairs:
+            if name not in staying:
+                staying[name] = _Staying(data)
+            staying[name].meet(passing)
+        for s in staying.values():
+            yield (s.result(),)
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                yield from pa.ipc.open_stream(data.as_py())
 
-    a = place(left, ["id", "vec"], "bl", n_left, "br", n_right)
-    keyed = right.withColumn("cluster", F.col("cluster").cast("long")).withColumn(
-        "same_as", F.col("id") if same_rows else F.lit(None).cast("long")
-    )
-    b = place(keyed, ["vec", "cluster", "same_as"], "br", n_right, "bl", n_left)
-    parts = (
-        a.groupBy("bl", "br")
-        .cogroup(b.groupBy("bl", "br"))
-        .applyInPandas(_block_distances, "id long, cluster long, dist double, n long")
-    )
-    return parts.groupBy("id", "cluster").agg(F.sum("dist").alias("dist"), F.sum("n").alias("n"))
+    # one partition of the right packs: they are read one after the other, never held together
+    found = a.rdd.cartesian(b.rdd.coalesce(1)).mapPartitions(run)
+    sums = spark.createDataFrame(found, "data binary").mapInArrow(rows_of, "id long, cluster long, dist double, n long")
+    return sums.groupBy("id", "cluster").agg(F.sum("dist").alias("dist"), F.sum("n").alias("n"))
 
 
 def _silhouette_from(sums: DataFrame, own: DataFrame, self_in_own: int) -> DataFrame:

@@ -212,3 +212,30 @@ def test_tails_are_those_of_the_plain_functions(spark):
         want, z = chi_square_tail(r.x, r.k), normal_two_sided(r.x)
         assert (r.p is None and math.isnan(want)) or r.p == pytest.approx(want, rel=1e-9, abs=1e-300), r
         assert (r.z is None and math.isnan(z)) or r.z == pytest.approx(z, rel=1e-9, abs=1e-300), r
+
+
+def test_rows_that_meet_are_not_copied(spark, monkeypatch):
+    """Rows are written once however many packs there are; repeated and missing ids, and rows far from the origin."""
+    monkeypatch.setattr(st, "STAY_BYTES", 600)
+    monkeypatch.setattr(st, "PASS_BYTES", 400)
+    monkeypatch.setattr(st, "TILE", (3, 4))
+    rng = np.random.default_rng(8)
+    x = rng.normal(1e5, 1, (90, 2))
+    ids = [None if i % 30 == 7 else i // 2 if i < 20 else i for i in range(90)]
+    df = spark.createDataFrame([(ids[i], x[i].tolist(), i % 3) for i in range(90)], "id long, vec array<double>, cluster int").repartition(4)
+    sums = st.distance_sums(df, df, 10)
+    plan = sums._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "CoGroup" not in plan
+    d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1))
+    same = np.array([[a == b and a is not None for b in ids] for a in ids])
+    d[same] = 0.0
+    want = {}
+    for i, name in enumerate(ids):
+        for c in range(3):
+            was = want.get((name, c), (0.0, 0))
+            want[name, c] = was[0] + d[i, c::3].sum(), was[1] + 30
+    got = {(r["id"], r["cluster"]): (r["dist"], r["n"]) for r in sums.collect()}
+    # ids that are missing differ from each other, and a row of these is at no distance from itself but for rounding
+    assert got.keys() == want.keys()
+    for k, (dist, n) in want.items():
+        assert got[k][1] == n and got[k][0] == pytest.approx(dist, rel=1e-6)
