@@ -29,6 +29,8 @@ SAMPLE_ROWS = 5_000
 BLOCK_ROWS, LEAST_ROWS = 1 << 16, 1 << 10
 CHUNK_ROWS = 512
 FLOOR = 1e-6
+#: Squared distance to the centre in a component's narrowest deviations: beyond, products around the centre lose digits.
+NARROW = 1e6
 
 
 @dataclass
@@ -81,31 +83,70 @@ def whitening(covariances: np.ndarray) -> np.ndarray:
     return out
 
 
+def _log_scale(weights: np.ndarray, white: np.ndarray) -> np.ndarray:
+    """Log of weight times the density at the mean."""
+    return np.log(np.maximum(weights, 1e-300)) + np.log(np.maximum(np.einsum("cii->ci", white), 1e-300)).sum(axis=1) - white.shape[2] / 2 * math.log(2 * math.pi)
+
+
 def _log_weighted(away: np.ndarray, weights: np.ndarray, white: np.ndarray) -> np.ndarray:
     """(components, rows): log of weight times density, from differences (components, rows, d) to the means."""
-    d = away.shape[2]
-    scale = np.log(np.maximum(weights, 1e-300)) + np.log(np.maximum(np.einsum("cii->ci", white), 1e-300)).sum(axis=1) - d / 2 * math.log(2 * math.pi)
+    scale = _log_scale(weights, white)
     unit = np.matmul(away, white.transpose(0, 2, 1))
     return scale[:, None] - 0.5 * np.einsum("cnd,cnd->cn", unit, unit)
 
 
 def _sums(x: np.ndarray, weights: np.ndarray, means: np.ndarray, white: np.ndarray, first: np.ndarray) -> tuple:
-    """Of models side by side (model m's components begin at first[m]): rows, moments around the means, log-likelihoods."""
+    """Of models side by side (model m's components begin at first[m]): rows, moments around the means, log-likelihoods.
+
+    A log density is linear in the products of a row's numbers, and moments are sums of these, so both are matrix products.
+    They are taken around a common centre; components so narrow for their distance to it that digits would go are taken
+    around their own means.
+    """
     c, d = means.shape
-    sizes = np.diff([*first, c])
-    n, s1, s2, ll = np.zeros(c), np.zeros((c, d)), np.zeros((c, d, d)), np.zeros(len(first))
+    models = [slice(a, b) for a, b in zip(first, [*first[1:], c])]
+    up, over = np.triu_indices(d)
+    centre = weights @ means / weights.sum()
+    off = means - centre
+    precision = np.matmul(white.transpose(0, 2, 1), white)
+    reach = np.square(off).sum(axis=1) * np.einsum("cii->c", precision)
+    own = np.flatnonzero(~(reach <= NARROW))
+    pull = np.einsum("cij,cj->ci", precision, off)
+    with np.errstate(invalid="ignore"):
+        constant = _log_scale(weights, white) - 0.5 * np.einsum("ci,ci->c", off, pull)
+        linear = np.column_stack([constant, pull, np.where(up == over, -0.5, -1.0) * precision[:, up, over]])
+    linear[own] = 0.0
+    ll, sums = np.zeros(len(first)), np.zeros((c, linear.shape[1]))
+    own_s1, own_s2 = np.zeros((len(own), d)), np.zeros((len(own), d, d))
     for i in range(0, len(x), CHUNK_ROWS):
-        away = x[None, i : i + CHUNK_ROWS] - means[:, None]
-        log_p = _log_weighted(away, weights, white)
-        top = np.maximum.reduceat(log_p, first, axis=0)
-        share = np.exp(log_p - np.repeat(top, sizes, axis=0))
-        total = np.add.reduceat(share, first, axis=0)
+        y = (x[i : i + CHUNK_ROWS] - centre).T
+        products = np.concatenate([np.ones((1, y.shape[1])), y, y[up] * y[over]])
+        share = linear @ products
+        if len(own):
+            away = x[None, i : i + CHUNK_ROWS] - means[own, None]
+            share[own] = _log_weighted(away, weights[own], white[own])
+        top = np.empty((len(first), share.shape[1]))
+        total = np.empty_like(top)
+        for m, part in enumerate(models):
+            np.max(share[part], axis=0, out=top[m])
+            share[part] -= top[m]
+        np.maximum(share, -700.0, out=share)  # below, exp is slow, and nothing to add
+        np.exp(share, out=share)
+        for m, part in enumerate(models):
+            np.sum(share[part], axis=0, out=total[m])
+            share[part] /= total[m]
         ll += (top + np.log(total)).sum(axis=1)
-        share /= np.repeat(total, sizes, axis=0)
-        n += share.sum(axis=1)
-        weighed = share[:, :, None] * away
-        s1 += weighed.sum(axis=1)
-        s2 += np.matmul(weighed.transpose(0, 2, 1), away)
+        sums += share @ products.T
+        if len(own):
+            weighed = share[own][:, :, None] * away
+            own_s1 += weighed.sum(axis=1)
+            own_s2 += np.matmul(weighed.transpose(0, 2, 1), away)
+    n, about = sums[:, 0], sums[:, 1 : d + 1]
+    square = np.empty((c, d, d))
+    square[:, up, over] = square[:, over, up] = sums[:, d + 1 :]
+    s1 = about - n[:, None] * off
+    cross = about[:, :, None] * off[:, None, :]
+    s2 = square - cross - cross.transpose(0, 2, 1) + n[:, None, None] * off[:, :, None] * off[:, None, :]
+    s1[own], s2[own] = own_s1, own_s2
     return n, s1, s2, ll
 
 

@@ -101,3 +101,35 @@ def test_saved_as_text(blobs):
 
     again = mx.Mixture.from_lists(json.loads(json.dumps(m.to_lists())))
     assert all((getattr(m, c) == getattr(again, c)).all() for c in ("weights", "means", "covariances"))
+
+
+def test_narrow_and_far_components():
+    """Sums by matrix products keep their digits where components are narrow and far apart, next to wide ones."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal([1e4, 5.0], [1e-3, 1.0], (300, 2)), rng.normal([-2e4, 0.0], [3.0, 2.0], (700, 2))])
+    m = mx.Mixture(np.array([0.3, 0.4, 0.3]), np.array([[1e4, 5.0], [-2e4, 0.0], [-2e4, 1.0]]), np.array([[[1e-6, 0.0], [0.0, 1.0]], [[9.0, 0.5], [0.5, 4.0]], [[16.0, 0.0], [0.0, 4.0]]]))
+    n, s1, s2, ll = mx._sums(x, m.weights, m.means, mx.whitening(m.covariances), np.array([0]))
+    p = density(m, x)
+    share = p / p.sum(axis=1, keepdims=True)
+    np.testing.assert_allclose(ll[0], np.log(p.sum(axis=1)).sum(), rtol=1e-9)
+    np.testing.assert_allclose(n, share.sum(axis=0), rtol=1e-8)
+    for c in range(3):
+        away = x - m.means[c]
+        np.testing.assert_allclose(s2[c], (share[:, c, None] * away).T @ away, rtol=1e-5, atol=1e-7)
+
+
+def test_no_row_of_differences_for_each_component():
+    """A step holds a number for each row and component, not a vector: what it holds at once hardly depends on the dimensions."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(mx.CHUNK_ROWS, 8))
+    models = [mx._starts(x, 5, s) for s in range(30)]
+    first = np.arange(30) * 5
+    w, means, covariances = (np.concatenate(c) for c in zip(*((m.weights, m.means, m.covariances) for m in models)))
+    white = mx.whitening(covariances)
+    tracemalloc.start()
+    mx._sums(x, w, means, white, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * 8 * mx.CHUNK_ROWS * 150
