@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorframe.operators.neighbours import CHUNK_ROWS, LEAF_ROWS, Tree, _bytes, _read, distances, packs_joined, space_index
+from anchorframe.operators.stats import STAY_BYTES, STAY_ROWS, _packs
 from anchorframe.session import configure
 
 #: Keeps a silhouette within 1e-6: it changes by three times this factor at most.
@@ -235,8 +236,99 @@ def ball_index(points: DataFrame, leaf_rows: int = LEAF_ROWS) -> BallIndex:
     return BallIndex(held.drop("known"), tree, Balls.of(tree, summary), width)
 
 
+#: Leaves of a cluster that rows meet on average, up to which they are sent there.
+MOST_ASKED = 8
+#: New rows of a task at least, those that walk the tree together, and what a task holds of which rows meet which leaves.
+LEAST_ROWS, WALK_ROWS, WANTED_BITS = 1 << 11, 1 << 12, 1 << 29
+#: Instead of a leaf's number: sums over far nodes, and rows that stay in a task.
+FAR, STAYS = -1, -2
+#: From this tolerance on distances are made by products of matrices.
+LEAST_PRODUCT = 1e-9
+
+
+def near_sums(x: np.ndarray, y: np.ndarray, member: np.ndarray, tolerance: float) -> np.ndarray:
+    """Distances of rows x to points y times the points' weights in each cluster.
+
+    Each distance is within a factor of 1 +- tolerance: a product of matrices gives the squares, and differences those
+    that would cancel there.
+    """
+    out = np.empty((len(x), member.shape[1]))
+    if tolerance < LEAST_PRODUCT:
+        for i in range(0, len(x), CHUNK_ROWS):
+            out[i : i + CHUNK_ROWS] = distances(x[i : i + CHUNK_ROWS], y) @ member
+        return out
+    centre = y.mean(axis=0)
+    a, b = x - centre, y - centre
+    aa, bb = np.square(a).sum(axis=1), np.square(b).sum(axis=1)
+    left, right = np.column_stack([a, aa, np.ones(len(a))]), np.ascontiguousarray(np.column_stack([-2.0 * b, np.ones(len(b)), bb]).T)
+    # rounding is off by less than this in a square, whose root is off by half as much in proportion
+    least = (4 * x.shape[1] + 16) * 2.0**-53 * (aa + bb.max()) * (1 + 1 / tolerance)
+    room = np.empty((CHUNK_ROWS, len(y)))
+    for i in range(0, len(x), CHUNK_ROWS):
+        part = slice(i, min(i + CHUNK_ROWS, len(x)))
+        d = np.matmul(left[part], right, out=room[: part.stop - i])
+        low = ~(d.min(axis=1) > least[part])
+        if low.any():
+            rows = np.flatnonzero(low)
+            at, j = np.nonzero(~(d[rows] > least[part][rows, None]))
+            d[rows[at], j] = np.square(x[i + rows[at]] - y[j]).sum(axis=1)
+        out[part] = np.sqrt(d, out=d) @ member
+    return out
+
+
+def _walked(tree: Tree, balls: Balls, x: np.ndarray, tolerance: float, most: int | None = None) -> tuple[np.ndarray | None, dict[int, np.ndarray]]:
+    """Rows' sums over far nodes by cluster, and for each leaf that rows have to meet which rows and clusters do.
+
+    No sums where the rows of a cluster meet more than `most` leaves on average.
+    """
+    sums, meet = np.zeros((len(x), len(balls.clusters))), {}
+    for c in range(len(balls.clusters)):
+        sums[:, c], near = balls.far(tree, c, x, tolerance)
+        if most is not None and sum(len(rows) for _, rows in near) > most * len(x):
+            return None, {}
+        for leaf, rows in near:
+            meet.setdefault(leaf, np.zeros(sums.shape, bool))[rows, c] = True
+    return sums, meet
+
+
+class _Asking:
+    """New rows that stay in a task, with their sums over far nodes and over the leaves that have passed by."""
+
+    def __init__(self, data: bytes, tree: Tree, balls: Balls, tolerance: float):
+        table = pa.ipc.open_stream(data).read_all()
+        self.ids, self.tolerance, self.clusters = table["id"].combine_chunks(), tolerance, np.array(balls.clusters, np.int64)
+        self.x = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(table), -1)
+        self.sums = np.zeros((len(self.x), len(self.clusters)))
+        self.near: dict[int, list[tuple[int, np.ndarray]]] = {}  # by leaf: first row, and clusters if all rows meet the same, else bits of rows and clusters
+        for i in range(0, len(self.x), WALK_ROWS):
+            self.sums[i : i + WALK_ROWS], meet = _walked(tree, balls, self.x[i : i + WALK_ROWS], tolerance)
+            for leaf, wanted in meet.items():
+                self.near.setdefault(leaf, []).append((i, wanted[0].copy() if (wanted == wanted[0]).all() else np.packbits(wanted)))
+
+    def meet(self, leaf: int, cluster: np.ndarray, n: np.ndarray, y: np.ndarray) -> None:
+        member = (cluster[:, None] == self.clusters) * n[:, None].astype(float)
+        for first, told in self.near.pop(leaf, ()):
+            x = self.x[first : first + WALK_ROWS]
+            shape = len(x), len(self.clusters)
+            wanted = np.broadcast_to(told, shape) if told.dtype == bool else np.unpackbits(told, count=shape[0] * shape[1]).reshape(shape).view(bool)
+            rows = np.flatnonzero(wanted.any(axis=1))
+            self.sums[first + rows] += near_sums(x[rows], y, member, self.tolerance) * wanted[rows]
+
+    def result(self) -> bytes:
+        k = len(self.clusters)
+        found = pa.table({"id": pa.concat_arrays([self.ids] * k), "cluster": np.repeat(self.clusters, len(self.x)), "dist": self.sums.T.ravel()})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, found.schema) as out:
+            out.write_table(found, max_chunksize=10_000)
+        return sink.getvalue().to_pybytes()
+
+
 def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) -> DataFrame:
-    """(id, cluster, dist, n): summed Euclidean distances of each new row (id, vec) to each cluster's rows."""
+    """(id, cluster, dist, n): summed Euclidean distances of each new row (id, vec) to each cluster's rows.
+
+    Rows that meet few leaves are sent to them.  Those that meet many stay in tasks, in packs, while the leaves are read
+    past them, as in `distance_sums`: so what is written grows with the rows, also where most pairs have to meet.
+    """
     spark = configure(new.sparkSession)
     sent = spark.sparkContext.broadcast((index.tree.to_lists(), index.balls.arrays()))
     width, clusters = index.width, index.balls.clusters
@@ -250,12 +342,11 @@ def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) ->
             ids, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             if not len(ids):
                 continue
-            sums, meet = np.zeros((len(ids), len(clusters))), {}
-            for c in range(len(clusters)):
-                sums[:, c], near = balls.far(tree, c, x, tolerance)
-                for leaf, rows in near:
-                    meet.setdefault(leaf, np.zeros((len(ids), len(clusters)), bool))[rows, c] = True
-            yield pa.RecordBatch.from_pylist([{"leaf": -1, "ids": _bytes(ids, "<i8"), "asked": None, "wanted": _bytes(sums)}], schema=schema)
+            sums, meet = _walked(tree, balls, x, tolerance, MOST_ASKED)
+            if sums is None:
+                yield pa.RecordBatch.from_pylist([{"leaf": STAYS, "ids": _bytes(ids, "<i8"), "asked": _bytes(x), "wanted": None}], schema=schema)
+                continue
+            yield pa.RecordBatch.from_pylist([{"leaf": FAR, "ids": _bytes(ids, "<i8"), "asked": None, "wanted": _bytes(sums)}], schema=schema)
             for leaf, wanted in meet.items():
                 rows = np.flatnonzero(wanted.any(axis=1))
                 yield pa.RecordBatch.from_pylist([{"leaf": leaf, "ids": _bytes(ids[rows], "<i8"), "asked": _bytes(x[rows]), "wanted": _bytes(wanted[rows], "u1")}], schema=schema)
@@ -275,9 +366,30 @@ def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) ->
                 ids, x, y = _read(row, "ids", "<i8"), _read(row, "asked", width=width), _read(row, "vectors", width=width)
                 wanted, cluster, n = _read(row, "wanted", "u1", len(clusters)), _read(row, "clusters", "<i8"), _read(row, "counts", "<i8")
                 member = (cluster[:, None] == np.array(clusters)) * n[:, None].astype(float)
-                for i in range(0, len(ids), CHUNK_ROWS):
-                    part = slice(i, i + CHUNK_ROWS)
-                    yield long(ids[part], (distances(x[part], y) @ member) * wanted[part])
+                yield long(ids, near_sums(x, y, member, tolerance) * wanted)
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x = pa.array(_read(row, "asked"))
+                vec = pa.ListArray.from_arrays(pa.array(np.arange(0, len(x) + 1, width), pa.int32()), x)
+                yield pa.RecordBatch.from_arrays([pa.array(_read(row, "ids", "<i8")), vec], ["id", "vec"])
+
+    def pass_by(pairs: Iterator[tuple]) -> Iterator[tuple[bytes]]:
+        tree, known, staying = Tree.from_lists(sent.value[0]), sent.value[1], {}
+        balls = Balls.from_lists(known, known["plane"])
+        for (name, data), leaf in pairs:
+            if name not in staying:
+                staying[name] = _Asking(data, tree, balls, tolerance)
+            if leaf["leaf"] in staying[name].near:
+                staying[name].meet(leaf["leaf"], _read(leaf, "clusters", "<i8"), _read(leaf, "counts", "<i8"), _read(leaf, "vectors", width=width))
+        for s in staying.values():
+            yield (s.result(),)
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                yield from pa.ipc.open_stream(data.as_py())
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Tree.from_lists(sent.value[0])
@@ -288,10 +400,18 @@ def ball_sums(new: DataFrame, index: BallIndex, tolerance: float = TOLERANCE) ->
     # rows that lie near each other ask the same leaves: a batch of them then asks few
     rows = new.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
     placed = rows.mapInArrow(numbered, "id long, vec array<double>, leaf int").checkpoint()
-    asks = placed.repartitionByRange("leaf", "id").sortWithinPartitions("leaf").select("id", "vec").mapInArrow(ask, "leaf int, ids binary, asked binary, wanted binary").checkpoint()
+    n, most = placed.count(), max(1, min(STAY_ROWS, WANTED_BITS // max(1, len(clusters) * int((index.tree.leaf >= 0).sum()))))
+    parts = max(1, -(-n // most), min(4 * spark.sparkContext.defaultParallelism, -(-n // LEAST_ROWS)))
+    asks = placed.repartitionByRange(parts, "leaf", "id").sortWithinPartitions("leaf").select("id", "vec").mapInArrow(ask, "leaf int, ids binary, asked binary, wanted binary").checkpoint()
     schema = "id long, cluster long, dist double"
     met = packs_joined(asks.filter("leaf >= 0"), index.leaves).select("ids", "asked", "wanted", "clusters", "counts", "vectors").mapInArrow(near, schema)
-    found = asks.filter("leaf < 0").select("ids", "wanted").mapInArrow(far, schema).unionByName(met)
+    found = asks.filter(F.col("leaf") == FAR).select("ids", "wanted").mapInArrow(far, schema).unionByName(met)
+    stay = asks.filter(F.col("leaf") == STAYS).select("ids", "asked")
+    if not stay.isEmpty():
+        packs = _packs(stay.mapInArrow(plain, "id long, vec array<double>"), min(STAY_BYTES, most * (8 * width + 16)))
+        # one partition of the leaves: they are read one after the other, never held together
+        passed = packs.rdd.cartesian(index.leaves.rdd.coalesce(1)).mapPartitions(pass_by)
+        found = found.unionByName(spark.createDataFrame(passed, "data binary").mapInArrow(rows_of, schema))
     sums = found.groupBy("id", "cluster").agg(F.sum("dist").alias("dist"))
     # every cluster has a sum for every row, also one of 0
     each = placed.select("id").distinct().select("id", F.explode(F.array(*[F.lit(c).cast("long") for c in clusters])).alias("cluster"))

@@ -79,7 +79,7 @@ def score_rows(rows: DataFrame, bundle: ClusterBundle, tolerance: float | None =
     placed = assign(project(filled, bundle.projection), bundle.mixture, bundle.valid)
     dense = score_density(placed, "projected", bundle.key, bundle.density).drop("density_component")
 
-    new = core_points(dense, bundle.key)
+    new = core_points(placed, bundle.key)  # density adds columns, not rows
     asked = new.select("id", "vec").dropDuplicates(["id"])
     sums = distance_sums(asked, bundle.core, block_rows, same_rows=False) if tolerance is None else ball_sums(asked, bundle.ball_index(), tolerance)
     own = new.select("id", F.col("cluster").alias("own")).dropDuplicates(["id"])

@@ -86,3 +86,37 @@ def test_far_rows_of_the_plane_are_expanded_at_a_tight_tolerance(spark):
     for r in bl.ball_sums(asked, index, 1e-12).collect():
         want = np.sqrt(np.square(x[cluster == r.cluster] - x[r.id]).sum(1)).sum()
         assert abs(r.dist - want) <= 1e-11 * want
+
+
+def written(spark):
+    from pathlib import Path
+
+    at = spark.sparkContext.getCheckpointDir()
+    return sum(f.stat().st_size for f in Path(at.removeprefix("file:")).rglob("*") if f.is_file())
+
+
+def test_rows_that_meet_most_leaves_are_not_written_for_each(spark):
+    """In five dimensions nearly all pairs meet: the bytes written follow the rows, not the pairs, and sums stay right."""
+    rng = np.random.default_rng(11)
+    x, new, cluster = rng.normal(size=(4000, 5)), rng.normal(size=(3000, 5)), rng.integers(0, 3, 4000)
+    new[:50] = x[:50]
+    index = bl.ball_index(core(spark, x, cluster), 20)
+    asked = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(new)], "id long, vec array<double>").repartition(2)
+    before = written(spark)
+    got = {(r.id, r.cluster): (r.dist, r.n) for r in bl.ball_sums(asked, index).collect()}
+    # 3,000 rows of 48 bytes that ask 200 leaves are 28 MB
+    assert written(spark) - before < 2_000_000
+    want = exact(new[:300], x, cluster)
+    assert len(got) == 9000 and all(got[k][1] == n and abs(got[k][0] - d) <= 3e-7 * d for k, (d, n) in want.items())
+
+
+@pytest.mark.parametrize("shift, scale", [(0.0, 1.0), (1e6, 1.0), (0.0, 1e-9), (1e3, 1e-3)])
+def test_near_sums_do_not_cancel(shift, scale):
+    """Far from the origin, and for rows that lie on points or just beside them."""
+    rng = np.random.default_rng(4)
+    y = shift + scale * rng.normal(size=(200, 4))
+    x = np.concatenate([y[:20], y[:20] * (1 + 1e-12), shift + scale * rng.normal(size=(50, 4)), np.full((1, 4), 1e8)])
+    member = np.eye(200)
+    d = np.sqrt(np.square(x[:, None] - y[None]).sum(axis=2))
+    assert (np.abs(bl.near_sums(x, y, member, 3e-7) - d) <= 3e-7 * d).all()
+    assert (np.abs(bl.near_sums(x, y, member, 0.0) - d) <= 1e-15 * d).all()
