@@ -129,3 +129,33 @@ def test_stream_scores_as_batch_does(spark):
     assert batch.keys() == stream.keys() and len(batch) > 100
     for k, row in batch.items():
         assert stream[k][1] == row[1] and all(x == pytest.approx(y, abs=2e-6) for x, y in zip(stream[k][2:], row[2:]))
+
+
+def test_stream_writes_with_the_rows_not_with_the_pairs(spark, tmp_path):
+    """Micro-batches whose rows meet most of a core's leaves: what is written follows the rows."""
+    from pathlib import Path
+
+    from anchorframe.operators.balls import ball_index
+    from anchorframe.operators.score import core_points
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1600, 5)) + np.repeat([0, 5], 800)[:, None]
+    names = [f"f{i}" for i in range(5)]
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "entity long, " + ", ".join(f"{c} double" for c in names)).checkpoint()
+    projection = cl.fit_projection(df, names, explained=1.0)
+    projected = cl.project(df, projection).checkpoint()
+    density, _ = cl.measure_density(projected, "projected", "entity", 5, 0.9, 10)
+    model = cl.fit_mixture(projected, "projected", (2,), 1, 1, 20).model
+    points = core_points(cl.assign(projected, model), "entity").checkpoint()
+    bundle = ClusterBundle(projection, model, points, density, [0, 1], balls=ball_index(points, 16))
+    size = lambda: sum(f.stat().st_size for f in Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).rglob("*") if f.is_file())
+
+    df.coalesce(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    before = size()
+    assert start_scoring(stream, bundle, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True).awaitTermination(120)
+    # packs of rows for each of 100 leaves took 4.7 MB
+    assert size() - before < 2_000_000
+    got = {r["entity"]: r["silhouette"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {r["entity"]: r["silhouette"] for r in score_rows(df, bundle, tolerance=None).collect()}
+    assert got.keys() == want.keys() and len(got) == 1600 and max(abs(got[i] - want[i]) for i in got) < 1e-6
